@@ -60,10 +60,37 @@ def as_timestamp(column: Column | str) -> Column:
     return _col(column).try_cast("timestamp_ntz")
 
 
+def round_even(column: Column, digits: int) -> Column:
+    """Scales, rounds to the nearest integer (halves to even) and scales back."""
+    scale = F.lit(10.0**digits)
+    return F.rint(column * scale) / scale
+
+
+def round_up(column: Column, digits: int) -> Column:
+    """As `round_even`, halves away from zero."""
+    scale = F.lit(10.0**digits)
+    return F.round(column * scale) / scale
+
+
+def decimal_text(column: Column, digits: int = 1) -> Column:
+    """A number as text with `digits` decimals; exact halves go to the even digit.
+
+    The whole part is split off first, which keeps the scaled fraction exact; Spark's
+    own formatter rounds halves of the shortest decimal form up (56.25 -> 56.3).
+    """
+    scale = 10**digits
+    size = F.abs(column)
+    whole = F.floor(size)
+    scaled = whole * scale + F.rint((size - whole) * F.lit(float(scale))).cast("bigint")
+    sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))
+    fraction = F.lpad(F.pmod(scaled, F.lit(scale)).cast("string"), digits, "0")
+    return F.concat(sign, F.floor(scaled / scale).cast("string"), F.lit("."), fraction)
+
+
 def elapsed_hours(start: Column | str, end: Column | str) -> Column:
     """Elapsed time in hours with two decimals, halves to even."""
     micros = F.timestamp_diff("MICROSECOND", _col(start), _col(end))
-    return F.bround(micros.cast("double") / F.lit(3_600_000_000.0), 2)
+    return round_even(micros.cast("double") / F.lit(3_600_000_000.0), 2)
 
 
 def boundary_hours(start: Column | str, end: Column | str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import money, ratio
+from marketlens.functions.columns import money, ratio, round_even
 
 MODEL_NAME = "linear_trend_plus_dow_seasonality"
 BAND_SIGMAS = 1.28  # fixed value: half width of the 80% band
@@ -98,9 +98,9 @@ def project(model: DataFrame, by: Sequence[str] = (), horizon: int = 7) -> DataF
     return steps.withColumn("_point", point).select(
         *by,
         "forecast_day",
-        F.round("_point", 2).alias("predicted_revenue"),
-        F.round(F.greatest(F.col("_point") - half, F.lit(0.0)), 2).alias("lower_bound_80pct"),
-        F.round(F.col("_point") + half, 2).alias("upper_bound_80pct"),
+        round_even(F.col("_point"), 2).alias("predicted_revenue"),
+        round_even(F.greatest(F.col("_point") - half, F.lit(0.0)), 2).alias("lower_bound_80pct"),
+        round_even(F.col("_point") + half, 2).alias("upper_bound_80pct"),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import money, money_sum, or_zero, percent, ratio
+from marketlens.functions.columns import money, or_zero, ratio
 
 COMPLETED = "completed"
 
@@ -118,7 +118,7 @@ def orders_per_customer(fact_orders: DataFrame) -> DataFrame:
 def customer_kpis(fact_orders: DataFrame, dim_customer: DataFrame, recent_days: int = 30) -> DataFrame:
     per_customer = orders_per_customer(fact_orders)
     repeat = per_customer.agg(
-        or_zero(percent(F.count_if(F.col("orders") >= 2), F.count(F.lit(1)))).alias("repeat_customer_rate_pct")
+        or_zero(ratio(F.count_if(F.col("orders") >= 2), F.count(F.lit(1))) * 100).alias("repeat_customer_rate_pct")
     )
     # one row per registration day: the latest day is found among days, not customers
     per_day = dim_customer.groupBy(F.to_date("registration_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
@@ -195,13 +195,13 @@ def delivery_per_partner(fact_delivery: DataFrame) -> DataFrame:
 def delivery_kpis(fact_delivery: DataFrame) -> DataFrame:
     """Without deliveries the on-time share is 0 and the breach share 100."""
     partners = delivery_per_partner(fact_delivery)
-    on_time = or_zero(percent(F.sum("deliveries") - F.sum("breaches"), F.sum("deliveries")))
+    on_time = or_zero(ratio(F.sum("deliveries") - F.sum("breaches"), F.sum("deliveries")) * 100)
     overall = partners.agg(on_time.alias("on_time"), ratio(F.sum("hours"), F.sum("timed")).alias("hours")).select(
         F.col("on_time").alias("on_time_delivery_pct"),
         (F.lit(100.0) - F.col("on_time")).alias("sla_breach_pct"),
         F.col("hours").alias("avg_delivery_hours"),
     )
-    breach_pct = percent(F.col("breaches"), F.col("deliveries"))
+    breach_pct = ratio(F.col("breaches"), F.col("deliveries")) * 100
     return metric_rows(overall, "delivery").unionByName(
         group_rows(partners, "delivery", "partner_sla_breach_pct", breach_pct, "partner")
     )

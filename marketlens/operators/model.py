@@ -12,7 +12,16 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import boundary_hours, date_key, elapsed_hours, is_true, is_weekend, ratio
+from marketlens.functions.columns import (
+    boundary_hours,
+    date_key,
+    elapsed_hours,
+    is_true,
+    is_weekend,
+    ratio,
+    round_even,
+    round_up,
+)
 from marketlens.operators.lookup import lookup
 
 KEY_NAMES = {
@@ -38,13 +47,13 @@ def dim_customer(customers: DataFrame) -> DataFrame:
 def dim_product(products: DataFrame) -> DataFrame:
     """Margin share of the price, four decimals, halves to even."""
     share = ratio(F.col("selling_price") - F.col("cost"), F.col("selling_price"))
-    return with_keys(products).withColumn("margin_pct", F.bround(share, 4))
+    return with_keys(products).withColumn("margin_pct", round_even(share, 4))
 
 
 def dim_product_staged(products: DataFrame) -> DataFrame:
     """As `dim_product`, halves rounded up."""
     share = ratio(F.col("selling_price") - F.col("cost"), F.col("selling_price"))
-    return with_keys(products).withColumn("margin_pct", F.round(share, 4))
+    return with_keys(products).withColumn("margin_pct", round_up(share, 4))
 
 
 def dim_warehouse(inventory: DataFrame) -> DataFrame:
@@ -103,7 +112,7 @@ def fact_orders(orders: DataFrame, products: DataFrame) -> DataFrame:
     costed = (
         lookup(orders, costs, "product_id")
         .withColumn("cost_total", unit_cost * F.col("quantity"))
-        .withColumn("margin_amount", F.bround(F.col("amount") - F.col("cost_total"), 2))
+        .withColumn("margin_amount", round_even(F.col("amount") - F.col("cost_total"), 2))
         .withColumn("date_key", date_key("timestamp"))
     )
     return with_keys(costed).select(*_FACT_ORDERS)
@@ -204,9 +213,9 @@ def fact_marketing(marketing: DataFrame) -> DataFrame:
     return marketing.withColumns(
         {
             "date_key": date_key(F.col("date").cast("date")),
-            "ctr": F.bround(ratio(F.col("clicks"), F.col("impressions")), 4),
-            "conversion_rate": F.bround(ratio(F.col("conversions"), F.col("clicks")), 4),
-            "cac": F.bround(ratio(F.col("spend"), F.col("conversions")), 2),
+            "ctr": round_even(ratio(F.col("clicks"), F.col("impressions")), 4),
+            "conversion_rate": round_even(ratio(F.col("conversions"), F.col("clicks")), 4),
+            "cac": round_even(ratio(F.col("spend"), F.col("conversions")), 2),
         }
     ).select(*_FACT_MARKETING)
 
@@ -215,7 +224,7 @@ def fact_marketing_staged(marketing: DataFrame) -> DataFrame:
     """Rates are 0 on a zero denominator, cost per conversion null; halves rounded up."""
 
     def guarded(top: str, bottom: str, digits: int) -> Column:
-        value = F.round(ratio(F.col(top), F.col(bottom)), digits)
+        value = round_up(ratio(F.col(top), F.col(bottom)), digits)
         return F.when(F.col(bottom) > 0, value)
 
     return marketing.withColumns(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import percent, percent_true, ratio
+from marketlens.functions.columns import decimal_text, percent_true, ratio
 from marketlens.operators.kpis import completed_orders
 
 # Rule names, severities, statuses and default thresholds.
@@ -30,13 +30,13 @@ COVER_DAYS = 3.0
 
 # Message formats.
 STOCKOUT_TEXT = (
-    "Product %s at warehouse %s is below reorder level (%s units) with ~%.1f units/day demand "
-    "(~%.1f days of cover left)."
+    "Product %s at warehouse %s is below reorder level (%s units) with ~%s units/day demand "
+    "(~%s days of cover left)."
 )
-SLA_TEXT = "Overall delivery SLA breach rate is %.1f%%, above the %.0f%% threshold. Operations team notified."
-REVENUE_TEXT = "Revenue on %s was %s, %.1f%% below the forecast of %s."
+SLA_TEXT = "Overall delivery SLA breach rate is %s%%, above the %.0f%% threshold. Operations team notified."
+REVENUE_TEXT = "Revenue on %s was %s, %s%% below the forecast of %s."
 PAYMENTS_TEXT = (
-    "Payment failure rate is %.1f%% (%d/%d payments), above the %.0f%% threshold. "
+    "Payment failure rate is %s%% (%d/%d payments), above the %.0f%% threshold. "
     "Payments/engineering team notified."
 )
 
@@ -82,8 +82,8 @@ def stockout_alerts(
         F.col("product_key").cast("string"),
         F.col("warehouse_key").cast("string"),
         stock.cast("string"),
-        rate,
-        cover,
+        decimal_text(rate),
+        decimal_text(cover),
     )
     entity = F.concat_ws(":", F.col("warehouse_key").cast("string"), F.col("product_key").cast("string"))
     return (
@@ -98,7 +98,7 @@ def sla_alerts(fact_delivery: DataFrame, threshold: float = SLA_BREACH_THRESHOLD
     """One alert when the overall share of late deliveries exceeds `threshold` percent."""
     message = F.format_string(
         SLA_TEXT,
-        F.col("breach_pct"),
+        decimal_text(F.col("breach_pct")),
         F.lit(float(threshold)),
     )
     return (
@@ -121,7 +121,7 @@ def revenue_alerts(
         REVENUE_TEXT,
         F.col("day").cast("string"),
         F.format_number("revenue", 0),
-        shortfall,
+        decimal_text(shortfall),
         F.format_number(expected, 0),
     )
     return (
@@ -137,14 +137,14 @@ def payment_alerts(live_metrics: DataFrame, threshold: float = PAYMENT_FAILURE_T
     failures = F.coalesce(_metric("live_payment_failures_total"), F.lit(0.0))
     message = F.format_string(
         PAYMENTS_TEXT,
-        F.col("failure_pct"),
+        decimal_text(F.col("failure_pct")),
         F.col("failures").cast("bigint"),
         F.col("total").cast("bigint"),
         F.lit(float(threshold)),
     )
     return (
         live_metrics.agg(total.alias("total"), failures.alias("failures"))
-        .withColumn("failure_pct", percent(F.col("failures"), F.col("total")))
+        .withColumn("failure_pct", ratio(F.col("failures"), F.col("total")) * 100)
         .filter(F.col("failure_pct") > threshold)
         .select(*_alert(PAYMENTS, "HIGH", F.lit("payments_platform"), message))
     )

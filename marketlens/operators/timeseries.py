@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import is_true, money, money_sum, or_zero, ratio
+from marketlens.functions.columns import decimal_text, is_true, money, money_sum, or_zero, ratio
+from marketlens.operators.isolation import CONTAMINATION, isolation_forest
 from marketlens.operators.kpis import completed_orders
 
 # Panel columns with their names in explanation texts.
@@ -147,6 +148,13 @@ def explain_days(panel: DataFrame, window: int = 7, min_change_pct: float = 15.0
     ).select(*panel.columns, "baseline_avg_revenue", "explanation", "recommended_action")
 
 
+def anomaly_report(panel: DataFrame, threshold: float = 2.5, contamination: float = CONTAMINATION) -> DataFrame:
+    """Panel with both detectors and a flag set by either. Runs jobs, see `isolation_forest`."""
+    by_forest = isolation_forest(panel, contamination)
+    both = rolling_zscore(by_forest, threshold=threshold)
+    return both.withColumn("is_anomaly", F.col("is_anomaly_statistical") | F.col("is_anomaly_iforest"))
+
+
 def _change_pct(column: str) -> Column:
     base = F.col(f"_base_{column}")
     return ratio(F.col(column).cast("double") - base, F.abs(base)) * 100
@@ -155,9 +163,9 @@ def _change_pct(column: str) -> Column:
 def _driver(change: Column, label: str, window: int) -> Column:
     size = F.abs(change)
     text = F.format_string(
-        f"{label} was %s %.1f%% vs. the trailing {window}-day average",
+        f"{label} was %s %s%% vs. the trailing {window}-day average",
         F.when(change > 0, F.lit("up")).otherwise(F.lit("down")),
-        size,
+        decimal_text(size),
     )
     return F.struct(size.alias("size"), text.alias("text"))
 
