@@ -25,13 +25,14 @@ def keep_one(
     before the shuffle, so a key with a third of all rows moves no more data than
     any other, and the number of copies comes out of the same pass.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.struct(*order, *rest)
-    picked = (F.max if largest else F.min)(row).alias("_row")
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    reduced = df.groupBy(*keys).agg(picked, *counted)
-    columns = [F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
-    return reduced.select(*columns, *([copies] if copies else []))
+    columns = df.columns
+    rest = [c for c in columns if c not in keys and c not in order]
+    row = ", ".join(f"`{c}`" for c in [*order, *rest])
+    picked = [f"{'max' if largest else 'min'}(struct({row})) as _row"]
+    counted = [f"count(1) as {copies}"] if copies else []
+    reduced = df.groupBy(*keys).agg(*map(F.expr, picked + counted))
+    kept = [f"`{c}`" if c in keys else f"_row.`{c}` as `{c}`" for c in columns]
+    return reduced.selectExpr(*kept, *([copies] if copies else []))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -37,15 +37,12 @@ RELATIONSHIPS = [
 
 def _results(one_row: DataFrame, table: str, check: str) -> DataFrame:
     """One-row counts as result rows, one per column."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias("failures"))
-            for c in one_row.columns
-        ]
-    )
-    return one_row.select(F.lit(table).alias("table_name"), F.inline(entries), F.lit(check).alias("check_name")).select(
-        "table_name", "column_name", "check_name", "failures"
+    entries = ", ".join(
+        f"struct('{c}' as column_name, cast(coalesce(`{c}`, 0) as bigint) as failures)" for c in one_row.columns
     )
+    return one_row.selectExpr(
+        f"'{table}' as table_name", f"inline(array({entries}))", f"'{check}' as check_name"
+    ).select("table_name", "column_name", "check_name", "failures")
 
 
 def expect(df: DataFrame, table: str, check: str, column: str, failing: Column) -> DataFrame:

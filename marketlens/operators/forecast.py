@@ -9,13 +9,11 @@ integers and decimals; the result does not depend on row order.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import money, ratio, round_even
+from marketlens.functions.columns import money, round_even
 
 MODEL_NAME = "linear_trend_plus_dow_seasonality"
 BAND_SIGMAS = 1.28  # fixed value: half width of the 80% band
@@ -25,60 +23,51 @@ WEEKDAYS = range(7)
 def time_index(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Position of each day within its series, counting days present from zero."""
     t = F.row_number().over(W.partitionBy(*by).orderBy("day")) - 1
-    return daily.withColumn("t", t.cast("bigint")).withColumn("dow", F.weekday("day"))
+    return daily.withColumns({"t": t.cast("bigint"), "dow": F.weekday("day"), "y": money("revenue")})
 
 
-def _centred(n: Column, cross: Column, left: Column, right: Column) -> Column:
-    """Sum of products of deviations from the means, exact up to one division."""
-    return ratio(cross * n - left * right, n)
+def _centred(cross: str, left: str, right: str) -> str:
+    """Sum over weekdays of the products of deviations from the weekday means, each exact
+    up to one division: (n * sum of products - product of sums) / n."""
+    return " + ".join(
+        f"coalesce(try_divide(cast({cross}{d} * n{d} - {left}{d} * {right}{d} as double), n{d}), 0D)" for d in WEEKDAYS
+    )
 
 
-def _plus(columns: list[Column]) -> Column:
-    return reduce(Column.__add__, [F.coalesce(c, F.lit(0.0)) for c in columns])
+def _weekday_sums(d: int) -> list[str]:
+    """Sums of one weekday: count, t, t*t, revenue, t*revenue, revenue*revenue."""
+    here = f"filter (where dow = {d})"
+    return [
+        f"count(1) {here} as n{d}",
+        f"cast(sum(t) {here} as decimal(18,0)) as t{d}",
+        f"cast(sum(t * t) {here} as decimal(18,0)) as tt{d}",
+        f"cast(sum(y) {here} as decimal(20,2)) as y{d}",
+        f"cast(sum(cast(t as decimal(10,0)) * y) {here} as decimal(28,2)) as ty{d}",
+        f"sum(cast(y * y as decimal(38,4))) {here} as yy{d}",
+    ]
 
 
 def fit(daily: DataFrame, by: Sequence[str] = (), min_days: int = 14) -> DataFrame:
     """One model row per series with at least `min_days` days: slope, level per weekday,
     residual standard deviation (population), last day and last index."""
-    wide = "decimal(38,4)"
-    y, t = money("revenue"), F.col("t")
-    sums = []
-    for d in WEEKDAYS:
-        here = F.col("dow") == d
-        sums += [
-            F.count_if(here).alias(f"n{d}"),
-            F.sum(F.when(here, t)).cast("decimal(18,0)").alias(f"t{d}"),
-            F.sum(F.when(here, t * t)).cast("decimal(18,0)").alias(f"tt{d}"),
-            F.sum(F.when(here, y)).cast("decimal(20,2)").alias(f"y{d}"),
-            F.sum(F.when(here, t.cast("decimal(10,0)") * y)).cast("decimal(28,2)").alias(f"ty{d}"),
-            F.sum(F.when(here, (y * y).cast(wide))).alias(f"yy{d}"),
-        ]
-    stats = (
-        time_index(daily, by)
-        .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("days"), F.max("day").alias("last_day"), F.max("t").alias("last_t"), *sums)
-        .filter(F.col("days") >= min_days)
-    )
-
-    def s(name: str, d: int) -> Column:
-        return F.col(f"{name}{d}")
-
-    sxx = _plus([_centred(s("n", d), s("tt", d), s("t", d), s("t", d)) for d in WEEKDAYS])
-    sxy = _plus([_centred(s("n", d), s("ty", d), s("t", d), s("y", d)) for d in WEEKDAYS])
-    syy = _plus([_centred(s("n", d), s("yy", d), s("y", d), s("y", d)) for d in WEEKDAYS])
-    solved = stats.withColumns({"_sxx": sxx, "_sxy": sxy, "_syy": syy}).withColumn(
-        "slope", ratio(F.col("_sxy"), F.col("_sxx"))
+    sums = [F.expr(e) for d in WEEKDAYS for e in _weekday_sums(d)]
+    shape = [F.expr(e) for e in ("count(1) as days", "max(day) as last_day", "max(t) as last_t")]
+    stats = time_index(daily, by).groupBy(*by).agg(*shape, *sums).filter(F.col("days") >= min_days)
+    kept = [*by, "days", "last_day", "last_t"]
+    solved = stats.selectExpr(
+        "*",
+        f"{_centred('tt', 't', 't')} as sxx",
+        f"{_centred('ty', 't', 'y')} as sxy",
+        f"{_centred('yy', 'y', 'y')} as syy",
+    ).selectExpr("*", "try_divide(sxy, sxx) as slope")
+    levels = ", ".join(
+        f"try_divide(cast(y{d} as double), n{d}) - slope * try_divide(cast(t{d} as double), n{d})" for d in WEEKDAYS
     )
-    rss = F.greatest(F.col("_syy") - F.col("slope") * F.col("_sxy"), F.lit(0.0))
-    levels = [ratio(s("y", d), s("n", d)) - F.col("slope") * ratio(s("t", d), s("n", d)) for d in WEEKDAYS]
-    return solved.select(
-        *by,
-        "days",
-        "last_day",
-        "last_t",
+    return solved.selectExpr(
+        *kept,
         "slope",
-        F.sqrt(ratio(rss, F.col("days"))).alias("resid_std"),
-        F.array(*levels).alias("levels"),
+        "sqrt(greatest(syy - slope * sxy, 0D) / days) as resid_std",
+        f"array({levels}) as levels",
     )
 
 

@@ -36,13 +36,8 @@ def completed_orders(fact_orders: DataFrame) -> DataFrame:
 
 def metric_rows(one_row: DataFrame, domain: str) -> DataFrame:
     """A one-row table of figures as one row per figure, named after its column."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value"))
-            for c in one_row.columns
-        ]
-    )
-    return one_row.select(F.lit(domain).alias("domain"), F.inline(entries)).withColumn("dims", F.lit(""))
+    entries = ", ".join(f"struct('{c}' as metric, cast(`{c}` as double) as value)" for c in one_row.columns)
+    return one_row.selectExpr(f"'{domain}' as domain", f"inline(array({entries}))").selectExpr("*", "'' as dims")
 
 
 def group_rows(df: DataFrame, domain: str, metric: str, value: Column, key: str) -> DataFrame:

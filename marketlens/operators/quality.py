@@ -7,13 +7,13 @@ rows and all counters are read from it, so the source is shuffled a single time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.columns import as_timestamp, is_true
+from marketlens.functions.columns import as_timestamp
 from marketlens.operators.dedup import COPIES, keep_one
 from marketlens.operators.lookup import lookup
 from marketlens.sources.files import ARRIVAL
@@ -50,8 +50,8 @@ def screen(
     aggregate reduces them to a count. The first key must be a required column: it is
     null exactly for that row. The result stays partitioned by the keys alone.
     """
-    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in required])
-    masked = raw.withColumns({k: F.when(complete, F.col(k)) for k in keys})
+    complete = " and ".join(f"{c} is not null" for c in required)
+    masked = raw.selectExpr(*[f"if({complete}, `{c}`, null) as `{c}`" if c in keys else f"`{c}`" for c in raw.columns])
     by_arrival = ARRIVAL in raw.columns
     kept = keep_one(
         masked,
@@ -60,15 +60,14 @@ def screen(
         largest=not by_arrival or keep == "last",
         copies=COPIES,
     )
-    return kept.drop(ARRIVAL).withColumn(REASON, F.when(F.col(keys[0]).isNull(), F.lit(MISSING)))
+    return kept.drop(ARRIVAL).withColumn(REASON, F.expr(f"if({keys[0]} is null, '{MISSING}', null)"))
 
 
-def refuse(screened: DataFrame, reason: str, condition: Column) -> DataFrame:
-    """Charges rows that match `condition` to `reason` unless already refused."""
-    return screened.withColumn(
-        REASON,
-        F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(is_true(condition), F.lit(reason)),
-    )
+def refuse(screened: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Charges each row to the first rule (reason -> condition) it meets, unless already
+    refused. A condition that is unknown does not refuse."""
+    cases = " ".join(f"when {condition} then '{reason}'" for reason, condition in rules.items())
+    return screened.withColumn(REASON, F.expr(f"case when {REASON} is not null then {REASON} {cases} end"))
 
 
 def accepted(screened: DataFrame) -> DataFrame:
@@ -88,25 +87,27 @@ def screen_customers(raw: DataFrame) -> DataFrame:
 
 
 def screen_products(raw: DataFrame) -> DataFrame:
-    price = F.col("selling_price")
     kept = screen(raw, ["product_id"], ["product_id"], ["selling_price"])
-    return refuse(refuse(kept, NON_POSITIVE_PRICE, price <= 0), MISSING_PRICE, price.isNull())
+    return refuse(kept, {NON_POSITIVE_PRICE: "selling_price <= 0", MISSING_PRICE: "selling_price is null"})
 
 
 def screen_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """`customers` and `products` are the accepted (silver) ones: an order of a product
     refused for its price is an orphan too. The checks run after deduplication and a
     row is charged to the first one it fails."""
-    kept = screen(
-        raw, ["order_id"], ["order_id", "customer_id", "product_id", "amount"], ["timestamp"]
-    ).withColumn("timestamp", as_timestamp("timestamp"))
-    known_customer = customers.select("customer_id", F.lit(True).alias("_customer"))
-    known_product = products.select("product_id", F.lit(True).alias("_product"))
+    kept = screen(raw, ["order_id"], ["order_id", "customer_id", "product_id", "amount"], ["timestamp"])
+    known_customer = customers.selectExpr("customer_id", "true as _customer")
+    known_product = products.selectExpr("product_id", "true as _product")
     flagged = lookup(lookup(kept, known_customer, "customer_id"), known_product, "product_id")
-    orphan = F.col("_customer").isNull() | F.col("_product").isNull()
-    checked = refuse(flagged, REFERENTIAL, orphan)
-    checked = refuse(checked, NEGATIVE_AMOUNT, F.col("amount") < 0)
-    checked = refuse(checked, INVALID_TIMESTAMP, F.col("timestamp").isNull())
+    timed = flagged.withColumn("timestamp", as_timestamp("timestamp"))
+    checked = refuse(
+        timed,
+        {
+            REFERENTIAL: "_customer is null or _product is null",
+            NEGATIVE_AMOUNT: "amount < 0",
+            INVALID_TIMESTAMP: "timestamp is null",
+        },
+    )
     return checked.select(*kept.columns)
 
 
@@ -114,7 +115,7 @@ def screen_inventory(raw: DataFrame) -> DataFrame:
     """Null quantities are kept; only a quantity known to be negative is refused."""
     keys = ["warehouse_id", "product_id"]
     kept = screen(raw, keys, keys, ["updated_at"], keep="last")
-    return refuse(kept, NEGATIVE_QUANTITY, is_true(F.col("available_qty") < 0) | is_true(F.col("reserved_qty") < 0))
+    return refuse(kept, {NEGATIVE_QUANTITY: "available_qty < 0 or reserved_qty < 0"})
 
 
 def screen_delivery(raw: DataFrame) -> DataFrame:
@@ -134,20 +135,19 @@ def screen_marketing(raw: DataFrame) -> DataFrame:
 # --- counters -----------------------------------------------------------------------
 
 
-def counter_columns(source: str) -> dict[str, Column]:
+def counter_columns(source: str) -> dict[str, str]:
     """The counters of one source as aggregates over its screened rows."""
 
-    def charged(reason: str) -> Column:
-        return F.count_if(F.col(REASON) == reason)
+    def charged(reason: str) -> str:
+        return f"count_if({REASON} = '{reason}')"
 
-    dropped = F.sum(COPIES) - F.count_if(F.col(REASON).isNull())
-    complete = F.coalesce(F.col(REASON), F.lit("")) != MISSING
-    repeats = F.sum(F.when(complete, F.col(COPIES) - 1).otherwise(0))
+    dropped = f"sum({COPIES}) - count_if({REASON} is null)"
+    repeats = f"sum(if({REASON} <=> '{MISSING}', 0, {COPIES} - 1))"
     if source == "customers":
         return {NULL_OR_DUP_CUSTOMER: dropped}
     if source == "products":
         bad_price = charged(NON_POSITIVE_PRICE)
-        return {NON_POSITIVE_PRICE: bad_price, NULL_OR_DUP_PRODUCT: dropped - bad_price}
+        return {NON_POSITIVE_PRICE: bad_price, NULL_OR_DUP_PRODUCT: f"{dropped} - {bad_price}"}
     if source == "orders":
         own = {rule: charged(rule) for rule in (REFERENTIAL, NEGATIVE_AMOUNT, INVALID_TIMESTAMP)}
         return {DUPLICATE_ORDER: repeats, **own, DROPPED_TOTAL: dropped}
@@ -158,15 +158,12 @@ def counter_columns(source: str) -> dict[str, Column]:
 
 def counters(source: str, screened: DataFrame) -> DataFrame:
     """Rows `(table_name, rule, failed_rows)` of one source, from one aggregate."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(rule).alias("rule"), F.coalesce(count, F.lit(0)).cast("bigint").alias("failed_rows"))
-            for rule, count in counter_columns(source).items()
-        ]
+    entries = ", ".join(
+        f"struct('{rule}' as rule, coalesce({count}, 0) as failed_rows)"
+        for rule, count in counter_columns(source).items()
     )
-    return (
-        screened.agg(entries.alias("entries"))
-        .select(F.lit(f"silver_{source}").alias("table_name"), F.inline("entries"))
+    return screened.agg(F.expr(f"array({entries})").alias("entries")).selectExpr(
+        f"'silver_{source}' as table_name", "inline(entries)"
     )
 
 

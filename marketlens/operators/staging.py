@@ -13,28 +13,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.operators.dedup import keep_one
 
 
-def _typed(df: DataFrame, types: Mapping[str, str], strict: bool) -> list[Column]:
-    def convert(name: str) -> Column:
-        if name not in types:
-            return F.col(name)
-        c = F.col(name)
-        return (c.cast(types[name]) if strict else c.try_cast(types[name])).alias(name)
-
-    return [convert(c) for c in df.columns]
+def _typed(df: DataFrame, types: Mapping[str, str], strict: bool) -> DataFrame:
+    """`df` with the given columns cast; a null in strict mode was a null before."""
+    convert = "cast" if strict else "try_cast"
+    return df.selectExpr(
+        *[f"{convert}(`{c}` as {types[c]}) as `{c}`" if c in types else f"`{c}`" for c in df.columns]
+    )
 
 
 def stg_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("order_id").isNotNull()), ["order_id"], ["timestamp"])
     types = {"timestamp": "timestamp_ntz", "quantity": "int", "amount": "double"}
     return (
-        latest.filter(F.col("amount") >= 0)
-        .select(*_typed(latest, types, strict))
+        _typed(latest.filter("amount >= 0"), types, strict)
         .withColumnRenamed("timestamp", "order_ts")
         .select("order_id", "customer_id", "product_id", "warehouse_id", "order_ts", "quantity", "amount", "status")
     )
@@ -42,7 +39,7 @@ def stg_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("customer_id").isNotNull()), ["customer_id"], ["registration_date"])
-    return latest.select(*_typed(latest, {"registration_date": "date"}, strict)).select(
+    return _typed(latest, {"registration_date": "date"}, strict).select(
         "customer_id", "city", "state", "segment", "registration_date"
     )
 
@@ -50,8 +47,7 @@ def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_products(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("product_id").isNotNull()), ["product_id"], ["selling_price"])
     return (
-        latest.filter(F.col("selling_price") > 0)
-        .select(*_typed(latest, {"cost": "double", "selling_price": "double"}, strict))
+        _typed(latest.filter("selling_price > 0"), {"cost": "double", "selling_price": "double"}, strict)
         .select("product_id", "category", "brand", "cost", "selling_price", "supplier_id")
     )
 
@@ -65,8 +61,7 @@ def stg_inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
         "updated_at": "timestamp_ntz",
     }
     return (
-        latest.filter((F.col("available_qty") >= 0) & (F.col("reserved_qty") >= 0))
-        .select(*_typed(latest, types, strict))
+        _typed(latest.filter("available_qty >= 0 and reserved_qty >= 0"), types, strict)
         .select("warehouse_id", "product_id", "available_qty", "reserved_qty", "reorder_level", "updated_at")
     )
 
@@ -74,7 +69,7 @@ def stg_inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_delivery(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("order_id").isNotNull()), ["order_id"], ["actual_delivery"])
     types = dict.fromkeys(("pickup_time", "expected_delivery", "actual_delivery"), "timestamp_ntz")
-    return latest.select(*_typed(latest, types, strict)).select(
+    return _typed(latest, types, strict).select(
         "order_id", "partner", "pickup_time", "expected_delivery", "actual_delivery", "status"
     )
 
@@ -82,7 +77,7 @@ def stg_delivery(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_support(raw: DataFrame, strict: bool = True) -> DataFrame:
     """`resolved_at` is always cast leniently: open tickets carry blanks."""
     latest = keep_one(raw.filter(F.col("ticket_id").isNotNull()), ["ticket_id"], ["created_at"])
-    typed = latest.select(*_typed(latest, {"created_at": "timestamp_ntz"}, strict))
+    typed = _typed(latest, {"created_at": "timestamp_ntz"}, strict)
     columns = ["ticket_id", "customer_id", "order_id", "issue_type", "priority", "created_at"]
     return typed.select(
         *[c for c in columns if c in typed.columns],
@@ -94,7 +89,7 @@ def stg_marketing(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw, ["campaign_id", "date", "channel"], ["spend"])
     types = {"date": "date", "spend": "double", "impressions": "int", "clicks": "int", "conversions": "int"}
     return (
-        latest.select(*_typed(latest, types, strict))
+        _typed(latest, types, strict)
         .withColumnRenamed("date", "campaign_date")
         .select("campaign_id", "campaign_date", "channel", "spend", "impressions", "clicks", "conversions")
     )

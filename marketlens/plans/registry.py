@@ -63,7 +63,7 @@ for _name in ("customers", "products", "orders", "inventory", "delivery", "suppo
 
 _over_warehouse("dq_report")(lambda w: w.dq_report.drop("checked_at"))
 _over_warehouse("quality_checks")(lambda w: reports.pipeline_status(w.dq_report).drop("checked_at"))
-_over_warehouse("rejected_orders")(lambda w: quality.rejected(w.screened["orders"]))
+_over_warehouse("rejected_orders")(lambda w: quality.rejected(w.screened("orders")))
 _over_warehouse("duplicate_orders")(lambda w: dedup.duplicate_keys(w.sources["orders"], ["order_id"]))
 _over_warehouse("orphan_customers_in_orders")(
     lambda w: expectations.orphans(w.sources["orders"], "customer_id", w.silver("customers"), "customer_id")
@@ -73,7 +73,7 @@ _over_warehouse("expectation_report")(lambda w: expectations.schema_checks(w.gol
 
 @_over_warehouse("quality_assertions")
 def _assertions(w: Warehouse) -> DataFrame:
-    parts = [expectations.expect_rows(w.silver(n), f"silver_{n}") for n in w.screened]
+    parts = [expectations.expect_rows(w.silver(n), f"silver_{n}") for n in w.sources]
     parts += [
         expectations.expect_at_least(w.fact_orders, "fact_orders", "amount", 0),
         expectations.expect_at_least(w.dim_product, "dim_product", "selling_price", 0, strict=True),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,37 +20,30 @@ class Warehouse:
     separate jobs should read stored layers, see `plans.batch`.
     """
 
-    def __init__(self, sources: dict[str, DataFrame]):
+    def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = sources
+        self._screened: dict[str, DataFrame] = {}
 
     @classmethod
     def over_test_tables(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        return cls(testtables.all_sources(spark, sf_dir))
+        return cls(testtables.TestSources(spark, sf_dir))
 
     # --- silver ---------------------------------------------------------------------
 
-    @cached_property
-    def screened(self) -> dict[str, DataFrame]:
-        s = self.sources
-        done = {
-            "customers": quality.screen_customers(s["customers"]),
-            "products": quality.screen_products(s["products"]),
-            "inventory": quality.screen_inventory(s["inventory"]),
-            "delivery": quality.screen_delivery(s["delivery"]),
-            "support": quality.screen_support(s["support"]),
-            "marketing": quality.screen_marketing(s["marketing"]),
-        }
-        done["orders"] = quality.screen_orders(
-            s["orders"], quality.accepted(done["customers"]), quality.accepted(done["products"])
-        )
-        return done
+    def screened(self, name: str) -> DataFrame:
+        """One row per key with its reject reason, see `operators.quality`."""
+        if name not in self._screened:
+            screen = getattr(quality, f"screen_{name}")
+            parents = [self.silver("customers"), self.silver("products")] if name == "orders" else []
+            self._screened[name] = screen(self.sources[name], *parents)
+        return self._screened[name]
 
     def silver(self, name: str) -> DataFrame:
-        return quality.accepted(self.screened[name])
+        return quality.accepted(self.screened(name))
 
     @cached_property
     def dq_report(self) -> DataFrame:
-        return quality.dq_report(self.screened)
+        return quality.dq_report({name: self.screened(name) for name in self.sources})
 
     # --- gold -----------------------------------------------------------------------
 

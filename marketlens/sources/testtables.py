@@ -6,194 +6,179 @@ times and negative amounts by modulus, so that every quality rule has work to do
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from marketlens.functions.columns import MONEY
-
+from collections.abc import Mapping
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def _hours(base: Column, hours: Column) -> Column:
-    return base + F.make_dt_interval(hours=hours.cast("int"))
+# Columns of the supplied tables. Declared, so that opening a table
+# starts no job to read its footer.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 
 
-def _warehouse(key: str) -> Column:
-    return F.concat(F.lit("WH0"), (F.col(key) % 6 + 1).cast("string"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _order_id() -> Column:
-    return F.concat(
-        F.lit("O"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
-    )
+_WAREHOUSE = "'WH0' || cast(l_suppkey % 6 + 1 as string) as warehouse_id"
+_ORDER_ID = "'O' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as order_id"
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            F.col("c_mktsegment").alias("segment"),
-            F.date_add(F.lit("2000-01-01").cast("date"), (F.col("c_custkey") % 700).cast("int")).alias(
-                "registration_date"
-            ),
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "c_custkey as customer_id",
+            "n_name as city",
+            "r_name as state",
+            "c_mktsegment as segment",
+            "date_add(date '2000-01-01', cast(c_custkey % 700 as int)) as registration_date",
         )
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("p_retailprice")
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        (price - 300 - (F.col("p_partkey") % 97)).alias("cost"),
-        F.when(F.col("p_partkey") % 211 == 5, F.lit(0.0)).otherwise(price).alias("selling_price"),
-        F.concat(F.lit("S"), (F.col("p_partkey") % 40).cast("string")).alias("supplier_id"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey as product_id",
+        "p_type as category",
+        "p_brand as brand",
+        "p_retailprice - 300 - (p_partkey % 97) as cost",
+        "if(p_partkey % 211 = 5, 0D, p_retailprice) as selling_price",
+        "'S' || cast(p_partkey % 40 as string) as supplier_id",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, status = F.col("l_orderkey"), F.col("o_orderstatus")
-    price = F.col("l_extendedprice")
     return (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            _order_id().alias("order_id"),
-            F.when(key % 97 == 3, F.lit(None).cast("bigint"))
-            .when(key % 89 == 4, F.lit(-1).cast("bigint"))
-            .otherwise(F.col("o_custkey"))
-            .alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            _warehouse("l_suppkey").alias("warehouse_id"),
-            F.when(F.col("l_partkey") % 83 == 6, F.lit("not-a-date"))
-            .otherwise(F.concat(F.substring(F.col("l_shipdate").cast("string"), 1, 10), F.lit(" 00:00:00")))
-            .alias("timestamp"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.when(key % 79 == 7, -price).otherwise(price).alias("amount"),
-            F.when(status == "F", "completed")
-            .when(status == "O", "pending")
-            .when(F.col("l_returnflag") == "R", "returned")
-            .otherwise("cancelled")
-            .alias("status"),
+        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            _ORDER_ID,
+            """case when l_orderkey % 97 = 3 then null
+                    when l_orderkey % 89 = 4 then -1L else o_custkey end as customer_id""",
+            "l_partkey as product_id",
+            _WAREHOUSE,
+            """if(l_partkey % 83 = 6, 'not-a-date',
+                  cast(cast(l_shipdate as date) as string) || ' 00:00:00') as timestamp""",
+            "cast(l_quantity as int) as quantity",
+            "if(l_orderkey % 79 = 7, -l_extendedprice, l_extendedprice) as amount",
+            """case when o_orderstatus = 'F' then 'completed' when o_orderstatus = 'O' then 'pending'
+                    when l_returnflag = 'R' then 'returned' else 'cancelled' end as status""",
         )
     )
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        _warehouse("l_suppkey").alias("warehouse_id"),
-        F.col("l_partkey").alias("product_id"),
-        (F.col("l_quantity").cast("int") * 3 - 6).alias("available_qty"),
-        (F.col("l_linenumber") * 5).alias("reserved_qty"),
-        (F.lit(20) + F.col("l_partkey") % 81).cast("int").alias("reorder_level"),
-        F.col("l_shipdate").alias("updated_at"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        _WAREHOUSE,
+        "l_partkey as product_id",
+        "cast(l_quantity as int) * 3 - 6 as available_qty",
+        "l_linenumber * 5 as reserved_qty",
+        "cast(20 + l_partkey % 81 as int) as reorder_level",
+        "l_shipdate as updated_at",
     )
 
 
 def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, part, shipped = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_shipdate")
-    rows = (
+    return (
         table(spark, sf_dir, "lineitem")
-        .filter(key % 10 != 0)
-        .select(
-            _order_id().alias("order_id"),
-            F.concat(F.lit("partner_"), (F.col("l_suppkey") % 5).cast("string")).alias("partner"),
-            _hours(shipped, key % 24).alias("pickup_time"),
-            _hours(shipped, key % 24 + 24 * (1 + part % 5)).alias("expected_delivery"),
-            ((key * 7 + part) % 60 - 48).alias("late_hours"),
-            F.when(key % 14 == 0, "in_transit").otherwise("delivered").alias("status"),
+        .filter("l_orderkey % 10 <> 0")
+        .selectExpr(
+            _ORDER_ID,
+            "'partner_' || cast(l_suppkey % 5 as string) as partner",
+            "l_shipdate + make_dt_interval(0, cast(l_orderkey % 24 as int)) as pickup_time",
+            """l_shipdate + make_dt_interval(0, cast(l_orderkey % 24 + 24 * (1 + l_partkey % 5) as int))
+               as expected_delivery""",
+            "cast((l_orderkey * 7 + l_partkey) % 60 - 48 as int) as late_hours",
+            "if(l_orderkey % 14 = 0, 'in_transit', 'delivered') as status",
+        )
+        .selectExpr(
+            "order_id",
+            "partner",
+            "pickup_time",
+            "expected_delivery",
+            "expected_delivery + make_dt_interval(0, late_hours) as actual_delivery",
+            "status",
         )
-    )
-    return rows.select(
-        "order_id",
-        "partner",
-        "pickup_time",
-        "expected_delivery",
-        _hours(F.col("expected_delivery"), F.col("late_hours")).alias("actual_delivery"),
-        "status",
     )
 
 
 def support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event = F.col("event_id")
     return (
         table(spark, sf_dir, "events")
-        .filter(F.col("event_type") == "error")
-        .select(
-            F.concat(F.lit("T"), event.cast("string")).alias("ticket_id"),
-            F.col("user_id").alias("customer_id"),
-            (event % 6).alias("issue_type"),
-            (event % 4).alias("priority"),
-            F.col("ts").alias("created_at"),
-            F.when(event % 7 != 0, _hours(F.col("ts"), 1 + event % 120)).alias("resolved_at"),
+        .filter("event_type = 'error'")
+        .selectExpr(
+            "'T' || cast(event_id as string) as ticket_id",
+            "user_id as customer_id",
+            "event_id % 6 as issue_type",
+            "event_id % 4 as priority",
+            "ts as created_at",
+            "if(event_id % 7 = 0, null, ts + make_dt_interval(0, cast(1 + event_id % 120 as int))) as resolved_at",
         )
     )
 
 
 def marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind, residue = F.col("event_type"), F.col("event_id") % 5
-    daily = (
+    return (
         table(spark, sf_dir, "events")
-        .groupBy(
-            F.col("ts").cast("date").alias("date"),
-            F.concat(F.lit("ch_"), (F.col("user_id") % 6).cast("string")).alias("channel"),
-        )
+        .groupBy(F.expr("cast(ts as date) as date"), F.expr("'ch_' || cast(user_id % 6 as string) as channel"))
         .agg(
-            F.sum(F.when(kind == "click", F.col("value").cast(MONEY)).otherwise(0)).cast("double").alias("spend"),
-            F.count_if(residue != 0).cast("int").alias("impressions"),
-            F.count_if((kind == "click") & (residue == 1)).cast("int").alias("clicks"),
-            F.count_if((kind == "purchase") & (residue == 2)).cast("int").alias("conversions"),
+            F.expr("cast(sum(if(event_type = 'click', cast(value as decimal(18,2)), 0)) as double) as spend"),
+            F.expr("cast(count_if(event_id % 5 <> 0) as int) as impressions"),
+            F.expr("cast(count_if(event_type = 'click' and event_id % 5 = 1) as int) as clicks"),
+            F.expr("cast(count_if(event_type = 'purchase' and event_id % 5 = 2) as int) as conversions"),
+        )
+        .selectExpr(
+            "'CMP_' || channel || '_' || cast(year(date) * 100 + month(date) as string) as campaign_id",
+            "date",
+            "channel",
+            "spend",
+            "impressions",
+            "clicks",
+            "conversions",
         )
     )
-    month = (F.year("date") * 100 + F.month("date")).cast("string")
-    return daily.select(
-        F.concat(F.lit("CMP_"), F.col("channel"), F.lit("_"), month).alias("campaign_id"),
-        "date",
-        "channel",
-        "spend",
-        "impressions",
-        "clicks",
-        "conversions",
-    )
-
-
-EVENT_TYPES = {
-    "purchase": "order_created",
-    "click": "payment_processed",
-    "view": "delivery_update",
-    "signup": "inventory_adjustment",
-}
 
 
 def shape_events(rows: DataFrame) -> DataFrame:
     """Rows of the events table (batch or stream) as business events, one wide row each."""
-    event, kind = F.col("event_id"), F.col("event_type")
-    mapped = F.lit("unknown")
-    for source, target in EVENT_TYPES.items():
-        mapped = F.when(kind == source, target).otherwise(mapped)
-    return rows.select(
+    return rows.selectExpr(
         "event_id",
-        mapped.alias("event_type"),
-        F.concat(F.lit("EV"), event.cast("string")).alias("order_id"),
-        F.col("user_id").alias("customer_id"),
-        (event % 200).alias("product_id"),
-        _warehouse("user_id").alias("warehouse_id"),
-        (1 + event % 4).cast("int").alias("quantity"),
-        F.col("value").alias("amount"),
-        F.when(event % 17 == 0, "cancelled").otherwise("completed").alias("status"),
-        F.when(event % 12 == 0, "failed").otherwise("success").alias("result"),
-        F.concat(F.lit("partner_"), (event % 5).cast("string")).alias("partner"),
-        (event % 8 == 0).alias("sla_breach"),
-        (event % 21 - 15).cast("int").alias("delta_qty"),
-        F.col("ts").alias("event_ts"),
+        """case event_type when 'purchase' then 'order_created' when 'click' then 'payment_processed'
+                when 'view' then 'delivery_update' when 'signup' then 'inventory_adjustment'
+                else 'unknown' end as event_type""",
+        "'EV' || cast(event_id as string) as order_id",
+        "user_id as customer_id",
+        "event_id % 200 as product_id",
+        "'WH0' || cast(user_id % 6 + 1 as string) as warehouse_id",
+        "cast(1 + event_id % 4 as int) as quantity",
+        "value as amount",
+        "if(event_id % 17 = 0, 'cancelled', 'completed') as status",
+        "if(event_id % 12 = 0, 'failed', 'success') as result",
+        "'partner_' || cast(event_id % 5 as string) as partner",
+        "event_id % 8 = 0 as sla_breach",
+        "cast(event_id % 21 - 15 as int) as delta_qty",
+        "ts as event_ts",
     )
 
 
@@ -201,6 +186,24 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_events(table(spark, sf_dir, "events"))
 
 
-def all_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    builders = (orders, customers, products, inventory, delivery, support, marketing)
-    return {build.__name__: build(spark, sf_dir) for build in builders}
+class TestSources(Mapping):
+    """The seven sources by name, each built when first asked for."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        builders = (orders, customers, products, inventory, delivery, support, marketing)
+        self._builders = {build.__name__: build for build in builders}
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](self._spark, self._sf_dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
