@@ -18,6 +18,10 @@ from marketlens.operators.dedup import COPIES, keep_one
 from marketlens.operators.lookup import lookup
 from marketlens.sources.files import ARRIVAL
 
+# Sources in the order in which they can be screened: orders refer to accepted
+# customers and products.
+SOURCES = ["customers", "products", "orders", "inventory", "delivery", "support", "marketing"]
+
 REASON = "reject_reason"
 MISSING = "missing_required"
 

@@ -28,6 +28,14 @@ class Warehouse:
     def over_test_tables(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
         return cls(testtables.TestSources(spark, sf_dir))
 
+    @classmethod
+    def over_stored(cls, gold: Mapping[str, DataFrame]) -> Warehouse:
+        """Derived frames over gold tables that are already stored."""
+        warehouse = cls({})
+        # a cached property that is already set is not computed
+        warehouse.__dict__.update(gold)
+        return warehouse
+
     # --- silver ---------------------------------------------------------------------
 
     def screened(self, name: str) -> DataFrame:
