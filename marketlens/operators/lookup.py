@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Bytes of the files below a lookup side up to which it is broadcast. Compressed
 # columnar files grow by roughly an order of magnitude in memory.
-BROADCAST_INPUT_BYTES = 16 * 1024 * 1024
+BROADCAST_INPUT_BYTES = 8 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:

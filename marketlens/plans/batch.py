@@ -16,9 +16,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.operators import forecast, quality, rules, timeseries
+from marketlens.operators import expectations, forecast, model, quality, rules, staging, timeseries
+from marketlens.operators.lookup import input_bytes
 from marketlens.plans.warehouse import Warehouse
-from marketlens.session import build_session
+from marketlens.session import build_session, size_shuffles
 from marketlens.sources.files import path_exists, read_sources
 from marketlens.sources.schemas import ALERTS
 from marketlens.sources.sinks import append_table, ensure_table, replace_table
@@ -57,6 +58,8 @@ class BatchRun:
     # --- stages ---------------------------------------------------------------------
 
     def bronze(self, sources: Mapping[str, DataFrame]) -> None:
+        """Stores the sources as read and sizes the shuffles of the run by their volume."""
+        size_shuffles(self.spark, sum(input_bytes(sources[name]) for name in sources))
         for name in sources:
             self.replace(sources[name], "bronze", name)
 
@@ -92,6 +95,32 @@ class BatchRun:
     def stored_gold(self) -> Warehouse:
         return Warehouse.over_stored({n: self.read("gold", n).drop(MONTH) for n in GOLD_TABLES})
 
+    def staged_marts(self, strict: bool = True) -> None:
+        """The staged variant of the star schema from the stored bronze tables. Staging
+        and intermediate frames stay lazy; only the marts are stored."""
+        stg = {
+            name: getattr(staging, f"stg_{name}")(self.read("bronze", name), strict=strict)
+            for name in quality.SOURCES
+            if name != "support"
+        }
+        enriched = model.orders_enriched(stg["orders"], stg["products"], stg["customers"])
+        marts = {
+            "dim_customer": model.dim_customer(stg["customers"]),
+            "dim_product": model.dim_product_staged(stg["products"]),
+            "dim_warehouse": model.dim_warehouse(stg["inventory"]),
+            "dim_date": model.dim_date_spanning(stg["orders"]),
+            "fact_orders": model.fact_orders_staged(enriched),
+            "fact_inventory": model.fact_inventory(stg["inventory"]),
+            "fact_delivery": model.fact_delivery_staged(stg["delivery"], stg["orders"]),
+            "fact_marketing": model.fact_marketing_staged(stg["marketing"]),
+        }
+        for name, df in marts.items():
+            self.replace(df, "marts", name)
+
+    def mart_checks(self) -> DataFrame:
+        """The declared checks over the stored marts."""
+        return expectations.schema_checks({name: self.read("marts", name) for name in GOLD_TABLES})
+
     def kpis(self) -> None:
         self.replace(self.stored_gold().kpi_snapshot, "serving", "kpi_snapshot")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -28,6 +29,15 @@ def build_session(app_name: str = "marketlens", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> int:
+    """Sets the number of shuffle partitions adaptive execution starts from, so that the
+    given input makes partitions of about `partition_bytes`; small ones are merged at
+    run time. Never below the session's own setting."""
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(input_bytes / partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, named by `spark.checkpoint.dir`.
 

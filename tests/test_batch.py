@@ -74,6 +74,17 @@ def test_fact_orders_is_partitioned_by_month(run):
     assert "PartitionFilters: [isnotnull(order_month" in plan
 
 
+def test_staged_marts_are_stored_and_checked(run):
+    run.staged_marts(strict=False)
+    assert all(run.read("marts", name).count() > 0 for name in GOLD_TABLES)
+    # staging refers to nothing, so orders without a customer stay and are reported
+    assert set(failures(run.mart_checks())) == {
+        ("fact_orders", "customer_key", "not_null"),
+        ("fact_orders", "customer_key", "relationships"),
+        ("fact_orders", "product_key", "relationships"),
+    }
+
+
 def test_kpis_cover_all_domains(run):
     snapshot = run.read("serving", "kpi_snapshot")
     domains = ["sales", "customers", "inventory", "delivery", "marketing"]

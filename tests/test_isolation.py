@@ -5,7 +5,15 @@ from datetime import date, timedelta
 import numpy as np
 import pytest
 
-from marketlens.operators.isolation import isolation_forest, mean_path
+from marketlens.operators.isolation import (
+    FEATURES,
+    _as_arrays,
+    fit_forest,
+    isolation_forest,
+    mean_path,
+    score_rows,
+    tree_samples,
+)
 from marketlens.operators.timeseries import anomaly_report
 
 PANEL = "day date, revenue double, orders long, sla_breach_rate double, aov double"
@@ -38,6 +46,31 @@ def test_same_seed_same_scores_whatever_the_partitioning(frame):
     assert first != other
 
 
+def test_scores_equal_a_walk_through_every_tree(frame):
+    df = frame(PANEL, *panel_rows(30))
+    nodes = fit_forest(df, 30, trees=12, size=16).toPandas()
+    assert nodes.groupby("tree").size().max() <= 2 * 16 - 1
+    scored = score_rows(df, _as_arrays(nodes), 30, FEATURES, 16).collect()
+    trees = [{n.node: n for n in part.itertuples()} for _, part in nodes.groupby("tree")]
+    for row in scored:
+        depth = 0.0
+        for tree in trees:
+            node = tree[0]
+            while node.feature >= 0:
+                goes_left = row[FEATURES[node.feature]] <= node.threshold
+                node = tree[node.left if goes_left else node.right]
+            depth += node.depth + float(mean_path(node.size))
+        assert row["raw_score"] == pytest.approx(-(2 ** (-depth / len(trees) / float(mean_path(16)))))
+
+
+def test_trees_draw_their_rows_without_replacement(frame):
+    rows = tree_samples(frame(PANEL, *panel_rows(500)), 500, FEATURES, ["day"], 5, 64, 1)
+    drawn = rows.groupBy("tree").count().collect()
+    assert len(drawn) == 5
+    assert all(64 <= r["count"] <= 220 for r in drawn)
+    assert rows.groupBy("tree", "draw").count().filter("count > 1").count() == 0
+
+
 def test_short_series_is_not_scored(frame):
     short = isolation_forest(frame(PANEL, *panel_rows(9))).collect()
     assert all(r["is_anomaly_iforest"] is False and r["iforest_score"] == 0.0 for r in short)
