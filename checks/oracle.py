@@ -500,13 +500,13 @@ QUERIES["daily_panel_by_warehouse"] = panel("warehouse_key")
 
 def zscore(threshold: float, frame: str = "rows between 6 preceding and current row") -> str:
     """Sample deviation from exact sums: (n * sum of squares - square of sum) / (n * (n - 1))."""
-    m = MONEY.format("revenue")
+    m = "cast(revenue as decimal(38,2))"
     return f"""
 select day, revenue, orders, sla_breach_rate, aov, z as revenue_zscore, coalesce(abs(z) > {threshold}, false) as is_anomaly_statistical
 from (select *, case when n >= 3 then (revenue - s / n) / sqrt(nullif(v, 0)) end as z
   from (select *, cast(n * q - cast(s2 * s2 as decimal(38,4)) as double) / nullif(n * (n - 1), 0) as v
     from (select *, cast(s2 as double) as s
-      from (select *, count(revenue) over w as n, cast(sum({m}) over w as decimal(18,2)) as s2,
+      from (select *, count(revenue) over w as n, cast(sum({m}) over w as decimal(38,2)) as s2,
               sum(cast({m} * {m} as decimal(38,4))) over w as q
             from daily_panel window w as (order by day {frame})) a) b) c) d"""
 

@@ -72,19 +72,26 @@ def round_up(column: Column, digits: int) -> Column:
     return F.round(column * scale) / scale
 
 
-def decimal_text(column: Column, digits: int = 1) -> Column:
-    """A number as text with `digits` decimals; exact halves go to the even digit.
-
-    The whole part is split off first, which keeps the scaled fraction exact; Spark's
-    own formatter rounds halves of the shortest decimal form up (56.25 -> 56.3).
+def decimal_text(name: str) -> Column:
+    """The number `name` (column or SQL expression) as text with one decimal, rounded by its exact binary
+    value and exact halves to even, as C-style formatting does.
+
+    Spark's own formatter rounds the shortest decimal form half up (56.25 -> 56.3 and
+    0.35 -> 0.4, though 0.35 is stored as 0.34999...). The fraction times ten is
+    therefore taken with its rounding error (two-product by splitting the factor), which
+    decides the cases that look like a half.
     """
-    scale = 10**digits
-    size = F.abs(column)
-    whole = F.floor(size)
-    scaled = whole * scale + F.rint((size - whole) * F.lit(float(scale))).cast("bigint")
-    sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))
-    fraction = F.lpad(F.pmod(scaled, F.lit(scale)).cast("string"), digits, "0")
-    return F.concat(sign, F.floor(scaled / scale).cast("string"), F.lit("."), fraction)
+    size = f"abs({name})"
+    fraction = f"({size} - floor({size}))"
+    scaled = f"({fraction} * 10D)"
+    high = f"({fraction} * 134217729D - ({fraction} * 134217729D - {fraction}))"
+    error = f"({high} * 10D - {scaled} + ({fraction} - {high}) * 10D)"
+    looks_half = f"{scaled} - floor({scaled}) = 0.5D and {error} <> 0D"
+    tenths = f"if({looks_half}, floor({scaled}) + if({error} > 0D, 1, 0), cast(rint({scaled}) as bigint))"
+    total = f"(floor({size}) * 10 + {tenths})"
+    return F.expr(
+        f"if({name} < 0, '-', '') || cast({total} div 10 as string) || '.' || cast({total} % 10 as string)"
+    )
 
 
 def elapsed_hours(start: Column | str, end: Column | str) -> Column:

@@ -76,20 +76,20 @@ def stockout_alerts(
     """Items below reorder level that recent demand empties within `cover_days`."""
     demand = recent_demand(fact_orders, days).filter(F.col("avg_daily_demand") > 0)
     stock, rate = F.col("stock_position"), F.col("avg_daily_demand")
-    cover = ratio(stock, rate)
     message = F.format_string(
         STOCKOUT_TEXT,
         F.col("product_key").cast("string"),
         F.col("warehouse_key").cast("string"),
         stock.cast("string"),
-        decimal_text(rate),
-        decimal_text(cover),
+        decimal_text("avg_daily_demand"),
+        decimal_text("days_of_cover"),
     )
     entity = F.concat_ws(":", F.col("warehouse_key").cast("string"), F.col("product_key").cast("string"))
     return (
         fact_inventory.filter("below_reorder_level")
         .join(demand, "product_key")
-        .filter(cover < cover_days)
+        .withColumn("days_of_cover", ratio(stock, rate))
+        .filter(F.col("days_of_cover") < cover_days)
         .select(*_alert(STOCKOUT, "HIGH", entity, message))
     )
 
@@ -98,7 +98,7 @@ def sla_alerts(fact_delivery: DataFrame, threshold: float = SLA_BREACH_THRESHOLD
     """One alert when the overall share of late deliveries exceeds `threshold` percent."""
     message = F.format_string(
         SLA_TEXT,
-        decimal_text(F.col("breach_pct")),
+        decimal_text("breach_pct"),
         F.lit(float(threshold)),
     )
     return (
@@ -116,17 +116,17 @@ def revenue_alerts(
     never matches; pass one made earlier."""
     last = daily.agg(F.max_by(F.struct("day", "revenue"), "day").alias("last")).select("last.*")
     expected = F.col("predicted_revenue")
-    shortfall = ratio(expected - F.col("revenue"), expected) * 100
     message = F.format_string(
         REVENUE_TEXT,
         F.col("day").cast("string"),
         F.format_number("revenue", 0),
-        decimal_text(shortfall),
+        decimal_text("shortfall_pct"),
         F.format_number(expected, 0),
     )
     return (
         last.join(forecast, F.col("day") == F.col("forecast_day"))
-        .filter((expected > 0) & (shortfall > threshold))
+        .withColumn("shortfall_pct", ratio(expected - F.col("revenue"), expected) * 100)
+        .filter((expected > 0) & (F.col("shortfall_pct") > threshold))
         .select(*_alert(REVENUE, "CRITICAL", F.col("day").cast("string"), message))
     )
 
@@ -137,7 +137,7 @@ def payment_alerts(live_metrics: DataFrame, threshold: float = PAYMENT_FAILURE_T
     failures = F.coalesce(_metric("live_payment_failures_total"), F.lit(0.0))
     message = F.format_string(
         PAYMENTS_TEXT,
-        decimal_text(F.col("failure_pct")),
+        decimal_text("failure_pct"),
         F.col("failures").cast("bigint"),
         F.col("total").cast("bigint"),
         F.lit(float(threshold)),

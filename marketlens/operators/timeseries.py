@@ -128,7 +128,7 @@ def explain_days(panel: DataFrame, window: int = 7, min_change_pct: float = 15.0
     with_change = with_base.withColumns({f"_pct_{c}": _change_pct(c) for c in DRIVERS})
     sharp = {c: is_true(F.abs(f"_pct_{c}") > min_change_pct) for c in DRIVERS}
     found = F.array_compact(
-        F.array(*[F.when(sharp[c], _driver(F.col(f"_pct_{c}"), label, window)) for c, label in DRIVERS.items()])
+        F.array(*[F.when(sharp[c], _driver(f"_pct_{c}", label, window)) for c, label in DRIVERS.items()])
     )
     ranked = F.transform(F.slice(F.sort_array(found, asc=False), 1, 3), lambda d: d["text"])
     text = F.when(F.size(ranked) > 0, F.array_join(ranked, "; ")).otherwise(F.lit(NO_DRIVER))
@@ -160,14 +160,13 @@ def _change_pct(column: str) -> Column:
     return ratio(F.col(column).cast("double") - base, F.abs(base)) * 100
 
 
-def _driver(change: Column, label: str, window: int) -> Column:
-    size = F.abs(change)
-    text = F.format_string(
-        f"{label} was %s %s%% vs. the trailing {window}-day average",
-        F.when(change > 0, F.lit("up")).otherwise(F.lit("down")),
-        decimal_text(size),
+def _driver(change: str, label: str, window: int) -> Column:
+    text = F.concat(
+        F.expr(f"'{label} was ' || if({change} > 0, 'up ', 'down ')"),
+        decimal_text(f"abs({change})"),
+        F.lit(f"% vs. the trailing {window}-day average"),
     )
-    return F.struct(size.alias("size"), text.alias("text"))
+    return F.struct(F.abs(change).alias("size"), text.alias("text"))
 
 
 def pick_explanations(report: DataFrame, most: int = 3, by: Sequence[str] = ()) -> DataFrame:

@@ -184,11 +184,16 @@ def test_calendar_has_every_day_of_the_fixed_range(spark):
 
 
 @pytest.mark.parametrize(
-    ("value", "text"), [(56.25, "56.2"), (55.75, "55.8"), (-0.04, "-0.0"), (99.96, "100.0"), (18.35, "18.4"), (16.35, "16.4")]
+    ("value", "text"), [(56.25, "56.2"), (55.75, "55.8"), (-0.04, "-0.0"), (99.96, "100.0"), (18.35, "18.4"), (0.35, "0.3"), (0.25, "0.2"), (-2.25, "-2.2")]
 )
 def test_one_decimal_text_follows_the_binary_value(frame, value, text):
     assert f"{value:.1f}" == text
-    assert frame("x double", (value,)).select(decimal_text(F.col("x"))).first()[0] == text
+    assert frame("x double", (value,)).select(decimal_text("x")).first()[0] == text
+
+
+def test_one_decimal_text_of_many_values(spark):
+    rows = spark.range(20001).selectExpr("(id - 10000) / 80D as x").select("x", decimal_text("x").alias("text")).collect()
+    assert [(r["x"], r["text"]) for r in rows if f"{r['x']:.1f}" != r["text"]] == []
 
 
 def test_rounding_variants(frame):
