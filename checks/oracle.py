@@ -97,9 +97,9 @@ COLUMNS = {
 
 
 def latest(name: str, keys: list[str], by: str, where: str = "true") -> str:
-    """Rows of a raw source that rank first per key by `by`, ties settled by the other columns."""
+    """Rows of a raw source that rank first per key by `by`, ties settled by the other columns ascending."""
     rest = [c for c in COLUMNS[name] if c not in keys and c != by]
-    order = ", ".join(f"{c} desc nulls last" for c in [by, *rest])
+    order = ", ".join([f"{by} desc nulls last", *[f"{c} asc nulls last" for c in rest]])
     return (
         f"select * from raw_{name} where {where} "
         f"qualify row_number() over (partition by {', '.join(keys)} order by {order}) = 1"
@@ -170,10 +170,7 @@ QUERIES["dq_report"] = " union all ".join(
     f"select '{table}' as table_name, '{rule}' as rule, {count} as failed_rows" for (table, rule), count in _DQ.items()
 )
 QUERIES["quality_checks"] = QUERIES["dq_report"]
-QUERIES["rejected_orders"] = """
-select c.*, n.copies from checked_orders c
-join (select order_id, count(*) as copies from complete_orders group by order_id) n using (order_id)
-where reject_reason is not null"""
+QUERIES["rejected_orders"] = "select * from checked_orders where reject_reason is not null"
 QUERIES["duplicate_orders"] = "select order_id, count(*) as copies from raw_orders group by order_id having count(*) > 1"
 QUERIES["orphan_customers_in_orders"] = """
 select o.customer_id, count(*) as copies from raw_orders o left join silver_customers c on o.customer_id = c.customer_id

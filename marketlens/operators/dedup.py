@@ -5,34 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 COPIES = "copies"
+_PLACE = "_place"
 
 
-def keep_one(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    largest: bool = True,
-    copies: str | None = None,
-) -> DataFrame:
+def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], largest: bool = True) -> DataFrame:
     """Keeps the row of each key that is largest (or smallest) by `order`.
 
-    Ties are settled by all remaining columns in the same direction, nulls last for
-    `largest`, so the result does not depend on partitioning. Written as a max of a
-    struct rather than a ranking window: each map task reduces a key to one row
-    before the shuffle, so a key with a third of all rows moves no more data than
-    any other, and the number of copies comes out of the same pass.
+    Ties are settled by all remaining columns ascending; nulls come last throughout, so
+    the result does not depend on partitioning. The filter on the first place lets
+    Spark cut each key to one row per map task before the shuffle (window group limit):
+    a key with a third of all rows moves no more data than any other. Name the most
+    selective key first, it leads the sort.
     """
-    columns = df.columns
-    rest = [c for c in columns if c not in keys and c not in order]
-    row = ", ".join(f"`{c}`" for c in [*order, *rest])
-    picked = [f"{'max' if largest else 'min'}(struct({row})) as _row"]
-    counted = [f"count(1) as {copies}"] if copies else []
-    reduced = df.groupBy(*keys).agg(*map(F.expr, picked + counted))
-    kept = [f"`{c}`" if c in keys else f"_row.`{c}` as `{c}`" for c in columns]
-    return reduced.selectExpr(*kept, *([copies] if copies else []))
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    lead = [F.col(c).desc_nulls_last() if largest else F.col(c).asc_nulls_last() for c in order]
+    ranked = W.partitionBy(*keys).orderBy(*lead, *[F.col(c).asc_nulls_last() for c in rest])
+    return df.withColumn(_PLACE, F.row_number().over(ranked)).filter(F.col(_PLACE) == 1).drop(_PLACE)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

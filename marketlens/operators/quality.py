@@ -1,8 +1,9 @@
 """Silver layer: screening of the sources and the data-quality report.
 
-Every source goes through `screen` once. The result holds one row per key with the
-number of copies and the reason for which the row is refused, if any. Accepted
-rows and all counters are read from it, so the source is shuffled a single time.
+Every source goes through `screen` once: complete rows are reduced to one per key and
+marked with the reason for which they are refused, if any. Accepted rows, refused rows
+and the counters of each rule are read from that one result; the report adds row
+counts of the raw source, which need no shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.columns import as_timestamp
-from marketlens.operators.dedup import COPIES, keep_one
+from marketlens.operators.dedup import keep_one
 from marketlens.operators.lookup import lookup
 from marketlens.sources.files import ARRIVAL
 
@@ -23,7 +24,17 @@ from marketlens.sources.files import ARRIVAL
 SOURCES = ["customers", "products", "orders", "inventory", "delivery", "support", "marketing"]
 
 REASON = "reject_reason"
-MISSING = "missing_required"
+
+# Columns without which a row is dropped before deduplication.
+REQUIRED = {
+    "customers": ["customer_id"],
+    "products": ["product_id"],
+    "orders": ["order_id", "customer_id", "product_id", "amount"],
+    "inventory": ["product_id", "warehouse_id"],
+    "delivery": ["order_id"],
+    "support": ["ticket_id"],
+    "marketing": ["campaign_id", "date"],
+}
 
 # Rule names of the data-quality report.
 NEGATIVE_AMOUNT = "negative_amount"
@@ -39,32 +50,23 @@ DROPPED_TOTAL = "rows_dropped_total"
 MISSING_PRICE = "missing_price"
 
 
-def screen(
-    raw: DataFrame,
-    keys: Sequence[str],
-    required: Sequence[str],
-    order: Sequence[str],
-    keep: str = "first",
-) -> DataFrame:
-    """One row per key plus one row standing for all rows that lack a required column.
+def _complete(source: str) -> str:
+    """Plain null checks: they reach the scan, and joins infer nothing beyond them."""
+    return " and ".join(f"`{c}` is not null" for c in REQUIRED[source])
+
+
+def screen(source: str, raw: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:
+    """Complete rows, one per key, with an empty reject reason.
 
     With an arrival column the first or last copy in file order is kept; without one
     (tables have no file order) the copy with the largest `order` columns.
-    Incomplete rows have their key blanked before the shuffle, so the map-side
-    aggregate reduces them to a count. The first key must be a required column: it is
-    null exactly for that row. The result stays partitioned by the keys alone.
     """
-    complete = " and ".join(f"{c} is not null" for c in required)
-    masked = raw.selectExpr(*[f"if({complete}, `{c}`, null) as `{c}`" if c in keys else f"`{c}`" for c in raw.columns])
-    by_arrival = ARRIVAL in raw.columns
-    kept = keep_one(
-        masked,
-        keys,
-        [ARRIVAL] if by_arrival else order,
-        largest=not by_arrival or keep == "last",
-        copies=COPIES,
-    )
-    return kept.drop(ARRIVAL).withColumn(REASON, F.expr(f"if({keys[0]} is null, '{MISSING}', null)"))
+    complete = raw.filter(_complete(source))
+    if ARRIVAL in raw.columns:
+        kept = keep_one(complete, keys, [ARRIVAL], largest=keep == "last").drop(ARRIVAL)
+    else:
+        kept = keep_one(complete, keys, order)
+    return kept.withColumn(REASON, F.lit(None).cast("string"))
 
 
 def refuse(screened: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -75,23 +77,23 @@ def refuse(screened: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 
 def accepted(screened: DataFrame) -> DataFrame:
-    return screened.filter(F.col(REASON).isNull()).drop(REASON, COPIES)
+    return screened.filter(F.col(REASON).isNull()).drop(REASON)
 
 
 def rejected(screened: DataFrame) -> DataFrame:
-    """Refused keys with reason and number of copies (without the folded incomplete rows)."""
-    return screened.filter(F.col(REASON).isNotNull() & (F.col(REASON) != MISSING))
+    """Refused rows with their reason."""
+    return screened.filter(F.col(REASON).isNotNull())
 
 
 # --- one screening per source -------------------------------------------------------
 
 
 def screen_customers(raw: DataFrame) -> DataFrame:
-    return screen(raw, ["customer_id"], ["customer_id"], ["registration_date"])
+    return screen("customers", raw, ["customer_id"], ["registration_date"])
 
 
 def screen_products(raw: DataFrame) -> DataFrame:
-    kept = screen(raw, ["product_id"], ["product_id"], ["selling_price"])
+    kept = screen("products", raw, ["product_id"], ["selling_price"])
     return refuse(kept, {NON_POSITIVE_PRICE: "selling_price <= 0", MISSING_PRICE: "selling_price is null"})
 
 
@@ -99,7 +101,7 @@ def screen_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) ->
     """`customers` and `products` are the accepted (silver) ones: an order of a product
     refused for its price is an orphan too. The checks run after deduplication and a
     row is charged to the first one it fails."""
-    kept = screen(raw, ["order_id"], ["order_id", "customer_id", "product_id", "amount"], ["timestamp"])
+    kept = screen("orders", raw, ["order_id"], ["timestamp"])
     known_customer = customers.selectExpr("customer_id", "true as _customer")
     known_product = products.selectExpr("product_id", "true as _product")
     flagged = lookup(lookup(kept, known_customer, "customer_id"), known_product, "product_id")
@@ -117,61 +119,67 @@ def screen_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) ->
 
 def screen_inventory(raw: DataFrame) -> DataFrame:
     """Null quantities are kept; only a quantity known to be negative is refused."""
-    keys = ["warehouse_id", "product_id"]
-    kept = screen(raw, keys, keys, ["updated_at"], keep="last")
+    kept = screen("inventory", raw, ["product_id", "warehouse_id"], ["updated_at"], keep="last")
     return refuse(kept, {NEGATIVE_QUANTITY: "available_qty < 0 or reserved_qty < 0"})
 
 
 def screen_delivery(raw: DataFrame) -> DataFrame:
-    kept = screen(raw, ["order_id"], ["order_id"], ["actual_delivery"], keep="last")
+    kept = screen("delivery", raw, ["order_id"], ["actual_delivery"], keep="last")
     times = ("pickup_time", "expected_delivery", "actual_delivery")
     return kept.withColumns({c: as_timestamp(c) for c in times})
 
 
 def screen_support(raw: DataFrame) -> DataFrame:
-    return screen(raw, ["ticket_id"], ["ticket_id"], ["created_at"])
+    return screen("support", raw, ["ticket_id"], ["created_at"])
 
 
 def screen_marketing(raw: DataFrame) -> DataFrame:
-    return screen(raw, ["campaign_id", "date", "channel"], ["campaign_id", "date"], ["spend"])
+    return screen("marketing", raw, ["date", "channel", "campaign_id"], ["spend"])
 
 
 # --- counters -----------------------------------------------------------------------
 
+# Rules a source charges single rows to.
+CHARGED = {
+    "products": [NON_POSITIVE_PRICE],
+    "orders": [REFERENTIAL, NEGATIVE_AMOUNT, INVALID_TIMESTAMP],
+    "inventory": [NEGATIVE_QUANTITY],
+}
 
-def counter_columns(source: str) -> dict[str, str]:
-    """The counters of one source as aggregates over its screened rows."""
 
-    def charged(reason: str) -> str:
-        return f"count_if({REASON} = '{reason}')"
-
-    dropped = f"sum({COPIES}) - count_if({REASON} is null)"
-    repeats = f"sum(if({REASON} <=> '{MISSING}', 0, {COPIES} - 1))"
+def _report_entries(source: str) -> dict[str, str]:
+    """Rule names of a source with the expression of their counter."""
+    charged = {rule: f"`{rule}`" for rule in CHARGED.get(source, [])}
+    dropped = "total - accepted"
     if source == "customers":
         return {NULL_OR_DUP_CUSTOMER: dropped}
     if source == "products":
-        bad_price = charged(NON_POSITIVE_PRICE)
-        return {NON_POSITIVE_PRICE: bad_price, NULL_OR_DUP_PRODUCT: f"{dropped} - {bad_price}"}
+        return {**charged, NULL_OR_DUP_PRODUCT: f"{dropped} - {charged[NON_POSITIVE_PRICE]}"}
     if source == "orders":
-        own = {rule: charged(rule) for rule in (REFERENTIAL, NEGATIVE_AMOUNT, INVALID_TIMESTAMP)}
-        return {DUPLICATE_ORDER: repeats, **own, DROPPED_TOTAL: dropped}
-    if source == "inventory":
-        return {NEGATIVE_QUANTITY: charged(NEGATIVE_QUANTITY), DROPPED_TOTAL: dropped}
-    return {DROPPED_TOTAL: dropped}
+        return {DUPLICATE_ORDER: "complete - kept", **charged, DROPPED_TOTAL: dropped}
+    return {**charged, DROPPED_TOTAL: dropped}
 
 
-def counters(source: str, screened: DataFrame) -> DataFrame:
-    """Rows `(table_name, rule, failed_rows)` of one source, from one aggregate."""
-    entries = ", ".join(
-        f"struct('{rule}' as rule, coalesce({count}, 0) as failed_rows)"
-        for rule, count in counter_columns(source).items()
+def counters(source: str, raw: DataFrame, screened: DataFrame) -> DataFrame:
+    """Rows `(table_name, rule, failed_rows)` of one source.
+
+    Counts of the raw and of the screened rows are stacked and added up, so neither
+    waits for the other and nothing is joined."""
+    before = raw.agg(F.count(F.lit(1)).alias("total"), F.expr(f"count_if({_complete(source)}) as complete"))
+    after = screened.agg(
+        F.count(F.lit(1)).alias("kept"),
+        F.expr(f"count_if({REASON} is null) as accepted"),
+        *[F.expr(f"count_if({REASON} = '{rule}') as `{rule}`") for rule in CHARGED.get(source, [])],
     )
-    return screened.agg(F.expr(f"array({entries})").alias("entries")).selectExpr(
-        f"'silver_{source}' as table_name", "inline(entries)"
+    stacked = before.unionByName(after, allowMissingColumns=True)
+    counts = stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns])
+    entries = ", ".join(
+        f"struct('{rule}' as rule, {count} as failed_rows)" for rule, count in _report_entries(source).items()
     )
+    return counts.selectExpr(f"'silver_{source}' as table_name", f"inline(array({entries}))")
 
 
-def dq_report(screened: dict[str, DataFrame]) -> DataFrame:
+def dq_report(raw: Mapping[str, DataFrame], screened: Mapping[str, DataFrame]) -> DataFrame:
     """The quality report over all screened sources, stamped with the time of the run."""
-    parts = [counters(source, frame) for source, frame in screened.items()]
+    parts = [counters(source, raw[source], frame) for source, frame in screened.items()]
     return reduce(DataFrame.unionByName, parts).withColumn("checked_at", F.current_timestamp())

@@ -53,7 +53,7 @@ def stg_products(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stg_inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
-    latest = keep_one(raw, ["warehouse_id", "product_id"], ["updated_at"])
+    latest = keep_one(raw, ["product_id", "warehouse_id"], ["updated_at"])
     types = {
         "available_qty": "int",
         "reserved_qty": "int",
@@ -86,7 +86,7 @@ def stg_support(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stg_marketing(raw: DataFrame, strict: bool = True) -> DataFrame:
-    latest = keep_one(raw, ["campaign_id", "date", "channel"], ["spend"])
+    latest = keep_one(raw, ["date", "channel", "campaign_id"], ["spend"])
     types = {"date": "date", "spend": "double", "impressions": "int", "clicks": "int", "conversions": "int"}
     return (
         _typed(latest, types, strict)

@@ -73,13 +73,14 @@ class BatchRun:
             screened = screen(self.read("bronze", name), *parents)
             marked = screened.withColumn("accepted", F.col(quality.REASON).isNull().cast("int"))
             self.replace(marked, "silver", name, ["accepted"])
-        report = quality.dq_report({name: self.read("silver", name) for name in names})
+        raw = {name: self.read("bronze", name) for name in names}
+        report = quality.dq_report(raw, {name: self.read("silver", name) for name in names})
         self.replace(report, "silver", "dq_report")
 
     def accepted(self, name: str) -> DataFrame:
         """Accepted rows of a stored source; the refused ones are pruned as a partition."""
         rows = self.read("silver", name).filter("accepted = 1")
-        return rows.drop("accepted", quality.REASON, quality.COPIES)
+        return rows.drop("accepted", quality.REASON)
 
     def gold(self) -> None:
         warehouse = _SilverStored(self)

@@ -51,7 +51,7 @@ class Warehouse:
 
     @cached_property
     def dq_report(self) -> DataFrame:
-        return quality.dq_report({name: self.screened(name) for name in self.sources})
+        return quality.dq_report(self.sources, {name: self.screened(name) for name in self.sources})
 
     # --- gold -----------------------------------------------------------------------
 

@@ -54,8 +54,13 @@ def products(frame):
 
 def test_copy_with_largest_order_column_is_kept(frame):
     df = frame("k string, v int, w string", ("a", 1, "x"), ("a", 2, "y"), ("b", None, "z"))
-    kept = keep_one(df, ["k"], ["v"], copies="copies").orderBy("k").collect()
-    assert [tuple(r) for r in kept] == [("a", 2, "y", 2), ("b", None, "z", 1)]
+    kept = keep_one(df, ["k"], ["v"]).orderBy("k").collect()
+    assert [tuple(r) for r in kept] == [("a", 2, "y"), ("b", None, "z")]
+
+
+def test_ties_are_settled_by_the_remaining_columns(frame):
+    df = frame("k string, v int, w string", ("a", 1, None), ("a", 1, "y"), ("a", 1, "x"))
+    assert keep_one(df, ["k"], ["v"]).first()["w"] == "x"
 
 
 def test_key_disappears_when_its_latest_copy_is_bad(frame, customers, products):
@@ -68,7 +73,7 @@ def test_key_disappears_when_its_latest_copy_is_bad(frame, customers, products):
     screened = quality.screen_orders(raw, customers, products)
     assert quality.accepted(screened).count() == 0
     assert staging.stg_orders(raw).count() == 0
-    counts = {r["rule"]: r["failed_rows"] for r in quality.counters("orders", screened).collect()}
+    counts = {r["rule"]: r["failed_rows"] for r in quality.counters("orders", raw, screened).collect()}
     assert counts["duplicate_order_id"] == 2
     assert counts["negative_amount"] == 1
     assert counts["rows_dropped_total"] == 3
@@ -86,7 +91,7 @@ def test_row_is_charged_to_the_first_rule_it_fails(frame, customers, products):
         order("O6", None),
     )
     screened = quality.screen_orders(raw, customers, products)
-    counts = {r["rule"]: r["failed_rows"] for r in quality.counters("orders", screened).collect()}
+    counts = {r["rule"]: r["failed_rows"] for r in quality.counters("orders", raw, screened).collect()}
     assert counts == {
         "duplicate_order_id": 0,
         "referential_integrity_customer_or_product": 2,
@@ -116,7 +121,7 @@ def test_null_quantity_is_kept_in_silver_and_dropped_in_staging(frame):
 def test_missing_price_is_counted_with_missing_keys(frame):
     raw = frame("product_id string, selling_price double", ("P1", None), ("P2", 0.0), ("P3", 2.0), (None, 1.0))
     screened = quality.screen_products(raw)
-    counts = {r["rule"]: r["failed_rows"] for r in quality.counters("products", screened).collect()}
+    counts = {r["rule"]: r["failed_rows"] for r in quality.counters("products", raw, screened).collect()}
     assert counts == {"non_positive_selling_price": 1, "null_or_dup_product_id": 2}
 
 
