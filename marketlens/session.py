@@ -15,6 +15,8 @@ ADAPTIVE = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # recording the call site of every column function triples the round trips to the JVM
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
