@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.columns import decimal_text, percent_true, ratio
 from marketlens.operators.kpis import completed_orders
+from marketlens.session import stored
 
 # Rule names, severities, statuses and default thresholds.
 STOCKOUT = "inventory_stockout_risk"
@@ -166,11 +167,12 @@ def numbered(alerts: DataFrame, run_ts: datetime | None = None) -> DataFrame:
 
     The running number is dense without sorting all alerts in one task: rows are
     numbered inside hash buckets and shifted by the counts of the buckets before,
-    a table of fixed size.
+    a table of fixed size. Runs a job: the alerts are stored once, since they are read
+    for the counts and for the rows.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     bucket = F.pmod(F.xxhash64("rule", "entity", "message"), F.lit(_NUMBERING_BUCKETS))
-    placed = alerts.withColumn("_bucket", bucket)
+    placed = stored(alerts.withColumn("_bucket", bucket), "alerts")
     before = F.sum("n").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = (
         placed.groupBy("_bucket")
