@@ -23,8 +23,8 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +38,11 @@ END_ID = 2
 END = 65535
 FIRST_RULE = 50_257
 RANGE_BYTES = 128 << 20
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 ROUNDS = 6
 PAIRS_PER_ROUND = 2_000
 LEAST_COUNT = 32
+BIN_BITS = 18
 _HEAD = "<4sIII"
 _MARKS = ".,;:!?%&*$#\"'()"
 
@@ -61,11 +62,14 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
-        self.core: dict[str, list[int]] = {}
+        self.core: dict[str, bytes] = {"": b""}  # ids as 16-bit numbers
         self.odd: set[str] = set()
 
-    def _encode(self, strings: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    def _encode(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
+        for at in range(0, len(strings), 4096):
+            part = strings[at : at + 4096]
+            for string, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                yield string, array("H", found.ids).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
         """A piece of letters and marks is two pieces of the tokenizer: letters with the
@@ -77,13 +81,12 @@ class Encoder:
             split = (letters, text[len(letters) :]) if letters[1:].isalpha() and letters[0] == " " else (text, "")
             parts.append(split)
             missing.update(p for p in split if p and p not in self.core)
-        order = sorted(missing)
-        self.core.update(zip(order, self._encode(order), strict=True))
+        self.core.update(self._encode(list(missing)))
         self.odd.update(filter(_is_odd, pieces))
         ids = [self.core[a] + self.core[b] if b else self.core[a] for a, b in parts]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
         self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces)), strict=True))
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=int(sizes.sum()))))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype=np.uint16)))
         self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +116,7 @@ class Encoder:
             pieces, bounds = fresh, again
             unknown = set(pieces).difference(self.number)
         if unknown:
-            self._learn(sorted(unknown))
+            self._learn(list(unknown))
         which = np.fromiter(map(self.number.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         sizes = self.start[which + 1] - self.start[which]
         ends = np.cumsum(sizes)
@@ -154,35 +157,33 @@ def compress(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rules: list[np.ndarray] = []
     made = 0
     for _ in range(ROUNDS):
-        room = END - FIRST_RULE - made
+        room = min(PAIRS_PER_ROUND, END - FIRST_RULE - made)
         if room <= 0 or len(symbols) < 2 * LEAST_COUNT:
             break
         left, right = symbols[:-1], symbols[1:]
         pair = (left << np.uint32(16)) | right
-        free = (left != END) & (right != END)
-        # pairs are counted by a hash first; only those in frequent bins are counted exactly
-        bins = (pair * np.uint32(2654435761)) >> np.uint32(14)
-        counts = np.bincount(bins, minlength=1 << 18)
-        least = max(LEAST_COUNT, int(np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND]))
-        at = np.flatnonzero((counts >= least)[bins] & free)
-        found, seen = np.unique(pair[at], return_counts=True)
-        best = np.argsort(-seen, kind="stable")[: min(PAIRS_PER_ROUND, room)]
-        best = np.sort(found[best[seen[best] >= LEAST_COUNT]])
+        # pairs are counted in bins; of those that share a bin the last one met owns it
+        bins = (pair * np.uint32(2654435761)) >> np.uint32(32 - BIN_BITS)
+        owner = np.zeros(1 << BIN_BITS, dtype=np.uint32)
+        owner[bins] = pair
+        own = (owner[bins] == pair) & (left != END) & (right != END)
+        counts = np.bincount(bins[own], minlength=1 << BIN_BITS)
+        best = np.argpartition(-counts, room - 1)[:room]
+        best = np.sort(best[counts[best] >= LEAST_COUNT])
         if not len(best):
             break
-        slot = np.minimum(np.searchsorted(best, pair[at]), len(best) - 1)
-        hit = best[slot] == pair[at]
-        at, slot = at[hit], slot[hit]
+        symbol = np.zeros(1 << BIN_BITS, dtype=np.uint32)
+        symbol[best] = FIRST_RULE + made + np.arange(len(best), dtype=np.uint32)
+        at = np.flatnonzero(own & (symbol[bins] > 0))
         # of pairs that overlap, every other one is replaced, from the left
-        run = np.arange(len(at)) - np.maximum.accumulate(
-            np.where(np.concatenate(([True], np.diff(at) != 1)), np.arange(len(at)), 0)
-        )
-        at, slot = at[run % 2 == 0], slot[run % 2 == 0]
-        symbols[at] = FIRST_RULE + made + slot.astype(np.uint32)
+        place = np.arange(len(at))
+        run = place - np.maximum.accumulate(np.where(np.concatenate(([True], np.diff(at) != 1)), place, 0))
+        at = at[run % 2 == 0]
+        symbols[at] = symbol[bins[at]]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols = symbols[keep]
-        rules.append(np.stack((best >> np.uint32(16), best & np.uint32(0xFFFF)), axis=1))
+        rules.append(np.stack((owner[best] >> np.uint32(16), owner[best] & np.uint32(0xFFFF)), axis=1))
         made += len(best)
     table = np.concatenate(rules) if rules else np.empty((0, 2), dtype=np.uint32)
     return symbols.astype(np.uint16), table.astype(np.uint16)
@@ -197,19 +198,22 @@ def expansion_lengths(rules: np.ndarray) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """Ids below the rules, ends kept."""
-    symbols = symbols.astype(np.uint16)
-    while True:
-        ruled = (symbols >= FIRST_RULE) & (symbols != END)
-        if not ruled.any():
-            return symbols
-        at = np.flatnonzero(ruled)
-        places = np.arange(len(symbols)) + np.concatenate(([0], np.cumsum(ruled)[:-1]))
-        out = np.empty(len(symbols) + len(at), dtype=np.uint16)
-        out[places] = symbols
-        pairs = rules[symbols[at].astype(np.int64) - FIRST_RULE]
-        out[places[at]], out[places[at] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
+    """Ids below the rules, ends kept. Rules are spelled out once, then symbols are replaced
+    by slices of these."""
+    lengths = expansion_lengths(rules).astype(np.int64)
+    used = lengths[FIRST_RULE : FIRST_RULE + len(rules)]
+    spelled: list[bytes] = []
+    for a, b in rules.tolist():
+        spelled.append(
+            b"".join(spelled[x - FIRST_RULE] if FIRST_RULE <= x < END else x.to_bytes(2, "little") for x in (a, b))
+        )
+    table = np.concatenate((np.arange(65536, dtype=np.uint16), np.frombuffer(b"".join(spelled), dtype="<u2")))
+    start = np.arange(65536, dtype=np.int64)
+    start[FIRST_RULE : FIRST_RULE + len(rules)] = 65536 + np.cumsum(used) - used
+    sizes = lengths[symbols]
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return table[np.arange(total, dtype=np.int64) + np.repeat(start[symbols] - (ends - sizes), sizes)]
 
 
 def write_shard(ids: list[int | None], counts: np.ndarray, tokens: np.ndarray) -> bytes:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.session import stored
+
 # (verdict, host, path)
 RULES = (
     ("allow", "org", "/"),
@@ -60,10 +62,9 @@ def domain_of(host: Column) -> Column:
     return F.when(labels == 2, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
-def _shrunk(children: DataFrame, parents: DataFrame, by: str, up: list[str]) -> DataFrame:
-    """Posterior alpha, beta of every child in `children(*up, by, bad, n)` under the parents'
-    posterior means in `parents(*up, mean)`."""
-    joined = children.join(parents, up) if up else children.crossJoin(F.broadcast(parents))
+def _shrunk(joined: DataFrame, by: str, up: list[str]) -> DataFrame:
+    """Posterior alpha, beta and mean of every child in `joined(*up, by, bad, n, mean)`, where
+    mean is the parent's posterior mean."""
     # excess of the children's spread over what chance gives, pooled over all parents
     mean, n, bad = F.col("mean"), F.col("n"), F.col("bad")
     moments = joined.agg(
@@ -75,8 +76,7 @@ def _shrunk(children: DataFrame, parents: DataFrame, by: str, up: list[str]) ->
     within = F.greatest((F.col("spread") - per_row * F.col("k")) / F.greatest(F.col("n1") - F.col("k"), F.lit(1.0)), F.lit(0.0))
     strength = F.when(within > 0, per_row / within - 1).otherwise(F.lit(STRENGTHS[1]))
     strength = F.least(F.greatest(strength, F.lit(STRENGTHS[0])), F.lit(STRENGTHS[1]))
-    # one row
-    scaled = joined.crossJoin(F.broadcast(moments.select(strength.alias("strength"))))
+    scaled = joined.withColumn("strength", moments.select(strength).scalar())
     alpha, beta = F.col("strength") * mean + bad, F.col("strength") * (1 - mean) + n - bad
     return scaled.select(*up, by, alpha.alias("alpha"), beta.alias("beta"), (alpha / (alpha + beta)).alias("mean"))
 
@@ -87,12 +87,12 @@ def reputations(outcomes: DataFrame, z: float = Z) -> DataFrame:
     host = F.col("host")
     hosts = outcomes.select(suffix_of(host).alias("suffix"), domain_of(host).alias("domain"), "host", "bad", "n")
     totals = lambda *by: hosts.groupBy(*by).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    # one row: the corpus, with a flat prior
-    corpus = totals().where("n > 0").select(((F.col("bad") + 1) / (F.col("n") + 2)).alias("mean"))
-    suffixes = _shrunk(totals("suffix"), corpus, "suffix", [])
-    domains = _shrunk(totals("suffix", "domain"), suffixes.select("suffix", "mean"), "domain", ["suffix"])
+    # the corpus, with a flat prior
+    corpus = hosts.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean")).scalar()
+    suffixes = _shrunk(totals("suffix").withColumn("mean", corpus), "suffix", []).select("suffix", "mean")
+    domains = _shrunk(totals("suffix", "domain").join(suffixes, "suffix"), "domain", ["suffix"])
     parents = domains.select("suffix", "domain", "mean")
-    posterior = _shrunk(hosts.select("suffix", "domain", "host", "bad", "n"), parents, "host", ["suffix", "domain"])
+    posterior = _shrunk(hosts.join(parents, ["suffix", "domain"]), "host", ["suffix", "domain"])
     a, b = F.col("alpha"), F.col("beta")
     spread = z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return posterior.select("host", "mean", (F.col("mean") - spread).alias("lower"), (F.col("mean") + spread).alias("upper"))
@@ -131,7 +131,7 @@ def filter_urls(
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
-    known = reputations(outcomes, z).select("host", "mean", "lower")
+    known = reputations(stored(outcomes, "outcomes"), z).select("host", "mean", "lower")
     judged = parts.join(known, "host", "left")
     by_host = F.when(F.col("lower") > max_bad, "block").otherwise("allow")
     return judged.select(
