@@ -8,10 +8,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _JACCARD = f"""
 with recursive words as (
   select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
-    '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w from documents),
+    '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
 sets as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) end as s from words),
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) end as s from words),
 tokens as (select doc_id, unnest(s) as t from sets),
 sizes as (select doc_id, len(s) as n from sets),
 shared as (select t from tokens group by t having count(*) > 1),
