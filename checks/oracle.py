@@ -115,7 +115,7 @@ VIEWS["complete_orders"] = """
 select * from raw_orders
 where order_id is not null and customer_id is not null and product_id is not null and amount is not null"""
 VIEWS["kept_orders"] = latest(
-    "orders", ["order_id"], '"timestamp"',
+    "orders", ["order_id"], 'try_cast("timestamp" as timestamp) desc nulls last, "timestamp"',
     "order_id is not null and customer_id is not null and product_id is not null and amount is not null",
 )
 VIEWS["checked_orders"] = """
@@ -613,14 +613,14 @@ select cast("timestamp" as date) as day, {total("amount")} as revenue from compl
 where cast("timestamp" as date) = (select cast(max("timestamp") as date) from completed) group by 1"""
 
 
-def rule_revenue(source: str) -> str:
+def rule_revenue(source: str, threshold: str = "20") -> str:
     return f"""
 select 'revenue_anomaly' as rule, 'CRITICAL' as severity, 'OPEN' as status, cast(day as string) as entity,
   printf('Revenue on %s was %s, %.1f%% below the forecast of %s.', cast(day as string),
     format('{{:,}}', cast(round_even(revenue, 0) as bigint)), (predicted_revenue - revenue) / predicted_revenue * 100,
     format('{{:,}}', cast(round_even(predicted_revenue, 0) as bigint))) as message
 from last_day join {source} on day = forecast_day
-where predicted_revenue > 0 and (predicted_revenue - revenue) / predicted_revenue * 100 > 20"""
+where predicted_revenue > 0 and (predicted_revenue - revenue) / predicted_revenue * 100 > {threshold}"""
 
 
 VIEWS["rule_revenue_earlier"] = rule_revenue("earlier_forecast")
@@ -651,6 +651,7 @@ QUERIES["rule_stockout"] = "select * from rule_stockout"
 QUERIES["rule_sla"] = "select * from rule_sla"
 QUERIES["rule_revenue"] = rule_revenue("revenue_forecast")
 QUERIES["rule_revenue_earlier_forecast"] = "select * from rule_revenue_earlier"
+QUERIES["rule_revenue_any_difference"] = rule_revenue("earlier_forecast", "-1000000")
 QUERIES["rule_payments"] = "select * from rule_payments"
 QUERIES["alerts_listing"] = "select * from alerts where status = 'OPEN' and severity = 'HIGH'"
 QUERIES["alert_outbox"] = """
@@ -699,8 +700,12 @@ QUERIES["quality_assertions"] = " union all ".join(
         ("revenue_forecast", "lower_bound_80pct", "ordered",
          "(select count(*) from revenue_forecast where lower_bound_80pct > predicted_revenue or predicted_revenue > upper_bound_80pct)"),
         ("alerts", "severity", "accepted_values",
-         "(select count(*) from rule_stockout where severity not in ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL'))"),
-        ("alerts", "rule", "accepted_values", "(select count(*) from rule_stockout where rule <> 'inventory_stockout_risk')"),
+         "(select count(*) from alerts where severity not in ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL'))"),
+        ("alerts", "rule", "accepted_values",
+         "(select count(*) from alerts where rule not in ('inventory_stockout_risk', 'delivery_sla_breach', 'revenue_anomaly', 'payment_failure_rate'))"),
+        ("alerts", "entity", "not_null", "(select count(*) from alerts where entity is null)"),
+        ("alerts", "message", "not_null", "(select count(*) from alerts where message is null)"),
+        ("revenue_forecast", "predicted_revenue", "at_least", "(select count(*) from revenue_forecast where predicted_revenue < 0)"),
         ("kpi_snapshot", "domain", "required_values",
          "5 - (select count(distinct domain) from kpi_snapshot where domain in ('sales', 'customers', 'inventory', 'delivery', 'marketing'))"),
     ]

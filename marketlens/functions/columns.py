@@ -1,7 +1,8 @@
 """Money, ratio and calendar expressions. All of them stay inside code generation.
 
 Money is summed as decimal and turned into double last, so that a total does not
-depend on the order in which partitions are merged.
+depend on the order in which partitions are merged. A value keeps six decimals and twelve
+digits before them; a larger one stops the job. Sums have ten digits more.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(18,6)"
 
 
 def money(column: Column | str) -> Column:

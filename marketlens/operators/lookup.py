@@ -3,41 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Bytes of the files below a lookup side up to which it is broadcast. Compressed
-# columnar files grow by roughly an order of magnitude in memory.
-BROADCAST_INPUT_BYTES = 8 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of all inputs `df` is computed from, as known to the optimizer.
-
-    Every scan is counted with the length of its files, so for a frame that only
-    filters, projects, deduplicates or looks up, this bounds what it can hold. No
-    job is run.
-    """
+    """Size of all files `df` is computed from, as known to the optimizer. No job is run."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def small_enough(df: DataFrame, limit: int | None = None) -> bool:
-    return input_bytes(df) <= (BROADCAST_INPUT_BYTES if limit is None else limit)
-
-
-def lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    limit: int | None = None,
-) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Joins `fact` with `dim`, which must be unique on `on`.
 
-    Below the measured size limit `dim` is broadcast and `fact` stays where it is.
-    Beyond it the join is an ordinary shuffle join; a hot key of `fact` then makes
-    one large partition, which adaptive execution splits (skew join), since `dim`
-    has one row per key.
+    No side is forced: adaptive execution broadcasts `dim` when its measured size is below
+    the session's threshold. Else both sides are shuffled, and a hot key of `fact` makes one
+    large partition, which is split (skew join), since `dim` has one row per key.
     """
-    side = F.broadcast(dim) if small_enough(dim, limit) else dim
-    return fact.join(side, on, how)
+    return fact.join(dim, on, how)

@@ -18,6 +18,7 @@ from marketlens.functions.columns import as_timestamp
 from marketlens.operators.dedup import keep_one
 from marketlens.operators.lookup import lookup
 from marketlens.sources.files import ARRIVAL
+from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
 
 # Sources in the order in which they can be screened: orders refer to accepted
 # customers and products.
@@ -49,19 +50,46 @@ DROPPED_TOTAL = "rows_dropped_total"
 
 MISSING_PRICE = "missing_price"
 
+_TIME = "_time"
+
 
 def _complete(source: str) -> str:
     """Plain null checks: they reach the scan, and joins infer nothing beyond them."""
     return " and ".join(f"`{c}` is not null" for c in REQUIRED[source])
 
 
+def _numbers(source: str, raw: DataFrame) -> dict[str, str]:
+    """Number columns of a source that are stored as text, with their types."""
+    declared = field_types(SOURCE_SCHEMAS[source])
+    return {c: t for c, t in declared.items() if t in ("int", "double") and dict(raw.dtypes).get(c) == "string"}
+
+
+def readable(source: str, raw: DataFrame) -> DataFrame:
+    """`raw` with the declared numbers; text that is none becomes null."""
+    return raw.withColumns({c: F.col(c).try_cast(t) for c, t in _numbers(source, raw).items()})
+
+
+def unreadable(source: str, raw: DataFrame) -> DataFrame:
+    """Rows `(table_name, column_name, unreadable)`: values that are there but no number."""
+    counts = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias("unreadable"),
+        )
+        for c, t in _numbers(source, raw).items()
+    ]
+    found = F.array(*counts) if counts else F.array().cast("array<struct<column_name:string,unreadable:bigint>>")
+    return raw.agg(found.alias("found")).select(F.lit(f"bronze_{source}").alias("table_name"), F.inline("found"))
+
+
 def screen(source: str, raw: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:
     """Complete rows, one per key, with an empty reject reason.
 
     With an arrival column the first or last copy in file order is kept; without one
-    (tables have no file order) the copy with the largest `order` columns.
+    (tables have no file order) the copy with the largest `order` columns. Numbers that come
+    as text are read here; what is no number becomes null (see `unreadable`).
     """
-    complete = raw.filter(_complete(source))
+    complete = readable(source, raw).filter(_complete(source))
     if ARRIVAL in raw.columns:
         kept = keep_one(complete, keys, [ARRIVAL], largest=keep == "last").drop(ARRIVAL)
     else:
@@ -101,7 +129,9 @@ def screen_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) ->
     """`customers` and `products` are the accepted (silver) ones: an order of a product
     refused for its price is an orphan too. The checks run after deduplication and a
     row is charged to the first one it fails."""
-    kept = screen("orders", raw, ["order_id"], ["timestamp"])
+    # copies are ranked by the time they state; one that states none comes last
+    timed = raw.withColumn(_TIME, as_timestamp("timestamp"))
+    kept = screen("orders", timed, ["order_id"], [_TIME, "timestamp"]).drop(_TIME)
     known_customer = customers.selectExpr("customer_id", "true as _customer")
     known_product = products.selectExpr("product_id", "true as _product")
     flagged = lookup(lookup(kept, known_customer, "customer_id"), known_product, "product_id")
@@ -165,7 +195,8 @@ def counters(source: str, raw: DataFrame, screened: DataFrame) -> DataFrame:
 
     Counts of the raw and of the screened rows are stacked and added up, so neither
     waits for the other and nothing is joined."""
-    before = raw.agg(F.count(F.lit(1)).alias("total"), F.expr(f"count_if({_complete(source)}) as complete"))
+    typed = readable(source, raw)
+    before = typed.agg(F.count(F.lit(1)).alias("total"), F.expr(f"count_if({_complete(source)}) as complete"))
     after = screened.agg(
         F.count(F.lit(1)).alias("kept"),
         F.expr(f"count_if({REASON} is null) as accepted"),

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from marketlens.functions.columns import money, money_mean, money_sum, percent, percent_true, ratio
 from marketlens.operators.kpis import completed_orders
 
+# The domains of the KPI snapshot.
+DOMAINS = ["sales", "customers", "inventory", "delivery", "marketing"]
+
 # --- KPI pages ----------------------------------------------------------------------
 
 
@@ -21,10 +24,9 @@ def all_kpis(snapshot: DataFrame) -> DataFrame:
 
 def kpis_by_domain(snapshot: DataFrame, domain: str) -> DataFrame:
     """KPI rows of one domain; an unknown domain is an error."""
-    rows = snapshot.filter(F.col("domain") == domain)
-    if rows.isEmpty():
+    if domain not in DOMAINS:
         raise LookupError(f"no KPIs found for domain {domain!r}")
-    return rows.orderBy("metric", "dims")
+    return snapshot.filter(F.col("domain") == domain).orderBy("metric", "dims")
 
 
 # --- sales --------------------------------------------------------------------------

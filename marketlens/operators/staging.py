@@ -27,11 +27,18 @@ def _typed(df: DataFrame, types: Mapping[str, str], strict: bool) -> DataFrame:
     )
 
 
+def _largest(raw: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """The copy with the largest `number`, which may still be text."""
+    ranked = raw.withColumn("_rank", F.col(number).try_cast("double"))
+    return keep_one(ranked, keys, ["_rank"]).drop("_rank")
+
+
 def stg_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("order_id").isNotNull()), ["order_id"], ["timestamp"])
     types = {"timestamp": "timestamp_ntz", "quantity": "int", "amount": "double"}
     return (
-        _typed(latest.filter("amount >= 0"), types, strict)
+        _typed(latest, types, strict)
+        .filter("amount >= 0")
         .withColumnRenamed("timestamp", "order_ts")
         .select("order_id", "customer_id", "product_id", "warehouse_id", "order_ts", "quantity", "amount", "status")
     )
@@ -45,9 +52,10 @@ def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stg_products(raw: DataFrame, strict: bool = True) -> DataFrame:
-    latest = keep_one(raw.filter(F.col("product_id").isNotNull()), ["product_id"], ["selling_price"])
+    latest = _largest(raw.filter(F.col("product_id").isNotNull()), ["product_id"], "selling_price")
     return (
-        _typed(latest.filter("selling_price > 0"), {"cost": "double", "selling_price": "double"}, strict)
+        _typed(latest, {"cost": "double", "selling_price": "double"}, strict)
+        .filter("selling_price > 0")
         .select("product_id", "category", "brand", "cost", "selling_price", "supplier_id")
     )
 
@@ -61,7 +69,8 @@ def stg_inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
         "updated_at": "timestamp_ntz",
     }
     return (
-        _typed(latest.filter("available_qty >= 0 and reserved_qty >= 0"), types, strict)
+        _typed(latest, types, strict)
+        .filter("available_qty >= 0 and reserved_qty >= 0")
         .select("warehouse_id", "product_id", "available_qty", "reserved_qty", "reorder_level", "updated_at")
     )
 
@@ -86,7 +95,7 @@ def stg_support(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stg_marketing(raw: DataFrame, strict: bool = True) -> DataFrame:
-    latest = keep_one(raw, ["date", "channel", "campaign_id"], ["spend"])
+    latest = _largest(raw, ["date", "channel", "campaign_id"], "spend")
     types = {"date": "date", "spend": "double", "impressions": "int", "clicks": "int", "conversions": "int"}
     return (
         _typed(latest, types, strict)

@@ -2,8 +2,8 @@
 
     python -m marketlens.plans.batch <folder with the source files> <output folder>
 
-A stage that fails stops the run. Every stage but the alert history replaces its
-tables, so a run can be repeated, and each stage can be run alone on stored input.
+A stage that fails stops the run. Every stage replaces its tables, the alert history the
+part of the run, so a run can be repeated, and each stage can be run alone on stored input.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import logging
 import sys
 from collections.abc import Mapping
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from marketlens.plans.warehouse import Warehouse
 from marketlens.session import build_session, size_shuffles
 from marketlens.sources.files import path_exists, read_sources
 from marketlens.sources.schemas import ALERTS
-from marketlens.sources.sinks import append_table, ensure_table, replace_table
+from marketlens.sources.sinks import ensure_table, replace_table
 
 log = logging.getLogger(__name__)
 
@@ -76,6 +77,8 @@ class BatchRun:
         raw = {name: self.read("bronze", name) for name in names}
         report = quality.dq_report(raw, {name: self.read("silver", name) for name in names})
         self.replace(report, "silver", "dq_report")
+        counts = reduce(DataFrame.unionByName, [quality.unreadable(name, raw[name]) for name in names])
+        self.replace(counts, "silver", "unreadable_numbers")
 
     def accepted(self, name: str) -> DataFrame:
         """Accepted rows of a stored source; the refused ones are pruned as a partition."""
@@ -97,13 +100,13 @@ class BatchRun:
         return Warehouse.over_stored({n: self.read("gold", n).drop(MONTH) for n in GOLD_TABLES})
 
     def staged_marts(self, strict: bool = True) -> None:
-        """The staged variant of the star schema from the stored bronze tables. Staging
-        and intermediate frames stay lazy; only the marts are stored."""
-        stg = {
-            name: getattr(staging, f"stg_{name}")(self.read("bronze", name), strict=strict)
-            for name in quality.SOURCES
-            if name != "support"
-        }
+        """The staged variant of the star schema from the stored bronze tables. Staging is
+        stored once, since several marts read it."""
+        stg = {}
+        for name in quality.SOURCES:
+            if name != "support":
+                self.replace(getattr(staging, f"stg_{name}")(self.read("bronze", name), strict=strict), "staging", name)
+                stg[name] = self.read("staging", name)
         enriched = model.orders_enriched(stg["orders"], stg["products"], stg["customers"])
         marts = {
             "dim_customer": model.dim_customer(stg["customers"]),
@@ -136,7 +139,8 @@ class BatchRun:
         self.replace(rows, "serving", "revenue_forecast")
 
     def alerts(self, live_metrics: DataFrame | None = None) -> None:
-        """New alerts are added to the history; their messages go to the outbox of the run."""
+        """The run's alerts become its part of the history, replacing what an earlier attempt
+        of the same run left; their messages go to the outbox of the run."""
         gold = self.stored_gold()
         found = [
             gold.stockout_alerts,
@@ -148,7 +152,7 @@ class BatchRun:
         self.replace(rules.numbered(rules.all_alerts(found), self.run_ts), "serving", "new_alerts")
         new = self.read("serving", "new_alerts")
         ensure_table(self.spark, self.path("serving", "alerts"), ALERTS)
-        append_table(new, self.path("serving", "alerts"))
+        replace_table(new, f"{self.path('serving', 'alerts')}/run={int(self.run_ts.timestamp())}")
         self.replace(rules.outbox(new), "serving", "alert_outbox")
 
 

@@ -71,8 +71,10 @@ _over_warehouse("orphan_customers_in_orders")(
 _over_warehouse("expectation_report")(lambda w: expectations.schema_checks(w.gold()))
 
 
-@_over_warehouse("quality_assertions")
-def _assertions(w: Warehouse) -> DataFrame:
+@_over_tables
+def quality_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse.over_test_tables(spark, sf_dir)
+    alerts = _alerts(spark, sf_dir)
     parts = [expectations.expect_rows(w.silver(n), f"silver_{n}") for n in w.sources]
     parts += [
         expectations.expect_at_least(w.fact_orders, "fact_orders", "amount", 0),
@@ -82,8 +84,10 @@ def _assertions(w: Warehouse) -> DataFrame:
             "revenue_forecast",
             ["lower_bound_80pct", "predicted_revenue", "upper_bound_80pct"],
         ),
-        expectations.expect_in(w.stockout_alerts, "alerts", "severity", rules.SEVERITIES),
-        expectations.expect_in(w.stockout_alerts, "alerts", "rule", rules.RULES),
+        expectations.expect_at_least(w.revenue_forecast, "revenue_forecast", "predicted_revenue", 0),
+        expectations.expect_in(alerts, "alerts", "severity", rules.SEVERITIES),
+        expectations.expect_in(alerts, "alerts", "rule", rules.RULES),
+        expectations.expect_not_null(alerts, "alerts", ["entity", "message"]),
         expectations.expect_present(
             w.kpi_snapshot, "kpi_snapshot", "domain", ["sales", "customers", "inventory", "delivery", "marketing"]
         ),
@@ -209,6 +213,10 @@ _over_warehouse("rule_revenue")(lambda w: rules.revenue_alerts(w.daily_revenue,
 _over_warehouse("rule_revenue_earlier_forecast")(
     lambda w: rules.revenue_alerts(w.daily_revenue, w.earlier_forecast())
 )
+# a threshold below any difference, so that the last day is always reported
+_over_warehouse("rule_revenue_any_difference")(
+    lambda w: rules.revenue_alerts(w.daily_revenue, w.earlier_forecast(), threshold=-1e6)
+)
 
 
 @_over_tables

@@ -12,6 +12,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key also where that costs the next step a shuffle of its own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -43,11 +45,14 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int =
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, named by `spark.checkpoint.dir`.
 
-    Only where the session names none (single-machine tests) is a local one made
-    and set, so that later calls find the same folder.
+    Only where the session names none and runs on a single machine is a local one made
+    and set, so that later calls find the same folder; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="marketlens-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.sources.schemas import SOURCE_SCHEMAS
+from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
 
 log = logging.getLogger(__name__)
 
@@ -23,16 +23,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
-def read_source(spark: SparkSession, name: str, path: str, run_ts: datetime | None = None) -> DataFrame:
-    """One source as a bronze frame: declared schema plus ingestion metadata.
+def read_source(
+    spark: SparkSession, name: str, path: str, run_ts: datetime | None = None, multi_line: bool = False
+) -> DataFrame:
+    """One source as a bronze frame: the declared columns as text, plus ingestion metadata.
 
+    Columns are found by the names in the header, in any order, others are left out; a
+    missing one is an error, and so is a file whose header differs from the others'. Quotes
+    inside quoted text are doubled. With `multi_line` quoted text may hold line ends, but a
+    file is then read by one task. Numbers and times are read by the layers that follow.
     `_arrival` is the position of the row in its file (file, block, row within the
     block), so that "first" and "last" copies stay defined on a splittable scan.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
-    rows = spark.read.csv(path, schema=SOURCE_SCHEMAS[name], header=True, mode="PERMISSIVE")
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    wanted = list(field_types(SOURCE_SCHEMAS[name]))
+    if missing := [c for c in wanted if c not in header]:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    schema = ", ".join(f"`{c}` string" for c in header)
+    rows = spark.read.options(**options, enforceSchema=False).csv(path, schema=schema)
     return rows.select(
-        "*",
+        *wanted,
         F.lit(run_ts).alias("_ingested_at"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.struct(

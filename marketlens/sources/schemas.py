@@ -59,13 +59,6 @@ ALERTS = (
     "alert_id string, rule string, severity string, status string, entity string, message string, "
     "created_at timestamp, notified boolean"
 )
-EXPLANATIONS = (
-    "day date, revenue double, baseline_avg_revenue double, explanation string, recommended_action string"
-)
-FORECAST = (
-    "forecast_day date, predicted_revenue double, lower_bound_80pct double, upper_bound_80pct double"
-)
-STATUS_EVENTS = ("alert_id string, status string, changed_at timestamp_ntz")
 
 
 def field_types(ddl: str) -> dict[str, str]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlens.functions.columns import money
+from marketlens.sources.files import path_exists
 from marketlens.sources.schemas import TOPICS
 from marketlens.streaming.records import of_type
 
@@ -20,6 +21,8 @@ LIVE_TABLES = {
     "delivery_update": "live_delivery_stream",
     "inventory_adjustment": "live_inventory_stream",
 }
+# Events of unknown type, and records that could not be read.
+UNROUTED = "live_unrouted"
 METRICS = [
     "live_revenue_total",
     "live_orders_total",
@@ -31,6 +34,30 @@ METRICS = [
 
 # Number of complete results kept by the totals sink before the oldest is replaced.
 _SLOTS = 16
+_QUERY = "query"
+
+
+def _query_id(batch: DataFrame) -> str:
+    """Id of the streaming query a batch belongs to; kept in its checkpoint over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def owners(spark: SparkSession, path: str) -> set[str]:
+    """Ids of the queries that have written below `path`."""
+    if not path_exists(spark, f"{path}/{_QUERY}=*"):
+        return set()
+    rows = spark.read.parquet(path).select(F.col(_QUERY).cast("string")).distinct()
+    return {r[0] for r in rows.collect()}
+
+
+def _check_owner(spark: SparkSession, path: str, checkpoint: str, replace: bool) -> None:
+    """A table written by a query of another checkpoint is not touched unless told so."""
+    known = owners(spark, path)
+    own = None
+    if path_exists(spark, f"{checkpoint}/metadata"):
+        own = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    if known and own not in known and not replace:
+        raise ValueError(f"{path} belongs to another streaming query; pass replace=True to take it over")
 
 
 def _increments() -> dict[str, Column]:
@@ -67,49 +94,71 @@ def running_totals(events: DataFrame) -> DataFrame:
 
 
 def _write_totals(path: str) -> Callable[[DataFrame, int], None]:
-    """A batch replaces the slot of its number, so a repeated batch changes nothing."""
+    """A batch replaces the slot of its query and number, so a repeated one changes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumns(
             {"updated_at": F.current_timestamp(), "batch_id": F.lit(batch_id).cast("bigint")}
         )
-        stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % _SLOTS}")
+        target = f"{path}/{_QUERY}={_query_id(batch)}/slot={batch_id % _SLOTS}"
+        stamped.coalesce(1).write.mode("overwrite").parquet(target)
 
     return write
 
 
-def start_totals(events: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Keeps the totals table at `path`: until the input is used up, or every `interval`."""
+def start_totals(
+    events: DataFrame, path: str, checkpoint: str, interval: str | None = None, replace: bool = False
+) -> StreamingQuery:
+    """Keeps the totals table at `path`: until the input is used up, or every `interval`.
+
+    Totals belong to the query that made them. A new checkpoint is a new query, which starts
+    from nothing; it takes over an existing table only with `replace`.
+    """
+    _check_owner(events.sparkSession, path, checkpoint, replace)
     writer = running_totals(events).writeStream.outputMode("complete").foreachBatch(_write_totals(path))
     return _start(writer, checkpoint, interval)
 
 
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
-    """Latest value per metric."""
+    """Latest value per metric, of the query that wrote last."""
+    rows = spark.read.parquet(path)
+    newest = rows.agg(F.max_by(_QUERY, "updated_at")).scalar()
     latest = F.max_by(F.struct("metric_value", "updated_at"), "batch_id").alias("_last")
-    return spark.read.parquet(path).groupBy("metric_key").agg(latest).select("metric_key", "_last.*")
+    return rows.filter(F.col(_QUERY) == newest).groupBy("metric_key").agg(latest).select("metric_key", "_last.*")
 
 
 def _write_events(path: str) -> Callable[[DataFrame, int], None]:
-    """Each event type goes to its table, in a folder named by the batch."""
+    """One write per batch, partitioned by table, below a folder named by query and batch."""
+    tables = F.lit(UNROUTED)
+    for event_type, table in LIVE_TABLES.items():
+        tables = F.when(F.col("event_type") == event_type, table).otherwise(tables)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        for event_type, table in LIVE_TABLES.items():
-            of_type(batch, event_type).write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id}")
-        batch.unpersist()
+        target = f"{path}/{_QUERY}={_query_id(batch)}/batch_id={batch_id}"
+        batch.withColumn("table", tables).write.mode("overwrite").partitionBy("table").parquet(target)
 
     return write
 
 
 def start_event_tables(events: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Keeps the four raw event tables below `path`."""
+    """Keeps the four raw event tables, and the unrouted events, below `path`.
+
+    Batches of another query stay beside those of this one: two checkpoints over one feed
+    hold its events twice, nothing is replaced.
+    """
     writer = events.writeStream.outputMode("append").foreachBatch(_write_events(path))
     return _start(writer, checkpoint, interval)
 
 
 def read_events(spark: SparkSession, path: str, event_type: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{LIVE_TABLES[event_type]}").drop("batch_id")
+    """Events of one type with the columns of its table; other tables are pruned."""
+    rows = spark.read.parquet(path).filter(F.col("table") == LIVE_TABLES[event_type])
+    return of_type(rows, event_type)
+
+
+def read_unrouted(spark: SparkSession, path: str) -> DataFrame:
+    """Key and type of the events that belong to no table."""
+    return spark.read.parquet(path).filter(F.col("table") == UNROUTED).select("key", "event_type")
 
 
 def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:

@@ -1,12 +1,14 @@
 """The batch run over source files, and what must hold for the stored tables."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators import expectations, kpis, reports, rules
-from marketlens.plans.batch import GOLD_TABLES, run_all
+from marketlens.functions.columns import money_sum
+from marketlens.operators import expectations, kpis, quality, reports, rules, staging
+from marketlens.plans.batch import GOLD_TABLES, BatchRun, run_all
 from marketlens.sources import testtables
 from marketlens.sources.files import read_source, read_sources, register_views
 from marketlens.sources.schemas import ALERTS, SOURCE_SCHEMAS, field_types
@@ -106,7 +108,7 @@ def test_anomalies_and_forecast_are_stored(run):
     assert failures(expectations.expect_ordered(ahead, "forecast", bounds)) == {}
 
 
-def test_alerts_accumulate_and_use_known_values(spark, run):
+def test_alerts_accumulate_by_run_and_use_known_values(spark, run):
     alerts = run.read("serving", "alerts")
     before = alerts.count()
     assert before > 0
@@ -114,11 +116,38 @@ def test_alerts_accumulate_and_use_known_values(spark, run):
     assert failures(expectations.expect_in(alerts, "alerts", "rule", rules.RULES)) == {}
     assert {r[0] for r in alerts.select("rule").distinct().collect()} >= {"payment_failure_rate", "delivery_sla_breach"}
     run.alerts()
-    assert run.read("serving", "alerts").count() > before
+    repeated = run.read("serving", "alerts").count()
+    run.alerts()
+    assert run.read("serving", "alerts").count() == repeated
+    later = BatchRun(spark, run.out_dir, RUN_TS + timedelta(days=1))
+    later.alerts()
+    assert run.read("serving", "alerts").count() == 2 * repeated
+
+
+def test_columns_are_found_by_name_and_quotes_are_doubled(spark, folder):
+    text = 'brand,supplier_id,product_id,category,selling_price,cost,extra\n"say ""hi"", all",S1,P1,c,12.5x,7.25,z\n'
+    (Path(folder).mkdir(), (Path(folder) / "products.csv").write_text(text))
+    raw = read_source(spark, "products", f"{folder}/products.csv")
+    row = raw.first()
+    assert (row["brand"], row["category"], row["cost"], row["selling_price"]) == ('say "hi", all', "c", "7.25", "12.5x")
+    found = {(r["column_name"], r["unreadable"]) for r in quality.unreadable("products", raw).collect()}
+    assert found == {("cost", 0), ("selling_price", 1)}
+    assert quality.screen_products(raw).first()[quality.REASON] == quality.MISSING_PRICE
+    with pytest.raises(Exception, match="12.5x"):
+        staging.stg_products(raw).collect()
+    (Path(folder) / "products.csv").write_text("product_id,cost\nP1,2\n")
+    with pytest.raises(ValueError, match="category"):
+        read_source(spark, "products", f"{folder}/products.csv")
+
+
+def test_values_below_a_cent_are_added_whole(spark):
+    rows = spark.range(1000).selectExpr("0.0004D as amount")
+    assert rows.agg(money_sum("amount")).first()[0] == 0.4
 
 
 def test_missing_source_is_skipped(spark, csv_folder, folder):
-    read_source(spark, "support", f"{csv_folder}/support.csv").select("ticket_id").write.csv(f"{folder}/support.csv")
+    columns = list(field_types(SOURCE_SCHEMAS["support"]))
+    read_source(spark, "support", f"{csv_folder}/support.csv").select(columns).write.csv(f"{folder}/support.csv", header=True)
     assert set(read_sources(spark, folder)) == {"support"}
 
 

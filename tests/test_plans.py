@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from marketlens.operators import kpis, lookup, model, quality, reports
+from marketlens.operators import kpis, model, quality, reports
 from marketlens.plans.warehouse import Warehouse
 
 
@@ -70,24 +70,51 @@ def test_no_query_multiplies_rows(spark, sf_dir):
         assert "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_lookup_side_beyond_the_limit_is_shuffled_with_the_same_result(spark, sf_dir, conf, monkeypatch):
+def test_lookup_side_beyond_the_limit_is_shuffled_with_the_same_result(spark, sf_dir, conf):
     w = Warehouse.over_test_tables(spark, sf_dir)
     expected = sorted(map(tuple, w.fact_orders.collect()))
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(lookup, "BROADCAST_INPUT_BYTES", 0)
     facts = Warehouse.over_test_tables(spark, sf_dir).fact_orders
     assert sorted(map(tuple, facts.collect())) == expected
     assert "BroadcastHashJoin" not in executed(facts)
 
 
-def test_hot_key_of_a_large_lookup_is_split(spark, conf, monkeypatch):
+def hot_orders(spark):
+    """Every third order is of product 0, and every third of customer -1 or none."""
+    return spark.range(300_000, numPartitions=8).selectExpr(
+        "cast(id as string) as order_id", "if(id % 3 = 1, if(id % 2 = 0, null, -1), id % 7000) as customer_id",
+        "if(id % 3 = 0, 0, id % 5000) as product_id", "'W' as warehouse_id",
+        "timestamp_ntz '2025-01-01 00:00:00' as timestamp", "1 as quantity", "1D as amount", "'completed' as status",
+    )
+
+
+def without_broadcasts(conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64kb")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64kb")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+
+
+def test_hot_keys_are_split_in_the_whole_chain(spark, conf):
+    without_broadcasts(conf)
+    products = spark.range(5000).selectExpr("id as product_id", "0.5D as cost", "'c' as category", "'b' as brand")
+    customers = spark.range(7000).selectExpr("id as customer_id", "'x' as city", "'y' as state", "'z' as segment")
+    screened = quality.accepted(quality.screen_orders(hot_orders(spark), customers, products))
+    by_product = model.fact_orders(screened, products).groupBy("product_key").agg(F.sum("cost_total").alias("cost"))
+    plan = executed(by_product)
+    assert plan.count("skew=true") >= 2
+    # a third of all, and twenty of the others
+    assert by_product.filter("product_key = 0").first()["cost"] == 50_010.0
+
+
+def test_hot_key_of_a_large_lookup_is_split(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64kb")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64kb")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    monkeypatch.setattr(lookup, "BROADCAST_INPUT_BYTES", 0)
     rows = spark.range(300_000, numPartitions=8)
     # every third order is of product 0
     orders = rows.selectExpr(
