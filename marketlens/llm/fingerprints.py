@@ -151,11 +151,13 @@ def edited_fingerprints(docs: DataFrame, places: int = PLACES, range_bytes: int
                 {
                     "doc_id": pa.array([a[2] for a, _ in pairs], pa.int64()),
                     "n_chars": pa.array([len(a[3]) for a, _ in pairs], pa.int64()),
-                    "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-                    "fingerprint": [a[4].tobytes().hex() for a, _ in pairs],
-                    "edited_fingerprint": [s.tobytes().hex() for s in others],
-                    "near_edited": [likeness(a[4], s) for (a, _), s in zip(pairs, others, strict=True)],
-                    "near_next": [likeness(a[4], b[4]) for a, b in pairs],
+                    "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
+                    "fingerprint": pa.array([a[4].tobytes().hex() for a, _ in pairs], pa.string()),
+                    "edited_fingerprint": pa.array([s.tobytes().hex() for s in others], pa.string()),
+                    "near_edited": pa.array(
+                        [likeness(a[4], s) for (a, _), s in zip(pairs, others, strict=True)], pa.float64()
+                    ),
+                    "near_next": pa.array([likeness(a[4], b[4]) for a, b in pairs], pa.float64()),
                 }
             )
 

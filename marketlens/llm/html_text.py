@@ -267,9 +267,9 @@ def main_text(html: str, chosen: set[str]) -> str:
 def _batch_rows(counts: dict[tuple[str, str], dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
-            "host": [h for h, _ in counts],
-            "expression": [e for _, e in counts],
-            "slots": [json.dumps(s) for s in counts.values()],
+            "host": pa.array([h for h, _ in counts], pa.string()),
+            "expression": pa.array([e for _, e in counts], pa.string()),
+            "slots": pa.array([json.dumps(s) for s in counts.values()], pa.string()),
         }
     )
 

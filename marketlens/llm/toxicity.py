@@ -188,15 +188,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
             for text, label in zip(_texts(batch), batch.column("toxic").to_pylist(), strict=True):
                 words = set(_WORD.findall(text.lower()))
                 (hits if label else misses).update({f for w in words for f in features(w)})
-            names = [f for f in hits]
-            yield pa.RecordBatch.from_pydict(
-                {"feature": names, "hits": [hits[f] for f in names], "misses": [misses[f] for f in names]}
-            )
-            names = [f for f in misses if f not in hits]
+            names = [*hits, *(f for f in misses if f not in hits)]
             for at in range(0, len(names), 200_000):
                 part = names[at : at + 200_000]
-                yield pa.RecordBatch.from_pydict(
-                    {"feature": part, "hits": [0] * len(part), "misses": [misses[f] for f in part]}
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part, pa.string()),
+                        pa.array([hits[f] for f in part], pa.int64()),
+                        pa.array([misses[f] for f in part], pa.int64()),
+                    ],
+                    names=["feature", "hits", "misses"],
                 )
 
     counts = rows.mapInArrow(count, "feature string, hits long, misses long").groupBy("feature")
