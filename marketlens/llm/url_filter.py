@@ -115,7 +115,11 @@ def labelled_pages(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> Data
     for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&amp;", "&")):
         title = F.replace(title, F.lit(code), F.lit(char))
     shown = pages.select(host_of(F.col("url")).alias("host"), F.trim(title).alias("title")).where("title <> ''")
-    return shown.join(titled, "title").groupBy("host").agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
+    # pages of one host and title are counted before the join, so a common title is no hot key
+    shown = shown.groupBy("title", "host").agg(F.count("*").alias("n"))
+    return shown.join(titled, "title").groupBy("host").agg(
+        F.sum(F.col("bad") * F.col("n")).alias("bad"), F.sum("n").alias("n")
+    )
 
 
 def filter_urls(

@@ -207,6 +207,15 @@ def test_hosts_paths_and_rules(spark):
     assert url_filter.filter_urls(rows.limit(0), nothing).count() == 0
 
 
+def test_pages_get_the_outcome_of_their_document(spark):
+    docs = spark.createDataFrame([(1, "Bad & ugly\nmore"), (2, "Good\nx"), (3, "Good"), (4, None), (5, "x" * 70)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 1, None), (4, 0, 0), (5, 1, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    titles = ["Bad &amp; ugly", "Bad &amp; ugly", "Good", "x" * 60, "none", ""]
+    rows = [(i, f"http://h{i % 2}.com/", f"<title>{t}</title>") for i, t in enumerate(titles)] + [(9, None, None)]
+    got = url_filter.labelled_pages(pages(spark, rows), docs, labels).collect()
+    assert {r.host: (r.bad, r.n) for r in got} == {"h0.com": (1, 2), "h1.com": (2, 2)}
+
+
 def test_reputation_shrinks_towards_the_level_above(spark):
     outcomes = [(f"h{i}.bad.com", 19, 20) for i in range(8)] + [(f"h{i}.good.com", 1, 20) for i in range(8)]
     outcomes += [("new.bad.com", 0, 1), ("new.good.com", 1, 1), ("x.co.uk", 3, 6)]
