@@ -14,8 +14,9 @@ from __future__ import annotations
 import html as references
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,7 @@ BLOCKS = frozenset(
     "select summary table tbody td tfoot th thead title tr ul".split()
 )
 RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "title", "object", "xmp")
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>|</{name}\Z", re.I) for name in RAW}
 VOID = frozenset("hr br img input meta link col area base embed source track wbr".split())
 # an opening tag on the left ends an open element on the right
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -51,10 +53,19 @@ _PIECE = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_SPACE = re.compile(r"\s+")
 _NUMBER = re.compile(r"\d+")
 
 
+def _label(name: str, rest: str) -> str:
+    """The element with its classes, id and role, numbers in these made equal."""
+    if not rest:
+        return name
+    label = [name]
+    for key, *values in _ATTRIBUTE.findall(rest):
+        label += [("." if key.lower() == "class" else "@") + w for w in _NUMBER.sub("0", "".join(values)).lower().split()]
+    return "".join(label)
+
+
 def blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
     """("<", path, "") at a block's begin, (">", path, "") at its end, ("#", path, text) for
     text directly in the block at `path`. Missing end tags are supplied."""
@@ -63,8 +74,9 @@ def blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
     held: list[str] = []
 
     def text() -> Iterator[tuple[str, tuple[str, ...], str]]:
-        joined = _SPACE.sub(" ", references.unescape("".join(held))).strip()
+        joined = "".join(held)
         held.clear()
+        joined = " ".join((references.unescape(joined) if "&" in joined else joined).split())
         if joined:
             yield "#", tuple(path), joined
 
@@ -88,7 +100,7 @@ def blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
                 held.append(found[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         if name in RAW and not found["end"]:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>|</{name}\Z", re.I).search(html, at)
+            end = _RAW_ENDS[name].search(html, at)
             at = end.end() if end else len(html)
             continue
         if name == "br":
@@ -106,10 +118,7 @@ def blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
         ends = CLOSES.get(name, ())
         while names and names[-1] in ends:
             yield from close(1)
-        label = [name]
-        for key, *values in _ATTRIBUTE.findall(found["rest"] or ""):
-            label += [("." if key.lower() == "class" else "@") + w for w in _NUMBER.sub("0", "".join(values)).lower().split()]
-        path.append("".join(label))
+        path.append(_label(name, found["rest"]))
         names.append(name)
         yield "<", tuple(path), ""
         if name in VOID:
@@ -128,47 +137,72 @@ def _key(item) -> str:
     return json.dumps(item[1] if isinstance(item, list) else [item])
 
 
-def fold(items: list, longest: int = 12) -> list:
+def fold(items: list, key: Callable, repeated: Callable, longest: int = 12) -> list:
     """Adjacent equal groups of up to `longest` items become one repeated group."""
-    for size in range(1, longest + 1):
-        keys = [_key(i) for i in items]
+    keys = [key(i) for i in items]
+    size = 1
+    while size <= longest and 2 * size <= len(items) and len(set(keys)) < len(keys):
         out: list = []
+        made: list[str] = []
         at = 0
         while at < len(items):
-            turns = 1
-            while keys[at : at + size] == keys[at + turns * size : at + (turns + 1) * size] and len(keys[at : at + size]) == size:
+            group, turns = keys[at : at + size], 1
+            while len(group) == size and keys[at + turns * size : at + (turns + 1) * size] == group:
                 turns += 1
-            if turns > 1:
-                group = items[at : at + size]
-                out.append(group[0] if size == 1 and isinstance(group[0], list) and group[0][0] == "+" else ["+", group])
-                at += turns * size
-            else:
-                out.append(items[at])
-                at += 1
-        items = out
+            item = repeated(items[at : at + size]) if turns > 1 else items[at]
+            out.append(item)
+            made.append(key(item) if turns > 1 else keys[at])
+            at += turns * size if turns > 1 else 1
+        items, keys = out, made
+        size += 1
     return items
 
 
-def stream(html: str) -> list[str]:
+def _again(group: list):
+    if len(group) == 1 and isinstance(group[0], list) and group[0][0] == "+":
+        return group[0]
+    return ["+", group]
+
+
+def stream(events: Iterable[tuple]) -> list[str]:
     """Tokens of a page: `<label`, `>`, `#`."""
-    return [mark + path[-1] if mark == "<" else mark if mark == ">" else "#" for mark, path, _ in blocks(html)]
-
-
-def folded(html: str) -> list:
-    """The page's own expression: elements as groups, so that equal siblings fold."""
-    stack: list[list] = [[]]
-    for token in stream(html):
-        if token.startswith("<"):
-            stack.append([token])
-        elif token == ">" and len(stack) > 1:
-            done = stack.pop()
-            stack[-1].append(["1", fold([*done, ">"])])
+    return [mark + path[-1] if mark == "<" else mark for mark, path, _ in events]
+
+
+def _again_text(group: list[tuple[str, str]]) -> tuple[str, str]:
+    if len(group) == 1 and group[0][1].startswith('["+"'):
+        return group[0]
+    body = f"[{','.join(text for _, text in group)}]"
+    return group[0][0] if len(group) == 1 else body, f'["+",{body}]'
+
+
+def folded(events: Iterable[tuple]) -> str:
+    """The page's own expression as JSON: elements as groups, so that equal siblings fold.
+
+    Items are pairs of what they are compared by and their text, so no group is spelled twice.
+    """
+    stack: list[list[tuple[str, str]]] = [[]]
+
+    def close() -> None:
+        items = fold([*stack.pop(), _END], _first, _again_text)
+        text = f'["1",[{",".join(text for _, text in items)}]]'
+        stack[-1].append((text, text))
+
+    for token in stream(events):
+        if token[0] == "<":
+            text = json.dumps(token)
+            stack.append([(text, text)])
+        elif token == ">":
+            close()
         else:
-            stack[-1].append("#")
+            stack[-1].append(_SLOT)
     while len(stack) > 1:
-        done = stack.pop()
-        stack[-1].append(["1", [*done, ">"]])
-    return fold(stack[0])
+        close()
+    return f"[{','.join(text for _, text in fold(stack[0], _first, _again_text))}]"
+
+
+_END, _SLOT = ('">"', '">"'), ('"#"', '"#"')
+_first = itemgetter(0)
 
 
 def align(left: list, right: list) -> list:
@@ -190,7 +224,7 @@ def align(left: list, right: list) -> list:
                 out[-1] = out[-1] if isinstance(out[-1], list) and out[-1][0] == "+" else ["+", [out[-1]]]
             else:
                 out.append(item if isinstance(item, list) and item[0] == "?" else ["?", [item]])
-    return fold(out)
+    return fold(out, _key, _again)
 
 
 def _merged(x, y):
@@ -205,10 +239,10 @@ def _merged(x, y):
     return [x[0], align(x[1], y[1])]
 
 
-def slots(html: str) -> dict[str, list]:
+def slots(events: Iterable[tuple]) -> dict[str, list]:
     """Per path with text: [pages, characters, the text's digest or null once it varies]."""
     found: dict[str, list] = {}
-    for mark, path, text in blocks(html):
+    for mark, path, text in events:
         if mark == "#":
             seen = found.setdefault("/".join(path), [1, 0, None])
             seen[1] += len(text)
@@ -282,8 +316,8 @@ def wrappers(pages: DataFrame, parts: int = 32) -> DataFrame:
         for batch in batches:
             counts: dict[tuple[str, str], dict] = {}
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                html = html or ""
-                merge_slots(counts.setdefault((host, json.dumps(folded(html))), {}), slots(html))
+                events = list(blocks(html or ""))
+                merge_slots(counts.setdefault((host, folded(events)), {}), slots(events))
             yield _batch_rows(counts)
 
     def merge(table: pa.Table) -> pa.Table:
