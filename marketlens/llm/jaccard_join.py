@@ -29,13 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.components import components
-from marketlens.llm.shingles import shingle_sets
+from marketlens.llm.shingles import shingle_sets, text_chunks
 from marketlens.session import stored
 
-# rows of the first exchange: a batch's documents, its own shared shingles, singles of a bucket
-_DOCS, _SHARED, _SINGLE = 0, 1, 2
+# rows of the exchanges: a batch's documents, shingles known to be shared, shingles that ask
+_DOCS, _SHARED, _ASKED = 0, 1, 2
 _PACKED = "kind int, bucket long, batch long, tokens binary, places binary, extra binary"
+_NAMES = ["kind", "bucket", "batch", "tokens", "places", "extra"]
+_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 BUCKET_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
+_NOBODY = 65535  # the place of a shingle that asks without waiting for an answer
 BLOCK = 1024
 
 
@@ -44,89 +48,130 @@ def required(size: np.ndarray | int, percent: int):
     return -(-size * percent // 100)
 
 
+def _packed_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
+
+
+def _planes(tokens: np.ndarray) -> bytes:
+    """Seven bytes of each number, byte by byte: the bucket tells the eighth, and the upper
+    ones of sorted numbers compress well."""
+    return tokens.view(np.uint8).reshape(-1, 8)[:, :7].T.tobytes()
+
+
+def _from_planes(data: bytes, top: int) -> np.ndarray:
+    out = np.full((len(data) // 7, 8), top, dtype=np.uint8)
+    out[:, :7] = np.frombuffer(data, dtype=np.uint8).reshape(7, -1).T
+    return out.reshape(-1).view(np.uint64)
+
+
+def _asked(tokens: np.ndarray, places: np.ndarray, batch: int, bits: int) -> list[tuple]:
+    """Sorted shingles as rows by bucket, the upper `bits` bits."""
+    bucket = (tokens >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(tokens)]))
+    places = places.astype(np.uint16)
+    return [
+        (_ASKED, int(bucket[lo]), batch, _planes(tokens[lo:hi]), places[lo:hi].tobytes(), None)
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+        if hi > lo
+    ]
+
+
+def _bucket_bits(volume: int | None) -> int:
+    return max(8, math.ceil(math.log2(max(1, (volume or 0) / BUCKET_BYTES))))
+
+
+def _answered(table: pa.Table, bits: int, numbered: bool) -> pa.Table:
+    """For a bucket: its shingles found in several batches or places, back to these batches;
+    with how often each occurs if `numbered`. Rows of other kinds pass."""
+    if table.column("kind")[0].as_py() != _ASKED:
+        return table
+    top = table.column("bucket")[0].as_py() >> (bits - 8)
+    parts = [_from_planes(x, top) for x in table.column("tokens").to_pylist()]
+    tokens = np.concatenate(parts)
+    places = np.frombuffer(b"".join(table.column("places").to_pylist()), dtype=np.uint16)
+    batch = np.repeat(table.column("batch").to_numpy(), [len(x) for x in parts])
+    order = np.argsort(tokens, kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], np.diff(tokens[order]) != 0)))
+    often = np.diff(np.concatenate((first, [len(order)])))
+    count = np.empty(len(order), dtype=np.uint32)
+    count[order] = np.repeat(often, often)
+    chosen = np.flatnonzero((count > 1) & (places != _NOBODY))
+    chosen = chosen[np.argsort(batch[chosen], kind="stable")]
+    tokens, places, batch, count = tokens[chosen], places[chosen], batch[chosen], count[chosen]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(batch)) + 1, [len(batch)]))
+    rows = [
+        (
+            _SHARED, -1 - int(batch[lo]), int(batch[lo]), tokens[lo:hi].tobytes(), places[lo:hi].tobytes(),
+            count[lo:hi].tobytes() if numbered else None,
+        )
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+        if hi > lo
+    ]
+    return pa.Table.from_batches([_packed_rows(rows)])
+
+
+def _gathered(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray, list[int]]:
+    """Of a batch's rows: where its documents are, shared shingles and their places, and the
+    rows these come from."""
+    kind = table.column("kind").to_numpy()
+    at = int(np.flatnonzero(kind == _DOCS)[0])
+    more = [i for i in range(len(kind)) if i != at]
+    tokens, places = table.column("tokens").take(pa.array(more, pa.int64())), table.column("places").take(pa.array(more, pa.int64()))
+    found = np.frombuffer(b"".join(tokens.to_pylist()), dtype=np.uint64)
+    return at, found, np.frombuffer(b"".join(places.to_pylist()), dtype=np.uint16), more
+
+
+def _number(ordinal: int) -> int:
+    """A batch's number, the same when its task is run again."""
+    return (TaskContext.get().partitionId() << 24) + ordinal
+
+
 def shared_shingles(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """One row per row of `docs`: id, n (set size), key (of the set) and, where enough of its
     shingles occur in another row, these as packed sorted numbers; else null."""
     from_rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    volume = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    buckets = max(1, math.ceil(volume / BUCKET_BYTES))
+    bits = _bucket_bits(docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0])
+
+    def pack_batch(ids: pa.Array, texts: list[bytes], number: int) -> pa.RecordBatch:
+        sets = list(shingle_sets(texts, size))
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        keys = b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
+        known = np.array([x is not None for x in ids.to_pylist()], dtype=np.uint8)
+        id_bytes = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
+        rows = [(_DOCS, -1 - number, number, id_bytes + sizes.tobytes(), known.tobytes(), keys)]
+        tokens = np.concatenate(sets)
+        places = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, places = tokens[order], places[order]
+        same = tokens[1:] == tokens[:-1]
+        again = np.concatenate((np.zeros(min(1, len(tokens)), bool), same))
+        several = again | np.concatenate((same, np.zeros(min(1, len(tokens)), bool)))
+        if several.any():
+            rows.append((_SHARED, -1 - number, number, tokens[several].tobytes(), places[several].tobytes(), None))
+        # one of each shingle asks the buckets; for a shared one no answer is needed
+        places = np.where(several, np.uint16(_NOBODY), places)[~again]
+        return _packed_rows(rows + _asked(tokens[~again], places, number, bits))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ordinal, batch in enumerate(batches):
-            if not batch.num_rows:
-                continue
-            # the same for a task that is run again
-            number = (TaskContext.get().partitionId() << 24) + ordinal
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            sets = list(shingle_sets([t or b"" for t in texts], size))
-            sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            keys = b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-            ids = batch.column("id")
-            known = np.array([x is not None for x in ids.to_pylist()], dtype=np.uint8)
-            id_bytes = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
-            rows = [(_DOCS, -1 - number, number, id_bytes + sizes.tobytes(), known.tobytes(), keys)]
-            tokens = np.concatenate(sets)
-            places = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
-            order = np.argsort(tokens, kind="stable")
-            tokens, places = tokens[order], places[order]
-            same = tokens[1:] == tokens[:-1]
-            again = np.concatenate(([False], same))
-            several = again | np.concatenate((same, [False]))
-            if several.any():
-                rows.append((_SHARED, -1 - number, number, tokens[several].tobytes(), places[several].tobytes(), None))
-            # one of each shingle asks the buckets; for a shared one no answer is needed
-            first = ~again
-            tokens, places = tokens[first], np.where(several, np.uint32(0xFFFFFFFF), places)[first]
-            bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tokens)], strict=True):
-                if hi > lo:
-                    rows.append(
-                        (_SINGLE, int(bucket[lo]), number, tokens[lo:hi].tobytes(), places[lo:hi].tobytes(), None)
-                    )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES
-            )
-
-    def answer(table: pa.Table) -> pa.Table:
-        if table.column("kind")[0].as_py() != _SINGLE:
-            return table
-        lengths = [len(x) // 8 for x in table.column("tokens").to_pylist()]
-        tokens = np.frombuffer(b"".join(table.column("tokens").to_pylist()), dtype=np.uint64)
-        places = np.frombuffer(b"".join(table.column("places").to_pylist()), dtype=np.uint32)
-        batch = np.repeat(table.column("batch").to_numpy(), lengths)
-        order = np.argsort(tokens, kind="stable")
-        sorted_tokens = tokens[order]
-        same = sorted_tokens[1:] == sorted_tokens[:-1]
-        several = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        chosen = order[several]
-        chosen = chosen[places[chosen] != 0xFFFFFFFF]
-        chosen = chosen[np.argsort(batch[chosen], kind="stable")]
-        tokens, places, batch = tokens[chosen], places[chosen], batch[chosen]
-        cuts = np.flatnonzero(np.diff(batch)) + 1
-        rows = [
-            (_SHARED, -1 - int(batch[lo]), int(batch[lo]), tokens[lo:hi].tobytes(), places[lo:hi].tobytes(), None)
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tokens)], strict=True)
-            if hi > lo
-        ]
-        return pa.table({n: pa.array([r[i] for r in rows], _TYPES[i]) for i, n in enumerate(_NAMES)})
+        ordinal = 0
+        for batch in batches:
+            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            for lo, hi in text_chunks(texts, BATCH_BYTES, 50_000):
+                yield pack_batch(batch.column("id").slice(lo, hi - lo), texts[lo:hi], _number(ordinal))
+                ordinal += 1
 
     def settle(table: pa.Table) -> pa.Table:
-        kind = table.column("kind").to_numpy()
-        tokens, places, extra = (table.column(c).to_pylist() for c in ("tokens", "places", "extra"))
-        at = int(np.flatnonzero(kind == _DOCS)[0])
-        known = np.frombuffer(places[at], dtype=np.uint8).astype(bool)
-        head = np.frombuffer(tokens[at], dtype=np.int64)
+        at, found, place, _ = _gathered(table)
+        known = np.frombuffer(table.column("places")[at].as_py(), dtype=np.uint8).astype(bool)
+        head = np.frombuffer(table.column("tokens")[at].as_py(), dtype=np.int64)
         ids, sizes = head[: len(known)], head[len(known) :]
-        keys = [extra[at][i * 16 : i * 16 + 16] for i in range(len(known))]
-        more = [i for i in range(len(kind)) if i != at]
-        found = np.frombuffer(b"".join(tokens[i] for i in more), dtype=np.uint64)
-        place = np.frombuffer(b"".join(places[i] for i in more), dtype=np.uint32)
+        extra = table.column("extra")[at].as_py()
+        keys = [extra[i * 16 : i * 16 + 16] for i in range(len(known))]
         shared = np.bincount(place, minlength=len(known))
         enough = (shared >= required(sizes, percent)) & (sizes > 0)
         found, place = found[enough[place]], place[enough[place]]
-        order = np.lexsort((found, place))
-        found = found[order]
+        found = found[np.lexsort((found, place))]
         ends = np.cumsum(np.where(enough, shared, 0))
         packed = [
             found[e - s : e].tobytes() if ok else None
@@ -141,64 +186,65 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, size: int, perc
             }
         )
 
-    packed = from_rows.mapInArrow(pack, _PACKED).groupBy("bucket").applyInArrow(answer, _PACKED)
+    packed = from_rows.mapInArrow(pack, _PACKED)
+    packed = packed.groupBy("bucket").applyInArrow(lambda t: _answered(t, bits, False), _PACKED)
     return packed.groupBy("batch").applyInArrow(settle, "id long, n long, key binary, tokens binary")
 
 
-_NAMES = ["kind", "bucket", "batch", "tokens", "places", "extra"]
-_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-
+def postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, token) of the rarest shingles of `sets(key, n, tokens)`.
 
-def _unpacked(frame: DataFrame, extra: str) -> DataFrame:
-    """A row per shingle of the packed sets, with the columns named in `extra`."""
-    names = [c.split()[0] for c in extra.split(", ")]
+    Shingles are ordered by how many sets have them. Of its rarest n - required + 1, a set
+    shares one with every set it links to; those that no other set has are not given.
+    """
+    bits = _bucket_bits(sets.agg(F.sum(F.octet_length("tokens"))).first()[0])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ordinal = 0
         for batch in batches:
-            packed = batch.column("tokens").to_pylist()
-            lengths = [len(x) // 8 for x in packed]
-            which = pa.array(np.repeat(np.arange(len(packed)), lengths))
-            tokens = np.frombuffer(b"".join(packed), dtype=np.int64)
-            for start in range(0, len(tokens), 200_000):
-                part = which.slice(start, 200_000)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n).take(part) for n in names), pa.array(tokens[start : start + 200_000])],
-                    names=[*names, "token"],
-                )
+            packed, keys = batch.column("tokens").to_pylist(), batch.column("key").to_pylist()
+            sizes = batch.column("n").to_numpy()
+            for lo, hi in text_chunks(packed, BATCH_BYTES, 50_000):
+                number = _number(ordinal)
+                ordinal += 1
+                tokens = np.frombuffer(b"".join(packed[lo:hi]), dtype=np.uint64)
+                places = np.repeat(np.arange(hi - lo), [len(x) // 8 for x in packed[lo:hi]])
+                order = np.argsort(tokens, kind="stable")
+                head = (_DOCS, -1 - number, number, sizes[lo:hi].astype(np.int64).tobytes(), None, b"".join(keys[lo:hi]))
+                yield _packed_rows([head, *_asked(tokens[order], places[order], number, bits)])
+
+    def choose(table: pa.Table) -> pa.Table:
+        at, found, place, more = _gathered(table)
+        sizes = np.frombuffer(table.column("tokens")[at].as_py(), dtype=np.int64)
+        keys = table.column("extra")[at].as_py()
+        count = np.frombuffer(b"".join(table.column("extra").take(pa.array(more, pa.int64())).to_pylist()), dtype=np.uint32)
+        shared = np.bincount(place, minlength=len(sizes))
+        order = np.lexsort((found, count, place))
+        found, place = found[order], place[order]
+        rank = np.arange(len(place)) - (np.cumsum(shared) - shared)[place]
+        # shingles of one set only come first in the order, so what they leave is given
+        kept = rank <= (shared - required(sizes, percent))[place]
+        return pa.table(
+            {
+                "key": pa.array([keys[i * 16 : i * 16 + 16] for i in place[kept].tolist()], pa.binary()),
+                "token": pa.array(found[kept].view(np.int64)),
+            }
+        )
 
-    return frame.select(*names, "tokens").mapInArrow(rows, f"{extra}, token long")
+    packed = sets.select("key", "n", "tokens").mapInArrow(pack, _PACKED)
+    packed = packed.groupBy("bucket").applyInArrow(lambda t: _answered(t, bits, True), _PACKED)
+    return packed.groupBy("batch").applyInArrow(choose, "key binary, token long")
 
 
 def clusters(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, cluster) of the sets that have a possible partner among `sets(key, n, tokens)`.
-
-    Shingles are ordered by how many sets have them. Of its rarest n - required + 1, a set
-    shares one with every set it links to.
-    """
-    tokens = _unpacked(sets, "key binary, n long")
-    counts = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("key").alias("hub")).where("df > 1")
-    # shingles of one set only come first in the order; they are not posted
-    posted = tokens.join(counts, "token")
-    shared = F.count("*").over(_per_set())
-    rank = F.row_number().over(_per_set().orderBy("df", "token"))
-    need = F.ceil(F.col("n") * percent / 100)
-    posted = (
-        posted.withColumns({"shared": shared, "rank": rank})
-        .where((F.col("shared") >= need) & (F.col("rank") <= F.col("shared") - need + 1))
-        .select("key", "token")
-    )
-    posted = stored(posted, "postings")
+    """(key, cluster) of the sets that have a possible partner among `sets(key, n, tokens)`:
+    those connected by shingles that both have among their rarest."""
+    posted = stored(postings(sets, percent), "postings")
     hubs = posted.groupBy("token").agg(F.min("key").alias("hub"), F.count("*").alias("df")).where("df > 1")
     edges = posted.join(hubs, "token").select(F.col("key").alias("a"), F.col("hub").alias("b")).where("a <> b")
     return components(edges.distinct()).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
 
 
-def _per_set():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key")
-
-
 class InvertedLists:
     """Lists of the sets of a block, by shingle."""
 

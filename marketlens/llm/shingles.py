@@ -37,11 +37,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_chunks(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Ranges of `texts` of about `limit` bytes each, one text at least."""
+def text_chunks(texts: list[bytes], limit: int = 1 << 21, most: int = 1 << 31) -> Iterator[tuple[int, int]]:
+    """Ranges of `texts` of about `limit` bytes and at most `most` texts each, one at least."""
     start, held = 0, 0
     for i, text in enumerate(texts):
-        if held and held + len(text) > limit:
+        if i > start and (held + len(text) > limit or i - start >= most):
             yield start, i
             start, held = i, 0
         held += len(text)
