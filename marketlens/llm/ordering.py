@@ -29,9 +29,9 @@ def range_of(ids: pa.Array, bounds: list[int]) -> np.ndarray:
     return np.searchsorted(np.array(bounds, dtype=np.int64), values, side="right")
 
 
-def in_ranges(docs: DataFrame, bounds: list[int]) -> DataFrame:
-    """`docs(id, text)` with `range`, a partition holding whole ranges, sorted by range, id
-    (null last) and, for equal ids, text."""
+def in_ranges(docs: DataFrame, bounds: list[int], partitions: int) -> DataFrame:
+    """`docs(id, text)` with `range`, in partitions that hold whole ranges, sorted by range,
+    id (null last) and, for equal ids, text."""
     if not bounds:
         numbered = docs.withColumn("range", F.lit(0).cast("long"))
     else:
@@ -41,7 +41,7 @@ def in_ranges(docs: DataFrame, bounds: list[int]) -> DataFrame:
                 yield batch.append_column("range", pa.array(range_of(batch.column("id"), bounds), pa.int64()))
 
         numbered = docs.mapInArrow(number, f"{_ddl(docs)}, range long")
-    return numbered.repartition(len(bounds) + 1, "range").sortWithinPartitions("range", F.col("id").asc_nulls_last(), "text")
+    return numbered.repartition(partitions, "range").sortWithinPartitions("range", F.col("id").asc_nulls_last(), "text")
 
 
 def _ddl(docs: DataFrame) -> str:

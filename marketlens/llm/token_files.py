@@ -37,8 +37,12 @@ from marketlens.session import scratch_path
 END_ID = 2
 END = 65535
 FIRST_RULE = 50_257
-RANGE_BYTES = 128 << 20
-SHARD_TOKENS = 2_000_000
+RANGE_BYTES = 16 << 20
+TASK_BYTES = 128 << 20
+SHARD_TOKENS = 1_000_000
+# what an encoder remembers at most: pieces of text, and their parts with ids
+MOST_PIECES = 400_000
+MOST_PARTS = 900_000
 ROUNDS = 6
 PAIRS_PER_ROUND = 2_000
 LEAST_COUNT = 32
@@ -51,7 +55,9 @@ class Encoder:
     """Ids of whole texts by a tokenizer of the library, each distinct piece encoded once.
 
     A text is cut before every single space between two other characters; byte-level
-    tokenizers cut there too, so the ids of the pieces in a row are those of the text.
+    tokenizers cut there too, so the ids of the pieces in a row are those of the text. A
+    piece of letters and marks is cut once more between them, and such parts go to the
+    tokenizer's model directly. What is remembered is bounded and forgotten when full.
     """
 
     def __init__(self, path: str):
@@ -59,11 +65,27 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.core: dict[str, bytes] = {"": b""}  # ids as 16-bit numbers
+        # byte-level tokenizers spell bytes that are no printable character by those from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(256 + i) for i, b in enumerate(rest)}
+        self._forget()
+
+    def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
-        self.core: dict[str, bytes] = {"": b""}  # ids as 16-bit numbers
         self.odd: set[str] = set()
+        if len(self.core) > MOST_PARTS:
+            self.core = {"": b""}
+
+    def _encode_parts(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Strings that the tokenizer does not cut: letters after a space, or marks."""
+        tokenize = self.tokenizer.model.tokenize
+        for string in strings:
+            spelled = string.encode().decode("latin-1").translate(self.letters)
+            yield string, array("H", [t.id for t in tokenize(spelled)]).tobytes()
 
     def _encode(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
         for at in range(0, len(strings), 4096):
@@ -72,16 +94,18 @@ class Encoder:
                 yield string, array("H", found.ids).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """A piece of letters and marks is two pieces of the tokenizer: letters with the
-        space before them, and the marks."""
-        parts, missing = [], set()
+        parts, whole, cut = [], set(), set()
         for piece in pieces:
             text = piece[1:] if piece[0] == " " else " " + piece
             letters = text.rstrip(_MARKS)
-            split = (letters, text[len(letters) :]) if letters[1:].isalpha() and letters[0] == " " else (text, "")
-            parts.append(split)
-            missing.update(p for p in split if p and p not in self.core)
-        self.core.update(self._encode(list(missing)))
+            if letters[1:].isalpha() and letters[0] == " ":
+                parts.append((letters, text[len(letters) :]))
+                cut.update(parts[-1])
+            else:
+                parts.append((text, ""))
+                whole.add(text)
+        self.core.update(self._encode_parts(list(cut.difference(self.core))))
+        self.core.update(self._encode(list(whole.difference(self.core))))
         self.odd.update(filter(_is_odd, pieces))
         ids = [self.core[a] + self.core[b] if b else self.core[a] for a, b in parts]
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
@@ -91,8 +115,9 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and how many each text has."""
+        if len(self.number) > MOST_PIECES:
+            self._forget()
         pieces: list[str] = []
-        counts = np.zeros(len(texts), dtype=np.int64)
         bounds = []
         for text in texts:
             cut = text.split(" ")
@@ -123,8 +148,7 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total, dtype=np.int64) + np.repeat(self.start[which] - (ends - sizes), sizes)
         upto = np.concatenate(([0], ends))[np.array(bounds)]
-        counts = np.diff(upto)
-        return self.ids[at], counts
+        return self.ids[at], np.diff(upto)
 
 
 def _is_odd(piece: str) -> bool:
@@ -293,7 +317,9 @@ def write_tokens(
     """Writes the shards of `docs` to `path`, in ascending order of ids (null last, equal
     ids by text). `tokenizer` is a file of the tokenizers library with ids below 50,257."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    ordered = in_ranges(rows, range_bounds(rows, "id", "text", range_bytes))
+    bounds = range_bounds(rows, "id", "text", range_bytes)
+    # a task takes several ranges, in order, and remembers what it has encoded
+    ordered = in_ranges(rows, bounds, max(1, (len(bounds) + 1) * range_bytes // TASK_BYTES))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, ids, counts, tokens = None, [], [], []
