@@ -91,7 +91,7 @@ def screen(source: str, raw: DataFrame, keys: Sequence[str], order: Sequence[str
     """
     complete = readable(source, raw).filter(_complete(source))
     if ARRIVAL in raw.columns:
-        kept = keep_one(complete, keys, [ARRIVAL], largest=keep == "last").drop(ARRIVAL)
+        kept = keep_one(complete, keys, [ARRIVAL], largest=keep == "last", unique=True).drop(ARRIVAL)
     else:
         kept = keep_one(complete, keys, order)
     return kept.withColumn(REASON, F.lit(None).cast("string"))
