@@ -4,8 +4,10 @@ Texts are canonicalised: numbers, names (capitalised inside a sentence) and unit
 number become typed placeholders. Every window of six canonical words is hashed, the windows
 of the documents are joined with those of the benchmark. For documents that hold enough of an
 item's windows the placeholders are filled in again: a window counts only if each of the
-item's values is answered by one value throughout, which lets changed numbers and names pass
-and chance agreement fail. All in DataFrame functions.
+item's values is answered by one value throughout an occurrence, which lets changed numbers
+and names pass and chance agreement fail. An occurrence is one shift between the places of
+document and item, a run of neighbouring shifts, or the whole document (an item in pieces);
+the best one counts, and windows with the item's own values always. All in DataFrame functions.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from marketlens.session import stored
 
 WINDOW = 6
 MIN_SHARE = 0.4
+# shifts this close are of one occurrence: names and numbers of another count of words
+NEARBY = 3
 # windows of items up to this many rows (8 bytes of hash, 16 of place, about 4 MB) are
 # broadcast; larger benchmarks are joined by shuffling both sides
 BROADCAST_WINDOWS = 100_000
@@ -110,16 +114,36 @@ def _consistent(docs: DataFrame, items: DataFrame, pairs: DataFrame, size: int,
     rows = pairs.join(own, "_key").join(other, "_item").select(
         "_key", "doc_id", "_item", "item_windows", "place", "item_place", filled.alias("filled")
     )
-    rows = stored(rows, "filled")
-    values = rows.select("_key", "_item", F.explode("filled").alias("s")).select("_key", "_item", "s.slot", "s.from", "s.to")
-    votes = values.groupBy("_key", "_item", "slot", "from", "to").agg(F.count("*").alias("votes"))
-    first = Window.partitionBy("_key", "_item", "slot", "from").orderBy(F.desc("votes"), "to")
-    agreed = votes.withColumn("place", F.row_number().over(first)).where("place = 1")
-    agreed = agreed.groupBy("_key", "_item").agg(F.collect_set(F.struct("slot", "from", "to")).alias("agreed"))
-    kept = rows.join(agreed, ["_key", "_item"], "left").where(
-        (F.size("filled") == 0) | (F.size(F.array_except("filled", "agreed")) == 0)
+    pair = ["_key", "_item"]
+    shift = place - item_place
+    rows = stored(rows.withColumn("shift", shift), "filled")
+    # the shifts of one occurrence differ by the words put in or left out inside it
+    shifts = rows.select(*pair, "shift").distinct()
+    ordered = Window.partitionBy(*pair).orderBy("shift")
+    gap = F.col("shift") - F.lag("shift").over(ordered)
+    shifts = shifts.withColumn("apart", F.when(gap > NEARBY, 1).otherwise(0))
+    shifts = shifts.select(*pair, "shift", F.sum("apart").over(ordered).alias("run"))
+    exact = F.forall("filled", lambda s: s["from"].eqNullSafe(s["to"]))
+    places = rows.groupBy(*pair, "item_place").agg(F.max(exact).alias("exact"))
+    verbatim = places.groupBy(*pair).agg(F.count_if("exact").alias("verbatim"))
+    occurrences = F.array(
+        F.struct(F.lit("shift").alias("of"), F.col("shift").cast("long").alias("at")),
+        F.struct(F.lit("run").alias("of"), F.col("run").cast("long").alias("at")),
+        F.struct(F.lit("document").alias("of"), F.lit(0).cast("long").alias("at")),
     )
-    counted = kept.groupBy("_key", "_item", "doc_id", "item_windows").agg(F.count_distinct("item_place").alias("matched"))
+    rows = rows.join(shifts, [*pair, "shift"]).join(places, [*pair, "item_place"])
+    rows = rows.withColumn("occurrence", F.explode(occurrences))
+    group = [*pair, "occurrence"]
+    values = rows.select(*group, F.explode("filled").alias("s")).select(*group, "s.slot", "s.from", "s.to")
+    votes = values.groupBy(*group, "slot", "from", "to").agg(F.count("*").alias("votes"))
+    first = Window.partitionBy(*group, "slot", "from").orderBy(F.desc("votes"), "to")
+    agreed = votes.withColumn("place", F.row_number().over(first)).where("place = 1")
+    agreed = agreed.groupBy(*group).agg(F.collect_set(F.struct("slot", "from", "to")).alias("agreed"))
+    consistent = (F.size("filled") == 0) | (F.size(F.array_except("filled", "agreed")) == 0)
+    counted = rows.join(agreed, group, "left").groupBy(*group, "doc_id", "item_windows")
+    counted = counted.agg(F.count_distinct(F.when(consistent & ~F.col("exact"), item_place)).alias("changed"))
+    counted = counted.groupBy(*pair, "doc_id", "item_windows").agg(F.max("changed").alias("changed"))
+    counted = counted.join(verbatim, pair).withColumn("matched", F.col("changed") + F.col("verbatim"))
     return (
         counted.where(F.col("matched") >= F.col("item_windows") * min_share)
         .join(items.select("_item", "item_id"), "_item")

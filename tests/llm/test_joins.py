@@ -125,6 +125,24 @@ def test_values_must_agree(spark):
     assert found(spark, [same, other], [(1, item)]) == [(0, 1)]
 
 
+NUMBERS = (
+    "anna buys 3 apples and 4 pears then sells 5 plums for 6 coins each while her brother keeps 7 figs "
+    "and 8 dates so they share 9 nuts or 2"
+)
+
+
+def test_values_agree_within_an_occurrence(spark):
+    variant = re.sub(r"\d", lambda d: str(int(d[0]) + 10), NUMBERS)
+    shifted = variant.replace("12", "1").replace("sells 15 plums", "now sells 15 plums")
+    docs = [NUMBERS, variant, f"{NUMBERS}. Or else: {variant}", f"{variant} {variant.replace('1', '3')}", f"x {shifted} y {variant}"]
+    assert found(spark, docs, [(1, NUMBERS)]) == [(i, 1) for i in range(5)]
+    frame = spark.createDataFrame([(1, docs[2])], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, NUMBERS)], "item_id long, text string")
+    row = decontaminate.contaminated(frame, bench).first()
+    assert row.matched == row.item_windows
+    assert decontaminate.decontaminate(frame, bench).count() == 0
+
+
 def test_decontamination_keeps_clean_rows(spark):
     rows = [(1, f"x {ITEM}", "a"), (2, "clean text", "b"), (2, "clean text", "b"), (None, None, "c"), (4, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
