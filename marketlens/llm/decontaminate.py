@@ -1,8 +1,9 @@
 """Benchmark decontamination by templates.
 
 Texts are canonicalised: numbers, names (capitalised inside a sentence) and units after a
-number become typed placeholders. Every window of six canonical words is hashed, the windows
-of the documents are joined with those of the benchmark. For documents that hold enough of an
+number become typed placeholders. Every window of six canonical words is hashed, and hashed
+again with the capitalised words that begin a text, a sentence or a line as names too; the
+windows of the documents are joined with those of the benchmark. For documents that hold enough of an
 item's windows the placeholders are filled in again: a window counts only if each of the
 item's values is answered by one value throughout an occurrence, which lets changed numbers
 and names pass and chance agreement fail. An occurrence is one shift between the places of
@@ -33,6 +34,8 @@ UNITS = (
     "inch(?:es)?|yards?|pounds?|lbs?|oz|dollars?|cents?|euros?|usd|eur|percent|mph|kmh|kw|kwh|w|v|hz|ghz|mb|gb|tb"
 )
 _NAME = r"(?<=[\p{L}\p{N},;:][ ])\p{Lu}\p{Ll}+"
+_INITIAL = r"(?<![\p{L}\p{M}\p{N}])\p{Lu}\p{Ll}+"
+_MARK = "initialslot"
 _WORD = r"[\p{L}\p{M}\p{N}']+"
 
 
@@ -45,9 +48,12 @@ def spelled(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(_one_word_numbers(text)), F.lit(_WORD), F.lit(0))
 
 
-def canonical(text: Column) -> Column:
-    """Words with placeholders, as an array that runs beside `spelled`."""
+def _marked(text: Column) -> Column:
+    """Words with placeholders, as an array that runs beside `spelled`; capitalised words that
+    begin a text, a sentence or a line, or follow a quote, bracket or hyphen, keep their
+    letters behind a mark."""
     text = F.regexp_replace(_one_word_numbers(text), _NAME, "NAMESLOT")
+    text = F.regexp_replace(text, _INITIAL, _MARK.upper() + "$0")
     text = F.regexp_replace(text, r"(?<![\p{L}\p{N}])\d+(?![\p{L}\p{N}])", "NUMBERSLOT")
     text = F.when(
         F.contains(text, F.lit("NUMBERSLOT")),
@@ -56,6 +62,24 @@ def canonical(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
+def _as_words(marked: Column) -> Column:
+    """The first template: marked words are words."""
+    return F.transform(marked, lambda w: F.replace(w, F.lit(_MARK), F.lit("")))
+
+
+def _as_names(marked: Column) -> Column:
+    """The second template: marked words are names."""
+    return F.transform(
+        marked,
+        lambda w: F.when(F.contains(w, F.lit(_MARK)), F.regexp_replace(w, _MARK + r"\p{L}+", "nameslot")).otherwise(w),
+    )
+
+
+def canonical(text: Column) -> Column:
+    """Words with placeholders, as an array that runs beside `spelled`."""
+    return _as_words(_marked(text))
+
+
 def windows(words: Column, size: int = WINDOW) -> Column:
     """(hash) of every window; shorter texts have one, texts without words none."""
     count = F.size(words)
@@ -66,6 +90,19 @@ def windows(words: Column, size: int = WINDOW) -> Column:
     return F.when(count > 0, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
+def _spread(texts: DataFrame, keys: list[str], place: str, size: int) -> DataFrame:
+    """(*keys, place, template, hash) of every window of `texts(*keys, text)` by the first
+    template (0), and by the second (1) where that differs."""
+    # each step is its own, or every window would cut the text anew
+    marked = texts.select(*keys, _marked(F.col("text")).alias("marked"))
+    both = marked.select(*keys, _as_words(F.col("marked")).alias("words"), _as_names(F.col("marked")).alias("names"))
+    hashed = F.arrays_zip(windows(F.col("words"), size).alias("words"), windows(F.col("names"), size).alias("names"))
+    found = both.select(*keys, F.posexplode(hashed).alias(place, "hashes"))
+    words, names = F.col("hashes.words"), F.col("hashes.names")
+    choice = F.when(words == names, F.array(words)).otherwise(F.array(words, names))
+    return found.select(*keys, place, F.posexplode(choice).alias("template", "hash"))
+
+
 def _key() -> Column:
     return F.xxhash64("doc_id", "text")
 
@@ -75,15 +112,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_share
     least `min_share` of the windows, consistently."""
     items = benchmark.select("item_id", F.col("text").alias("item_text")).where("item_text is not null").distinct()
     items = items.withColumn("_item", F.xxhash64("item_id", "item_text"))
-    # words are made in a step of their own, or each window would cut the text anew
-    sides = items.select("_item", canonical(F.col("item_text")).alias("words"))
-    sides = sides.select("_item", F.posexplode(windows(F.col("words"), size)).alias("item_place", "hash"))
+    sides = _spread(items.select("_item", F.col("item_text").alias("text")), ["_item"], "item_place", size)
+    sides = sides.select("_item", "item_place", "hash")
     sides = small_side(sides, BROADCAST_WINDOWS, "item-windows")
-    totals = sides.groupBy("_item").agg(F.count("*").alias("item_windows"))
-    spread = docs.where("text is not null").select(
-        "doc_id", _key().alias("_key"), canonical(F.col("text")).alias("words")
+    totals = sides.groupBy("_item").agg(F.count_distinct("item_place").alias("item_windows"))
+    spread = _spread(
+        docs.where("text is not null").select("doc_id", _key().alias("_key"), "text"), ["doc_id", "_key"], "place", size
     )
-    spread = spread.select("doc_id", "_key", F.posexplode(windows(F.col("words"), size)).alias("place", "hash"))
     hits = stored(spread.join(sides, "hash").drop("hash").distinct(), "hits")
     enough = hits.groupBy("_key", "_item").agg(F.count_distinct("item_place").alias("matched")).join(totals, "_item")
     enough = enough.where(F.col("matched") >= F.col("item_windows") * min_share).select("_key", "_item", "item_windows")
@@ -95,7 +130,8 @@ def _consistent(docs: DataFrame, items: DataFrame, pairs: DataFrame, size: int,
     text = F.col("text")
     sides = small_side(pairs.select("_key").distinct(), BROADCAST_DOCUMENTS, "suspects")
     own = docs.withColumn("_key", _key()).join(sides, "_key").select("_key", "text").distinct()
-    own = own.select("_key", spelled(text).alias("words"), canonical(text).alias("slots"))
+    own = own.select("_key", spelled(text).alias("words"), _marked(text).alias("marked"))
+    own = own.select("_key", "words", _as_words(F.col("marked")).alias("slots"), _as_names(F.col("marked")).alias("names"))
     other = items.select("_item", spelled(F.col("item_text")).alias("item_words"))
     place, item_place = F.col("place"), F.col("item_place")
     offsets = F.sequence(F.lit(0), F.lit(size - 1))
@@ -104,7 +140,7 @@ def _consistent(docs: DataFrame, items: DataFrame, pairs: DataFrame, size: int,
         F.transform(
             offsets,
             lambda k: F.struct(
-                here("slots", place + k).alias("slot"),
+                F.when(F.col("template") == 0, here("slots", place + k)).otherwise(here("names", place + k)).alias("slot"),
                 here("item_words", item_place + k).alias("from"),
                 here("words", place + k).alias("to"),
             ),
@@ -112,7 +148,7 @@ def _consistent(docs: DataFrame, items: DataFrame, pairs: DataFrame, size: int,
         lambda s: s["slot"].isin("nameslot", "numberslot", "unitslot"),
     )
     rows = pairs.join(own, "_key").join(other, "_item").select(
-        "_key", "doc_id", "_item", "item_windows", "place", "item_place", filled.alias("filled")
+        "_key", "doc_id", "_item", "item_windows", "place", "item_place", "template", filled.alias("filled")
     )
     pair = ["_key", "_item"]
     shift = place - item_place

@@ -143,6 +143,19 @@ def test_values_agree_within_an_occurrence(spark):
     assert decontaminate.decontaminate(frame, bench).count() == 0
 
 
+def test_names_that_begin_a_sentence(spark):
+    tom = "Tom has 3 apples. Tom buys 5 apples. Tom eats 2 apples. Tom sells 4 apples. How many apples are left?"
+    ann, quoted = tom.replace("Tom", "Ann"), tom.replace("Tom", '"Ann"')
+    inside = "Here Ann has 3 apples, Ann buys 5 apples, Ann eats 2 apples, Ann sells 4 apples. How many apples are left?"
+    several = tom
+    for name in ("Ann", "Bob", "Eve", "Max"):
+        several = several.replace("Tom", name, 1)
+    lower = tom.lower()
+    other = "Tim finds 3 books. Kim reads 5 pages. Tim writes 2 letters. Kim burns 4 houses. Why do they never stop?"
+    docs = [tom, ann, quoted, inside, several, lower, other, f"- {ann}\n({tom})"]
+    assert found(spark, docs, [(1, tom)]) == [(i, 1) for i in (0, 1, 2, 3, 5, 7)]
+
+
 def test_decontamination_keeps_clean_rows(spark):
     rows = [(1, f"x {ITEM}", "a"), (2, "clean text", "b"), (2, "clean text", "b"), (None, None, "c"), (4, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
