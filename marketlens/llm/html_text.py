@@ -11,9 +11,11 @@ and part, then host), so a host with most pages costs no more than its distinct
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
 from operator import itemgetter
@@ -44,7 +46,17 @@ FURNITURE_WORDS = frozenset(
     "notices cookie cookies consent newsletter subscribe signup related share sharing social widget popup modal alert "
     "legal copyright login search toolbar pagination pager".split()
 )
+# words that may stand beside these in a class that names furniture
+PLACES = frozenset(
+    "left right top bottom upper lower main site page global fixed sticky primary secondary wrapper wrap container box "
+    "block area section bar list item items links inner outer widgets 0".split()
+)
+# elements that also wrap whole pages, and the share of the text from which they do
+WRAPPING = frozenset("form fieldset".split())
+WRAPPER_SHARE = 0.8
 ARTICLE = ("article", "main")
+# a text that is the same on this many different pages belongs to the template
+TEMPLATE_PAGES = 5
 # hosts whose paths (a few hundred bytes each) are broadcast; beyond this the join shuffles
 BROADCAST_HOSTS = 20_000
 _PIECE = re.compile(
@@ -239,45 +251,86 @@ def _merged(x, y):
     return [x[0], align(x[1], y[1])]
 
 
+def _digest(texts: Iterable[str]) -> str:
+    return hashlib.blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
 def slots(events: Iterable[tuple]) -> dict[str, list]:
-    """Per path with text: [pages, characters, the text's digest or null once it varies]."""
-    found: dict[str, list] = {}
+    """Per path with text: [digests of pages, characters, the texts' digest or null once it
+    varies]. A page's digest is that of its text outside furniture; `TEMPLATE_PAGES` of them
+    are kept."""
+    texts: dict[str, list[str]] = {}
     for mark, path, text in events:
         if mark == "#":
-            seen = found.setdefault("/".join(path), [1, 0, None])
-            seen[1] += len(text)
-            seen[2] = text[:80] if seen[1] == len(text) else None
-    return found
+            texts.setdefault("/".join(path), []).append(text)
+    sizes = {p: sum(map(len, t)) for p, t in texts.items()}
+    aside = furniture(sizes)
+    page = _digest(t for p, own in texts.items() if p not in aside for t in own)
+    return {p: [[page], sizes[p], _digest(t)] for p, t in texts.items()}
 
 
 def merge_slots(into: dict[str, list], other: dict[str, list]) -> None:
     for path, (pages, chars, same) in other.items():
         if path in into:
             seen = into[path]
-            into[path] = [seen[0] + pages, seen[1] + chars, same if same == seen[2] else None]
+            merged = sorted({*seen[0], *pages})[:TEMPLATE_PAGES]
+            into[path] = [merged, seen[1] + chars, same if same == seen[2] else None]
         else:
             into[path] = [pages, chars, same]
 
 
-def is_furniture(path: str) -> bool:
-    """Menus, headers, footers, sidebars, notices, adverts, forms and comments, by element
-    or by the words of class, id and role."""
-    for step in path.split("/"):
-        name, *words = re.split(r"[.@]", step)
-        if name in FURNITURE or any(w in FURNITURE_WORDS for x in words for w in re.split(r"[-_:]", x)):
-            return True
-    return False
+def _is_article(step: str) -> bool:
+    return re.split(r"[.@]", step)[0] in ARTICLE or step.endswith("@main")
+
+
+def _is_furniture_word(word: str) -> bool:
+    parts = [w for w in re.split(r"[-_:]", word) if w]
+    return any(w in FURNITURE_WORDS for w in parts) and all(w in FURNITURE_WORDS or w in PLACES for w in parts)
+
+
+def furniture(sizes: dict[str, int]) -> set[str]:
+    """Of paths with their characters, those in menus, headers, footers, sidebars, notices,
+    adverts, forms and comments, by element or by whole words of class, id and role.
+
+    Never by html or body, nor by a block around an article or main element; and by words,
+    forms and field sets only while these hold less than `WRAPPER_SHARE` of all text.
+    """
+    held: Counter[str] = Counter()
+    around = set()
+    for path, size in sizes.items():
+        steps = path.split("/")
+        for depth in range(1, len(steps) + 1):
+            held["/".join(steps[:depth])] += size
+            if _is_article(steps[depth - 1]):
+                around.update("/".join(steps[:d]) for d in range(1, depth))
+    total = sum(sizes.values())
+    judged: dict[str, bool] = {}
+    for block, size in held.items():
+        name, *words = re.split(r"[.@]", block.rsplit("/", 1)[-1])
+        small = size < total * WRAPPER_SHARE
+        judged[block] = (
+            name not in ("html", "body")
+            and block not in around
+            and (name in FURNITURE and (small or name not in WRAPPING) or small and any(map(_is_furniture_word, words)))
+        )
+    found = set()
+    for path in sizes:
+        steps = path.split("/")
+        if any(judged["/".join(steps[:depth])] for depth in range(1, len(steps) + 1)):
+            found.add(path)
+    return found
 
 
 def article_slots(found: dict[str, list]) -> list[str]:
     """The paths that hold the article: those below an article or main element, else below
     the innermost block with most of the text that varies; never furniture."""
-    eligible = {p: s for p, s in found.items() if not is_furniture(p)}
-    inside = [p for p in eligible if any(re.split(r"[.@]", step)[0] in ARTICLE or step.endswith("@main") for step in p.split("/"))]
+    aside = furniture({p: s[1] for p, s in found.items()})
+    eligible = {p: s for p, s in found.items() if p not in aside}
+    inside = [p for p in eligible if any(map(_is_article, p.split("/")))]
     if inside:
         return sorted(inside)
     # text that is the same on several pages belongs to the template
-    eligible = {p: s for p, s in eligible.items() if s[0] < 5 or s[2] is None} or eligible
+    eligible = {p: s for p, s in eligible.items() if len(s[0]) < TEMPLATE_PAGES or s[2] is None} or eligible
     total = sum(s[1] for s in eligible.values())
     best = ""
     for path in eligible:
@@ -294,7 +347,13 @@ def main_text(html: str, chosen: set[str]) -> str:
     """Texts of the chosen paths in page order; a page without any of them gives all text
     outside furniture."""
     found = [("/".join(path), text) for mark, path, text in blocks(html) if mark == "#"]
-    kept = [t for p, t in found if p in chosen] or [t for p, t in found if not is_furniture(p)]
+    kept = [t for p, t in found if p in chosen]
+    if not kept:
+        sizes: Counter[str] = Counter()
+        for path, text in found:
+            sizes[path] += len(text)
+        aside = furniture(sizes)
+        kept = [t for p, t in found if p not in aside]
     return "\n".join(kept)
 
 

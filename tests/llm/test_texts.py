@@ -159,6 +159,30 @@ def test_pages_without_article_element(spark):
     assert got[2] == "Title 2\n" + ("long text 2 " * 20).strip()
 
 
+def test_words_of_a_body_or_wrapper_hide_no_article(spark):
+    body = "<html><body class='single right-sidebar has-header no-comments'><div class='fixed-nav sidebar'>{0}</div></body></html>"
+    inner = "<div class='right-sidebar'>Links</div><div id='comments'>troll</div><article><h1>Head {n}</h1><p>Text {n}</article>"
+    plain = "<ul class='site-menu'><li>Home</ul><div class='text'><p>" + "Some words {n} " * 30 + "</div>"
+    rows = [(n, "http://a/", body.format(inner.format(n=n))) for n in range(3)]
+    rows += [(n, "http://b/", body.format(plain.format(n=n))) for n in range(3, 6)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    for n in range(3):
+        assert got[n] == f"Head {n}\nText {n}"
+    for n in range(3, 6):
+        assert got[n] == (f"Some words {n} " * 30).strip()
+
+
+def test_same_lead_or_copies_are_no_template(spark):
+    lead = "The same lead of more than eighty characters stands here before the text that differs: "
+    page = "<div><h2>Title {n}</h2></div><div class='text'><p>{t}</p></div>"
+    rows = [(n, "http://lead/", page.format(n=n, t=lead + f"end {n}")) for n in range(6)]
+    rows += [(n, "http://copies/", page.format(n=9, t=lead)) for n in range(10, 16)]
+    rows += [(n, "http://copies/", f"<div><h2>Title {n}</h2></div>") for n in range(16, 18)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    assert all(got[n].endswith(lead + f"end {n}") for n in range(6))
+    assert all(got[n].endswith(lead.strip()) for n in range(10, 16))
+
+
 def covers(expression, tokens):
     """Whether the expression, read as a regular expression over tokens, matches all of them."""
     names = {}
