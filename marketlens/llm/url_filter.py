@@ -24,6 +24,8 @@ RULES = (
 )
 # fixed values: suffixes under which names are registered, beside the last label
 SECOND_LEVEL = "co.uk org.uk ac.uk com.au net.au co.jp com.br co.in example.com example.org example.net".split()
+# what is left of a character reference at the end of a cut title
+_CUT_REFERENCE = r"&(?:a|am|amp|l|lt|g|gt|q|qu|quo|quot|#[xX]?[0-9a-fA-F]{0,3})?\s*\z"
 MAX_BAD = 0.5
 Z = 1.2816
 STRENGTHS = (1.0, 1000.0)
@@ -101,22 +103,35 @@ def reputations(outcomes: DataFrame, z: float = Z) -> DataFrame:
 def labelled_pages(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, bad, n) of the pages whose document is labelled.
 
-    A page shows a document whose first line begins with the page's title. Its outcome is
-    bad when most labelled documents with that first line are of low quality or toxic.
+    A page shows a document whose first line begins with the page's title, of any length and
+    also if it was cut inside a character reference. A line that begins with several titles
+    belongs to the longest. A page's outcome is bad when most labelled documents of its title
+    are of low quality or toxic.
     """
     bad = ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")
-    first = F.trim(F.substring(F.substring_index("text", "\n", 1), 1, 60))
-    titled = (
-        labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(bad).alias("bad"))
-        .join(docs.select("doc_id", first.alias("title")).where("title <> ''"), "doc_id")
-        .groupBy("title").agg(F.round(F.avg("bad")).cast("long").alias("bad"))
-    )
-    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    title = F.regexp_replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), _CUT_REFERENCE, "")
     for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&amp;", "&")):
         title = F.replace(title, F.lit(code), F.lit(char))
     shown = pages.select(host_of(F.col("url")).alias("host"), F.trim(title).alias("title")).where("title <> ''")
     # pages of one host and title are counted before the join, so a common title is no hot key
-    shown = shown.groupBy("title", "host").agg(F.count("*").alias("n"))
+    shown = stored(shown.groupBy("title", "host").agg(F.count("*").alias("n")), "titles")
+    sizes = stored(shown.select(F.length("title").alias("size")).distinct(), "title-sizes")
+    longest = F.coalesce(sizes.agg(F.max("size")).scalar(), F.lit(0))
+    line = F.substr(F.trim(F.substring_index("text", "\n", 1)), F.lit(1), longest)
+    lines = (
+        labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+        .join(docs.select("doc_id", line.alias("line")).where("line <> ''"), "doc_id")
+        .groupBy("line").agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
+    )
+    every = lines.withColumn("sizes", sizes.agg(F.collect_set("size")).scalar())
+    begins = every.select("line", "bad", "n", F.explode("sizes").alias("size")).where(F.col("size") <= F.length("line"))
+    begins = begins.select("line", "bad", "n", F.substr(F.col("line"), F.lit(1), F.col("size")).alias("title"))
+    titled = (
+        begins.join(shown.select("title").distinct(), "title")
+        .groupBy("line").agg(F.max(F.struct(F.length("title").alias("size"), "title", "bad", "n")).alias("best"))
+        .select("best.title", "best.bad", "best.n")
+        .groupBy("title").agg(F.round(F.sum("bad") / F.sum("n")).cast("long").alias("bad"))
+    )
     return shown.join(titled, "title").groupBy("host").agg(
         F.sum(F.col("bad") * F.col("n")).alias("bad"), F.sum("n").alias("n")
     )

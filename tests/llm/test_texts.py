@@ -244,6 +244,22 @@ def test_pages_get_the_outcome_of_their_document(spark):
     assert {r.host: (r.bad, r.n) for r in got} == {"h0.com": (1, 2), "h1.com": (2, 2)}
 
 
+def test_titles_of_any_length(spark):
+    line = "A first line of more than sixty characters that goes on & on for a while longer"
+    other = line[:62] + "but ends in another way"
+    docs = spark.createDataFrame([(1, line + "\nmore"), (2, other), (3, "Fish & chips & more")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    escape = lambda t: t.replace("&", "&amp;")
+    titles = {"whole": escape(line), "other": escape(other), "cut": "Fish &amp; chips &am", "none": "Fish and"}
+    rows = [(i, f"http://{h}/", f"<title>{t}</title>") for i, (h, t) in enumerate(titles.items())]
+    got = url_filter.labelled_pages(pages(spark, rows), docs, labels).collect()
+    assert {r.host: (r.bad, r.n) for r in got} == {"whole": (1, 1), "other": (0, 1), "cut": (1, 1)}
+    short = [(1, "http://short/", f"<title>{line[:40]}</title>")]
+    got = url_filter.labelled_pages(pages(spark, short), docs.where("doc_id = 1"), labels).collect()
+    assert [(r.host, r.bad, r.n) for r in got] == [("short", 1, 1)]
+    assert url_filter.labelled_pages(pages(spark, []), docs, labels).count() == 0
+
+
 def test_reputation_shrinks_towards_the_level_above(spark):
     outcomes = [(f"h{i}.bad.com", 19, 20) for i in range(8)] + [(f"h{i}.good.com", 1, 20) for i in range(8)]
     outcomes += [("new.bad.com", 0, 1), ("new.good.com", 1, 1), ("x.co.uk", 3, 6)]
