@@ -5,8 +5,9 @@ repeated ones. Streams of one host are aligned pairwise: where they differ, the
 becomes one more turn of a repeated group if it equals the group before it, else an optional
 group. Beside that expression the host keeps, for every path with text, how much text it held
 and whether that was always the same. From these counts alone, not by matching the expression,
-the paths of the article are chosen, and pages of the host are cut by them. Streams are folded and counted per scan batch, and merged in two steps (host
-and part, then host), so a host with most pages costs no more than its distinct streams.
+the paths of the article are chosen, and pages of the host are cut by them. Streams are folded
+and counted per scan batch, and merged in two steps (host and part, then host), so a host with
+most pages costs no more than its distinct streams.
 """
 
 from __future__ import annotations
