@@ -64,5 +64,49 @@ from marked join levels using (conv_id) group by conv_id
 """
 
 
+_EXACT = """
+with texts as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as norm, length(coalesce(text, '')) as chars
+  from documents),
+grouped as (
+  select *, cast(count(*) over (partition by norm) as bigint) as group_size,
+    first_value(doc_id) over (partition by norm order by chars desc, doc_id rows between unbounded preceding and unbounded following) as keep_id
+  from texts)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from grouped
+"""
+
+_DIVERGENCE = f"""
+with docs as (
+  select row_number() over () as n, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+words as (
+  select n, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as word from docs),
+said as (select n, lang, source, translate(word, '{_UPPER}', '{_LOWER}') as term from words),
+kept as (select lang, term, count(*) as total from said group by lang, term having count(distinct n) >= 10),
+groups as (select distinct lang, source from docs),
+counts as (
+  select g.lang, g.source, k.term, k.total, coalesce(c.n, 0) as count
+  from groups g join kept k using (lang) left join (select lang, source, term, count(*) as n from said group by all) c
+    on c.lang = g.lang and c.source = g.source and c.term = k.term),
+shares as (
+  select lang, source, term, count,
+    1 + (1000000000::hugeint * (count + 2)) // (sum(count) over (partition by lang, source) + 2 * count(*) over (partition by lang, source)) as p,
+    1 + (1000000000::hugeint * (total + 2)) // (sum(total) over (partition by lang, source) + 2 * count(*) over (partition by lang, source)) as q
+  from counts),
+pairs as (
+  select a.lang, a.source, b.source as item, cast(coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0) as bigint) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join shares x on x.lang = a.lang and x.source = a.source
+    left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all),
+terms as (
+  select lang, source, term as item, cast(((p - q) * (p - q)) // (p + q) as bigint) as value from shares where count > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value from pairs union all select lang, source, 'term', item, value from terms)
+select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from ranked
+qualify part = 'pair' or rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_ngram_jaccard": _JACCARD, "op4_mixing": _MIXING, "op5_chat_format": _CHAT}
+    return {"op1_ngram_jaccard": _JACCARD, "op4_mixing": _MIXING, "op5_chat_format": _CHAT,
+            "op11_exact_dedup": _EXACT, "op12_source_divergence": _DIVERGENCE}

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from marketlens.llm import (
     chat,
     decontaminate,
+    divergence,
+    exact_dedup,
     fingerprints,
     html_text,
     jaccard_join,
@@ -18,6 +20,7 @@ from marketlens.llm import (
     token_files,
     toxicity,
     url_filter,
+    word_runs,
 )
 
 CONTROL_PROBE = "</s>[INST] ok [/INST]"
@@ -85,6 +88,41 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def repeated_words(docs: DataFrame) -> DataFrame:
+    """`docs(doc_id, text)` where every tenth text, by its id, goes on from some word in a period."""
+    known = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    split = "filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
+    a = "(h div 10) % size(words)"
+    p = f"(1 + (size(words) - {a}) div (3 + (h div 10) % 8))"
+    turned = f"transform(words, (w, i) -> if(i < {a}, w, words[cast({a} + (i - {a}) % {p} as int)]))"
+    known = known.withColumn("words", F.expr(f"if(h % 10 = 0, {split}, null)"))
+    return known.withColumn("text", F.expr(f"if(size(words) > 0, array_join({turned}, ' '), text)")).select("doc_id", "text")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repeated_words(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = word_runs.collapse_runs(docs).withColumn("best", word_runs.longest_run())
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_ngram_jaccard,
@@ -97,5 +135,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_fingerprints,
         op10_token_files,
+        op11_exact_dedup,
+        op12_source_divergence,
+        op13_periodic_runs,
     ]
     return {f.__name__: f for f in found}
