@@ -591,6 +591,85 @@ QUERIES["revenue_forecast"] = "select * from revenue_forecast"
 QUERIES["forecast_by_warehouse"] = "select * from forecast_warehouses"
 VIEWS["forecast_warehouses"] = forecast("warehouse_key")
 
+# --- isolation forest ----------------------------------------------------------------
+
+# fixed values of the forest: features, trees, rows per tree, levels, seed, prime, share of outliers
+_FEATURES = ["revenue", "orders", "aov", "sla_breach_rate"]
+_TREES, _SAMPLE, _LEVELS, _SEED, _PRIME, _SHARE = 200, 256, 8, 42, 2147483647, 0.08
+
+
+def number(*parts: str) -> str:
+    text = " || '|' || ".join(f"coalesce(cast({p} as varchar), '')" for p in (str(_SEED), *parts))
+    return f"cast('0x' || substr(md5({text}), 1, 13) as bigint)"
+
+
+def mean_path(n: str) -> str:
+    deep = f"2.0::double * (ln({n} - 1.0::double) + 0.5772156649015329::double) - 2.0::double * ({n} - 1.0::double) / {n}"
+    return f"case when {n} > 2 then {deep} when {n} = 2 then 1.0::double else 0.0::double end"
+
+
+_X = ", ".join(f"cast({c} as double)" for c in _FEATURES)
+VIEWS["forest_rows"] = f"select day, [{_X}] as x, {number(chr(39) + 'row' + chr(39), 'day')} % {_PRIME} as k from daily_panel"
+VIEWS["forest_family"] = f"""
+select tree, {number("'a'", "tree")} % ({_PRIME} - 1) + 1 as a, {number("'b'", "tree")} % {_PRIME} as b
+from (select unnest(range({_TREES})) as tree) t"""
+VIEWS["forest_drawn"] = f"""
+select tree, x, day, (a * k + b) % {_PRIME} as draw from forest_rows cross join forest_family
+where (a * k + b) % {_PRIME} < ceil(least(1.0::double, {_SAMPLE + 8 * _SAMPLE**0.5!r}::double
+  / (select cast(count(*) as double) from forest_rows)) * {_PRIME})"""
+VIEWS["forest_level_0"] = f"""
+select tree, x, cast(1 as bigint) as node, 0 as depth, cast([] as struct(node bigint, feature integer, threshold double)[]) as path,
+  ceil(log2(greatest(cast(count(*) over (partition by tree) as double), 2.0::double))) as most
+from (select * from forest_drawn qualify row_number() over (partition by tree order by draw, cast(day as varchar), x) <= {_SAMPLE}) d"""
+for _level in range(_LEVELS):
+    _bounds = ", ".join(
+        f"{f}(x[{i}]) over (partition by tree, node) as {n}{i}" for i in range(1, 5) for f, n in (("min", "lo"), ("max", "hi"))
+    )
+    VIEWS[f"forest_level_{_level + 1}"] = f"""
+select tree, x, 2 * node + case when x[feature + 1] > cut then 1 else 0 end as node,
+  depth + case when feature is null then 0 else 1 end as depth, most,
+  case when feature is null then path
+       else list_append(path, {{'node': node, 'feature': feature, 'threshold': cut}}) end as path
+from (select *, case when lo + way * (hi - lo) >= hi then lo else lo + way * (hi - lo) end as cut
+  from (select *, lows[feature + 1] as lo, highs[feature + 1] as hi,
+      cast({number("'threshold'", "tree", "node")} as double) / 4503599627370496.0::double as way
+    from (select *, case when n > 1 and most > {_level} and len(open) > 0
+          then cast(open[1 + {number("'feature'", "tree", "node")} % greatest(len(open), 1)] as integer) end as feature
+      from (select *, [lo1, lo2, lo3, lo4] as lows, [hi1, hi2, hi3, hi4] as highs,
+          list_filter([0, 1, 2, 3], lambda i: [hi1, hi2, hi3, hi4][i + 1] > [lo1, lo2, lo3, lo4][i + 1]) as open
+        from (select *, count(*) over (partition by tree, node) as n, {_bounds} from forest_level_{_level}) a) b) c) d) e"""
+VIEWS["forest_splits"] = f"select distinct tree, s.* from (select tree, unnest(path) as s from forest_level_{_LEVELS}) p"
+VIEWS["forest_leaves"] = f"""
+select tree, node, cast(round_even((depth + {mean_path("n")}) * 1000000000, 0) as bigint) as length
+from (select tree, node, max(depth) as depth, cast(count(*) as double) as n from forest_level_{_LEVELS} group by tree, node) l"""
+VIEWS["forest_walk_0"] = f"select day, x, tree, cast(1 as bigint) as node from forest_rows, (select unnest(range({_TREES})) as tree) t"
+for _level in range(_LEVELS):
+    VIEWS[f"forest_walk_{_level + 1}"] = f"""
+select w.day, w.x, w.tree, 2 * w.node + case when coalesce(x[s.feature + 1] > s.threshold, false) then 1 else 0 end as node
+from forest_walk_{_level} w left join forest_splits s on w.tree = s.tree and w.node = s.node"""
+VIEWS["forest_scores"] = f"""
+select day, round_even(-pow(2.0::double, -(cast(sum(length) as double) / 1000000000.0::double / {_TREES}.0::double
+  / (select {mean_path("n")} from (select cast(least(count(*), {_SAMPLE}) as double) as n from forest_rows) c))) * 1e10, 0) / 1e10 as raw
+from forest_walk_{_LEVELS} join forest_leaves using (tree, node) group by day"""
+VIEWS["forest_cut"] = f"""
+select lo + (hi - lo) * ((n - 1) * {_SHARE}::double - floor((n - 1) * {_SHARE}::double)) as cut, n
+from (select max(raw) filter (where k = floor((n - 1) * {_SHARE}::double)) as lo,
+        max(raw) filter (where k = ceil((n - 1) * {_SHARE}::double)) as hi, any_value(n) as n
+      from (select raw, row_number() over (order by raw) - 1 as k, count(*) over () as n from forest_scores) r) s"""
+VIEWS["forest_flags"] = """
+select day, case when n >= 10 then raw - cut else 0 end as iforest_score, n >= 10 and raw - cut < 0 as is_anomaly_iforest
+from forest_scores cross join forest_cut"""
+QUERIES["iforest_report"] = "select * from daily_panel join forest_flags using (day)"
+VIEWS["detector_report"] = f"""
+select z.*, iforest_score, is_anomaly_iforest, is_anomaly_statistical or is_anomaly_iforest as is_anomaly
+from ({zscore(2.5)}) z join forest_flags using (day)"""
+QUERIES["anomaly_timeline"] = "select * from detector_report order by day desc limit 120"
+QUERIES["flagged_anomalies"] = "select * from detector_report where is_anomaly order by day desc limit 60"
+# steps that others read many times over
+STORED = {"daily_panel", "forest_rows", "forest_drawn", "forest_splits", "forest_leaves"} | {
+    f"forest_level_{k}" for k in range(_LEVELS + 1)
+}
+
 # --- rules --------------------------------------------------------------------------
 
 VIEWS["demand"] = """
@@ -740,7 +819,10 @@ def statement(sql: str) -> str:
     body = sql.strip()
     if not steps:
         return body
-    return "with " + ",\n".join(f"{name} as ({VIEWS[name].strip()})" for name in steps) + f"\nselect * from ({body}) result"
+    kept = {name: " materialized" if name in STORED and "forest_flags" in steps else "" for name in steps}
+    return (
+        "with " + ",\n".join(f"{name} as{kept[name]} ({VIEWS[name].strip()})" for name in steps) + f"\nselect * from ({body}) result"
+    )
 
 
 def statements() -> dict[str, str]:

@@ -1,23 +1,29 @@
-"""Isolation forest over a feature table (Liu, Ting and Zhou, ICDM 2008).
-
-Fitting: every row decides by hash, tree by tree, whether it is in that tree's
-sample, so the sample of each tree is drawn without replacement in one pass and only
-about `trees * sample_size` rows are shuffled, whatever the size of the table. Each
-tree is grown by its own task. Scoring: the forest, at most
-`trees * 2 * sample_size` nodes, is broadcast and rows are scored where they lie.
+"""Isolation forest over a feature table (Liu, Ting and Zhou, ICDM 2008), scored natively.
+
+All chance comes from md5 of the seed with a row, tree or node, so any engine that has md5
+grows the same forest. Fitting: a row's number, run through one linear function per tree,
+says whether it is in that tree's sample; about `trees * size` rows are shuffled, by tree,
+whatever the size of the table, and each tree grows in its own task. Trees are heaps: node k
+has the children 2k and 2k+1, and a leaf above the last level lets everything pass to 2k, so
+a walk takes the same number of steps everywhere. Scoring: the forest, at most
+`trees * 2 * size` numbers, is one value that every task gets, and rows are scored where
+they lie.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from marketlens.functions.columns import round_even
+from marketlens.operators.selection import exact_quantile
 from marketlens.session import stored
 
 # Features, number of trees, rows per tree, share of outliers, seed.
@@ -28,129 +34,183 @@ CONTAMINATION = 0.08
 SEED = 42
 MIN_ROWS = 10
 
-_HASH_RANGE = 1 << 40
-_NODES = "tree int, node int, feature int, threshold double, left int, right int, depth int, size long"
+# linear functions modulo this prime deal rows to trees
+PRIME = (1 << 31) - 1
+# path lengths are whole numbers of this part, so that their sum is exact
+LENGTH_UNIT = 1_000_000_000
+SCORE_DIGITS = 10
+EULER = 0.5772156649015329
+_SERIES = "_series"
 
 
-def tree_samples(
-    rows: DataFrame, n_rows: int, features: Sequence[str], id_columns: Sequence[str], trees: int, size: int, seed: int
-) -> DataFrame:
-    """Rows `(tree, draw, features)`: for each tree somewhat more than `size` rows at random.
+def number(*parts: Column | str | int) -> Column:
+    """52 bits from the md5 of the parts, joined by a bar; null parts count as empty."""
+    texts = [F.coalesce((p if isinstance(p, Column) else F.lit(str(p))).cast("string"), F.lit("")) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts).cast("binary")), 1, 13), 16, 10).cast("bigint")
 
-    The margin makes a shortfall below `size` improbable; `_grow` cuts the excess.
-    """
-    share = min(1.0, (size + 8.0 * math.sqrt(size)) / n_rows)
-    limit = int(share * _HASH_RANGE)
 
-    def draw(tree):
-        return F.pmod(F.xxhash64(F.lit(seed), tree, *id_columns), F.lit(_HASH_RANGE))
+def levels_of(size: int) -> int:
+    return max(1, math.ceil(math.log2(max(size, 2))))
+
+
+def _vector(features: Sequence[str]) -> Column:
+    """Features as numbers; null and NaN count as 0."""
+    return F.array(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in features])
 
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < limit)
-    return rows.select(F.explode(chosen).alias("tree"), *id_columns, *features).select(
-        "tree", draw(F.col("tree")).alias("draw"), *features
-    )
 
+def tree_samples(
+    rows: DataFrame, features: Sequence[str], id_columns: Sequence[str], trees: int, size: int, seed: int
+) -> DataFrame:
+    """Rows `(tree, x)`: for each tree `size` rows without replacement, or all if there are fewer.
 
-def fit_forest(
+    A tree first takes somewhat more than `size` rows by their draw, so that few are moved;
+    the margin makes a shortfall improbable. Equal draws go by id.
+    """
+    margin = size + 8.0 * math.sqrt(size)
+    n = rows.agg(F.count(F.lit(1)).cast("double")).scalar()
+    limit = F.ceil(F.least(F.lit(1.0), F.try_divide(F.lit(margin), n)) * PRIME)
+    family = rows.sparkSession.range(trees).select(
+        F.col("id").alias("tree"),
+        (number(seed, "a", F.col("id")) % (PRIME - 1) + 1).alias("a"),
+        (number(seed, "b", F.col("id")) % PRIME).alias("b"),
+    )
+    family = family.agg(F.sort_array(F.collect_list(F.struct("tree", "a", "b")))).scalar()
+    ids = [F.col(c).cast("string").alias(f"_id{i}") for i, c in enumerate(id_columns)]
+    numbered = rows.select(*ids, _vector(features).alias("x"), family.alias("_family"), limit.alias("_limit"))
+    numbered = numbered.withColumn("_number", number(seed, "row", *[F.col(f"_id{i}") for i in range(len(ids))]) % PRIME)
+    draws = f"transform(_family, f -> struct(f.tree as tree, (f.a * _number + f.b) % {PRIME} as draw))"
+    dealt = numbered.select("x", *[f"_id{i}" for i in range(len(ids))], F.expr(f"inline(filter({draws}, d -> d.draw < _limit))"))
+    order = W.partitionBy("tree").orderBy("draw", *[f"_id{i}" for i in range(len(ids))], "x")
+    ranked = dealt.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size)
+    return ranked.select("tree", "x")
+
+
+def fit(
     rows: DataFrame,
-    n_rows: int,
     features: Sequence[str] = FEATURES,
     id_columns: Sequence[str] = ("day",),
     trees: int = TREES,
     size: int = SAMPLE_SIZE,
     seed: int = SEED,
 ) -> DataFrame:
-    """The forest as a table of nodes, one group per tree."""
-    columns, per_tree = list(features), min(size, n_rows)
+    """The forest as a table of nodes, see `_NODES`. Nothing runs until it is used; each tree
+    is grown from its `size` rows by one call, wherever these meet."""
+    last = levels_of(size)
 
-    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
-        sample = pdf.sort_values(["draw", *columns]).head(per_tree)[columns].to_numpy(dtype=float)
-        nodes = _grow(sample, np.random.default_rng([seed, tree]))
-        return pd.DataFrame([(tree, *n) for n in nodes], columns=[f.split()[0] for f in _NODES.split(", ")])
+        return pd.DataFrame(_grow(np.stack(part["x"]), tree, seed, last), columns=_NODES.replace(",", "").split()[::2])
+
+    sample = tree_samples(rows, features, id_columns, trees, size, seed)
+    return sample.groupBy("tree").applyInPandas(grow, _NODES)
+
+
+# feature -1: a leaf, on the last level, of `size` rows after `depth` splits
+_NODES = "tree bigint, node bigint, feature int, threshold double, depth int, size bigint"
 
-    samples = tree_samples(rows, n_rows, features, id_columns, trees, size, seed)
-    return samples.groupBy("tree").applyInPandas(grow, _NODES)
 
+def _grow(sample: np.ndarray, tree: int, seed: int, last: int) -> list[tuple]:
+    """A node is split at a random place between the least and the greatest value of a random
+    feature that varies in it, while it holds several rows and lies above the depth at which
+    the sample would be halved to one."""
 
-def _grow(sample: np.ndarray, rng: np.random.Generator) -> list[tuple]:
-    """Nodes (node, feature, threshold, left, right, depth, size); leaves have feature -1."""
-    max_depth = math.ceil(math.log2(max(len(sample), 2)))
+    def drawn(kind: str, node: int) -> int:
+        return int(hashlib.md5(f"{seed}|{kind}|{tree}|{node}".encode()).hexdigest()[:13], 16)
+
+    most = math.ceil(math.log2(max(len(sample), 2)))
     nodes: list[tuple] = []
-    pending = [(0, np.arange(len(sample)), 0)]
-    next_id = 1
+    pending = [(sample, 1, 0, 0)]
     while pending:
-        node, index, depth = pending.pop()
-        part = sample[index]
+        part, node, level, depth = pending.pop()
+        if level == last:
+            nodes.append((tree, node, -1, 0.0, depth, len(part)))
+            continue
         low, high = part.min(axis=0), part.max(axis=0)
-        splittable = np.flatnonzero(high > low)
-        if depth >= max_depth or len(index) <= 1 or not len(splittable):
-            nodes.append((node, -1, 0.0, -1, -1, depth, len(index)))
+        varying = np.flatnonzero(high > low)
+        if len(part) < 2 or level >= most or not len(varying):
+            pending.append((part, 2 * node, level + 1, depth))
             continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        goes_left = part[:, feature] <= threshold
-        left, right = next_id, next_id + 1
-        next_id += 2
-        nodes.append((node, feature, threshold, left, right, depth, len(index)))
-        pending += [(left, index[goes_left], depth + 1), (right, index[~goes_left], depth + 1)]
+        feature = int(varying[drawn("feature", node) % len(varying)])
+        lo, hi = float(low[feature]), float(high[feature])
+        cut = lo + drawn("threshold", node) / float(1 << 52) * (hi - lo)
+        # rounding may reach the greatest value, which would leave nothing on the right
+        cut = lo if cut >= hi else cut
+        nodes.append((tree, node, feature, cut, depth, len(part)))
+        left = part[:, feature] <= cut
+        pending += [(part[left], 2 * node, level + 1, depth + 1), (part[~left], 2 * node + 1, level + 1, depth + 1)]
     return nodes
 
 
-def mean_path(size):
+def mean_path(size: Column | str) -> Column:
     """Mean path length of an unsuccessful search in a binary tree of `size` leaves."""
-    n = np.asarray(size, dtype=float)
-    big = np.where(n > 2, n, 3.0)
-    value = 2.0 * (np.log(big - 1.0) + np.euler_gamma) - 2.0 * (big - 1.0) / big
-    return np.where(n > 2, value, np.where(n == 2, 1.0, 0.0))
-
-
-def score_rows(rows: DataFrame, forest: list[dict], n_rows: int, features: Sequence[str], size: int) -> DataFrame:
-    """Adds `raw_score` in [-1, 0): the lower, the easier a row is to isolate."""
-    columns = list(features)
-    shared = rows.sparkSession.sparkContext.broadcast(forest)
-    typical = float(mean_path(min(size, n_rows)))
-    schema = T.StructType([*rows.schema.fields, T.StructField("raw_score", T.DoubleType())])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trees = shared.value
-        for batch in batches:
-            values = batch[columns].fillna(0.0).to_numpy(dtype=float)
-            depth = np.zeros(len(values))
-            for tree in trees:
-                depth += _path_length(tree, values)
-            yield batch.assign(raw_score=-(2.0 ** (-depth / len(trees) / typical)))
-
-    return rows.mapInPandas(score, schema)
-
-
-def _path_length(tree: dict, values: np.ndarray) -> np.ndarray:
-    at = np.zeros(len(values), dtype=int)
-    row = np.arange(len(values))
-    while True:
-        feature = tree["feature"][at]
-        inner = feature >= 0
-        if not inner.any():
-            return tree["length"][at]
-        goes_left = values[row, np.where(inner, feature, 0)] <= tree["threshold"][at]
-        at = np.where(inner, np.where(goes_left, tree["left"][at], tree["right"][at]), at)
-
-
-def _as_arrays(nodes: pd.DataFrame) -> list[dict]:
-    """Per tree, node fields as arrays indexed by node id."""
-    trees = []
-    for _, part in nodes.groupby("tree", sort=True):
-        part = part.sort_values("node")
-        trees.append(
-            {
-                "feature": part["feature"].to_numpy(),
-                "threshold": part["threshold"].to_numpy(),
-                "left": part["left"].to_numpy(),
-                "right": part["right"].to_numpy(),
-                "length": part["depth"].to_numpy() + mean_path(part["size"]),
-            }
-        )
-    return trees
+    n = (F.col(size) if isinstance(size, str) else size).cast("double")
+    deep = F.lit(2.0) * (F.log(n - 1.0) + F.lit(EULER)) - F.lit(2.0) * (n - 1.0) / n
+    return F.when(n > 2, deep).when(n == 2, F.lit(1.0)).otherwise(F.lit(0.0))
+
+
+def _heaps(forest: DataFrame, size: int) -> DataFrame:
+    """Per tree `feature` and `threshold` by node and `length` by place on the last level. A
+    node without a split lets everything pass to the left."""
+    width = 1 << levels_of(size)
+    split = f"transform(sequence(1L, {width - 1}L), k -> try_element_at(_splits, k)"
+    inner, length = F.col("feature") >= 0, (F.col("depth") + mean_path("size")) * LENGTH_UNIT
+    mapped = forest.groupBy("tree").agg(
+        F.map_from_entries(F.collect_list(F.when(inner, F.struct("node", F.struct("feature", "threshold"))))).alias("_splits"),
+        F.map_from_entries(F.collect_list(F.when(~inner, F.struct("node", F.rint(length).cast("bigint"))))).alias("_leaves"),
+    )
+    return mapped.select(
+        "tree",
+        F.expr(f"{split}.feature)").alias("_features"),
+        F.expr(f"{split}.threshold)").alias("_thresholds"),
+        F.expr(f"transform(sequence({width}L, {2 * width - 1}L), k -> try_element_at(_leaves, k))").alias("length"),
+    ).select(
+        "tree",
+        F.expr("transform(_features, f -> coalesce(f, 0))").alias("feature"),
+        F.expr("transform(_thresholds, t -> coalesce(t, double('Infinity')))").alias("threshold"),
+        "length",
+    )
+
+
+def score(
+    rows: DataFrame, forest: DataFrame, features: Sequence[str] = FEATURES, trees: int = TREES, size: int = SAMPLE_SIZE
+) -> DataFrame:
+    """Adds `raw_score` in [-1, 0): the lower, the easier a row is to isolate. Ten decimals,
+    so that it does not depend on how a machine computes powers. Nothing runs until used."""
+    level = levels_of(size)
+    heaps = _heaps(forest, size).agg(F.collect_list(F.struct("feature", "threshold", "length"))).scalar()
+    steps = F.sequence(F.lit(1), F.lit(level))
+
+    def length(x: Column, tree: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            here = F.get(x, F.get(tree["feature"], at - 1))
+            return at * 2 + F.when(here <= F.get(tree["threshold"], at - 1), 0).otherwise(1)
+
+        return F.get(tree["length"], F.reduce(steps, F.lit(1), step) - (1 << level))
+
+    # a lambda's argument is computed once, a column inside it at every step
+    total = F.transform(
+        F.array(_vector(features)),
+        lambda x: F.reduce("_forest", F.lit(0).cast("bigint"), lambda sum_, tree: sum_ + length(x, tree)),
+    )[0]
+    typical = rows.agg(mean_path(F.least(F.count(F.lit(1)), F.lit(size)))).scalar()
+    mean = total / F.lit(float(LENGTH_UNIT)) / F.lit(float(trees))
+    raw = -F.pow(F.lit(2.0), -F.try_divide(mean, typical))
+    ready = rows.withColumn("_forest", heaps)
+    return ready.withColumn("raw_score", round_even(raw, SCORE_DIGITS)).drop("_forest")
+
+
+def flag(scored: DataFrame, contamination: float, by: Sequence[str]) -> DataFrame:
+    """`iforest_score`, the raw score less its exact `contamination` quantile per series, and
+    `is_anomaly_iforest` where it is negative. A series of fewer than ten rows gets 0 and no
+    flags."""
+    cut = exact_quantile(scored, "raw_score", contamination, by)
+    joined = scored.join(cut.withColumnsRenamed({"n": "_n", "quantile": "_cut"}), list(by), "left")
+    own = F.when(F.col("_n") >= MIN_ROWS, F.col("raw_score") - F.col("_cut")).otherwise(F.lit(0.0))
+    return (
+        joined.withColumn("iforest_score", own)
+        .withColumn("is_anomaly_iforest", F.col("iforest_score") < 0)
+        .drop("raw_score", "_n", "_cut")
+    )
 
 
 def isolation_forest(
@@ -164,21 +224,10 @@ def isolation_forest(
 ) -> DataFrame:
     """Adds `iforest_score` (negative for outliers) and `is_anomaly_iforest`.
 
-    The cut-off is the exact `contamination` quantile of the scores, so about that
-    share of rows is flagged. Fewer than ten rows give no flags and score 0. Runs jobs:
-    the panel is stored once, the forest is collected (its size is fixed by `trees`
-    and `size`, not by the data).
+    The panel and its raw scores are stored once each, since fitting, scoring and the cut-off
+    all read them; forest and cut-off are part of the plan and come to no driver code.
     """
-    base = stored(panel, "iforest-panel")
-    n_rows = base.count()
-    if n_rows < MIN_ROWS:
-        return base.withColumns({"is_anomaly_iforest": F.lit(False), "iforest_score": F.lit(0.0)})
-    clean = base.na.fill(0, list(features))
-    nodes = fit_forest(clean, n_rows, features, id_columns, trees, size, seed).toPandas()
-    scored = stored(score_rows(base, _as_arrays(nodes), n_rows, features, size), "iforest-scores")
-    cut = scored.agg(F.percentile("raw_score", F.lit(contamination)).alias("cut")).first()["cut"]
-    return (
-        scored.withColumn("iforest_score", F.col("raw_score") - F.lit(cut))
-        .withColumn("is_anomaly_iforest", F.col("iforest_score") < 0)
-        .drop("raw_score")
-    )
+    base = stored(panel.withColumn(_SERIES, F.lit(0)), "iforest-panel")
+    forest = fit(base, features, id_columns, trees, size, seed)
+    scored = stored(score(base, forest, features, trees, size), "iforest-scores")
+    return flag(scored, contamination, [_SERIES]).drop(_SERIES)
