@@ -203,8 +203,8 @@ def pair_corrections(paths: DataFrame) -> DataFrame:
                     yield from settled()
         yield from settled()
 
-    # neighbours in the order of paths begin alike, so a range of them shares its nodes
-    ranged = paths.repartitionByRange("lang", "path")
+    # paths that begin alike go to one task, whose tree shares their nodes
+    ranged = paths.repartitionByRange("lang", F.slice("path", 1, 3))
     return _summed(ranged.mapInArrow(grow, "lang string, a long, b long, value long"))
 
 
