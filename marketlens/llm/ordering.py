@@ -29,26 +29,12 @@ def range_of(ids: pa.Array, bounds: list[int]) -> np.ndarray:
     return np.searchsorted(np.array(bounds, dtype=np.int64), values, side="right")
 
 
-def in_ranges(docs: DataFrame, bounds: list[int], partitions: int) -> DataFrame:
-    """`docs(id, text)` with `range`, in partitions that hold whole ranges, sorted by range,
-    id (null last) and, for equal ids, text."""
-    if not bounds:
-        numbered = docs.withColumn("range", F.lit(0).cast("long"))
-    else:
-
-        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.append_column("range", pa.array(range_of(batch.column("id"), bounds), pa.int64()))
-
-        numbered = docs.mapInArrow(number, f"{_ddl(docs)}, range long")
-    return numbered.repartition(partitions, "range").sortWithinPartitions("range", F.col("id").asc_nulls_last(), "text")
-
-
-def _ddl(docs: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields)
-
-
-def running_start(parts: DataFrame, order: list[str], count: str) -> DataFrame:
-    """`parts` with `before`: the sum of `count` over earlier rows. One row per stored part."""
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return parts.withColumn("before", F.coalesce(F.sum(count).over(before), F.lit(0)).cast("long"))
+def running_start(parts: DataFrame, group: str, order: str, count: str) -> DataFrame:
+    """`parts` with `before`: the sum of `count` over all earlier rows by group, then order.
+    Groups are summed first, so that only one row per group goes through one task."""
+    earlier = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    groups = parts.groupBy(group).agg(F.sum(count).alias("_held"))
+    groups = groups.select(group, F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_earlier"))
+    placed = parts.withColumn("_inside", F.coalesce(F.sum(count).over(inside), F.lit(0))).join(groups, group)
+    return placed.withColumn("before", (F.col("_earlier") + F.col("_inside")).cast("long")).drop("_earlier", "_inside")

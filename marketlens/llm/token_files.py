@@ -1,9 +1,9 @@
 """Token ids in binary shards, compressed by Re-Pair grammars.
 
 Documents are put in order of their ids by ranges; a range is encoded by one task and cut
-into shards. Each shard has its own grammar: the most frequent pairs of neighbouring symbols
-(never across a document's end) are replaced by new symbols, again and again, until no pair
-is frequent enough or the 16-bit symbols run out.
+into shards. Each shard has its own grammar: all pairs of neighbouring symbols (never across
+a document's end) are counted, the most frequent ones are replaced by new symbols, and so
+on, until no pair occurs `LEAST_COUNT` times or the 16-bit symbols run out.
 
 A shard is one binary value, little-endian:
 
@@ -14,13 +14,14 @@ A shard is one binary value, little-endian:
     expansion lengths of the rules                         4 per rule
     symbols                                                2 each
 
-Symbols below 50,257 are token ids, 65535 is a document's end, the others are rules in order. The expansion lengths let a reader skip to any token of a document
-without expanding what comes before. Shards are stored as rows of a table, so that every
+Symbols below 50,257 are token ids, 65535 is a document's end, the others are rules in order. The expansion
+lengths let a reader skip to any token of a document without expanding what comes before. Shards are stored as rows of a table, so that every
 file system works and a task that is run again leaves nothing behind.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from array import array
@@ -28,31 +29,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.ordering import in_ranges, range_bounds, running_start
+from marketlens.llm.ordering import running_start
 from marketlens.session import scratch_path
 
 END_ID = 2
 END = 65535
 FIRST_RULE = 50_257
-RANGE_BYTES = 16 << 20
-TASK_BYTES = 128 << 20
+# text of one task, of one call of the encoder, and tokens of a shard
+RANGE_BYTES = 32 << 20
+SLICE_BYTES = 4 << 20
 SHARD_TOKENS = 1_000_000
-# what an encoder remembers at most: pieces of text, and their parts with ids
-MOST_PIECES = 400_000
-MOST_PARTS = 900_000
-ROUNDS = 6
-PAIRS_PER_ROUND = 2_000
+# pieces of text, and their parts, that an encoder remembers at most
+MOST_PIECES = 300_000
+MOST_PARTS = 300_000
+# a pair is replaced from this count on; a round takes pairs down to this share of the best
 LEAST_COUNT = 32
-BIN_BITS = 18
+ROUND_SHARE = 8
 _HEAD = "<4sIII"
 _MARKS = ".,;:!?%&*$#\"'()"
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer of the library, each distinct piece encoded once.
+    """Ids of whole texts by a tokenizer of the library as loaded, each distinct piece once.
 
     A text is cut before every single space between two other characters; byte-level
     tokenizers cut there too, so the ids of the pieces in a row are those of the text. A
@@ -64,8 +67,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.core: dict[str, bytes] = {"": b""}  # ids as 16-bit numbers
+        self.core: dict[str, bytes] = {}  # ids as 16-bit numbers
         # byte-level tokenizers spell bytes that are no printable character by those from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in plain]
@@ -76,80 +78,95 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
-        self.odd: set[str] = set()
         if len(self.core) > MOST_PARTS:
-            self.core = {"": b""}
+            self.core = {}
 
-    def _encode_parts(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Strings that the tokenizer does not cut: letters after a space, or marks."""
-        tokenize = self.tokenizer.model.tokenize
-        for string in strings:
-            spelled = string.encode().decode("latin-1").translate(self.letters)
-            yield string, array("H", [t.id for t in tokenize(spelled)]).tobytes()
-
-    def _encode(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
-        for at in range(0, len(strings), 4096):
-            part = strings[at : at + 4096]
-            for string, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                yield string, array("H", found.ids).tobytes()
+    def _by_model(self, text: str, space: str) -> bytes:
+        """Ids of a string that the tokenizer does not cut: letters after a space, or marks."""
+        spelled = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.tokenizer.model.tokenize(space + spelled)]).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        parts, whole, cut = [], set(), set()
-        for piece in pieces:
-            text = piece[1:] if piece[0] == " " else " " + piece
-            letters = text.rstrip(_MARKS)
-            if letters[1:].isalpha() and letters[0] == " ":
-                parts.append((letters, text[len(letters) :]))
-                cut.update(parts[-1])
-            else:
-                parts.append((text, ""))
-                whole.add(text)
-        self.core.update(self._encode_parts(list(cut.difference(self.core))))
-        self.core.update(self._encode(list(whole.difference(self.core))))
-        self.odd.update(filter(_is_odd, pieces))
-        ids = [self.core[a] + self.core[b] if b else self.core[a] for a, b in parts]
+        core, space, ids, whole = self.core, self.letters[32], [], {}
+        for i, piece in enumerate(pieces):
+            word = piece.rstrip(_MARKS)
+            if not word.isalpha():
+                whole[i] = piece[1:] if piece[0] == " " else " " + piece
+                ids.append(b"")
+                continue
+            found = core.get(word)
+            if found is None:
+                found = core[word] = self._by_model(word, space)
+            if len(word) < len(piece):
+                marks = piece[len(word) :]
+                more = core.get(marks)
+                if more is None:
+                    more = core[marks] = self._by_model(marks, "")
+                found += more
+            ids.append(found)
+        encoded = self.tokenizer.encode_batch_fast(list(whole.values()), add_special_tokens=False) if whole else []
+        for i, found in zip(whole, encoded, strict=True):
+            ids[i] = array("H", found.ids).tobytes()
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
         self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces)), strict=True))
         self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype=np.uint16)))
         self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and how many each text has."""
         if len(self.number) > MOST_PIECES:
             self._forget()
-        pieces: list[str] = []
-        bounds = []
-        for text in texts:
-            cut = text.split(" ")
-            cut[0] = " " + cut[0]  # a piece without the space before it
-            bounds.append(len(pieces))
-            pieces += cut
-        bounds.append(len(pieces))
-        distinct = set(pieces)
-        unknown = distinct.difference(self.number)
-        odd = {p for p in unknown if _is_odd(p)} | (self.odd & distinct)
-        if odd:
-            # texts with other white space beside a space are cut with care
-            fresh: list[str] = []
-            again = [0]
-            for i, text in enumerate(texts):
-                own = pieces[bounds[i] : bounds[i + 1]]
-                if not odd.isdisjoint(own):
-                    own = _careful(text)
-                fresh += own
-                again.append(len(fresh))
-            pieces, bounds = fresh, again
-            unknown = set(pieces).difference(self.number)
-        if unknown:
-            self._learn(list(unknown))
-        which = np.fromiter(map(self.number.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return np.empty(0, dtype=np.uint16), np.empty(0, dtype=np.int64)
+        cut = pc.split_pattern(texts, " ")
+        flat, bounds = cut.flatten(), np.asarray(cut.offsets).astype(np.int64)
+        bounds -= bounds[0]
+        # a text's first piece, which no space precedes, is told apart by a space of its own
+        marked = pc.binary_join_element_wise("", flat.take(pa.array(bounds[:-1])), " ")
+        coded = pa.concat_arrays([flat, marked]).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        which[bounds[:-1]] = which[len(flat) :]
+        which = which[: len(flat)]
+        # letters and digits only: the cheap way to see that a piece is not odd
+        odd = ~pc.utf8_is_alnum(coded.dictionary).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(odd).tolist():
+            odd[i] = _is_odd(pieces[i])
+        if odd.any():
+            which, bounds = self._with_care(texts, pieces, which, bounds, odd)
+        used = np.zeros(len(pieces), dtype=bool)
+        used[which] = True
+        number = self.number
+        self._learn([p for p, u in zip(pieces, used.tolist(), strict=True) if u and p not in number])
+        known = np.fromiter((number.get(p, 0) for p in pieces), dtype=np.int64, count=len(pieces))
+        which = known[which]
         sizes = self.start[which + 1] - self.start[which]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total, dtype=np.int64) + np.repeat(self.start[which] - (ends - sizes), sizes)
-        upto = np.concatenate(([0], ends))[np.array(bounds)]
+        upto = np.concatenate(([0], ends))[bounds]
         return self.ids[at], np.diff(upto)
 
+    def _with_care(
+        self, texts: pa.Array, pieces: list[str], which: np.ndarray, bounds: np.ndarray, odd: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Texts that hold an odd piece are cut once more, with care; `pieces` gets theirs."""
+        place = {p: i for i, p in enumerate(pieces)}
+        careful = np.logical_or.reduceat(odd[which], bounds[:-1])
+        parts = []
+        for i, again in enumerate(careful.tolist()):
+            if again:
+                own = _careful(texts[i].as_py())
+                for p in own:
+                    if place.setdefault(p, len(pieces)) == len(pieces):
+                        pieces.append(p)
+                parts.append(np.fromiter(map(place.__getitem__, own), dtype=np.int64, count=len(own)))
+            else:
+                parts.append(which[bounds[i] : bounds[i + 1]])
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+
 
 def _is_odd(piece: str) -> bool:
     """Whether the piece is empty, or white space other than its mark begins or ends it."""
@@ -176,38 +193,44 @@ def _careful(text: str) -> list[str]:
 
 
 def compress(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, rules): pairs of neighbours replaced, rules as rows of left and right."""
+    """(symbols, rules): pairs of neighbours replaced, rules as rows of left and right.
+
+    Every round counts all pairs exactly and replaces those that occur at least
+    `LEAST_COUNT` times and at least `1 / ROUND_SHARE` as often as the most frequent one; it
+    ends when there is none, or no symbol is left.
+    """
     symbols = symbols.astype(np.uint32)
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(ROUNDS):
-        room = min(PAIRS_PER_ROUND, END - FIRST_RULE - made)
-        if room <= 0 or len(symbols) < 2 * LEAST_COUNT:
-            break
+    while made < END - FIRST_RULE and len(symbols) >= 2 * LEAST_COUNT:
         left, right = symbols[:-1], symbols[1:]
-        pair = (left << np.uint32(16)) | right
-        # pairs are counted in bins; of those that share a bin the last one met owns it
-        bins = (pair * np.uint32(2654435761)) >> np.uint32(32 - BIN_BITS)
-        owner = np.zeros(1 << BIN_BITS, dtype=np.uint32)
-        owner[bins] = pair
-        own = (owner[bins] == pair) & (left != END) & (right != END)
-        counts = np.bincount(bins[own], minlength=1 << BIN_BITS)
-        best = np.argpartition(-counts, room - 1)[:room]
-        best = np.sort(best[counts[best] >= LEAST_COUNT])
-        if not len(best):
+        free = np.flatnonzero((left != END) & (right != END))
+        pair = (left[free] << np.uint32(16)) | right[free]
+        ranked = np.sort(pair)
+        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))[: len(ranked)]
+        counts = np.diff(np.append(first, len(ranked)))
+        if not len(counts) or counts.max() < LEAST_COUNT:
             break
-        symbol = np.zeros(1 << BIN_BITS, dtype=np.uint32)
-        symbol[best] = FIRST_RULE + made + np.arange(len(best), dtype=np.uint32)
-        at = np.flatnonzero(own & (symbol[bins] > 0))
+        likely = np.flatnonzero(counts >= max(LEAST_COUNT, int(counts.max()) // ROUND_SHARE))
+        likely = likely[np.argsort(-counts[likely], kind="stable")[: END - FIRST_RULE - made]]
+        best = np.sort(ranked[first[likely]])
+        # where they occur: only symbols that begin and end one of them are looked up
+        begins, ends = np.zeros(65536, dtype=bool), np.zeros(65536, dtype=bool)
+        begins[best >> np.uint32(16)] = True
+        ends[best & np.uint32(0xFFFF)] = True
+        hopeful = np.flatnonzero(begins[left[free]] & ends[right[free]])
+        place = np.minimum(np.searchsorted(best, pair[hopeful]), len(best) - 1)
+        hit = best[place] == pair[hopeful]
+        at, rule = free[hopeful[hit]], place[hit]
         # of pairs that overlap, every other one is replaced, from the left
-        place = np.arange(len(at))
-        run = place - np.maximum.accumulate(np.where(np.concatenate(([True], np.diff(at) != 1)), place, 0))
-        at = at[run % 2 == 0]
-        symbols[at] = symbol[bins[at]]
+        order = np.arange(len(at))
+        run = order - np.maximum.accumulate(np.where(np.concatenate(([True], np.diff(at) != 1)), order, 0))
+        at, rule = at[run % 2 == 0], rule[run % 2 == 0]
+        symbols[at] = (FIRST_RULE + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols = symbols[keep]
-        rules.append(np.stack((owner[best] >> np.uint32(16), owner[best] & np.uint32(0xFFFF)), axis=1))
+        rules.append(np.stack((best >> np.uint32(16), best & np.uint32(0xFFFF)), axis=1))
         made += len(best)
     table = np.concatenate(rules) if rules else np.empty((0, 2), dtype=np.uint32)
     return symbols.astype(np.uint16), table.astype(np.uint16)
@@ -310,6 +333,27 @@ class Shard:
 # --- jobs ------------------------------------------------------------------------------
 
 
+def in_order(rows: DataFrame, range_bytes: int) -> DataFrame:
+    """`rows(id, text)` in partitions that are ranges of (id, text), null ids last, of about
+    `range_bytes` of text each, and sorted within. Rows of one id are parted by how their
+    texts begin; rows that agree in that stay together."""
+    volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    order = [F.col("id").asc_nulls_last(), F.substring("text", 1, 64)]
+    ranges = rows.repartitionByRange(max(1, math.ceil(volume / range_bytes)), *order)
+    return ranges.sortWithinPartitions(F.col("id").asc_nulls_last(), "text")
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about `most` bytes each, one row at least."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        held = int(upto[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, held + most, side="right")))
+        yield start, end
+        start = end
+
+
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
     range_bytes: int = RANGE_BYTES, shard_tokens: int = SHARD_TOKENS,
@@ -317,13 +361,10 @@ def write_tokens(
     """Writes the shards of `docs` to `path`, in ascending order of ids (null last, equal
     ids by text). `tokenizer` is a file of the tokenizers library with ids below 50,257."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    bounds = range_bounds(rows, "id", "text", range_bytes)
-    # a task takes several ranges, in order, and remembers what it has encoded
-    ordered = in_ranges(rows, bounds, max(1, (len(bounds) + 1) * range_bytes // TASK_BYTES))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, ids, counts, tokens = None, [], [], []
-        held, number, current = 0, 0, None
+        held, number, current = 0, 0, TaskContext.get().partitionId()
 
         def shard() -> pa.RecordBatch:
             nonlocal ids, counts, tokens, held, number
@@ -334,29 +375,30 @@ def write_tokens(
 
         for batch in batches:
             encoder = encoder or Encoder(tokenizer)
-            ranges = np.asarray(batch.column("range"))
-            cuts = [0, *(np.flatnonzero(np.diff(ranges)) + 1).tolist(), len(ranges)]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if hi == lo:
-                    continue
-                if ids and current != int(ranges[lo]):
-                    yield shard()
-                    number = 0
-                if current != int(ranges[lo]):
-                    current, number = int(ranges[lo]), 0
-                for a in range(lo, hi, 1000):
-                    part = batch.slice(a, min(1000, hi - a))
-                    found, sizes = encoder(part.column("text").to_pylist())
-                    ids += part.column("id").to_pylist()
-                    counts.append(sizes)
-                    tokens.append(found)
-                    held += len(found)
+            for a, b in _slices(batch.column("text"), SLICE_BYTES):
+                part = batch.slice(a, b - a)
+                found, sizes = encoder(part.column("text"))
+                known, ends = part.column("id").to_pylist(), np.cumsum(sizes)
+                start = 0
+                while start < len(known):
+                    # documents until the shard is full, one at least
+                    before = int(ends[start - 1]) if start else 0
+                    full = int(np.searchsorted(ends, before + shard_tokens - held, side="left")) + 1
+                    end = min(max(full, start + 1), len(known))
+                    ids += known[start:end]
+                    counts.append(sizes[start:end])
+                    tokens.append(found[before : int(ends[end - 1])])
+                    held += len(tokens[-1])
+                    start = end
                     if held >= shard_tokens:
                         yield shard()
         if ids:
             yield shard()
 
-    ordered.mapInArrow(encode, "range long, shard int, documents long, tokens long, data binary").write.parquet(path)
+    shards = in_order(rows, range_bytes).mapInArrow(
+        encode, "range long, shard int, documents long, tokens long, data binary"
+    )
+    shards.write.parquet(path)
 
 
 _SHARD = ["range", "shard", "documents", "tokens", "data"]
@@ -393,7 +435,7 @@ def read_tokens(spark: SparkSession, path: str, with_tokens: bool = True) -> Dat
     docs = shards.select("range", "shard", "data").mapInArrow(
         decode, "range long, shard int, doc_id long, place long, n_tokens long, ids_crc32 long, tokens binary"
     )
-    begins = running_start(shards.select("range", "shard", F.col("tokens").alias("held")), ["range", "shard"], "held")
+    begins = running_start(shards.select("range", "shard", F.col("tokens").alias("held")), "range", "shard", "held")
     joined = docs.join(begins.drop("held"), ["range", "shard"])
     return joined.select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", "tokens")
 

@@ -128,14 +128,14 @@ def test_next_document_with_ties_and_nulls(spark):
 
 
 ODD = ["a b", "  lead", "trail  ", "x   y", "a \n b", "\n", " ", "", "don't, 'quoted' it's.", "%%% &&& w&&&", "ünï  çödé\u00a0x",
-       "tab\tx \t y", "<|endoftext|> a <|endoftext|>", "1,234.5 km", "a" * 3000, "word. " * 50, "\x1c a \x1c"]
+       "tab\tx \t y", "<|endoftext|> a <|endoftext|>", "1,234.5 km", "a" * 3000, "word. " * 50, "\x1c a \x1c",
+       "x<|endoftext|>y", "<|endoftext|>", "a  <|endoftext|>  b", "|<|endoftext|>| <|endoftext|"]
 
 
 def encoded(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
