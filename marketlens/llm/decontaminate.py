@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.llm.naming import unused
 from marketlens.llm.sizes import small_side
 from marketlens.session import stored
 
@@ -199,6 +200,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:
     """The rows of `docs` that hold no item of the benchmark, unchanged. See `contaminated`."""
-    bad = matches(docs, benchmark, size, min_share).select("_key").distinct()
+    key = unused(docs, "_key")
+    bad = matches(docs, benchmark, size, min_share).select(F.col("_key").alias(key)).distinct()
     bad = small_side(bad, BROADCAST_DOCUMENTS, "contaminated")
-    return docs.withColumn("_key", _key()).join(bad, "_key", "left_anti").select(*docs.columns)
+    return docs.withColumn(key, _key()).join(bad, key, "left_anti").select(*docs.columns)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.llm.naming import unused
 from marketlens.llm.sizes import small_side
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,15 +70,15 @@ def mixed_counts(docs: DataFrame, cycle: int = 3, most: int = MOST_REPEATS, seed
     """
     docs = docs.drop("size", "source_size", "target", "copies").withColumn("size", word_count(F.col("text")))
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rates = targets(cycling_weights(sizes, cycle), most).select(
-        F.col("source").alias("_source"), "source_size", "target"
-    )
-    joined = docs.join(small_side(rates, BROADCAST_SOURCES, "rates"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    other = unused(docs, "_source")
+    rates = targets(cycling_weights(sizes, cycle), most).select(F.col("source").alias(other), "source_size", "target")
+    joined = docs.join(small_side(rates, BROADCAST_SOURCES, "rates"), F.col("source").eqNullSafe(F.col(other))).drop(other)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return joined.withColumn("copies", copies(rate, F.col("doc_id"), seed))
 
 
 def mix(docs: DataFrame, cycle: int = 3, most: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:
     """`docs` in the mixture: each row as often as it is taken. See `mixed_counts`."""
-    counted = mixed_counts(docs, cycle, most, seed).where("copies > 0")
-    return counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    packed = docs.select("doc_id", "text", "source", F.struct("*").alias("row"))
+    counted = mixed_counts(packed, cycle, most, seed).where("copies > 0")
+    return counted.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

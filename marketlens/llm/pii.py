@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.llm.naming import unused
 from marketlens.session import stored
 
 # fixed values: what counts as an entity, the first kind that matches a whole entity names it
@@ -31,6 +32,8 @@ KINDS = {
 ANY = "|".join(KINDS.values())
 # a cheap necessary condition, so that most texts are scanned once by a simple pattern
 HINT = rf"[@\d]|[=:]|{FEMALE_TITLES}|{MALE_TITLES}"
+# draws within an entity's own layout, before surrogates get longer
+OWN_LAYOUT = 6
 SYLLABLES = {
     "latin": "ba be bo da de di fa ga la le li lo ma me mi mo na ne no pa ra re ri ro sa se so ta te to va vi".split(),
     "cyrillic": "ба бе бо да де ди фа га ла ле ли ло ма ме ми мо на не но па ра ре ри ро са се со та те то ва ви".split(),
@@ -150,11 +153,9 @@ def _replacement(key: str, entity: Column, kind: Column, normal: Column, attempt
     value = F.substr(entity, F.length(marker) + 1)
     # hexadecimal secrets stay hexadecimal
     pure = value.rlike(r"^[0-9a-f]+\"?$")
-    letters = F.lit("abcdefghijklmnopqrstuvwxyz")
     secret = _by_character(value, seed)
     secret = F.when(pure, F.translate(secret, "ghijklmnopqrstuvwxyz", "abcdefabcdefabcdefab")).otherwise(secret)
-    del letters
-    return (
+    own = (
         F.when(kind == "email", mail)
         .when(kind == "phone", _phone(entity, seed))
         .when(kind == "ip", _octets(entity, seed))
@@ -164,13 +165,32 @@ def _replacement(key: str, entity: Column, kind: Column, normal: Column, attempt
         .when(kind.isin("female", "male"), _name(entity, kind, words))
         .otherwise(F.concat(marker, secret))
     )
+    return F.when(attempt < OWN_LAYOUT, own).otherwise(_longer(own, kind, seed, attempt - OWN_LAYOUT + 1))
+
+
+def _longer(own: Column, kind: Column, seed: Column, more: Column) -> Column:
+    """A surrogate beyond its layout: `more` letters (digits for numbers) behind it, before
+    the at sign of a mail, or any four octets of an address."""
+    digest = F.sha2(F.concat(seed, F.lit("longer")), 256)
+    letters = F.substr(F.translate(digest, "0123456789", "ghijklmnop"), F.lit(1), more)
+    digits = F.substr(F.translate(digest, "abcdef", "123456"), F.lit(1), more)
+    octets = F.concat_ws(".", *[(_number(digest, 1 + 4 * i, 4) % 256).cast("string") for i in range(4)])
+    local, domain = F.substring_index(own, "@", 1), F.substring_index(own, "@", -1)
+    return (
+        F.when(kind == "email", F.concat(local, letters, F.lit("@"), domain))
+        .when(kind == "ip", octets)
+        .when(kind.isin("phone", "ssn", "card"), F.concat(own, digits))
+        .otherwise(F.concat(F.regexp_replace(own, "\"$", ""), letters, F.regexp_extract(own, "\"$", 0)))
+    )
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(entity, surrogate) for every distinct `entity`.
 
     A surrogate that equals another entity's, or any entity found, is drawn anew with the
-    next attempt, until all differ. Mentions of one entity in different layouts count as one.
+    next attempt, until all differ. Where a layout has too few values for that (there are 676
+    addresses like a@b.com), draws after the first `OWN_LAYOUT` get a character longer each
+    time, or leave the digits per octet of an address behind, so that this ends. Mentions of one entity in different layouts count as one.
     """
     entity = F.col("entity")
     known = entities.select("entity").distinct().withColumn("kind", kind_of(entity))
@@ -210,16 +230,15 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
     dirty = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     # equal rows may share their replacements
     row = F.md5(F.concat_ws("\x1f", F.col(id_col).cast("string"), text))
-    mentions = docs.where(dirty).select(row.alias("_row"), F.posexplode(found).alias("_place", "entity"))
+    name, pieces, made = (unused(docs, c) for c in ("_row", "_gaps", "_made"))
+    mentions = docs.where(dirty).select(row.alias(name), F.posexplode(found).alias("place", "entity"))
     mentions = stored(mentions, "mentions")
     chosen = mentions.join(surrogates(mentions, key), "entity")
-    lists = chosen.groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("_place", "surrogate"))).alias("_made"))
+    lists = chosen.groupBy(name).agg(F.array_sort(F.collect_set(F.struct("place", "surrogate"))).alias(made))
     gaps = F.split(text, ANY, -1)
-    parts = docs.where(dirty).withColumns({"_row": row, "_gaps": gaps}).join(lists, "_row")
-    made = F.zip_with(
-        "_gaps", "_made", lambda gap, s: F.concat(gap, F.coalesce(s["surrogate"], F.lit("")))
-    )
+    parts = docs.where(dirty).withColumns({name: row, pieces: gaps}).join(lists, name)
+    filled = F.zip_with(pieces, made, lambda gap, s: F.concat(gap, F.coalesce(s["surrogate"], F.lit(""))))
     keep = [F.col(c) for c in docs.columns if c != text_col]
-    replaced = parts.select(*keep, F.array_join(made, "").alias(text_col), F.size("_made").cast("long").alias("n_entities"))
+    replaced = parts.select(*keep, F.array_join(filled, "").alias(text_col), F.size(made).cast("long").alias("n_entities"))
     clean = docs.where(~dirty).select(*keep, text, F.lit(0).cast("long").alias("n_entities"))
     return clean.union(replaced).select(*docs.columns, "n_entities")

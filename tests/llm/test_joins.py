@@ -173,3 +173,10 @@ def test_joins_agree_when_nothing_is_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     monkeypatch.setattr(decontaminate, "BROADCAST_DOCUMENTS", 0)
     assert found(spark, [f"before {ITEM} after", "clean"]) == [(0, 1)]
+
+
+def test_decontamination_keeps_columns_of_its_own_names(spark):
+    item = "how many red apples does a farmer with twelve trees sell on each market day"
+    docs = spark.createDataFrame([(1, item, "k1", 5), (2, "nothing of the kind is in this text at all", "k2", 6)], "doc_id long, text string, _key string, place int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [tuple(r) for r in decontaminate.decontaminate(docs, bench).collect()] == [tuple(docs.collect()[1])]

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks import compare
@@ -60,6 +61,10 @@ def test_copies_follow_the_rates(spark):
     assert all(abs(taken[s] - t) < 0.12 * t for s, t in target.items())
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in counted)
+    named = docs.select("doc_id", "text", "source", *[F.lit(7).alias(c) for c in ("_source", "_copy", "size", "copies", "row")])
+    again = mixing.mix(named)
+    assert again.columns == named.columns and again.count() == mixed.count()
+    assert again.where("_source = 7 and _copy = 7 and size = 7 and copies = 7 and row = 7").count() == mixed.count()
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
@@ -214,6 +219,13 @@ def test_stages_take_odd_rows(spark, sf_dir):
             (None, None, None, None, None), (None, "x y", None, None, None), (3, "", "de", None, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.drop_alike(spark, docs, sf_dir).count() == 4
+    unlike = [(5, "one text that says this and that"), (5, "another text of quite other words"), (1, "one text that says this and that"),
+              (None, "no id but some words of its own"), (None, "no id but some words of its own"), (9, ""), (9, "")]
+    more = spark.createDataFrame([(*r, n, "r", 1) for n, r in enumerate(unlike)], "doc_id long, text string, _number int, _shared string, n int")
+    stays = corpus_pipeline.drop_alike(spark, more, sf_dir)
+    assert stays.columns == more.columns
+    found = Counter((r.doc_id, r.text) for r in stays.collect())
+    assert found == Counter({(1, unlike[0][1]): 1, (5, unlike[1][1]): 1, (None, unlike[3][1]): 1, (9, ""): 2})
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() <= 3 * len(rows), name
         assert stage(spark, docs.limit(0), sf_dir).count() == 0, name

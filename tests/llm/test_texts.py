@@ -123,6 +123,23 @@ def test_different_entities_stay_different(spark):
     assert not set(made.values()) & set(entities)
 
 
+def test_layouts_with_too_few_values(spark):
+    """All 676 mails of one layout and the addresses of another: more than half of all values."""
+    mails = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    entities = spark.createDataFrame([(m,) for m in mails], "entity string")
+    made = {r.entity: r.surrogate for r in pii.surrogates(entities, "k").collect()}
+    assert made.keys() == set(mails) and len(set(made.values())) == 676 and not set(made.values()) & set(mails)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", v) for v in made.values())
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["_row", "_place", "_gaps", "_made", "entity", "surrogate"]
+    docs = spark.createDataFrame([(1, "mail a.b@c.org now", *names), (2, "none", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = pii.replace_personal_data(docs, "k")
+    assert got.columns == [*docs.columns, "n_entities"]
+    assert all(tuple(r)[2:-1] == tuple(names) for r in got.collect()) and got.where("n_entities = 1").count() == 1
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pii.replace_personal_data(empty, "k").count() == 0
