@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
+from marketlens.llm.naming import unused
 from marketlens.llm.queries import table, tokenizer_path
 from marketlens.llm.sizes import small_side
 from marketlens.session import stored
@@ -27,17 +28,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group linked by shingles. Of rows with the same
-    id one stays; rows without an id all stay."""
-    classes = stored(jaccard_join.jaccard_join(docs).select("doc_id", "component_id"), "components")
-    others = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(small_side(others, BROADCAST_IDS, "alike"), "doc_id", "left_anti")
-    repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = stored(repeated, "repeated")
-    if repeated.limit(1).count():
-        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return kept.select(*docs.columns)
+    """The document of smallest id of each group linked by shingles.
+
+    Rows whose id is null or occurs again are told apart by numbers of their own, above all
+    ids, so each is judged by its own text: of copies one stays, unlike texts all stay.
+    """
+    docs, number = _numbered(docs)
+    classes = jaccard_join.jaccard_join(docs, id_col=number).select(F.col("doc_id").alias(number), "component_id")
+    others = classes.where(F.col(number) != F.col("component_id")).select(number)
+    return docs.join(small_side(others, BROADCAST_IDS, "alike"), number, "left_anti").drop(number)
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a column, named in return, that has another value in every row: the id, or
+    a greater number where the id is null or occurs again. Such rows are stored."""
+    number, shared = unused(docs, "_number"), unused(docs, "_shared")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stored(ids.where("n > 1 or doc_id is null").select(F.col("doc_id").alias(shared)), "repeated")
+    numbered = docs.withColumn(number, F.col("doc_id"))
+    if not repeated.limit(1).count():
+        return numbered, number
+    again = F.col("doc_id").eqNullSafe(F.col(shared))
+    side = small_side(repeated, BROADCAST_IDS, "repeated")
+    greatest = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
+    own = stored(docs.join(side, again, "left_semi").withColumn(number, F.monotonically_increasing_id()), "numbered")
+    own = own.withColumn(number, F.col(number) + F.lit(greatest + 1))
+    return numbered.join(side, again, "left_anti").unionByName(own), number
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,12 +79,17 @@ STAGES = [
     ("token_files", write_tokens),
 ]
 
-# the fitted grammar of the first stage and the tokenizer have no SQL counterpart
+# the fitted model of the first stage and the tokenizer have no SQL counterpart
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each one's result stored for the next."""
+    """All stages over the documents table, each one's result stored for the next.
+
+    Null and empty texts pass all stages but the mixture, which takes documents by their
+    words; repeated rows and null ids are kept apart by their texts (see `drop_alike`); an
+    empty table gives no rows; other columns than those of documents pass unchanged.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
