@@ -768,6 +768,26 @@ QUERIES["live_route_counts"] = """
 select case when event_type = 'unknown' then 'unrouted' else event_type end as route, count(*) as events
 from raw_events group by 1"""
 
+QUERIES["live_totals_over_restart"] = "select * from live_totals"
+VIEWS["feed_parts"] = """
+select *, event_id * files // n as part
+from raw_events cross join (select max(event_id) + 1 as n, greatest(4, cast(ceil((max(event_id) + 1) / 1000000.0) as bigint)) as files
+  from raw_events) c"""
+QUERIES["live_progress"] = """
+select cast(part as bigint) as batch_id, count(*) as input_rows, cast(0 as bigint) as late_rows from feed_parts group by 1"""
+# an hour is closed when the latest event is ten minutes beyond its end
+QUERIES["live_revenue_by_hour"] = f"""
+select date_trunc('hour', event_ts) as hour, {total("amount")} as revenue, count(*) as orders
+from raw_events where event_type = 'order_created' and status = 'completed'
+group by 1 having date_trunc('hour', any_value(event_ts)) + interval 1 hour <= (select max(event_ts) from raw_events) - interval 10 minute"""
+QUERIES["live_payments"] = """
+select order_id, amount, result, cast(event_ts as string) as event_ts from raw_events where event_type = 'payment_processed'"""
+QUERIES["live_deliveries"] = """
+select order_id, partner, status, sla_breach, cast(event_ts as string) as event_ts from raw_events where event_type = 'delivery_update'"""
+QUERIES["live_stock_movements"] = """
+select warehouse_id, cast(product_id as string) as product_id, delta_qty, cast(event_ts as string) as event_ts
+from raw_events where event_type = 'inventory_adjustment'"""
+
 # --- assertions ---------------------------------------------------------------------
 
 QUERIES["quality_assertions"] = " union all ".join(

@@ -6,6 +6,7 @@ run are left out, so that results can be compared.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ from marketlens.operators import (
 from marketlens.plans.warehouse import Warehouse
 from marketlens.session import scratch_path
 from marketlens.sources import testtables
-from marketlens.streaming import live, records
+from marketlens.streaming import compaction, live, records
+from marketlens.streaming.progress import ProgressTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -313,3 +315,82 @@ def live_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_over_tables
 def live_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.route_counts(records.decode(records.encode(testtables.events(spark, sf_dir))))
+
+
+# records of one file of the feed below
+_FILE_RECORDS = 1_000_000
+
+
+def _feed(spark: SparkSession, sf_dir: str, folder: str, repeated: bool = False) -> None:
+    """The events as files of JSON records in the order of event time, four at least. With
+    `repeated` every fifth event comes twice, and some of the first file again in the last."""
+    events = testtables.events(spark, sf_dir)
+    count = events.agg(F.coalesce(F.max("event_id") + 1, F.lit(1))).first()[0]
+    files = max(4, -(-count // _FILE_RECORDS))
+    part = F.expr(f"event_id * {files} div {count}")
+    for number in range(files):
+        own = events.where(part == number)
+        if repeated:
+            own = own.unionByName(own.where("event_id % 5 = 0"))
+            if number == files - 1:
+                own = own.unionByName(events.where((part == 0) & F.expr("event_id % 7 = 0")))
+        records.encode(own).coalesce(1).write.mode("append").json(folder)
+
+
+def _by_file(spark: SparkSession, folder: str) -> DataFrame:
+    return records.decode(records.file_records(spark, folder, max_files=1))
+
+
+@_over_tables
+def live_totals_over_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals stream in batches of one file, stopped after a batch and continued."""
+    path = scratch_path(spark, "live-restart")
+    _feed(spark, sf_dir, f"{path}/feed")
+
+    def start(interval: str | None = None):
+        return live.start_totals(_by_file(spark, f"{path}/feed"), f"{path}/table", f"{path}/checkpoint", interval)
+
+    first = start("1 second")
+    while first.isActive and not any(p["numInputRows"] for p in first.recentProgress):
+        time.sleep(0.1)
+    first.stop()
+    start().awaitTermination()
+    return reports.live_metrics(live.read_totals(spark, f"{path}/table")).drop("updated_at")
+
+
+@_over_tables
+def live_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per batch of the totals stream, from the table of its progress."""
+    path = scratch_path(spark, "live-progress")
+    _feed(spark, sf_dir, f"{path}/feed")
+    with ProgressTable(spark, f"{path}/progress") as progress:
+        live.start_totals(_by_file(spark, f"{path}/feed"), f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return progress.read().select("batch_id", "input_rows", "late_rows")
+
+
+@_over_tables
+def live_revenue_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed hours of event time over a feed that repeats events, at once and much later."""
+    path = scratch_path(spark, "live-hours")
+    _feed(spark, sf_dir, f"{path}/feed", repeated=True)
+    live.start_revenue_by_hour(_by_file(spark, f"{path}/feed"), f"{path}/hours", f"{path}/checkpoint").awaitTermination()
+    return spark.read.schema("hour timestamp_ntz, revenue double, orders bigint").parquet(f"{path}/hours")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> str:
+    """Event tables written in several batches, the closed ones compacted and removed."""
+    path = scratch_path(spark, "live-tables")
+    _feed(spark, sf_dir, f"{path}/feed")
+    live.start_event_tables(_by_file(spark, f"{path}/feed"), f"{path}/tables", f"{path}/checkpoint").awaitTermination()
+    compaction.compact(spark, f"{path}/tables")
+    compaction.clean(spark, f"{path}/tables", older_than=0)
+    return f"{path}/tables"
+
+
+def _register_table(name: str, event_type: str) -> None:
+    _QUERIES[name] = lambda spark, sf_dir: live.read_events(spark, _compacted(spark, sf_dir), event_type)
+
+
+_register_table("live_payments", "payment_processed")
+_register_table("live_deliveries", "delivery_update")
+_register_table("live_stock_movements", "inventory_adjustment")

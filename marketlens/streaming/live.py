@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlens.functions.columns import money
+from marketlens.functions.columns import as_timestamp, money, money_sum
 from marketlens.sources.files import path_exists
 from marketlens.sources.schemas import TOPICS
+from marketlens.streaming import compaction
 from marketlens.streaming.records import of_type
 
 # Table per event type and metric keys.
@@ -144,21 +145,45 @@ def start_event_tables(events: DataFrame, path: str, checkpoint: str, interval:
     """Keeps the four raw event tables, and the unrouted events, below `path`.
 
     Batches of another query stay beside those of this one: two checkpoints over one feed
-    hold its events twice, nothing is replaced.
+    hold its events twice, nothing is replaced. `compaction.compact` keeps the number of
+    files low.
     """
     writer = events.writeStream.outputMode("append").foreachBatch(_write_events(path))
     return _start(writer, checkpoint, interval)
 
 
-def read_events(spark: SparkSession, path: str, event_type: str) -> DataFrame:
-    """Events of one type with the columns of its table; other tables are pruned."""
-    rows = spark.read.parquet(path).filter(F.col("table") == LIVE_TABLES[event_type])
-    return of_type(rows, event_type)
+def read_events(spark: SparkSession, path: str, event_type: str, query: str | None = None) -> DataFrame:
+    """Events of one type with the columns of its table; other tables are pruned. Of all
+    queries that wrote here, or of the one named."""
+    rows = compaction.read(spark, path).filter(F.col("table") == LIVE_TABLES[event_type])
+    return of_type(rows if query is None else rows.filter(F.col(_QUERY) == query), event_type)
 
 
 def read_unrouted(spark: SparkSession, path: str) -> DataFrame:
     """Key and type of the events that belong to no table."""
-    return spark.read.parquet(path).filter(F.col("table") == UNROUTED).select("key", "event_type")
+    return compaction.read(spark, path).filter(F.col("table") == UNROUTED).select("key", "event_type")
+
+
+def revenue_by_hour(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Revenue and number of completed orders per hour of event time, each event once.
+
+    For streams in append mode: an hour is given out when the watermark, `delay` behind the
+    latest event, has passed its end, and never changes after that. Events that come again
+    within `delay` are dropped, and so is what is later than the watermark.
+    """
+    timed = events.withColumn("event_time", as_timestamp("event_ts").cast("timestamp")).withWatermark("event_time", delay)
+    once = timed.dropDuplicatesWithinWatermark(["event_type", "key"])
+    sold = once.filter((F.col("event_type") == "order_created") & (F.col("status") == "completed"))
+    hours = sold.groupBy(F.window("event_time", "1 hour")).agg(money_sum("amount").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+    return hours.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "revenue", "orders")
+
+
+def start_revenue_by_hour(
+    events: DataFrame, path: str, checkpoint: str, interval: str | None = None, delay: str = "10 minutes"
+) -> StreamingQuery:
+    """Adds closed hours to the table at `path`; the sink's own log keeps each batch once."""
+    writer = revenue_by_hour(events, delay).writeStream.outputMode("append").format("parquet").option("path", path)
+    return _start(writer, checkpoint, interval)
 
 
 def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
