@@ -90,6 +90,7 @@ def dim_date_spanning(orders: DataFrame, ts: str = "order_ts") -> DataFrame:
 
 # --- orders -------------------------------------------------------------------------
 
+# Columns of the facts.
 _FACT_ORDERS = [
     "order_key",
     "customer_key",
@@ -164,11 +165,15 @@ def fact_inventory(inventory: DataFrame) -> DataFrame:
 
 
 def _fact_delivery(delivery: DataFrame, orders: DataFrame, hours: Column) -> DataFrame:
-    """Both inputs hold one row per order, already partitioned by order_id through their
-    deduplication, so the join needs no further shuffle and cannot be skewed."""
+    """Both inputs hold one row per order, so the join cannot be skewed."""
     warehouse = orders.select("order_id", "warehouse_id")
-    joined = delivery.join(warehouse, "order_id", "left")
-    return with_keys(joined).select(
+    return delivery_facts(delivery.join(warehouse, "order_id", "left"), hours)
+
+
+def delivery_facts(delivery: DataFrame, hours: Column | None = None) -> DataFrame:
+    """Deliveries that know the warehouse of their order; `hours` are elapsed hours unless given."""
+    hours = elapsed_hours("pickup_time", "actual_delivery") if hours is None else hours
+    return with_keys(delivery).select(
         "order_key",
         "warehouse_key",
         "partner",
@@ -194,6 +199,7 @@ def fact_delivery_staged(delivery: DataFrame, orders: DataFrame) -> DataFrame:
 
 # --- marketing ----------------------------------------------------------------------
 
+# Columns of the fact.
 _FACT_MARKETING = [
     "campaign_id",
     "date_key",

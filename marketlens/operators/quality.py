@@ -125,13 +125,34 @@ def screen_products(raw: DataFrame) -> DataFrame:
     return refuse(kept, {NON_POSITIVE_PRICE: "selling_price <= 0", MISSING_PRICE: "selling_price is null"})
 
 
+def kept_orders(raw: DataFrame) -> DataFrame:
+    """One row per order, not checked yet. Copies are ranked by the time they state; one that
+    states none comes last."""
+    timed = raw.withColumn(_TIME, as_timestamp("timestamp"))
+    return screen("orders", timed, ["order_id"], [_TIME, "timestamp"]).drop(_TIME)
+
+
 def screen_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """`customers` and `products` are the accepted (silver) ones: an order of a product
     refused for its price is an orphan too. The checks run after deduplication and a
     row is charged to the first one it fails."""
-    # copies are ranked by the time they state; one that states none comes last
-    timed = raw.withColumn(_TIME, as_timestamp("timestamp"))
-    kept = screen("orders", timed, ["order_id"], [_TIME, "timestamp"]).drop(_TIME)
+    return check_orders(kept_orders(raw), customers, products)
+
+
+def order_warehouses(delivery: DataFrame, kept: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """`delivery` with the warehouse of its order, null for one that is refused or unknown.
+
+    Deliveries and orders are joined as they come out of their deduplication, partitioned by
+    order; the checks follow on the joined rows, so orders are not shuffled by order again.
+    """
+    order = kept.select("order_id", "customer_id", "product_id", "amount", "timestamp", "warehouse_id", REASON)
+    checked = check_orders(delivery.join(order, "order_id", "left"), customers, products)
+    warehouse = F.when(F.col(REASON).isNull(), F.col("warehouse_id")).alias("warehouse_id")
+    return checked.select(*delivery.columns, warehouse)
+
+
+def check_orders(kept: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Charges rows that have the columns of an order to the first check they fail."""
     known_customer = customers.selectExpr("customer_id", "true as _customer")
     known_product = products.selectExpr("product_id", "true as _product")
     flagged = lookup(lookup(kept, known_customer, "customer_id"), known_product, "product_id")

@@ -12,7 +12,7 @@ import logging
 import sys
 from collections.abc import Mapping
 from datetime import datetime, timezone
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,6 +166,10 @@ class _SilverStored(Warehouse):
     def silver(self, name: str) -> DataFrame:
         return self._run.accepted(name)
 
+    @cached_property
+    def fact_delivery(self) -> DataFrame:
+        return model.fact_delivery(self.silver("delivery"), self.silver("orders"))
+
 
 def run_all(
     spark: SparkSession,

@@ -81,7 +81,9 @@ class Warehouse:
 
     @cached_property
     def fact_delivery(self) -> DataFrame:
-        return model.fact_delivery(self.silver("delivery"), self.silver("orders"))
+        kept = quality.kept_orders(self.sources["orders"])
+        parents = self.silver("customers"), self.silver("products")
+        return model.delivery_facts(quality.order_warehouses(self.silver("delivery"), kept, *parents))
 
     @cached_property
     def fact_marketing(self) -> DataFrame:
