@@ -22,10 +22,14 @@ file system works and a task that is run again leaves nothing behind.
 from __future__ import annotations
 
 import math
+import os
 import struct
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +46,14 @@ END = 65535
 FIRST_RULE = 50_257
 # text of one task, of one call of the encoder, and tokens of a shard
 RANGE_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 SHARD_TOKENS = 1_000_000
-# pieces of text, and their parts, that an encoder remembers at most
-MOST_PIECES = 300_000
-MOST_PARTS = 300_000
+# pieces of text, and their parts, after which an encoder forgets what it met only once
+MOST_PIECES = 200_000
+MOST_PARTS = 250_000
 # a pair is replaced from this count on; a round takes pairs down to this share of the best
-LEAST_COUNT = 32
-ROUND_SHARE = 8
+LEAST_COUNT = 8
+ROUND_SHARE = 1000
 _HEAD = "<4sIII"
 _MARKS = ".,;:!?%&*$#\"'()"
 
@@ -60,10 +64,13 @@ class Encoder:
     A text is cut before every single space between two other characters; byte-level
     tokenizers cut there too, so the ids of the pieces in a row are those of the text. A
     piece of letters and marks is cut once more between them, and such parts go to the
-    tokenizer's model directly. What is remembered is bounded and forgotten when full.
+    tokenizer's model directly. What is remembered is bounded: when full, pieces not met
+    again are forgotten, and all if that is not enough.
     """
 
     def __init__(self, path: str):
+        # a task has one core; the library's own threads would only hold memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,14 +79,18 @@ class Encoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(256 + i) for i, b in enumerate(rest)}
-        self._forget()
-
-    def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
-        if len(self.core) > MOST_PARTS:
-            self.core = {}
+        self.again = np.zeros(0, dtype=bool)  # pieces met in several calls
+
+    def _forget(self) -> None:
+        keep = self.again if self.again.sum() < MOST_PIECES // 2 else np.zeros(len(self.again), dtype=bool)
+        sizes = np.diff(self.start)
+        self.ids = self.ids[np.repeat(keep, sizes)]
+        self.start = np.concatenate(([0], np.cumsum(sizes[keep])))
+        self.number = {p: i for i, p in enumerate(compress(self.number, keep.tolist()))}
+        self.again = np.zeros(len(self.number), dtype=bool)
 
     def _by_model(self, text: str, space: str) -> bytes:
         """Ids of a string that the tokenizer does not cut: letters after a space, or marks."""
@@ -111,6 +122,9 @@ class Encoder:
         self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces)), strict=True))
         self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype=np.uint16)))
         self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
+        self.again = np.concatenate((self.again, np.zeros(len(pieces), dtype=bool)))
+        if len(core) > MOST_PARTS:
+            self.core = {}
 
     def __call__(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and how many each text has."""
@@ -137,9 +151,12 @@ class Encoder:
             which, bounds = self._with_care(texts, pieces, which, bounds, odd)
         used = np.zeros(len(pieces), dtype=bool)
         used[which] = True
-        number = self.number
-        self._learn([p for p, u in zip(pieces, used.tolist(), strict=True) if u and p not in number])
-        known = np.fromiter((number.get(p, 0) for p in pieces), dtype=np.int64, count=len(pieces))
+        get = self.number.get
+        known = np.fromiter((get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
+        self.again[known[known >= 0]] = True
+        fresh = np.flatnonzero(used & (known < 0))
+        known[fresh] = len(self.number) + np.arange(len(fresh))
+        self._learn([pieces[i] for i in fresh.tolist()])
         which = known[which]
         sizes = self.start[which + 1] - self.start[which]
         ends = np.cumsum(sizes)
@@ -168,6 +185,16 @@ class Encoder:
         return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
 
 
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this process: loading a tokenizer takes time and memory, and what one
+    task has learned serves the next."""
+    # functions travel to workers by value, so that a variable of this module would not last
+    kept = sys.modules.setdefault("_marketlens_encoders", types.ModuleType("_marketlens_encoders"))
+    if path not in kept.__dict__:
+        kept.__dict__[path] = Encoder(path)
+    return kept.__dict__[path]
+
+
 def _is_odd(piece: str) -> bool:
     """Whether the piece is empty, or white space other than its mark begins or ends it."""
     text = piece.removeprefix(" ")
@@ -192,7 +219,7 @@ def _careful(text: str) -> list[str]:
 # --- grammar ---------------------------------------------------------------------------
 
 
-def compress(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def grammar(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): pairs of neighbours replaced, rules as rows of left and right.
 
     Every round counts all pairs exactly and replaces those that occur at least
@@ -266,7 +293,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
 def write_shard(ids: list[int | None], counts: np.ndarray, tokens: np.ndarray) -> bytes:
     """A shard of documents with these ids and numbers of tokens, ends not among `tokens`."""
     ends = np.cumsum(counts)
-    symbols, rules = compress(np.insert(tokens.astype(np.uint32), ends, END))
+    symbols, rules = grammar(np.insert(tokens.astype(np.uint32), ends, END))
     borders = np.flatnonzero(symbols == END) + 1
     per_doc = np.diff(np.concatenate(([0], borders))).astype(np.uint32)
     known = np.array([0 if i is None else i for i in ids], dtype=np.int64)
@@ -363,7 +390,7 @@ def write_tokens(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ids, counts, tokens = None, [], [], []
+        ids, counts, tokens = [], [], []
         held, number, current = 0, 0, TaskContext.get().partitionId()
 
         def shard() -> pa.RecordBatch:
@@ -374,7 +401,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SHARD_TYPES, strict=True)], names=_SHARD)
 
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
+            encoder = encoder_of(tokenizer)
             for a, b in _slices(batch.column("text"), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 found, sizes = encoder(part.column("text"))
