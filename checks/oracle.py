@@ -195,6 +195,26 @@ select campaign_id, "date" as campaign_date, channel, spend, impressions, clicks
 for _name in COLUMNS:
     QUERIES[f"stg_{_name}"] = f"select * from stg_{_name}"
 
+# --- sources as files ------------------------------------------------------------------
+
+QUERIES["csv_quarantine"] = """
+select 'orders' as source, order_id as key, 'timestamp' as column_name, 'timestamp_ntz' as declared_type, "timestamp" as value, true as placed
+from raw_orders where "timestamp" = 'not-a-date'
+union all select 'orders', order_id, 'amount', 'double', '12.5x', true from raw_orders where product_id % 101 = 9"""
+QUERIES["stg_orders_from_csv"] = """
+select order_id, cast(customer_id as varchar) as customer_id, cast(product_id as varchar) as product_id, warehouse_id,
+  cast("timestamp" as timestamp) as order_ts, quantity, amount, status
+from (select * from raw_orders where order_id is not null and "timestamp" <> 'not-a-date'
+  qualify row_number() over (partition by order_id order by "timestamp" desc, cast(customer_id as varchar) nulls last,
+    cast(product_id as varchar), warehouse_id, cast(quantity as varchar), cast(amount as varchar), status) = 1) o
+where amount >= 0"""
+QUERIES["silver_orders_by_arrival"] = """
+select * replace (cast(customer_id as varchar) as customer_id, cast(product_id as varchar) as product_id) from silver_orders"""
+QUERIES["silver_inventory_by_arrival"] = """
+select * from (select warehouse_id, cast(product_id as varchar) as product_id, max(available_qty) as available_qty,
+    min(reserved_qty) as reserved_qty, max(reorder_level) as reorder_level, '1990-01-01 00:00:00' as updated_at
+  from raw_inventory group by warehouse_id, product_id) i where available_qty >= 0 and reserved_qty >= 0"""
+
 # --- star schema --------------------------------------------------------------------
 
 
@@ -217,6 +237,7 @@ select product_id as product_key, category, brand, cost, selling_price, supplier
   round_even(((selling_price - cost) / nullif(selling_price, 0)) * 1e4, 0) / 1e4 as margin_pct from silver_products"""
 VIEWS["dim_warehouse"] = "select distinct warehouse_id as warehouse_key from silver_inventory"
 VIEWS["dim_date"] = calendar("silver_orders", '"timestamp"')
+VIEWS["fixed_calendar"] = calendar("(select unnest([date '1995-01-01', date '1996-12-31']) as d) f", "d")
 VIEWS["fact_orders"] = f"""
 select order_id as order_key, customer_id as customer_key, o.product_id as product_key, warehouse_id as warehouse_key,
   {date_key('"timestamp"')} as date_key, "timestamp", quantity, amount,
@@ -260,6 +281,9 @@ GOLD = [
 for _name in GOLD:
     QUERIES[_name] = f"select * from {_name}"
 
+QUERIES["orders_on_calendar"] = """
+select c.*, coalesce(orders, 0) as orders
+from fixed_calendar c left join (select date_key, count(*) as orders from fact_orders group by 1) o using (date_key)"""
 VIEWS["orders_enriched"] = """
 select o.*, p.category, p.brand, p.cost as unit_cost, p.cost * o.quantity as cost_total,
   o.amount - p.cost * o.quantity as margin_amount, c.segment as customer_segment, c.city as customer_city
@@ -463,6 +487,10 @@ from fact_delivery group by partner"""
 QUERIES["sla_trend"] = """
 select cast(pickup_time as date) as day, 100.0::double * count(*) filter (where sla_breached) / count(*) as sla_breach_pct,
   count(*) as deliveries from fact_delivery group by 1"""
+QUERIES["sla_records"] = """
+select '{"day":"' || cast(cast(pickup_time as date) as varchar) || '","sla_breach_pct":' || coalesce(cast(nullif(
+    100.0::double * count(*) filter (where sla_breached) / count(*), 0) as varchar), 'null') || ',"deliveries":' || count(*) || '}' as record
+from fact_delivery group by cast(pickup_time as date)"""
 QUERIES["recent_deliveries"] = "select * from fact_delivery order by pickup_time desc nulls last, order_key limit 50"
 QUERIES["marketing_by_channel"] = f"""
 select channel, {total("spend")} as spend, cast(sum(impressions) as bigint) as impressions,
@@ -590,6 +618,10 @@ VIEWS["earlier_forecast"] = forecast(
 QUERIES["revenue_forecast"] = "select * from revenue_forecast"
 QUERIES["forecast_by_warehouse"] = "select * from forecast_warehouses"
 VIEWS["forecast_warehouses"] = forecast("warehouse_key")
+VIEWS["forecast_products"] = forecast("product_key")
+QUERIES["forecast_by_product"] = "select * from forecast_products"
+QUERIES["forecast_stored"] = """
+select *, timestamp '2025-03-01 06:30:00' as generated_at, 'linear_trend_plus_dow_seasonality' as model from revenue_forecast"""
 
 # --- isolation forest ----------------------------------------------------------------
 
@@ -738,6 +770,9 @@ select rule, entity, '[Retail operations] ' || severity || ' alert: ' || rule as
 from alerts where severity in ('HIGH', 'CRITICAL')"""
 QUERIES["alert_numbers"] = """
 select row_number() over (order by rule, entity) as number, severity in ('HIGH', 'CRITICAL') as notified from alerts"""
+QUERIES["alerts_stored"] = """
+select 'ALRT-n-1740810600' as alert_id, *, timestamp '2025-03-01 06:30:00' as created_at,
+  severity in ('HIGH', 'CRITICAL') as notified from alerts"""
 VIEWS["status_events"] = """
 select warehouse_id || ':' || cast(product_id as string) as alert_id,
   case when event_id % 10 = 0 then 'IGNORED' when delta_qty < 0 then 'ACKNOWLEDGED' else 'RESOLVED' end as status,
@@ -805,6 +840,10 @@ QUERIES["quality_assertions"] = " union all ".join(
         ("alerts", "entity", "not_null", "(select count(*) from alerts where entity is null)"),
         ("alerts", "message", "not_null", "(select count(*) from alerts where message is null)"),
         ("revenue_forecast", "predicted_revenue", "at_least", "(select count(*) from revenue_forecast where predicted_revenue < 0)"),
+        *[(t, "*", "not_empty", f"(select count(*) = 0 from {t})") for t in GOLD],
+        ("revenue_forecast", "*", "row_count", "(select abs(count(*) - 7) from revenue_forecast)"),
+        ("anomaly_explanations", "explanation", "not_blank",
+         "(select count(*) from explained join sensitive using (day) where is_anomaly_statistical and coalesce(trim(explanation), '') = '')"),
         ("kpi_snapshot", "domain", "required_values",
          "5 - (select count(distinct domain) from kpi_snapshot where domain in ('sales', 'customers', 'inventory', 'delivery', 'marketing'))"),
     ]

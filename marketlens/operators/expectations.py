@@ -81,6 +81,16 @@ def expect_rows(df: DataFrame, table: str) -> DataFrame:
     return _results(df.agg((F.count(F.lit(1)) == 0).cast("bigint").alias("*")), table, "not_empty")
 
 
+def expect_count(df: DataFrame, table: str, rows: int) -> DataFrame:
+    """Fails by the number of rows that are missing or too many."""
+    return _results(df.agg(F.abs(F.count(F.lit(1)) - rows).alias("*")), table, "row_count")
+
+
+def expect_text(df: DataFrame, table: str, column: str) -> DataFrame:
+    """Counts rows whose text is null or blank."""
+    return expect(df, table, "not_blank", column, F.coalesce(F.trim(column), F.lit("")) == "")
+
+
 def expect_in(df: DataFrame, table: str, column: str, allowed: Sequence[str]) -> DataFrame:
     """Counts rows whose value is outside the allowed set."""
     return expect(df, table, "accepted_values", column, ~F.col(column).isin(list(allowed)))

@@ -9,6 +9,8 @@ integers and decimals; the result does not depend on row order.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -100,6 +102,7 @@ def revenue_forecast(
     return project(fit(daily, by, min_days), by, horizon)
 
 
-def stamped(forecast: DataFrame) -> DataFrame:
-    """Adds the time of the run and the model name for the stored table."""
-    return forecast.withColumns({"generated_at": F.current_timestamp(), "model": F.lit(MODEL_NAME)})
+def stamped(forecast: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+    """Adds the time of the run, now unless given, and the model name for the stored table."""
+    made = F.current_timestamp() if run_ts is None else F.lit(run_ts)
+    return forecast.withColumns({"generated_at": made, "model": F.lit(MODEL_NAME)})

@@ -19,6 +19,23 @@ from pyspark.sql import functions as F
 from marketlens.operators.dedup import keep_one
 
 
+# Columns that are cast, and the first column of each business key. The end of a support
+# ticket is missing here: open tickets carry blanks, so it is always cast leniently.
+TYPES = {
+    "orders": {"timestamp": "timestamp_ntz", "quantity": "int", "amount": "double"},
+    "customers": {"registration_date": "date"},
+    "products": {"cost": "double", "selling_price": "double"},
+    "inventory": {"available_qty": "int", "reserved_qty": "int", "reorder_level": "int", "updated_at": "timestamp_ntz"},
+    "delivery": dict.fromkeys(("pickup_time", "expected_delivery", "actual_delivery"), "timestamp_ntz"),
+    "support": {"created_at": "timestamp_ntz"},
+    "marketing": {"date": "date", "spend": "double", "impressions": "int", "clicks": "int", "conversions": "int"},
+}
+KEYS = {
+    "orders": "order_id", "customers": "customer_id", "products": "product_id", "inventory": "product_id",
+    "delivery": "order_id", "support": "ticket_id", "marketing": "campaign_id",
+}
+
+
 def _typed(df: DataFrame, types: Mapping[str, str], strict: bool) -> DataFrame:
     """`df` with the given columns cast; a null in strict mode was a null before."""
     convert = "cast" if strict else "try_cast"
@@ -35,9 +52,8 @@ def _largest(raw: DataFrame, keys: list[str], number: str) -> DataFrame:
 
 def stg_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("order_id").isNotNull()), ["order_id"], ["timestamp"])
-    types = {"timestamp": "timestamp_ntz", "quantity": "int", "amount": "double"}
     return (
-        _typed(latest, types, strict)
+        _typed(latest, TYPES["orders"], strict)
         .filter("amount >= 0")
         .withColumnRenamed("timestamp", "order_ts")
         .select("order_id", "customer_id", "product_id", "warehouse_id", "order_ts", "quantity", "amount", "status")
@@ -46,7 +62,7 @@ def stg_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("customer_id").isNotNull()), ["customer_id"], ["registration_date"])
-    return _typed(latest, {"registration_date": "date"}, strict).select(
+    return _typed(latest, TYPES["customers"], strict).select(
         "customer_id", "city", "state", "segment", "registration_date"
     )
 
@@ -54,7 +70,7 @@ def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_products(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = _largest(raw.filter(F.col("product_id").isNotNull()), ["product_id"], "selling_price")
     return (
-        _typed(latest, {"cost": "double", "selling_price": "double"}, strict)
+        _typed(latest, TYPES["products"], strict)
         .filter("selling_price > 0")
         .select("product_id", "category", "brand", "cost", "selling_price", "supplier_id")
     )
@@ -62,14 +78,8 @@ def stg_products(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stg_inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw, ["product_id", "warehouse_id"], ["updated_at"])
-    types = {
-        "available_qty": "int",
-        "reserved_qty": "int",
-        "reorder_level": "int",
-        "updated_at": "timestamp_ntz",
-    }
     return (
-        _typed(latest, types, strict)
+        _typed(latest, TYPES["inventory"], strict)
         .filter("available_qty >= 0 and reserved_qty >= 0")
         .select("warehouse_id", "product_id", "available_qty", "reserved_qty", "reorder_level", "updated_at")
     )
@@ -77,8 +87,7 @@ def stg_inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stg_delivery(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = keep_one(raw.filter(F.col("order_id").isNotNull()), ["order_id"], ["actual_delivery"])
-    types = dict.fromkeys(("pickup_time", "expected_delivery", "actual_delivery"), "timestamp_ntz")
-    return _typed(latest, types, strict).select(
+    return _typed(latest, TYPES["delivery"], strict).select(
         "order_id", "partner", "pickup_time", "expected_delivery", "actual_delivery", "status"
     )
 
@@ -86,7 +95,7 @@ def stg_delivery(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_support(raw: DataFrame, strict: bool = True) -> DataFrame:
     """`resolved_at` is always cast leniently: open tickets carry blanks."""
     latest = keep_one(raw.filter(F.col("ticket_id").isNotNull()), ["ticket_id"], ["created_at"])
-    typed = _typed(latest, {"created_at": "timestamp_ntz"}, strict)
+    typed = _typed(latest, TYPES["support"], strict)
     columns = ["ticket_id", "customer_id", "order_id", "issue_type", "priority", "created_at"]
     return typed.select(
         *[c for c in columns if c in typed.columns],
@@ -96,9 +105,8 @@ def stg_support(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stg_marketing(raw: DataFrame, strict: bool = True) -> DataFrame:
     latest = _largest(raw, ["date", "channel", "campaign_id"], "spend")
-    types = {"date": "date", "spend": "double", "impressions": "int", "clicks": "int", "conversions": "int"}
     return (
-        _typed(latest, types, strict)
+        _typed(latest, TYPES["marketing"], strict)
         .withColumnRenamed("date", "campaign_date")
         .select("campaign_id", "campaign_date", "channel", "spend", "impressions", "clicks", "conversions")
     )

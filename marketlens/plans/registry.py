@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ from marketlens.operators import (
 )
 from marketlens.plans.warehouse import Warehouse
 from marketlens.session import scratch_path
-from marketlens.sources import testtables
+from marketlens.sources import files, quarantine, sinks, testtables
+from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
 from marketlens.streaming import compaction, live, records
 from marketlens.streaming.progress import ProgressTable
 
@@ -34,6 +36,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # A z-score above 2.27 cannot occur with the current day inside a seven-row frame.
 SENSITIVE = 1.8
+# the run whose stored rows are compared, and the fixed calendar
+RUN_TS = datetime(2025, 3, 1, 6, 30, tzinfo=timezone.utc)
+_PLAIN_TIME = "cast({} as timestamp_ntz)"
+CALENDAR = date(1995, 1, 1), date(1996, 12, 31)
 
 _QUERIES: dict[str, Query] = {}
 
@@ -94,9 +100,83 @@ def quality_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
             w.kpi_snapshot, "kpi_snapshot", "domain", ["sales", "customers", "inventory", "delivery", "marketing"]
         ),
     ]
+    parts += [expectations.expect_rows(table, name) for name, table in w.gold().items()]
+    parts += [
+        expectations.expect_count(w.revenue_forecast, "revenue_forecast", 7),
+        expectations.expect_text(_explanations(w), "anomaly_explanations", "explanation"),
+    ]
     return rules.all_alerts(parts)
 
 
+# --- sources as files ------------------------------------------------------------------
+
+
+def _write_csv(spark: SparkSession, sf_dir: str, changed: dict[str, DataFrame] | None = None) -> str:
+    """The seven sources as files with a header, `changed` ones in place of their source."""
+    folder = scratch_path(spark, "csv")
+    for name, frame in (dict(testtables.TestSources(spark, sf_dir)) | (changed or {})).items():
+        wanted = field_types(SOURCE_SCHEMAS[name])
+        cells = [(F.col(c) if c in frame.columns else F.lit(None)).cast("string").alias(c) for c in wanted]
+        frame.select(*cells).write.option("header", True).csv(f"{folder}/{name}.csv/1")
+    return folder
+
+
+# columns that tell when and from where a row was read
+INGESTION = ["_ingested_at", "_source_file"]
+
+
+def _again(spark: SparkSession, folder: str, name: str, frame: DataFrame) -> None:
+    """A later file of a source."""
+    cells = [F.col(c).cast("string").alias(c) for c in field_types(SOURCE_SCHEMAS[name])]
+    frame.select(*cells).write.option("header", True).csv(f"{folder}/{name}.csv/2")
+
+
+def _read_csv(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(files.read_sources(spark, folder, "{name}.csv/*"))
+
+
+@_over_tables
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the source files that cannot be read, spoiled amounts among them."""
+    orders = testtables.orders(spark, sf_dir)
+    spoiled = F.when(F.expr("product_id % 101 = 9"), F.lit("12.5x")).otherwise(F.col("amount").cast("string"))
+    w = _read_csv(spark, _write_csv(spark, sf_dir, {"orders": orders.withColumn("amount", spoiled)}))
+    found = [quarantine.unreadable_values(name, raw) for name, raw in w.sources.items()]
+    placed = F.expr("file like '%orders.csv%' and row is not null").alias("placed")
+    return rules.all_alerts(found).select("source", "key", "column_name", "declared_type", "value", placed)
+
+
+@_over_tables
+def stg_orders_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read by name from files and staged strictly; the files hold readable times only."""
+    orders = testtables.orders(spark, sf_dir).where("timestamp <> 'not-a-date'")
+    w = _read_csv(spark, _write_csv(spark, sf_dir, {"orders": orders}))
+    return quarantine.stage_strictly("orders", w.sources["orders"], scratch_path(spark, "quarantine"))
+
+
+@_over_tables
+def silver_orders_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of copies in several files the first stays, though a later one states a later time."""
+    once = quality.kept_orders(testtables.orders(spark, sf_dir))
+    folder = _write_csv(spark, sf_dir, {"orders": once})
+    again = once.where("quantity % 3 = 0").withColumns({"timestamp": F.lit("2031-01-01 00:00:00"), "amount": F.lit(1.0)})
+    _again(spark, folder, "orders", again)
+    return _read_csv(spark, folder).silver("orders").drop(*INGESTION)
+
+
+@_over_tables
+def silver_inventory_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of copies in several files the last stays, though it states an earlier time."""
+    folder = _write_csv(spark, sf_dir)
+    stock = testtables.inventory(spark, sf_dir).groupBy("warehouse_id", "product_id")
+    counted = stock.agg(
+        F.max("available_qty").alias("available_qty"), F.min("reserved_qty").alias("reserved_qty"),
+        F.max("reorder_level").alias("reorder_level"), F.lit("1990-01-01 00:00:00").alias("updated_at"),
+    )
+    _again(spark, folder, "inventory", counted)
+    return _read_csv(spark, folder).silver("inventory").drop(*INGESTION)
+
+
 # --- star schema --------------------------------------------------------------------
 
 for _name in ("dim_customer", "dim_product", "dim_warehouse", "dim_date"):
@@ -128,6 +208,22 @@ _over_warehouse("kpis_of_domain")(lambda w: reports.kpis_by_domain(w.kpi_snapsho
 _over_warehouse("executive_summary")(lambda w: kpis.executive_summary(w.kpi_snapshot))
 
 
+@_over_tables
+def orders_on_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two calendar years, fixed, with the orders of each day."""
+    orders = Warehouse.over_test_tables(spark, sf_dir).fact_orders
+    daily = orders.groupBy("date_key").agg(F.count(F.lit(1)).alias("orders"))
+    return model.dim_date(spark, *CALENDAR).join(daily, "date_key", "left").na.fill(0, ["orders"])
+
+
+@_over_warehouse("sla_records")
+def _sla_records(w: Warehouse) -> DataFrame:
+    """JSON records; a day without a breach is given as not a number and written as null."""
+    daily = reports.sla_trend(w.fact_delivery).select("day", "sla_breach_pct", "deliveries")
+    rate = F.when(F.col("sla_breach_pct") > 0, F.col("sla_breach_pct")).otherwise(F.lit(float("nan")))
+    return sinks.json_records(daily.withColumn("sla_breach_pct", rate))
+
+
 @_over_warehouse("kpi_monthly_growth")
 def _growth(w: Warehouse) -> DataFrame:
     return kpis.monthly_growth(kpis.monthly_sales(w.fact_orders)).select(
@@ -168,6 +264,13 @@ _over_warehouse("zscore_prior_days")(
 )
 _over_warehouse("anomaly_drivers")(lambda w: timeseries.explain_days(w.daily_panel))
 _over_warehouse("revenue_forecast")(lambda w: reports.forecast_listing(w.revenue_forecast))
+# most products sell on fewer days than a forecast needs
+_over_warehouse("forecast_by_product")(
+    lambda w: forecast.revenue_forecast(timeseries.daily_revenue(w.fact_orders, ["product_key"]), ["product_key"])
+)
+_over_warehouse("forecast_stored")(
+    lambda w: forecast.stamped(w.revenue_forecast, RUN_TS).withColumn("generated_at", F.expr(_PLAIN_TIME.format("generated_at")))
+)
 _over_warehouse("forecast_by_warehouse")(
     lambda w: forecast.revenue_forecast(timeseries.daily_revenue(w.fact_orders, ["warehouse_key"]), ["warehouse_key"])
 )
@@ -243,6 +346,18 @@ def alert_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select(F.split_part("alert_id", F.lit("-"), F.lit(2)).cast("bigint").alias("number"), "notified")
 
 
+@_over_tables
+def alerts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts as they are stored by a run; the running number in the id is blanked out."""
+    found = rules.numbered(_alerts(spark, sf_dir), RUN_TS)
+    return found.withColumns(
+        {
+            "alert_id": F.regexp_replace("alert_id", r"(?<=^ALRT-)\d{5,}(?=-)", "n"),
+            "created_at": F.expr(_PLAIN_TIME.format("created_at")),
+        }
+    )
+
+
 def _status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock movements as status changes of the stockout alert of the same item."""
     movement = testtables.events(spark, sf_dir).filter(F.col("event_type") == "inventory_adjustment")
