@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.operators.dedup import COPIES, duplicate_keys
@@ -114,9 +114,47 @@ def expect_present(df: DataFrame, table: str, column: str, required: Sequence[st
     return _results(seen.select(missing.alias(column)), table, "required_values")
 
 
-def schema_checks(tables: dict[str, DataFrame]) -> DataFrame:
+def schema_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The declared checks of the star schema over the given tables."""
+    parts = [expect_not_null(tables[t], t, cs) for t, cs in NOT_NULL.items()]
+    return reduce(DataFrame.unionByName, [*_key_checks(tables), *parts])
+
+
+def _key_checks(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Checks that need keys side by side: repeated ones, and ones without a parent."""
     parts = [expect_unique(tables[t], t, c) for t, c in UNIQUE.items()]
-    parts += [expect_not_null(tables[t], t, cs) for t, cs in NOT_NULL.items()]
-    parts += [expect_related(tables[t], t, c, tables[p], c) for t, c, p in RELATIONSHIPS]
-    return reduce(DataFrame.unionByName, parts)
+    return parts + [expect_related(tables[t], t, c, tables[p], c) for t, c, p in RELATIONSHIPS]
+
+
+class Watch:
+    """Checks of single rows, counted while a table is written: no scan of their own."""
+
+    def __init__(self, table: str, columns: Sequence[str]):
+        self.table, self.columns, self.seen = table, list(columns), Observation(f"checks of {table}")
+
+    def over(self, df: DataFrame) -> DataFrame:
+        """`df`, to be written once."""
+        return df.observe(self.seen, F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in self.columns])
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        """Result rows; waits for the table to be written."""
+        counts = self.seen.get
+        rows = [(self.table, c, "not_null", int(counts.get(c) or 0)) for c in self.columns]
+        return spark.createDataFrame(rows, "table_name string, column_name string, check_name string, failures bigint")
+
+
+def store_checked(
+    tables: Mapping[str, DataFrame], store: Callable[[str, DataFrame], DataFrame]
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Stores every table and applies the declared checks of the star schema.
+
+    `store` writes a table once and gives what a reader of it sees. Nulls are counted by
+    that write; repeated and orphaned keys are then read from the key columns of what was
+    stored, so a table is computed once whatever the number of its checks.
+    """
+    kept, parts = {}, []
+    for name, df in tables.items():
+        watch = Watch(name, NOT_NULL.get(name, []))
+        kept[name] = store(name, watch.over(df))
+        parts.append(watch.results(df.sparkSession))
+    return kept, reduce(DataFrame.unionByName, [*parts, *_key_checks(kept)])

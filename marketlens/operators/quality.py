@@ -8,10 +8,10 @@ counts of the raw source, which need no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.columns import as_timestamp
@@ -231,6 +231,52 @@ def counters(source: str, raw: DataFrame, screened: DataFrame) -> DataFrame:
     return counts.selectExpr(f"'silver_{source}' as table_name", f"inline(array({entries}))")
 
 
+class Watch:
+    """The counters of one source, taken while its screened rows are written."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.read, self.kept = Observation(f"{source} as read"), Observation(f"{source} screened")
+
+    def before(self, raw: DataFrame) -> DataFrame:
+        """The rows that go into the screening."""
+        total = F.count(F.lit(1)).alias("total")
+        return raw.observe(self.read, total, F.expr(f"count_if({_complete(self.source)})").alias("complete"))
+
+    def after(self, screened: DataFrame) -> DataFrame:
+        """The rows that come out of it, to be written once."""
+        charged = [F.count_if(F.col(REASON) == rule).alias(rule) for rule in CHARGED.get(self.source, [])]
+        accepted_rows = F.count_if(F.col(REASON).isNull()).alias("accepted")
+        return screened.observe(self.kept, F.count(F.lit(1)).alias("kept"), accepted_rows, *charged)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """Rows `(table_name, rule, failed_rows)`; waits for the write."""
+        counts = {k: int(v or 0) for seen in (self.read, self.kept) for k, v in seen.get.items()}
+        one = spark.createDataFrame([tuple(counts.values())], ", ".join(f"`{c}` bigint" for c in counts))
+        entries = ", ".join(f"struct('{r}' as rule, {c} as failed_rows)" for r, c in _report_entries(self.source).items())
+        return one.selectExpr(f"'silver_{self.source}' as table_name", f"inline(array({entries}))")
+
+
+def store_screened(
+    sources: Mapping[str, DataFrame], store: Callable[[str, DataFrame], DataFrame]
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Screens and stores every source; gives the screened rows and the quality report.
+
+    `store` writes a frame once and gives what a reader of it sees. All counters of a source
+    come out of that write: the source is scanned once, and accepted customers and products,
+    to which orders refer, are read from where they were stored.
+    """
+    kept: dict[str, DataFrame] = {}
+    reports = []
+    for name in [s for s in SOURCES if s in sources]:
+        watch = Watch(name)
+        raw = watch.before(readable(name, sources[name]))
+        parents = [accepted(kept["customers"]), accepted(kept["products"])] if name == "orders" else []
+        kept[name] = store(name, watch.after(globals()[f"screen_{name}"](raw, *parents)))
+        reports.append(watch.report(raw.sparkSession))
+    return kept, reduce(DataFrame.unionByName, reports).withColumn("checked_at", F.current_timestamp())
+
+
 def dq_report(raw: Mapping[str, DataFrame], screened: Mapping[str, DataFrame]) -> DataFrame:
     """The quality report over all screened sources, stamped with the time of the run."""
     parts = [counters(source, raw[source], frame) for source, frame in screened.items()]

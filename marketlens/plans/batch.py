@@ -2,14 +2,16 @@
 
     python -m marketlens.plans.batch <folder with the source files> <output folder>
 
-A stage that fails stops the run. Every stage replaces its tables, the alert history the
-part of the run, so a run can be repeated, and each stage can be run alone on stored input.
+A stage that fails stops the run; the next one goes on there if the source files are the
+same (`plans.ledger`). Every stage replaces its tables, the alert history the part of the
+run, so a run can be repeated, and each stage can be run alone on stored input.
 """
 
 from __future__ import annotations
 
 import logging
 import sys
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 from functools import cached_property, reduce
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators import expectations, forecast, model, quality, rules, staging, timeseries
 from marketlens.operators.lookup import input_bytes
+from marketlens.plans.ledger import Ledger, fingerprint
 from marketlens.plans.warehouse import Warehouse
 from marketlens.session import build_session, size_shuffles
 from marketlens.sources.files import path_exists, read_sources
@@ -59,24 +62,22 @@ class BatchRun:
     # --- stages ---------------------------------------------------------------------
 
     def bronze(self, sources: Mapping[str, DataFrame]) -> None:
-        """Stores the sources as read and sizes the shuffles of the run by their volume."""
-        size_shuffles(self.spark, sum(input_bytes(sources[name]) for name in sources))
+        """Stores the sources as read."""
         for name in sources:
             self.replace(sources[name], "bronze", name)
 
     def silver(self) -> None:
-        """Screened rows are stored once, split into accepted and refused; accepted rows
-        and the quality report are read from there."""
+        """Screened rows are stored once, split into accepted and refused; the quality report
+        is counted by that write."""
         names = [n for n in quality.SOURCES if path_exists(self.spark, self.path("bronze", n))]
-        for name in names:
-            screen = getattr(quality, f"screen_{name}")
-            parents = [self.accepted("customers"), self.accepted("products")] if name == "orders" else []
-            screened = screen(self.read("bronze", name), *parents)
+        raw = {name: self.read("bronze", name) for name in names}
+
+        def store(name: str, screened: DataFrame) -> DataFrame:
             marked = screened.withColumn("accepted", F.col(quality.REASON).isNull().cast("int"))
             self.replace(marked, "silver", name, ["accepted"])
-        raw = {name: self.read("bronze", name) for name in names}
-        report = quality.dq_report(raw, {name: self.read("silver", name) for name in names})
-        self.replace(report, "silver", "dq_report")
+            return self.read("silver", name).drop("accepted")
+
+        self.replace(quality.store_screened(raw, store)[1], "silver", "dq_report")
         counts = reduce(DataFrame.unionByName, [quality.unreadable(name, raw[name]) for name in names])
         self.replace(counts, "silver", "unreadable_numbers")
 
@@ -86,15 +87,20 @@ class BatchRun:
         return rows.drop("accepted", quality.REASON)
 
     def gold(self) -> None:
+        """Stores the star schema; its declared checks become `gold_checks`."""
         warehouse = _SilverStored(self)
-        for name in GOLD_TABLES:
-            df = getattr(warehouse, name)
+
+        def store(name: str, df: DataFrame) -> DataFrame:
             if name == "fact_orders":
                 # balanced files per month: small months are merged, large ones split
                 by_month = df.withColumn(MONTH, F.expr("cast(date_key div 100 as int)"))
                 self.replace(by_month.hint("rebalance", MONTH), "gold", name, [MONTH])
             else:
                 self.replace(df, "gold", name)
+            return self.read("gold", name)
+
+        checks = expectations.store_checked({n: getattr(warehouse, n) for n in GOLD_TABLES}, store)[1]
+        self.replace(checks, "serving", "gold_checks")
 
     def stored_gold(self) -> Warehouse:
         return Warehouse.over_stored({n: self.read("gold", n).drop(MONTH) for n in GOLD_TABLES})
@@ -177,20 +183,33 @@ def run_all(
     out_dir: str,
     run_ts: datetime | None = None,
     live_metrics: DataFrame | None = None,
+    resume: bool = False,
 ) -> BatchRun:
-    """Bronze, silver, gold, KPIs, anomalies, forecast, alerts."""
+    """Bronze, silver, gold, KPIs, anomalies, forecast, alerts.
+
+    With `resume` stages that were finished on the same source files are skipped. Those that
+    stamp their rows count as finished for the same `run_ts` only, and alerts that look at
+    live metrics never do.
+    """
     run = BatchRun(spark, out_dir, run_ts)
-    run.bronze(sources)
-    run.silver()
-    run.gold()
-    run.kpis()
-    run.anomalies()
-    run.forecast()
-    run.alerts(live_metrics)
+    size_shuffles(spark, sum(input_bytes(sources[name]) for name in sources))
+    stamp, live = run.run_ts.isoformat(), "" if live_metrics is None else uuid.uuid4().hex
+    stages = [
+        ("bronze", "", lambda: run.bronze(sources)),
+        ("silver", "", run.silver),
+        ("gold", "", run.gold),
+        ("kpis", "", run.kpis),
+        ("anomalies", stamp, run.anomalies),
+        ("forecast", "", run.forecast),
+        ("alerts", stamp + live, lambda: run.alerts(live_metrics)),
+    ]
+    start = fingerprint(spark, sources) if resume else uuid.uuid4().hex
+    done = Ledger(spark, f"{run.out_dir}/_ledger").run(start, stages)
+    log.info("ran %s", ", ".join(done) or "nothing")
     return run
 
 
 if __name__ == "__main__":
     logging.basicConfig(level=logging.INFO)
     session = build_session("batch run")
-    run_all(session, read_sources(session, sys.argv[1]), sys.argv[2])
+    run_all(session, read_sources(session, sys.argv[1]), sys.argv[2], resume=True)

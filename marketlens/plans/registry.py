@@ -26,7 +26,7 @@ from marketlens.operators import (
     timeseries,
 )
 from marketlens.plans.warehouse import Warehouse
-from marketlens.session import scratch_path
+from marketlens.session import scratch_path, stored
 from marketlens.sources import files, quarantine, sinks, testtables
 from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
 from marketlens.streaming import compaction, live, records
@@ -69,14 +69,20 @@ for _name in ("customers", "products", "orders", "inventory", "delivery", "suppo
     _over_warehouse(f"silver_{_name}")(lambda w, n=_name: w.silver(n))
     _over_warehouse(f"stg_{_name}")(lambda w, n=_name: w.staged(n))
 
-_over_warehouse("dq_report")(lambda w: w.dq_report.drop("checked_at"))
+@_over_warehouse("dq_report")
+def _dq_report(w: Warehouse) -> DataFrame:
+    return quality.store_screened(w.sources, lambda name, df: stored(df, name))[1].drop("checked_at")
+
+
 _over_warehouse("quality_checks")(lambda w: reports.pipeline_status(w.dq_report).drop("checked_at"))
 _over_warehouse("rejected_orders")(lambda w: quality.rejected(w.screened("orders")))
 _over_warehouse("duplicate_orders")(lambda w: dedup.duplicate_keys(w.sources["orders"], ["order_id"]))
 _over_warehouse("orphan_customers_in_orders")(
     lambda w: expectations.orphans(w.sources["orders"], "customer_id", w.silver("customers"), "customer_id")
 )
-_over_warehouse("expectation_report")(lambda w: expectations.schema_checks(w.gold()))
+_over_warehouse("expectation_report")(
+    lambda w: expectations.store_checked(w.gold(), lambda name, df: stored(df, name))[1]
+)
 
 
 @_over_tables

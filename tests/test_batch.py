@@ -1,5 +1,7 @@
 """The batch run over source files, and what must hold for the stored tables."""
 
+import shutil
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
@@ -175,3 +177,42 @@ def test_views_and_tables(spark, run, folder):
     empty = ensure_table(spark, f"{folder}/alerts", ALERTS)
     assert empty.count() == 0
     assert empty.columns[0] == "alert_id"
+
+
+def test_a_run_that_stopped_goes_on(spark, csv_folder, run, tmp_path, monkeypatch):
+    out, copy = str(tmp_path / "out"), str(tmp_path / "csv")
+    shutil.copytree(csv_folder, copy)
+
+    def again():
+        return run_all(spark, read_sources(spark, copy), out, RUN_TS, resume=True)
+
+    def written(folder):
+        return {str(f): f.stat().st_mtime_ns for f in Path(folder).rglob("*.parquet")}
+
+    def stop(self):
+        raise RuntimeError("power cut")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(BatchRun, "kpis", stop)
+        with pytest.raises(RuntimeError, match="power cut"):
+            again()
+    before = written(f"{out}/gold")
+    assert before and not Path(out, "serving/kpi_snapshot").exists()
+    resumed = again()
+    assert written(f"{out}/gold") == before  # not written again
+    for layer, names in (("gold", GOLD_TABLES), ("serving", ["anomaly_report", "gold_checks"])):
+        for name in names:
+            # when and from which file a row was read differs
+            columns = [c for c in run.read(layer, name).columns if not c.startswith("_")]
+            found, whole = (Counter(map(str, r.read(layer, name).select(columns).collect())) for r in (resumed, run))
+            assert found == whole, name
+    # nothing is left to do, until the files of a source change
+    everything = written(out)
+    again()
+    assert written(out) == everything
+    Path(copy, "support.csv", "more.csv").write_text(Path(next(Path(copy, "support.csv").glob("part*"))).read_text().splitlines()[0] + "\n")
+    ran = []
+    for stage in ("bronze", "silver", "gold", "kpis", "anomalies", "forecast", "alerts"):
+        monkeypatch.setattr(BatchRun, stage, lambda self, *_, stage=stage: ran.append(stage))
+    again()
+    assert ran == ["bronze", "silver", "gold", "kpis", "anomalies", "forecast", "alerts"]
