@@ -3,10 +3,13 @@
     conversation = level turn*          level = "0" | "1"
     turn         = "<s>[INST]" role "[/INST]" text "</s>"
 
-Rendering is tried as it is (level 0), parsed again and compared with the source. Where a
-role or text holds one of the four control strings, the recovered turns differ; such a
-conversation is rendered again with its contents escaped (level 1), which no content can
-upset: `&`, `<` and `[` become `&amp;`, `&lt;` and `&lb;`. All in DataFrame functions.
+A role or text holds none of the control strings `<s>`, `</s>`, `[INST]` and `[/INST]`: what
+stands between the marks of a turn and holds one is no content, and parses as null. Rendering
+is tried as it is (level 0), parsed again and compared with the source. Where a role or text
+holds a control string, the recovered turns differ; such a conversation is rendered again with
+its contents escaped (level 1), which no content can upset: `&`, `<` and `[` become `&amp;`,
+`&lt;` and `&lb;`. So no control string of a text ever stands in the formatted text. All in
+DataFrame functions.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, MIDDLE, CLOSE = "<s>[INST]", "[/INST]", "</s>"
+CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"))
 
 
@@ -44,6 +48,7 @@ def parse(formatted: Column) -> Column:
     it stands in the formatted text, from code point `start` (from 0) on.
 
     Deterministic: a turn ends at the first closing mark, its role at the first middle mark.
+    Roles and texts that hold a control string are null.
     """
     pieces = F.split(F.substr(formatted, F.lit(2)), r"\Q" + CLOSE + r"\E", -1)
     pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
@@ -54,8 +59,8 @@ def parse(formatted: Column) -> Column:
         role = F.substr(piece, F.lit(len(OPEN) + 1), at - len(OPEN) - 1)
         raw = F.substr(piece, at + len(MIDDLE))
         return F.struct(
-            F.when(coded, unescaped(role)).otherwise(role).alias("role"),
-            F.when(coded, unescaped(raw)).otherwise(raw).alias("text"),
+            _content(role, coded).alias("role"),
+            _content(raw, coded).alias("text"),
             raw.alias("raw"),
             F.length(piece).alias("size"),
             F.length(raw).alias("length"),
@@ -64,6 +69,13 @@ def parse(formatted: Column) -> Column:
     return F.transform(pieces, turn)
 
 
+def _content(raw: Column, coded: Column) -> Column:
+    stray = F.lit(False)
+    for mark in CONTROLS:
+        stray = stray | F.contains(raw, F.lit(mark))
+    return F.when(~stray, F.when(coded, unescaped(raw)).otherwise(raw))
+
+
 def loss_spans(parsed: Column, role: str = "assistant") -> Column:
     """(start, length) of every text of `role` in the formatted text, in code points."""
     step = F.aggregate(
@@ -112,15 +124,18 @@ def format_conversations(rows: DataFrame) -> DataFrame:
 
 def _recovered(formatted: Column, turns: Column) -> Column:
     pair = lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))
-    return F.transform(parse(formatted), pair) == F.transform(turns, pair)
+    return F.transform(parse(formatted), pair).eqNullSafe(F.transform(turns, pair))
 
 
 def digests(formatted: DataFrame, role: str = "assistant") -> DataFrame:
     """Per conversation what is read back from `format_conversations`: n_turns, turns_sha256,
-    loss_chars, loss_sha256 (texts of `role`), formatted_chars."""
+    loss_chars, loss_sha256 (what the formatted text holds under the spans of `role`),
+    formatted_chars."""
     parsed = F.col("parsed")
     listed = F.array_join(F.transform(parsed, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter(parsed, lambda t: t["role"] == role), lambda t: t["text"]), "")
+    under = F.transform(loss_spans(parsed, role), lambda s: F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"]))
+    said = F.when(F.startswith("formatted", F.lit("1")), F.transform(under, unescaped)).otherwise(under)
+    loss = F.array_join(said, "")
     return formatted.select(
         "conv_id",
         F.size(parsed).cast("long").alias("n_turns"),

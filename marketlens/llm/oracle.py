@@ -53,7 +53,7 @@ with said as (
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 marked as (select *, length(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')) as coded_chars from said),
 levels as (
-  select conv_id, bool_or(contains(role, '[/INST]') or contains(role, '</s>') or contains(text, '</s>')) as coded
+  select conv_id, bool_or(regexp_matches(role, '</?s>|\\[/?INST\\]') or regexp_matches(text, '</?s>|\\[/?INST\\]')) as coded
   from said group by conv_id)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, text)) as turns_sha256,
