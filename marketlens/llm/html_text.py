@@ -3,11 +3,14 @@
 A page is read as a stream of block tags and text slots. Adjacent equal groups fold into
 repeated ones. Streams of one host are aligned pairwise: where they differ, the surplus
 becomes one more turn of a repeated group if it equals the group before it, else an optional
-group. Beside that expression the host keeps, for every path with text, how much text it held
-and whether that was always the same. From these counts alone, not by matching the expression,
-the paths of the article are chosen, and pages of the host are cut by them. Streams are folded
-and counted per scan batch, and merged in two steps (host and part, then host), so a host with
-most pages costs no more than its distinct streams.
+group. The result is the host's wrapper. Every page is then matched against it, which says
+for each text by which slot of the wrapper it was read; per slot the host keeps how much text
+it held and whether that was always the same. From these the slots of the article are chosen,
+and a page's text is what these slots read. A text that no slot reads (none, as long as the
+wrapper covers all pages) is judged like a slot of its own by its blocks.
+
+Expressions and counts are taken per scan batch and merged per host in rounds of at most
+`GROUP` rows, so a host with most pages is spread like any other.
 """
 
 from __future__ import annotations
@@ -22,11 +25,12 @@ from difflib import SequenceMatcher
 from operator import itemgetter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.sizes import small_side
 from marketlens.llm.url_filter import host_of
+from marketlens.session import stored
 
 # fixed values: elements of HTML
 BLOCKS = frozenset(
@@ -56,9 +60,18 @@ PLACES = frozenset(
 WRAPPING = frozenset("form fieldset".split())
 WRAPPER_SHARE = 0.8
 ARTICLE = ("article", "main")
+# blocks of text that belong to the article beside its largest block
+LEADS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p blockquote pre figure".split())
+# rows of a host that one task merges in a round
+GROUP = 64
+# blocks open at once; one more closes the innermost, so its text stays and only its place
+# in the tree changes
+DEPTH = 100
+# matched sequences remembered per wrapper, and their length
+REMEMBERED, SHORT = 20_000, 64
 # a text that is the same on this many different pages belongs to the template
 TEMPLATE_PAGES = 5
-# hosts whose paths (a few hundred bytes each) are broadcast; beyond this the join shuffles
+# hosts whose wrappers (a few kilobytes each) are broadcast; beyond this the join shuffles
 BROADCAST_HOSTS = 20_000
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -131,6 +144,8 @@ def blocks(html: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
         ends = CLOSES.get(name, ())
         while names and names[-1] in ends:
             yield from close(1)
+        if len(path) == DEPTH:
+            yield from close(1)
         path.append(_label(name, found["rest"]))
         names.append(name)
         yield "<", tuple(path), ""
@@ -243,31 +258,167 @@ def align(left: list, right: list) -> list:
 def _merged(x, y):
     if x == y:
         return x
-    x, y = (i if isinstance(i, list) else ["1", [i]] for i in (x, y))
-    marks = {x[0], y[0]}
-    if "1" in marks and len(marks) > 1 or marks == {"+", "?"}:
-        outer = "+" if "+" in marks else "?"
-        inner = align(x[1] if x[0] != "1" else [x], y[1] if y[0] != "1" else [y])
-        return [outer, inner] if "?" not in marks or outer == "?" else ["?", [["+", inner]]]
-    return [x[0], align(x[1], y[1])]
+    if _is_element(x) and _is_element(y):
+        return ["1", [x[1][0], *align(x[1][1:-1], y[1][1:-1]), x[1][-1]]]
+    inner = align(*(i[1] if _is_marked(i) else [i] for i in (x, y)))
+    marks = {i[0] for i in (x, y) if _is_marked(i)}
+    return [marks.pop(), inner] if len(marks) == 1 else ["?", [["+", inner]]]
+
+
+def _is_element(item) -> bool:
+    return isinstance(item, list) and item[0] == "1"
+
+
+def _is_marked(item) -> bool:
+    return isinstance(item, list) and item[0] != "1"
+
+
+# --- matching: which slot of the expression reads a text -------------------------------
+
+
+class Wrapper:
+    """An expression ready to read pages.
+
+    Every element of the expression is a node; the places in it (elements and text slots)
+    form an automaton whose steps follow from the marks. A slot's path is a tuple of steps
+    `node:label`.
+    """
+
+    def __init__(self, expression: list):
+        self.paths: list[tuple[str, ...]] = []
+        self._places: list[list[tuple[str, int]]] = []
+        self._after: list[dict[int, dict[str, list[int]]]] = []
+        self._last: list[set[int]] = []
+        self._known: dict[tuple, list] = {}
+        self._node(expression, ())
+
+    def _node(self, items: list, path: tuple[str, ...]) -> int:
+        number = len(self._places)
+        places: list[tuple[str, int]] = []
+        after: dict[int, set[int]] = {}
+        self._places.append(places)
+        self._after.append({})
+        self._last.append(set())
+
+        def place(item) -> tuple[set[int], set[int], bool]:
+            at = len(places)
+            if item == "#":
+                places.append((item, len(self.paths)))
+                self.paths.append(path)
+            elif _is_element(item):
+                token = item[1][0]
+                places.append((token, 0))
+                places[at] = token, self._node(item[1][1:-1], (*path, f"{len(self._places)}:{token[1:]}"))
+            else:
+                first, last, empty = sequence(item[1])
+                if item[0] == "+":
+                    for q in last:
+                        after.setdefault(q, set()).update(first)
+                return first, last, empty or item[0] == "?"
+            return {at}, {at}, False
+
+        def sequence(items: list) -> tuple[set[int], set[int], bool]:
+            first: set[int] = set()
+            last: set[int] = set()
+            empty = True
+            for item in items:
+                begins, ends, none = place(item)
+                for q in last:
+                    after.setdefault(q, set()).update(begins)
+                first = first | begins if empty else first
+                last = last | ends if none else ends
+                empty = empty and none
+            return first, last, empty
+
+        after[-1], self._last[number], _ = sequence(items)
+        for q, nexts in after.items():
+            tokens = self._after[number].setdefault(q, {})
+            for p in sorted(nexts):
+                tokens.setdefault(places[p][0], []).append(p)
+        return number
+
+    def _read(self, node: int, tokens: tuple[str, ...]) -> list[int | None]:
+        """Per token what its place leads to. A token that the expression doesn't expect
+        there takes any place of its kind, else none."""
+        if (node, tokens) in self._known:
+            return self._known[node, tokens]
+        places, after = self._places[node], self._after[node]
+        at, steps = [-1], []
+        for token in tokens:
+            came: dict[int, int] = {}
+            for q in at:
+                for p in after.get(q, {}).get(token, ()):
+                    came.setdefault(p, q)
+            if not came:
+                came = {p: at[0] for p, (kind, _) in enumerate(places) if kind == token}
+            steps.append(came)
+            at = sorted(came) or at
+        here = next((p for p in at if p in self._last[node]), at[0])
+        found: list[int | None] = []
+        for came in reversed(steps):
+            found.append(places[here][1] if came else None)
+            here = came[here] if came else here
+        found.reverse()
+        if len(tokens) <= SHORT:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            self._known[node, tokens] = found
+        return found
+
+    def read(self, html: str) -> list[tuple[int | str, tuple[str, ...], str]]:
+        """(slot, path, text) in page order; a text that no slot reads has its path's text
+        as slot and steps without node."""
+        root: list = []
+        stack = [root]
+        for mark, path, text in blocks(html):
+            if mark == "<":
+                inner: list = []
+                stack[-1].append(("<" + path[-1], inner))
+                stack.append(inner)
+            elif mark == ">":
+                stack.pop()
+            else:
+                stack[-1].append(("#", text))
+        out: list[tuple[int | str, tuple[str, ...], str]] = []
+
+        def walk(node: int | None, children: list, labels: tuple[str, ...]) -> None:
+            tokens = tuple([token for token, _ in children])
+            leads = [None] * len(tokens) if node is None else self._read(node, tokens)
+            for (token, held), lead in zip(children, leads, strict=True):
+                if token != "#":
+                    walk(lead, held, (*labels, ":" + token[1:]))
+                elif lead is None:
+                    out.append((json.dumps(labels), labels, held))
+                else:
+                    out.append((lead, self.paths[lead], held))
+
+        walk(0, root, ())
+        return out
+
+    def path(self, slot: str) -> tuple[str, ...]:
+        """The steps of a slot as written by `slots`."""
+        return self.paths[int(slot)] if slot.isdigit() else tuple(json.loads(slot))
 
 
 def _digest(texts: Iterable[str]) -> str:
     return hashlib.blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
 
 
-def slots(events: Iterable[tuple]) -> dict[str, list]:
-    """Per path with text: [digests of pages, characters, the texts' digest or null once it
-    varies]. A page's digest is that of its text outside furniture; `TEMPLATE_PAGES` of them
-    are kept."""
-    texts: dict[str, list[str]] = {}
-    for mark, path, text in events:
-        if mark == "#":
-            texts.setdefault("/".join(path), []).append(text)
-    sizes = {p: sum(map(len, t)) for p, t in texts.items()}
+def slots(found: Iterable[tuple[int | str, tuple[str, ...], str]]) -> dict[str, list]:
+    """Per slot of a page read by its wrapper: [digests of pages, characters, the texts'
+    digest or null once it varies]. A page's digest is that of its text outside furniture;
+    `TEMPLATE_PAGES` of them are kept."""
+    texts: dict[int | str, list[str]] = {}
+    paths: dict[int | str, tuple[str, ...]] = {}
+    for slot, path, text in found:
+        texts.setdefault(slot, []).append(text)
+        paths[slot] = path
+    sizes: Counter[tuple[str, ...]] = Counter()
+    for slot, own in texts.items():
+        sizes[paths[slot]] += sum(map(len, own))
     aside = furniture(sizes)
-    page = _digest(t for p, own in texts.items() if p not in aside for t in own)
-    return {p: [[page], sizes[p], _digest(t)] for p, t in texts.items()}
+    page = _digest(t for s, own in texts.items() if paths[s] not in aside for t in own)
+    return {str(s): [[page], sum(map(len, own)), _digest(own)] for s, own in texts.items()}
 
 
 def merge_slots(into: dict[str, list], other: dict[str, list]) -> None:
@@ -280,8 +431,12 @@ def merge_slots(into: dict[str, list], other: dict[str, list]) -> None:
             into[path] = [pages, chars, same]
 
 
+def _name(step: str) -> str:
+    return re.split(r"[.@]", step.partition(":")[2], maxsplit=1)[0]
+
+
 def _is_article(step: str) -> bool:
-    return re.split(r"[.@]", step)[0] in ARTICLE or step.endswith("@main")
+    return _name(step) in ARTICLE or step.endswith("@main")
 
 
 def _is_furniture_word(word: str) -> bool:
@@ -289,118 +444,165 @@ def _is_furniture_word(word: str) -> bool:
     return any(w in FURNITURE_WORDS for w in parts) and all(w in FURNITURE_WORDS or w in PLACES for w in parts)
 
 
-def furniture(sizes: dict[str, int]) -> set[str]:
+def furniture(sizes: dict[tuple[str, ...], int]) -> set[tuple[str, ...]]:
     """Of paths with their characters, those in menus, headers, footers, sidebars, notices,
     adverts, forms and comments, by element or by whole words of class, id and role.
 
     Never by html or body, nor by a block around an article or main element; and by words,
     forms and field sets only while these hold less than `WRAPPER_SHARE` of all text.
     """
-    held: Counter[str] = Counter()
+    held: Counter[tuple[str, ...]] = Counter()
     around = set()
     for path, size in sizes.items():
-        steps = path.split("/")
-        for depth in range(1, len(steps) + 1):
-            held["/".join(steps[:depth])] += size
-            if _is_article(steps[depth - 1]):
-                around.update("/".join(steps[:d]) for d in range(1, depth))
+        for depth, step in enumerate(path, 1):
+            held[path[:depth]] += size
+            if _is_article(step):
+                around.update(path[:d] for d in range(1, depth))
     total = sum(sizes.values())
-    judged: dict[str, bool] = {}
+    judged: set[tuple[str, ...]] = set()
     for block, size in held.items():
-        name, *words = re.split(r"[.@]", block.rsplit("/", 1)[-1])
+        name, *words = re.split(r"[.@]", block[-1].partition(":")[2])
         small = size < total * WRAPPER_SHARE
-        judged[block] = (
+        if (
             name not in ("html", "body")
             and block not in around
             and (name in FURNITURE and (small or name not in WRAPPING) or small and any(map(_is_furniture_word, words)))
-        )
-    found = set()
-    for path in sizes:
-        steps = path.split("/")
-        if any(judged["/".join(steps[:depth])] for depth in range(1, len(steps) + 1)):
-            found.add(path)
-    return found
-
-
-def article_slots(found: dict[str, list]) -> list[str]:
-    """The paths that hold the article: those below an article or main element, else below
-    the innermost block with most of the text that varies; never furniture."""
-    aside = furniture({p: s[1] for p, s in found.items()})
-    eligible = {p: s for p, s in found.items() if p not in aside}
-    inside = [p for p in eligible if any(map(_is_article, p.split("/")))]
+        ):
+            judged.add(block)
+    return {path for path in sizes if judged and any(path[:depth] in judged for depth in range(1, len(path) + 1))}
+
+
+def article_slots(found: dict[str, list], wrapper: Wrapper) -> list[str]:
+    """The slots that read the article: those below an article or main element, else below
+    the innermost block with most of the text that varies, with the headings and paragraphs
+    that stand beside a block around it; never furniture."""
+    paths = {s: wrapper.path(s) for s in found}
+    sizes: Counter[tuple[str, ...]] = Counter()
+    for slot, (_, chars, _) in found.items():
+        sizes[paths[slot]] += chars
+    aside = furniture(sizes)
+    eligible = {s: own for s, own in found.items() if paths[s] not in aside}
+    inside = [s for s in eligible if any(map(_is_article, paths[s]))]
     if inside:
         return sorted(inside)
     # text that is the same on several pages belongs to the template
-    eligible = {p: s for p, s in eligible.items() if len(s[0]) < TEMPLATE_PAGES or s[2] is None} or eligible
-    total = sum(s[1] for s in eligible.values())
-    best = ""
-    for path in eligible:
-        steps = path.split("/")
-        for depth in range(1, len(steps)):
-            above = "/".join(steps[:depth])
-            held = sum(s[1] for p, s in eligible.items() if p.startswith(above + "/"))
-            if held * 2 > total and depth > best.count("/") + bool(best):
-                best = above
-    return sorted(p for p in eligible if not best or p.startswith(best + "/"))
-
-
-def main_text(html: str, chosen: set[str]) -> str:
-    """Texts of the chosen paths in page order; a page without any of them gives all text
+    eligible = {s: own for s, own in eligible.items() if len(own[0]) < TEMPLATE_PAGES or own[2] is None} or eligible
+    held: Counter[tuple[str, ...]] = Counter()
+    for slot, own in eligible.items():
+        for depth in range(1, len(paths[slot])):
+            held[paths[slot][:depth]] += own[1]
+    total = sum(own[1] for own in eligible.values())
+    best = max((block for block, size in held.items() if size * 2 > total), key=len, default=())
+
+    def belongs(path: tuple[str, ...]) -> bool:
+        shared = next((d for d, (a, b) in enumerate(zip(path, best, strict=False)) if a != b), min(len(path), len(best)))
+        return shared == len(best) or shared < len(path) and _name(path[shared]) in LEADS
+
+    return sorted(s for s in eligible if belongs(paths[s]))
+
+
+def main_text(html: str, wrapper: Wrapper, chosen: set[str]) -> str:
+    """What the chosen slots read, in page order; a page without any of them gives all text
     outside furniture."""
-    found = [("/".join(path), text) for mark, path, text in blocks(html) if mark == "#"]
-    kept = [t for p, t in found if p in chosen]
+    found = wrapper.read(html)
+    kept = [text for slot, _, text in found if str(slot) in chosen]
     if not kept:
-        sizes: Counter[str] = Counter()
-        for path, text in found:
+        sizes: Counter[tuple[str, ...]] = Counter()
+        for _, path, text in found:
             sizes[path] += len(text)
         aside = furniture(sizes)
-        kept = [t for p, t in found if p not in aside]
+        kept = [text for _, path, text in found if path not in aside]
     return "\n".join(kept)
 
 
-def _batch_rows(counts: dict[tuple[str, str], dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "host": pa.array([h for h, _ in counts], pa.string()),
-            "expression": pa.array([e for _, e in counts], pa.string()),
-            "slots": pa.array([json.dumps(s) for s in counts.values()], pa.string()),
-        }
-    )
+def _in_rounds(rows: DataFrame, merge: Callable[[pa.Table], pa.Table], spread: Column, name: str) -> DataFrame:
+    """One row per host, by `merge` over groups of about `GROUP` rows of a host a round;
+    `spread` deals a host's rows to groups."""
+    schema = rows.schema
+    while True:
+        rows = stored(rows, name)
+        counts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > GROUP)
+        if not counts.limit(1).count():
+            return rows.groupBy("host").applyInArrow(merge, schema)
+        large = small_side(counts, BROADCAST_HOSTS, f"{name}_large")
+        dealt = rows.withColumn("_spread", spread).join(large, "host", "left")
+        part = F.pmod("_spread", F.coalesce(F.ceil(F.col("_rows") / GROUP), F.lit(1)))
+        dealt = dealt.select(*schema.names, part.alias("_part"))
+        rows = dealt.groupBy("host", "_part").applyInArrow(lambda t: merge(t.drop_columns(["_part"])), schema)
 
 
-def wrappers(pages: DataFrame, parts: int = 32) -> DataFrame:
-    """(host, expression, slots, article) per host of `pages(url, html)`; JSON texts."""
-    schema = "host string, expression string, slots string"
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, expression) per host of `pages(url, html)`; the expression as JSON."""
+    schema = "host string, expression string"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, str], dict] = {}
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                events = list(blocks(html or ""))
-                merge_slots(counts.setdefault((host, folded(events)), {}), slots(events))
-            yield _batch_rows(counts)
+            found = {
+                (host, folded(blocks(html or "")))
+                for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)
+            }
+            hosts, texts = [h for h, _ in found], [e for _, e in found]
+            yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "expression": pa.array(texts, pa.string())})
 
     def merge(table: pa.Table) -> pa.Table:
-        expression, found = None, {}
-        rows = sorted(zip(table.column("expression").to_pylist(), table.column("slots").to_pylist(), strict=True))
-        seen = set()
-        for text, held in rows:
-            merge_slots(found, json.loads(held))
-            if text not in seen:
-                seen.add(text)
-                expression = json.loads(text) if expression is None else align(expression, json.loads(text))
-        return pa.table({"host": table.column("host")[:1], "expression": [json.dumps(expression)], "slots": [json.dumps(found)]})
+        texts = sorted(set(table.column("expression").to_pylist()))
+        expression = json.loads(texts[0])
+        for text in texts[1:]:
+            expression = align(expression, json.loads(text))
+        return pa.table({"host": table.column("host")[:1], "expression": [json.dumps(expression)]})
+
+    hosts = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(read, schema).distinct()
+    return _in_rounds(hosts, merge, F.xxhash64("expression"), "expressions")
 
-    hosts = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(read, schema)
-    hosts = hosts.withColumn("part", F.pmod(F.xxhash64("expression"), F.lit(parts)))
-    first = hosts.groupBy("host", "part").applyInArrow(lambda t: merge(t.drop_columns(["part"])), schema)
 
-    def finish(table: pa.Table) -> pa.Table:
-        done = merge(table)
-        chosen = article_slots(json.loads(done.column("slots")[0].as_py()))
-        return done.append_column("article", pa.array([json.dumps(chosen)]))
+def _compiled() -> Callable[[str], Wrapper]:
+    known: dict[str, Wrapper] = {}
 
-    return first.groupBy("host").applyInArrow(finish, schema + ", article string")
+    def of(expression: str) -> Wrapper:
+        if expression not in known:
+            if len(known) == 64:
+                known.clear()
+            known[expression] = Wrapper(json.loads(expression))
+        return known[expression]
+
+    return of
+
+
+def chosen_slots(rows: DataFrame) -> DataFrame:
+    """(host, article) from `rows(host, html, expression)`: the slots of the host's wrapper
+    that read the article, as JSON."""
+    schema = "host string, expression string, slots string"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wrapper = _compiled()
+        for batch in batches:
+            found: dict[tuple[str, str], dict] = {}
+            for host, html, expression in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "expression")), strict=True):
+                merge_slots(found.setdefault((host, expression), {}), slots(wrapper(expression).read(html or "")))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "host": pa.array([h for h, _ in found], pa.string()),
+                    "expression": pa.array([e for _, e in found], pa.string()),
+                    "slots": pa.array([json.dumps(s) for s in found.values()], pa.string()),
+                }
+            )
+
+    def merge(table: pa.Table) -> pa.Table:
+        found: dict[str, list] = {}
+        for held in table.column("slots").to_pylist():
+            merge_slots(found, json.loads(held))
+        return table.slice(0, 1).set_column(2, "slots", pa.array([json.dumps(found)], pa.string()))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = [
+                json.dumps(article_slots(json.loads(held), Wrapper(json.loads(expression))))
+                for expression, held in zip(batch.column("expression").to_pylist(), batch.column("slots").to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(chosen, pa.string())], names=["host", "article"])
+
+    counted = rows.select("host", "html", "expression").mapInArrow(count, schema)
+    return _in_rounds(counted, merge, F.monotonically_increasing_id(), "slots").mapInArrow(choose, "host string, article string")
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -408,21 +610,24 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Null pages count as empty and give an empty text, as do pages without text. Pages whose
     url has no host share one wrapper. Repeated rows stay; other columns are not used. Pages
-    of any length and with missing or unmatched tags are read whole.
+    of any length and with missing or unmatched tags are read whole. On hosts without an
+    article or main element, a slot whose text is the same on `TEMPLATE_PAGES` different
+    pages belongs to the template.
     """
-    known = small_side(wrappers(pages).select(F.col("host").alias("_host"), "article"), BROADCAST_HOSTS, "wrappers")
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host")).join(known, "_host", "left")
+    pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    known = small_side(wrappers(pages), BROADCAST_HOSTS, "wrappers")
+    chosen = chosen_slots(pages.join(known, "host"))
+    rows = pages.join(small_side(known.join(chosen, "host"), BROADCAST_HOSTS, "articles"), "host")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wrapper = _compiled()
         for batch in batches:
-            texts = [
-                main_text(h or "", set(json.loads(a or "[]")))
-                for h, a in zip(batch.column("html").to_pylist(), batch.column("article").to_pylist(), strict=True)
-            ]
+            read = zip(*(batch.column(c).to_pylist() for c in ("html", "expression", "article")), strict=True)
+            texts = [main_text(html or "", wrapper(expression), set(json.loads(article))) for html, expression, article in read]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
-    return rows.select("page_id", "url", "html", "article").mapInArrow(cut, schema)
+    return rows.select("page_id", "url", "html", "expression", "article").mapInArrow(cut, schema)

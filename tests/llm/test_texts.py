@@ -231,6 +231,89 @@ def test_wrappers_cover_their_pages():
         assert covers(every, tokens[page])
 
 
+def wrapper_of(pages):
+    expression = []
+    for page in sorted({html_text.folded(html_text.blocks(p)) for p in pages}):
+        expression = html_text.align(expression, json.loads(page)) if expression else json.loads(page)
+    return expression
+
+
+def random_page(draw, depth=0):
+    out = []
+    for _ in range(draw.randint(0, 4) if depth else 3):
+        kind = draw.choice(["text", "p", "ul", "div", "div", "h2"])
+        if kind == "text":
+            out.append(f" t{draw.randint(0, 9)} ")
+        elif kind in ("p", "h2"):
+            out.append(f"<{kind}>w{draw.randint(0, 9)}</{kind}>")
+        elif kind == "ul":
+            out.append("<ul>" + "<li>x" * draw.randint(0, 4) + "</ul>")
+        elif depth < 3:
+            out.append(f"<div{draw.choice(['', ' class=a'])}>{random_page(draw, depth + 1)}</div>")
+    return "".join(out)
+
+
+def test_every_text_is_read_by_a_slot_in_its_place():
+    draw = random.Random(3)
+    for _ in range(150):
+        pages_of_host = [random_page(draw) for _ in range(draw.randint(1, 6))]
+        expression = wrapper_of(pages_of_host)
+        wrapper = html_text.Wrapper(expression)
+        for page in pages_of_host:
+            events = list(html_text.blocks(page))
+            assert covers(expression, html_text.stream(events))
+            found = wrapper.read(page)
+            assert [t for *_, t in found] == [t for m, _, t in events if m == "#"]
+            labels = [tuple(step.partition(":")[2] for step in path) for _, path, _ in found]
+            assert labels == [p for m, p, _ in events if m == "#"]
+    # places follow the expression: a, b+, c? in this order
+    wrapper = html_text.Wrapper(wrapper_of(["<p>1</p><ul></ul><p>2</p>", "<p>1</p><ul></ul><ul></ul><p>2</p><h2>3</h2>"]))
+    assert [s for s, *_ in wrapper.read("<p>x</p><ul></ul><p>y</p><h2>z</h2>")] == [0, 1, 2]
+    assert [s for s, *_ in wrapper.read("<p>x</p><table><tr><td>q</table>")] == [0, '[":table", ":tr", ":td"]']
+
+
+def test_slots_of_one_path_are_told_apart(spark):
+    """Same path for all paragraphs: only their places in the wrapper differ."""
+    page = "<div><p>Follow us</p><h2>Title {n}</h2><p>Text {n} of this page</p><p>{n} more</p><h3>{n}</h3><p>Read on</p></div>"
+    rows = [(n, "http://h/", page.format(n=n)) for n in range(8)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    assert got == {n: f"Title {n}\nText {n} of this page\n{n} more\n{n}" for n in range(8)}
+
+
+def test_heading_and_lead_beside_the_largest_block(spark):
+    page = (
+        "<div class='page'><h1>Head {n}</h1><p class='lead'>Lead {n}</p><div class='text'><p>{t}</p><p>{t}</p></div>"
+        "<div class='x'><p>Other story {n}</p></div></div>"
+    )
+    rows = [(n, "http://h/", page.format(n=n, t=f"long text {n} " * 20)) for n in range(6)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    text = ("long text 2 " * 20).strip()
+    assert got[2] == f"Head 2\nLead 2\n{text}\n{text}"
+
+
+def test_many_forms_of_a_host_merge_in_rounds(spark, monkeypatch):
+    draw = random.Random(5)
+    shapes = ["<p>a {n}", "<ul><li>b {n}<li>c</ul>", "<h2>d {n}</h2>", "<table><tr><td>e {n}</table>"]
+    rows = []
+    for n in range(60):
+        inner = "".join(draw.choices(shapes, k=draw.randint(1, 5))).format(n=n)
+        rows.append((n, "http://big/", f"<nav>menu</nav><article>{inner}</article><aside>{n}</aside>"))
+    expected = {n: "\n".join(t for m, p, t in html_text.blocks(h) if m == "#" and p[0] == "article") for n, _, h in rows}
+    for size in (3, 64):
+        monkeypatch.setattr(html_text, "GROUP", size)
+        got = html_text.extract_text(pages(spark, rows).repartition(7)).collect()
+        assert {r.page_id: r.text for r in got} == expected
+
+
+def test_very_deep_and_very_long_pages(spark):
+    deep = "<div>" * 3000 + "in" + "</div>" * 3000
+    long = "<article>" + "".join(f"<p>paragraph {n} é" for n in range(40000)) + "</article>"
+    rows = [(1, "http://deep/", deep), (2, "http://long/", long), (3, "http://long/", "<article><p>short</article>")]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    assert got[1] == "in" and got[3] == "short"
+    assert got[2] == "\n".join(f"paragraph {n} é" for n in range(40000))
+
+
 def test_hosts_paths_and_rules(spark):
     urls = {
         "http://A.Example.ORG/en/12?q#f": ("a.example.org", "/en/12", "example.org/en/1", "block"),
