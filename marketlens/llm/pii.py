@@ -3,7 +3,12 @@
 The same entity gets the same surrogate in every document, different entities different
 ones. A surrogate keeps the entity's layout: digits for digits, letters of the same case and
 script, valid octets for addresses, a valid check digit for cards, the fictional exchange 555
-of phone numbers, the gender of names that follow a title. All in DataFrame functions.
+of phone numbers, the gender of names that follow a title. Words of a name found after a title
+are replaced alike wherever they stand in that document, also without the title or before 's.
+All in DataFrame functions.
+
+Not detected: numbers of layouts other than those below (`030 1234567`), names never mentioned
+with a title in their document, names in capitals, more than two words of a name.
 """
 
 from __future__ import annotations
@@ -15,23 +20,31 @@ from marketlens.llm.naming import unused
 from marketlens.session import stored
 
 # fixed values: what counts as an entity, the first kind that matches a whole entity names it
-_NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}\p{Ll}+)?"
-FEMALE_TITLES = r"(?:Mrs|Ms|Miss|Frau|Mme|Madame|Mlle|Señora|Señorita|Sra|Srta|Госпожа)"
-MALE_TITLES = r"(?:Mr|Herr|Monsieur|Señor|Sr|Господин)"
+_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}+(?:['’-]?\p{Lu}\p{Ll}+)*"
+FEMALE_TITLES = r"(?:Mrs|Ms|Miss|Frau|Mme|Madame|Mlle|Señora|Señorita|Sra|Srta|Signora|Mevrouw|Госпожа)"
+MALE_TITLES = r"(?:Mr|Mister|Herr|Monsieur|Señor|Sr|Signor|Meneer|Господин)"
+TITLES = r"(?:Dr|Doctor|Doktor|Prof|Professor)"
+_TITLED = rf"\.? (?:{TITLES}\.? )*"
+_PERSON = rf"{_TITLED}{_NAME}(?: {_NAME})?(?!\p{{L}})"
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?![\p{L}\p{N}])"
+    r"|(?<![\p{L}\p{N}.+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\p{L}\p{N}-])",
     "ssn": r"(?<![\p{L}\p{N}.-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
-    "card": r"(?<![\p{L}\p{N}])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}])(?:3[47]\d{2}[ -]\d{6}[ -]\d{5}|2[2-7]\d{2}(?:[ -]?\d{4}){3}"
+    r"|[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4})(?![\p{L}\p{N}])",
     "access": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "secret": r"(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*\"?[A-Za-z0-9_/+.-]{8,}\"?",
-    "female": rf"(?<!\p{{L}}){FEMALE_TITLES}\.? {_NAME}(?: {_NAME})?",
-    "male": rf"(?<!\p{{L}}){MALE_TITLES}\.? {_NAME}(?: {_NAME})?",
+    "female": rf"(?<!\p{{L}}){FEMALE_TITLES}{_PERSON}",
+    "male": rf"(?<!\p{{L}}){MALE_TITLES}{_PERSON}",
+    "person": rf"(?<!\p{{L}}){TITLES}{_PERSON}",
 }
 ANY = "|".join(KINDS.values())
 # a cheap necessary condition, so that most texts are scanned once by a simple pattern
-HINT = rf"[@\d]|[=:]|{FEMALE_TITLES}|{MALE_TITLES}"
+HINT = rf"[@\d]|[=:]|{FEMALE_TITLES}|{MALE_TITLES}|{TITLES}"
+# words and what stands between them, for names without their title
+_TOKEN = rf"{_NAME}(?!\p{{L}})|\p{{L}}+|[^\p{{L}}]+"
 # draws within an entity's own layout, before surrogates get longer
 OWN_LAYOUT = 6
 SYLLABLES = {
@@ -62,8 +75,12 @@ def _number(text: Column, start: int, length: int) -> Column:
     return F.conv(F.substring(text, start, length), 16, 10).cast("long")
 
 
-def _by_character(text: Column, seed: Column) -> Column:
-    """Digits for digits, letters for letters of their case and script, the rest unchanged."""
+def _by_character(text: Column, seed: Column, digits_only: bool = False) -> Column:
+    """Digits for digits, letters for letters of their case and script, the rest unchanged.
+
+    With `digits_only` a digit's draw depends on its place among the digits, so a number gets
+    the same digits in every layout.
+    """
     alphabets = [
         (r"[0-9]", "0123456789"),
         (r"[a-z]", "abcdefghijklmnopqrstuvwxyz"),
@@ -74,6 +91,8 @@ def _by_character(text: Column, seed: Column) -> Column:
     ]
 
     def one(char: Column, place: Column) -> Column:
+        if digits_only:
+            place = F.length(F.regexp_replace(F.substr(text, F.lit(1), place), r"\D", ""))
         draw = F.conv(F.substring(F.sha2(F.concat_ws("|", seed, place.cast("string")), 256), 1, 8), 16, 10).cast("long")
         out = F.lit(None).cast("string")
         for pattern, letters in reversed(alphabets):
@@ -95,7 +114,7 @@ def _octets(entity: Column, seed: Column) -> Column:
 
 def _card(entity: Column, seed: Column) -> Column:
     """The first digit and all separators stay, the last digit makes the Luhn sum right."""
-    drawn = F.concat(F.substring(entity, 1, 1), _by_character(F.substr(entity, F.lit(2)), seed))
+    drawn = F.concat(F.substring(entity, 1, 1), _by_character(F.substr(entity, F.lit(2)), seed, True))
     digits = F.split(F.regexp_replace(drawn, r"\D", ""), "")
     count = F.size(digits)
 
@@ -112,17 +131,25 @@ def _card(entity: Column, seed: Column) -> Column:
 def _phone(entity: Column, seed: Column) -> Column:
     """The country code stays, and the exchange 555 where it stands."""
     code = F.regexp_extract(entity, r"^\+\d{1,3}(?=[ (.-])|^\+\d", 0)
-    rest = _by_character(F.substr(entity, F.length(code) + 1), seed)
+    rest = _by_character(F.substr(entity, F.length(code) + 1), seed, True)
     at = F.regexp_instr(F.substr(entity, F.length(code) + 1), F.lit(r"(?<!\d)555(?!\d)"))
     return F.concat(code, F.when(at > 0, F.overlay(rest, F.lit("555"), at)).otherwise(rest))
 
 
+def _title(entity: Column) -> Column:
+    """The title that a name begins with, the blank behind it included, else empty."""
+    return F.regexp_extract(entity, rf"^(?:{FEMALE_TITLES}|{MALE_TITLES}|{TITLES}){_TITLED}", 0)
+
+
+def _name_words(entity: Column) -> Column:
+    return F.split(F.substr(entity, F.length(_title(entity)) + 1), " ")
+
+
 def _name(entity: Column, kind: Column, seed: Column) -> Column:
     """Title kept; every name word becomes syllables of its script, the first given name
-    with an ending of the title's gender. A word has one surrogate per gender everywhere,
-    so a surname alone and with a given name still agree."""
-    title = F.regexp_extract(entity, rf"^(?:{FEMALE_TITLES}|{MALE_TITLES})\.? ", 0)
-    words = F.split(F.substr(entity, F.length(title) + 1), " ")
+    with an ending of the title's gender, if it has one. A word has one surrogate per gender
+    everywhere, so a surname alone and with a given name still agree."""
+    title, words = _title(entity), _name_words(entity)
 
     def one(word: Column, place: Column) -> Column:
         digest = F.sha2(F.concat_ws("|", seed, word), 256)
@@ -132,7 +159,7 @@ def _name(entity: Column, kind: Column, seed: Column) -> Column:
             parts = [F.get(syllables, (_number(digest, 1 + 4 * i, 4) % len(SYLLABLES[script])).cast("int")) for i in range(5)]
             given = (F.size(words) > 1) & (place == 0)
             ending = {"latin": ("na", "n"), "cyrillic": ("на", "н")}[script]
-            return F.concat(*parts, F.when(given, F.when(kind == "female", ending[0]).otherwise(ending[1])).otherwise(""))
+            return F.concat(*parts, F.when(given & (kind == "female"), ending[0]).when(given & (kind == "male"), ending[1]).otherwise(""))
 
         return F.initcap(F.when(word.rlike(r"\p{IsCyrillic}"), spelled("cyrillic")).otherwise(spelled("latin")))
 
@@ -160,9 +187,9 @@ def _replacement(key: str, entity: Column, kind: Column, normal: Column, attempt
         .when(kind == "phone", _phone(entity, seed))
         .when(kind == "ip", _octets(entity, seed))
         .when(kind == "card", _card(entity, seed))
-        .when(kind == "ssn", _by_character(entity, seed))
+        .when(kind == "ssn", _by_character(entity, seed, True))
         .when(kind == "access", F.concat(F.substring(entity, 1, 4), _by_character(F.substr(entity, F.lit(5)), seed)))
-        .when(kind.isin("female", "male"), _name(entity, kind, words))
+        .when(kind.isin("female", "male", "person"), _name(entity, kind, words))
         .otherwise(F.concat(marker, secret))
     )
     return F.when(attempt < OWN_LAYOUT, own).otherwise(_longer(own, kind, seed, attempt - OWN_LAYOUT + 1))
@@ -222,7 +249,9 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
 
     Every row is kept, repeated rows too; rows without entities, empty and null texts are
     returned as they are, with 0. Whole texts are searched. A column `n_entities` is
-    replaced, other columns are kept.
+    replaced, other columns are kept. It counts what the patterns find, not the mentions of
+    a name without its title; such a word that two names of a document replace differently
+    (as given name and as surname) gets the lesser surrogate by code point.
     """
     text = F.col(text_col)
     docs = docs.drop("n_entities")
@@ -230,14 +259,24 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
     dirty = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     # equal rows may share their replacements
     row = F.md5(F.concat_ws("\x1f", F.col(id_col).cast("string"), text))
-    name, pieces, made = (unused(docs, c) for c in ("_row", "_gaps", "_made"))
+    name, pieces, made, bare = (unused(docs, c) for c in ("_row", "_gaps", "_made", "_bare"))
     mentions = docs.where(dirty).select(row.alias(name), F.posexplode(found).alias("place", "entity"))
     mentions = stored(mentions, "mentions")
-    chosen = mentions.join(surrogates(mentions, key), "entity")
+    chosen = stored(mentions.join(surrogates(mentions, key), "entity"), "chosen")
     lists = chosen.groupBy(name).agg(F.array_sort(F.collect_set(F.struct("place", "surrogate"))).alias(made))
+    titled = chosen.where(F.length(_title(F.col("entity"))) > 0)
+    pairs = F.arrays_zip(_name_words(F.col("entity")).alias("word"), _name_words(F.col("surrogate")).alias("other"))
+    words = titled.select(name, F.inline(pairs).alias("word", "other")).groupBy(name, "word").agg(F.min("other").alias("other"))
+    words = words.groupBy(name).agg(F.map_from_entries(F.collect_list(F.struct("word", "other"))).alias(bare))
     gaps = F.split(text, ANY, -1)
-    parts = docs.where(dirty).withColumns({name: row, pieces: gaps}).join(lists, name)
-    filled = F.zip_with(pieces, made, lambda gap, s: F.concat(gap, F.coalesce(s["surrogate"], F.lit(""))))
+    parts = docs.where(dirty).withColumns({name: row, pieces: gaps}).join(lists, name).join(words, name, "left")
+
+    def between(gap: Column) -> Column:
+        tokens = F.regexp_extract_all(gap, F.lit(_TOKEN), F.lit(0))
+        named = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(F.col(bare), t), t))
+        return F.when(F.col(bare).isNull(), gap).otherwise(F.array_join(named, ""))
+
+    filled = F.zip_with(pieces, made, lambda gap, s: F.concat(between(gap), F.coalesce(s["surrogate"], F.lit(""))))
     keep = [F.col(c) for c in docs.columns if c != text_col]
     replaced = parts.select(*keep, F.array_join(filled, "").alias(text_col), F.size(made).cast("long").alias("n_entities"))
     clean = docs.where(~dirty).select(*keep, text, F.lit(0).cast("long").alias("n_entities"))

@@ -114,6 +114,47 @@ def test_surrogates_keep_kind_and_layout(spark):
     assert replaced(spark, [TEXT], "other")[0].text != text
 
 
+def test_names_are_followed_through_their_document(spark):
+    text = (
+        "Mr John Smith met Mrs Smith. John went home, said Smith to Dr Alan Poe, Smith's friend; Herr Prof. Dr. Otto McDonald. "
+        "Call 212-555-0187, (212) 555-0187 or 3782 822463 10005, 2221000000000009. Smithers, Johnny and McDonald stay or go."
+    )
+    rows = replaced(spark, [text, "Smith and John without a title", "Drama 12 Profs 3"])
+    pattern = (
+        r"Mr (\w+n) (\w+) met Mrs (\w+)\. (\w+) went home, said (\w+) to Dr (\w+) (\w+), (\w+)'s friend; Herr Prof\. Dr\. (\w+n) (\w+)\. "
+        r"Call (\d{3}-555-\d{4}), (\(\d{3}\) 555-\d{4}) or (3\d{3} \d{6} \d{5}), (2\d{15})\. Smithers, Johnny and (\w+) stay or go\."
+    )
+    parts = re.fullmatch(pattern, rows[0].text).groups()
+    john, smith, alan, poe, otto, mc = parts[0], parts[1], parts[5], parts[6], parts[8], parts[9]
+    assert parts[2] == parts[4] == parts[7] == smith and parts[3] == john and parts[14] == mc
+    assert len({john, smith, alan, poe, otto, mc}) == 6
+    for value in ("John ", "Smith ", "Smith'", "Alan", "Poe", "Otto", "McDonald", "0187", "822463", "2221000"):
+        assert value not in rows[0].text
+    digits = [re.sub(r"\D", "", p) for p in parts[10:14]]
+    assert digits[0] == digits[1] and luhn(digits[2]) % 10 == luhn(digits[3]) % 10 == 0
+    assert [r.text for r in rows[1:]] == ["Smith and John without a title", "Drama 12 Profs 3"]
+
+
+def test_replacements_by_brute_force(spark):
+    """Texts made of known entities and filling: one surrogate per entity, none twice."""
+    draw = random.Random(8)
+    entities = [f"u{n}x@m{n % 5}.org" for n in range(30)] + [f"10.{n}.7.{n + 1}" for n in range(100, 120)]
+    entities += [f"Mrs {a} {b}" for a in ("Ada", "Eva") for b in ("Kern", "Lutz", "O'Hara")] + [f"2{n}-555-01{n}" for n in range(10, 30)]
+    filling = ["and", "12 apples,", "a=b", "ärger", "(see 3.5)", "x@y", "\n"]
+    texts, made = [], []
+    for _ in range(60):
+        pieces = [draw.choice(entities if draw.random() < 0.4 else filling) for _ in range(draw.randint(1, 12))]
+        texts.append(pieces)
+    rows = replaced(spark, [" ; ".join(p) for p in texts])
+    for pieces, row in zip(texts, rows, strict=True):
+        out = row.text.split(" ; ")
+        assert len(out) == len(pieces) and row.n_entities == sum(p in entities for p in pieces)
+        made += [(p, o) for p, o in zip(pieces, out, strict=True) if p in entities]
+        assert all(p == o for p, o in zip(pieces, out, strict=True) if p not in entities)
+    pairs = set(made)
+    assert len(pairs) == len({p for p, _ in pairs}) == len({o for _, o in pairs}) and not {o for _, o in pairs} & set(entities)
+
+
 def test_different_entities_stay_different(spark):
     # of 90 two-digit endings most draws collide at first
     entities = [f"1{n}.2.3.4" for n in range(10, 60)] + [f"{a}.{b}.1.1" for a in range(1, 10) for b in range(1, 10)]
