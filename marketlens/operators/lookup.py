@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketlens.session import stored
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -19,3 +22,17 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "lef
     large partition, which is split (skew join), since `dim` has one row per key.
     """
     return fact.join(dim, on, how)
+
+
+def small_side(dim: DataFrame, most_rows: int, name: str) -> DataFrame:
+    """`dim` stored, and marked for broadcast if it has at most `most_rows` rows; beyond that
+    a join with it shuffles both sides. Runs a job."""
+    kept = stored(dim, name)
+    return F.broadcast(kept) if kept.limit(most_rows + 1).count() <= most_rows else kept
+
+
+def one_per_key(dim: DataFrame, on: str) -> DataFrame:
+    """`dim`, which is unique on `on`, in a form that tells the optimizer so: a left join with
+    it is dropped where none of its columns is read. Null keys, which match nothing, are one."""
+    others = [F.first(c).alias(c) for c in dim.columns if c != on]
+    return dim.groupBy(on).agg(*others) if others else dim.distinct()

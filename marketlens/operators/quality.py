@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.columns import as_timestamp
 from marketlens.operators.dedup import keep_one
-from marketlens.operators.lookup import lookup
+from marketlens.operators.lookup import lookup, one_per_key, small_side
 from marketlens.sources.files import ARRIVAL
 from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
 
@@ -52,6 +52,9 @@ MISSING_PRICE = "missing_price"
 
 _TIME = "_time"
 
+# ids without a parent, 8 bytes or a short text each; beyond this the orders are shuffled by id
+BROADCAST_IDS = 1_000_000
+
 
 def _complete(source: str) -> str:
     """Plain null checks: they reach the scan, and joins infer nothing beyond them."""
@@ -144,9 +147,11 @@ def order_warehouses(delivery: DataFrame, kept: DataFrame, customers: DataFrame,
 
     Deliveries and orders are joined as they come out of their deduplication, partitioned by
     order; the checks follow on the joined rows, so orders are not shuffled by order again.
+    Figures that do not ask for the warehouse are planned without orders and checks.
     """
     order = kept.select("order_id", "customer_id", "product_id", "amount", "timestamp", "warehouse_id", REASON)
-    checked = check_orders(delivery.join(order, "order_id", "left"), customers, products)
+    known = one_per_key(customers.select("customer_id"), "customer_id"), one_per_key(products.select("product_id"), "product_id")
+    checked = check_orders(delivery.join(one_per_key(order, "order_id"), "order_id", "left"), *known)
     warehouse = F.when(F.col(REASON).isNull(), F.col("warehouse_id")).alias("warehouse_id")
     return checked.select(*delivery.columns, warehouse)
 
@@ -156,16 +161,32 @@ def check_orders(kept: DataFrame, customers: DataFrame, products: DataFrame) ->
     known_customer = customers.selectExpr("customer_id", "true as _customer")
     known_product = products.selectExpr("product_id", "true as _product")
     flagged = lookup(lookup(kept, known_customer, "customer_id"), known_product, "product_id")
+    return _charged(flagged, "_customer is null or _product is null").select(*kept.columns)
+
+
+def check_stored_orders(kept: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """As `check_orders`, for orders that are stored and have no null ids. Only ids are shuffled: those
+    of the orders are made distinct and reduced to the ones without a parent, which are few unless
+    a parent is missing as a whole; the orders meet these where they are read. Runs jobs."""
+    flagged = kept
+    for key, parent in (("customer_id", customers), ("product_id", products)):
+        unknown = kept.select(key).distinct().join(parent.select(key), key, "left_anti")
+        unknown = small_side(unknown, BROADCAST_IDS, f"unknown-{key}").withColumn(f"_no_{key}", F.lit(True))
+        flagged = lookup(flagged, unknown, key)
+    return _charged(flagged, "_no_customer_id or _no_product_id").select(*kept.columns)
+
+
+def _charged(flagged: DataFrame, orphan: str) -> DataFrame:
+    """Orders with their time read, charged to the first check they fail."""
     timed = flagged.withColumn("timestamp", as_timestamp("timestamp"))
-    checked = refuse(
+    return refuse(
         timed,
         {
-            REFERENTIAL: "_customer is null or _product is null",
+            REFERENTIAL: orphan,
             NEGATIVE_AMOUNT: "amount < 0",
             INVALID_TIMESTAMP: "timestamp is null",
         },
     )
-    return checked.select(*kept.columns)
 
 
 def screen_inventory(raw: DataFrame) -> DataFrame:

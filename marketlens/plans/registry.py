@@ -25,7 +25,7 @@ from marketlens.operators import (
     rules,
     timeseries,
 )
-from marketlens.plans.warehouse import Warehouse
+from marketlens.plans.warehouse import ScreenedOnce, Warehouse
 from marketlens.session import scratch_path, stored
 from marketlens.sources import files, quarantine, sinks, testtables
 from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
@@ -44,11 +44,11 @@ CALENDAR = date(1995, 1, 1), date(1996, 12, 31)
 _QUERIES: dict[str, Query] = {}
 
 
-def _over_warehouse(name: str):
+def _over_warehouse(name: str, kind: type[Warehouse] = Warehouse):
     """Registers a function of the warehouse under `name`."""
 
     def register(build: Callable[[Warehouse], DataFrame]):
-        _QUERIES[name] = lambda spark, sf_dir: build(Warehouse.over_test_tables(spark, sf_dir))
+        _QUERIES[name] = lambda spark, sf_dir: build(kind.over_test_tables(spark, sf_dir))
         return build
 
     return register
@@ -80,7 +80,7 @@ _over_warehouse("duplicate_orders")(lambda w: dedup.duplicate_keys(w.sources["or
 _over_warehouse("orphan_customers_in_orders")(
     lambda w: expectations.orphans(w.sources["orders"], "customer_id", w.silver("customers"), "customer_id")
 )
-_over_warehouse("expectation_report")(
+_over_warehouse("expectation_report", ScreenedOnce)(
     lambda w: expectations.store_checked(w.gold(), lambda name, df: stored(df, name))[1]
 )
 

@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.operators import forecast, kpis, model, quality, rules, staging, timeseries
+from marketlens.operators.lookup import one_per_key, small_side
+from marketlens.session import stored
 from marketlens.sources import testtables
 
+# products with their unit cost, 16 bytes each; beyond this orders are shuffled by product
+BROADCAST_PRODUCTS = 2_000_000
+
 
 class Warehouse:
     """Silver, gold and derived frames over seven source frames.
@@ -139,3 +144,31 @@ class Warehouse:
     @cached_property
     def stockout_alerts(self) -> DataFrame:
         return rules.stockout_alerts(self.fact_inventory, self.fact_orders)
+
+
+class ScreenedOnce(Warehouse):
+    """Frames over rows that are screened and stored when they are first asked for.
+
+    For queries that use a layer in several places, in jobs of their own or with other
+    columns in each: sources are read and shuffled once, whatever is built on them.
+    """
+
+    def screened(self, name: str) -> DataFrame:
+        if name not in self._screened:
+            if name == "orders":
+                kept = stored(quality.kept_orders(self.sources[name]), "kept-orders")
+                parents = self.silver("customers"), self.silver("products")
+                self._screened[name] = quality.check_stored_orders(kept, *parents)
+            elif name in ("customers", "products", "inventory"):
+                self._screened[name] = stored(super().screened(name), f"screened-{name}")
+        return super().screened(name)
+
+    @cached_property
+    def fact_orders(self) -> DataFrame:
+        costs = small_side(self.silver("products").select("product_id", "cost"), BROADCAST_PRODUCTS, "costs")
+        # a reader that needs no cost is planned without the join
+        return model.fact_orders(self.silver("orders"), one_per_key(costs, "product_id"))
+
+    @cached_property
+    def fact_delivery(self) -> DataFrame:
+        return model.fact_delivery(self.silver("delivery"), self.silver("orders"))
