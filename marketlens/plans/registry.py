@@ -117,13 +117,17 @@ def quality_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources as files ------------------------------------------------------------------
 
 
+# compressed; a file is read by one task, which sorts its rows, so files are kept small
+_CSV = {"header": True, "compression": "gzip", "maxRecordsPerFile": 100_000}
+
+
 def _write_csv(spark: SparkSession, sf_dir: str, changed: dict[str, DataFrame] | None = None) -> str:
     """The seven sources as files with a header, `changed` ones in place of their source."""
     folder = scratch_path(spark, "csv")
     for name, frame in (dict(testtables.TestSources(spark, sf_dir)) | (changed or {})).items():
         wanted = field_types(SOURCE_SCHEMAS[name])
         cells = [(F.col(c) if c in frame.columns else F.lit(None)).cast("string").alias(c) for c in wanted]
-        frame.select(*cells).write.option("header", True).csv(f"{folder}/{name}.csv/1")
+        frame.select(*cells).write.options(**_CSV).csv(f"{folder}/{name}.csv/1")
     return folder
 
 
@@ -134,7 +138,7 @@ INGESTION = ["_ingested_at", "_source_file"]
 def _again(spark: SparkSession, folder: str, name: str, frame: DataFrame) -> None:
     """A later file of a source."""
     cells = [F.col(c).cast("string").alias(c) for c in field_types(SOURCE_SCHEMAS[name])]
-    frame.select(*cells).write.option("header", True).csv(f"{folder}/{name}.csv/2")
+    frame.select(*cells).write.options(**_CSV).csv(f"{folder}/{name}.csv/2")
 
 
 def _read_csv(spark: SparkSession, folder: str) -> Warehouse:
