@@ -87,8 +87,8 @@ _over_warehouse("expectation_report", ScreenedOnce)(
 
 @_over_tables
 def quality_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse.over_test_tables(spark, sf_dir)
-    alerts = _alerts(spark, sf_dir)
+    w = ScreenedOnce.over_test_tables(spark, sf_dir)
+    alerts = _alerts(spark, sf_dir, w)
     parts = [expectations.expect_rows(w.silver(n), f"silver_{n}") for n in w.sources]
     parts += [
         expectations.expect_at_least(w.fact_orders, "fact_orders", "amount", 0),
@@ -313,8 +313,8 @@ def _live_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.running_totals(records.decode(records.encode(testtables.events(spark, sf_dir))))
 
 
-def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse.over_test_tables(spark, sf_dir)
+def _alerts(spark: SparkSession, sf_dir: str, w: Warehouse | None = None) -> DataFrame:
+    w = w or ScreenedOnce.over_test_tables(spark, sf_dir)
     return rules.all_alerts(
         [
             w.stockout_alerts,
@@ -400,8 +400,8 @@ def alert_status_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_over_tables
 def operations_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse.over_test_tables(spark, sf_dir)
-    return reports.operations_summary(w.fact_inventory, w.fact_delivery, _alerts(spark, sf_dir))
+    w = ScreenedOnce.over_test_tables(spark, sf_dir)
+    return reports.operations_summary(w.fact_inventory, w.fact_delivery, _alerts(spark, sf_dir, w))
 
 
 # --- live feed ----------------------------------------------------------------------
