@@ -455,13 +455,18 @@ def _feed(spark: SparkSession, sf_dir: str, folder: str, repeated: bool = False)
     events = testtables.events(spark, sf_dir)
     count = events.agg(F.coalesce(F.max("event_id") + 1, F.lit(1))).first()[0]
     files = max(4, -(-count // _FILE_RECORDS))
-    part = F.expr(f"event_id * {files} div {count}")
+    # dealt by file once: each file is then written from its own rows, not from the whole table
+    dealt = events.withColumn("file_number", F.expr(f"event_id * {files} div {count}"))
+    dealt.repartition(files, "file_number").write.partitionBy("file_number").parquet(f"{folder}-dealt")
+
+    rows = spark.read.schema(dealt.schema).parquet(f"{folder}-dealt")
+
     for number in range(files):
-        own = events.where(part == number)
+        own = rows.where(F.col("file_number") == number).drop("file_number")
         if repeated:
             own = own.unionByName(own.where("event_id % 5 = 0"))
             if number == files - 1:
-                own = own.unionByName(events.where((part == 0) & F.expr("event_id % 7 = 0")))
+                own = own.unionByName(rows.where("file_number = 0 and event_id % 7 = 0").drop("file_number"))
         records.encode(own).coalesce(1).write.mode("append").json(folder)
 
 
