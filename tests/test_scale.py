@@ -146,3 +146,16 @@ def test_feed_files_are_written_from_their_own_rows(spark, frame, folder, monkey
     expected = [sorted([*range(n * 8, n * 8 + 8), *fifths(range(n * 8, n * 8 + 8))]) for n in range(5)]
     expected[4] = sorted(expected[4] + [0, 7])
     assert [found[k] for k in sorted(found)] == expected
+
+
+def test_only_files_that_are_read_are_written(spark, sources, frame, monkeypatch):
+    stock = "product_id bigint, warehouse_id string, available_qty int, reserved_qty int, reorder_level int, updated_at timestamp_ntz"
+    held = sources | {"inventory": frame(stock, (1, "W1", 5, 1, 2, None), (1, "W1", 7, 3, 1, None), (2, "W1", 4, 0, 1, None))}
+    monkeypatch.setattr(testtables, "TestSources", lambda *_: held)
+    monkeypatch.setattr(testtables, "inventory", lambda *_: held["inventory"])
+    folders, read = [], registry._read_csv
+    monkeypatch.setattr(registry, "_read_csv", lambda s, f, *a: (folders.append(f), read(s, f, *a))[1])
+    found = registry.silver_inventory_by_arrival(spark, "none").collect()
+    assert sorted((str(r["product_id"]), r["available_qty"], r["reserved_qty"]) for r in found) == [("1", 7, 1), ("2", 4, 0)]
+    assert {str(r["updated_at"])[:4] for r in found} == {"1990"}
+    assert glob.glob(f"{folders[0].removeprefix('file:')}/*.csv") == [f"{folders[0].removeprefix('file:')}/inventory.csv"]
