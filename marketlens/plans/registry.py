@@ -25,7 +25,7 @@ from marketlens.operators import (
     rules,
     timeseries,
 )
-from marketlens.plans.warehouse import ScreenedOnce, Warehouse
+from marketlens.plans.warehouse import ParentsOnce, ScreenedOnce, Warehouse
 from marketlens.session import scratch_path, stored
 from marketlens.sources import files, quarantine, sinks, testtables
 from marketlens.sources.schemas import SOURCE_SCHEMAS, field_types
@@ -221,9 +221,11 @@ _over_warehouse("kpi_customers")(lambda w: kpis.customer_kpis(w.fact_orders, w.d
 _over_warehouse("kpi_inventory")(lambda w: kpis.inventory_kpis(w.fact_inventory, w.fact_orders))
 _over_warehouse("kpi_delivery")(lambda w: kpis.delivery_kpis(w.fact_delivery))
 _over_warehouse("kpi_marketing")(lambda w: kpis.marketing_kpis(w.fact_marketing, w.fact_orders))
-_over_warehouse("kpi_snapshot")(lambda w: reports.all_kpis(w.kpi_snapshot).drop("computed_at"))
-_over_warehouse("kpis_of_domain")(lambda w: reports.kpis_by_domain(w.kpi_snapshot, "sales").drop("computed_at"))
-_over_warehouse("executive_summary")(lambda w: kpis.executive_summary(w.kpi_snapshot))
+_over_warehouse("kpi_snapshot", ParentsOnce)(lambda w: reports.all_kpis(w.kpi_snapshot).drop("computed_at"))
+_over_warehouse("kpis_of_domain", ParentsOnce)(
+    lambda w: reports.kpis_by_domain(w.kpi_snapshot, "sales").drop("computed_at")
+)
+_over_warehouse("executive_summary", ParentsOnce)(lambda w: kpis.executive_summary(w.kpi_snapshot))
 
 
 @_over_tables

@@ -15,6 +15,8 @@ from marketlens.sources import testtables
 
 # products with their unit cost, 16 bytes each; beyond this orders are shuffled by product
 BROADCAST_PRODUCTS = 2_000_000
+# ids of customers or products, 8 bytes each; beyond this orders are shuffled by them
+BROADCAST_PARENTS = 2_000_000
 
 
 class Warehouse:
@@ -47,10 +49,14 @@ class Warehouse:
         """One row per key with its reject reason, see `operators.quality`."""
         if name not in self._screened:
             screen = getattr(quality, f"screen_{name}")
-            parents = [self.silver("customers"), self.silver("products")] if name == "orders" else []
+            parents = self.parents() if name == "orders" else []
             self._screened[name] = screen(self.sources[name], *parents)
         return self._screened[name]
 
+    def parents(self) -> tuple[DataFrame, DataFrame]:
+        """The customers and products that orders may refer to."""
+        return self.silver("customers"), self.silver("products")
+
     def silver(self, name: str) -> DataFrame:
         return quality.accepted(self.screened(name))
 
@@ -87,8 +93,7 @@ class Warehouse:
     @cached_property
     def fact_delivery(self) -> DataFrame:
         kept = quality.kept_orders(self.sources["orders"])
-        parents = self.silver("customers"), self.silver("products")
-        return model.delivery_facts(quality.order_warehouses(self.silver("delivery"), kept, *parents))
+        return model.delivery_facts(quality.order_warehouses(self.silver("delivery"), kept, *self.parents()))
 
     @cached_property
     def fact_marketing(self) -> DataFrame:
@@ -146,7 +151,35 @@ class Warehouse:
         return rules.stockout_alerts(self.fact_inventory, self.fact_orders)
 
 
-class ScreenedOnce(Warehouse):
+class ParentsOnce(Warehouse):
+    """Frames over customers and products that are screened and stored when they are first
+    asked for; orders meet their ids and costs as broadcasts while these are few.
+
+    For queries that use the orders in several places with other columns in each, where every
+    check and cost would shuffle them by customer and by product.
+    """
+
+    def screened(self, name: str) -> DataFrame:
+        if name not in self._screened and name in ("customers", "products"):
+            self._screened[name] = stored(super().screened(name), f"screened-{name}")
+        return super().screened(name)
+
+    @cached_property
+    def _parents(self) -> tuple[DataFrame, DataFrame]:
+        keys = {"customers": "customer_id", "products": "product_id"}
+        return tuple(small_side(self.silver(n).select(k), BROADCAST_PARENTS, f"known-{n}") for n, k in keys.items())
+
+    def parents(self) -> tuple[DataFrame, DataFrame]:
+        return self._parents
+
+    @cached_property
+    def fact_orders(self) -> DataFrame:
+        costs = small_side(self.silver("products").select("product_id", "cost"), BROADCAST_PRODUCTS, "costs")
+        # a reader that needs no cost is planned without the join
+        return model.fact_orders(self.silver("orders"), one_per_key(costs, "product_id"))
+
+
+class ScreenedOnce(ParentsOnce):
     """Frames over rows that are screened and stored when they are first asked for.
 
     For queries that use a layer in several places, in jobs of their own or with other
@@ -157,17 +190,13 @@ class ScreenedOnce(Warehouse):
         if name not in self._screened:
             if name == "orders":
                 kept = stored(quality.kept_orders(self.sources[name]), "kept-orders")
-                parents = self.silver("customers"), self.silver("products")
-                self._screened[name] = quality.check_stored_orders(kept, *parents)
-            elif name in ("customers", "products", "inventory"):
+                self._screened[name] = quality.check_stored_orders(kept, *self.parents())
+            elif name == "inventory":
                 self._screened[name] = stored(super().screened(name), f"screened-{name}")
         return super().screened(name)
 
-    @cached_property
-    def fact_orders(self) -> DataFrame:
-        costs = small_side(self.silver("products").select("product_id", "cost"), BROADCAST_PRODUCTS, "costs")
-        # a reader that needs no cost is planned without the join
-        return model.fact_orders(self.silver("orders"), one_per_key(costs, "product_id"))
+    def parents(self) -> tuple[DataFrame, DataFrame]:
+        return self.silver("customers"), self.silver("products")
 
     @cached_property
     def fact_delivery(self) -> DataFrame:

@@ -69,22 +69,30 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
-        .selectExpr(
-            _ORDER_ID,
-            """case when l_orderkey % 97 = 3 then null
-                    when l_orderkey % 89 = 4 then -1L else o_custkey end as customer_id""",
-            "l_partkey as product_id",
-            _WAREHOUSE,
-            """if(l_partkey % 83 = 6, 'not-a-date',
-                  cast(cast(l_shipdate as date) as string) || ' 00:00:00') as timestamp""",
-            "cast(l_quantity as int) as quantity",
-            "if(l_orderkey % 79 = 7, -l_extendedprice, l_extendedprice) as amount",
-            """case when o_orderstatus = 'F' then 'completed' when o_orderstatus = 'O' then 'pending'
-                    when l_returnflag = 'R' then 'returned' else 'cancelled' end as status""",
-        )
+    # reduced to what is asked of them before the join, which shuffles both tables when they are large
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey % 6 as _supplier",
+        "cast(l_shipdate as date) as _shipped",
+        "cast(l_quantity as int) as quantity",
+        "l_extendedprice",
+        "l_returnflag = 'R' as _returned",
+    )
+    heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return items.join(heads, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        _ORDER_ID,
+        """case when l_orderkey % 97 = 3 then null
+                when l_orderkey % 89 = 4 then -1L else o_custkey end as customer_id""",
+        "l_partkey as product_id",
+        "'WH0' || cast(_supplier + 1 as string) as warehouse_id",
+        """if(l_partkey % 83 = 6, 'not-a-date',
+              cast(_shipped as string) || ' 00:00:00') as timestamp""",
+        "quantity",
+        "if(l_orderkey % 79 = 7, -l_extendedprice, l_extendedprice) as amount",
+        """case when o_orderstatus = 'F' then 'completed' when o_orderstatus = 'O' then 'pending'
+                when _returned then 'returned' else 'cancelled' end as status""",
     )
 
 

@@ -159,3 +159,25 @@ def test_only_files_that_are_read_are_written(spark, sources, frame, monkeypatch
     assert sorted((str(r["product_id"]), r["available_qty"], r["reserved_qty"]) for r in found) == [("1", 7, 1), ("2", 4, 0)]
     assert {str(r["updated_at"])[:4] for r in found} == {"1990"}
     assert glob.glob(f"{folders[0].removeprefix('file:')}/*.csv") == [f"{folders[0].removeprefix('file:')}/inventory.csv"]
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_parents_that_are_broadcast_give_the_same_facts(sources, monkeypatch, limit):
+    monkeypatch.setattr(warehouse, "BROADCAST_PARENTS", limit)
+    monkeypatch.setattr(warehouse, "BROADCAST_PRODUCTS", limit)
+    plain, once = Warehouse(sources), warehouse.ParentsOnce(sources)
+    assert _rows(once.screened("orders")) == _rows(plain.screened("orders"))
+    for name in ("fact_orders", "fact_delivery", "dim_date", "dim_customer"):
+        assert _rows(getattr(once, name)) == _rows(getattr(plain, name))
+
+
+@pytest.mark.parametrize("name", ["kpi_snapshot", "kpis_of_domain", "executive_summary"])
+def test_kpis_shuffle_no_orders_to_check_them(spark, sf_dir, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "known-customers-" in plan and "known-products-" in plan
+    assert not re.search(r"SortMergeJoin \[(customer|product)_id", plan)
