@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.components import components
 from marketlens.llm.shingles import shingle_sets, text_chunks
+from marketlens.llm.workers import give_back, start_afresh
 from marketlens.session import stored
 
 # rows of the exchanges: a batch's documents, shingles known to be shared, shingles that ask
@@ -154,12 +155,15 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, size: int, perc
         return _packed_rows(rows + _asked(tokens[~again], places, number, bits))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_afresh()
         ordinal = 0
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for lo, hi in text_chunks(texts, BATCH_BYTES, 50_000):
                 yield pack_batch(batch.column("id").slice(lo, hi - lo), texts[lo:hi], _number(ordinal))
                 ordinal += 1
+            del texts
+            give_back()
 
     def settle(table: pa.Table) -> pa.Table:
         at, found, place, _ = _gathered(table)
@@ -177,6 +181,7 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, size: int, perc
             found[e - s : e].tobytes() if ok else None
             for e, s, ok in zip(ends.tolist(), shared.tolist(), enough.tolist(), strict=True)
         ]
+        give_back()
         return pa.table(
             {
                 "id": pa.array(ids, mask=~known),
@@ -212,6 +217,8 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
                 order = np.argsort(tokens, kind="stable")
                 head = (_DOCS, -1 - number, number, sizes[lo:hi].astype(np.int64).tobytes(), None, b"".join(keys[lo:hi]))
                 yield _packed_rows([head, *_asked(tokens[order], places[order], number, bits)])
+            del packed, keys
+            give_back()
 
     def choose(table: pa.Table) -> pa.Table:
         at, found, place, more = _gathered(table)
@@ -348,6 +355,8 @@ def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                         parent[max(a, b)] = min(a, b)
                         out.append((keys[q], keys[m], 0))
         out += [(keys[x], None, int(linked[x])) for x in np.flatnonzero(linked).tolist()]
+        del sets
+        give_back()
         return pa.table(
             {
                 "a": pa.array([r[0] for r in out], pa.binary()),

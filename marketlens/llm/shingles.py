@@ -71,10 +71,14 @@ def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed((sums[end] - sums[start]) * inverse[start]), offsets
 
 
+# text that is numbered at a time: some forty times as many bytes of numbers are held meanwhile
+CHUNK_BYTES = 1 << 19
+
+
 def shingle_sets(texts: list[bytes], size: int = 5) -> Iterator[np.ndarray]:
     """Per text its distinct shingles of `size` words, sorted; the whole word sequence as
     the only one if there are fewer words, none without words."""
-    for first, last in text_chunks(texts):
+    for first, last in text_chunks(texts, CHUNK_BYTES):
         words, offsets = word_numbers(texts[first:last])
         total = np.zeros(max(0, len(words) - size + 1), dtype=np.uint64)
         for k in range(size):

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.llm.workers import give_back, start_afresh
 from marketlens.session import stored
 
 # fixed values: function words of the four languages
@@ -183,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         return Model({}, 30.0 if toxic else -30.0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_afresh()
         for batch in batches:
             hits, misses = Counter(), Counter()
             for text, label in zip(_texts(batch), batch.column("toxic").to_pylist(), strict=True):
@@ -199,6 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                     ],
                     names=["feature", "hits", "misses"],
                 )
+            del hits, misses, names
+            give_back()
 
     counts = rows.mapInArrow(count, "feature string, hits long, misses long").groupBy("feature")
     odds = F.log((F.col("hits") + 0.5) / (toxic + 1)) - F.log((F.col("misses") + 0.5) / (clean + 1))
@@ -254,6 +258,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_afresh()
         grammar = Grammar(model.lexicon)
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
@@ -261,6 +266,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(model.probability(found))], names=[*batch.schema.names, "score"]
             )
+            del texts
+            give_back()
 
     return docs.mapInArrow(run, schema)
 
