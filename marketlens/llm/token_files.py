@@ -24,12 +24,11 @@ from __future__ import annotations
 import math
 import os
 import struct
-import sys
-import types
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm.ordering import running_start
-from marketlens.session import scratch_path
+from marketlens.llm.workers import give_back, kept
+from marketlens.session import arrow_batches, scratch_path
 
 END_ID = 2
 END = 65535
@@ -78,7 +78,9 @@ class Encoder:
         # byte-level tokenizers spell bytes that are no printable character by those from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in plain]
-        self.letters = {b: chr(256 + i) for i, b in enumerate(rest)}
+        spelled = {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.letters = "".join(spelled.get(b, chr(b)) for b in range(256))
+        self.tokenize = self.tokenizer.model.tokenize
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
@@ -94,8 +96,8 @@ class Encoder:
 
     def _by_model(self, text: str, space: str) -> bytes:
         """Ids of a string that the tokenizer does not cut: letters after a space, or marks."""
-        spelled = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-        return array("H", [t.id for t in self.tokenizer.model.tokenize(space + spelled)]).tobytes()
+        spelled = text if text.isascii() else charmap_decode(text.encode(), "strict", self.letters)[0]
+        return array("H", [t.id for t in self.tokenize(space + spelled)]).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
         core, space, ids, whole = self.core, self.letters[32], [], {}
@@ -139,7 +141,8 @@ class Encoder:
         # a text's first piece, which no space precedes, is told apart by a space of its own
         marked = pc.binary_join_element_wise("", flat.take(pa.array(bounds[:-1])), " ")
         coded = pa.concat_arrays([flat, marked]).dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        # by way of numpy, as a list made from the array itself takes a step in Python for each piece
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         which[bounds[:-1]] = which[len(flat) :]
         which = which[: len(flat)]
@@ -152,7 +155,7 @@ class Encoder:
         used = np.zeros(len(pieces), dtype=bool)
         used[which] = True
         get = self.number.get
-        known = np.fromiter((get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
+        known = np.fromiter(map(get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         self.again[known[known >= 0]] = True
         fresh = np.flatnonzero(used & (known < 0))
         known[fresh] = len(self.number) + np.arange(len(fresh))
@@ -188,11 +191,7 @@ class Encoder:
 def encoder_of(path: str) -> Encoder:
     """The encoder of this process: loading a tokenizer takes time and memory, and what one
     task has learned serves the next."""
-    # functions travel to workers by value, so that a variable of this module would not last
-    kept = sys.modules.setdefault("_marketlens_encoders", types.ModuleType("_marketlens_encoders"))
-    if path not in kept.__dict__:
-        kept.__dict__[path] = Encoder(path)
-    return kept.__dict__[path]
+    return kept(path, lambda: Encoder(path))
 
 
 def _is_odd(piece: str) -> bool:
@@ -421,11 +420,14 @@ def write_tokens(
                         yield shard()
         if ids:
             yield shard()
+        give_back()
 
     shards = in_order(rows, range_bytes).mapInArrow(
         encode, "range long, shard int, documents long, tokens long, data binary"
     )
-    shards.write.parquet(path)
+    # a batch is a slice, with room for the row that fills it
+    with arrow_batches(docs.sparkSession, SLICE_BYTES * 15 // 16):
+        shards.write.parquet(path)
 
 
 _SHARD = ["range", "shard", "documents", "tokens", "data"]
