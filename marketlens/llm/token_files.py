@@ -48,24 +48,25 @@ FIRST_RULE = 50_257
 RANGE_BYTES = 32 << 20
 SLICE_BYTES = 3 << 20
 SHARD_TOKENS = 1_000_000
-# pieces of text, and their parts, after which an encoder forgets what it met only once
-MOST_PIECES = 200_000
-MOST_PARTS = 250_000
+# parts of text after which an encoder forgets those it met only once
+MOST_PARTS = 300_000
 # a pair is replaced from this count on; a round takes pairs down to this share of the best
 LEAST_COUNT = 8
 ROUND_SHARE = 1000
+_SLOT_BITS = 19
 _HEAD = "<4sIII"
 _MARKS = ".,;:!?%&*$#\"'()"
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer of the library as loaded, each distinct piece once.
+    """Ids of whole texts by a tokenizer of the library as loaded, each distinct part once.
 
     A text is cut before every single space between two other characters; byte-level
     tokenizers cut there too, so the ids of the pieces in a row are those of the text. A
-    piece of letters and marks is cut once more between them, and such parts go to the
-    tokenizer's model directly. What is remembered is bounded: when full, pieces not met
-    again are forgotten, and all if that is not enough.
+    piece is cut once more, between letters and marks and around single line ends (see
+    `_parts`). Parts that the tokenizer would not cut go to its model directly. How many
+    parts are remembered is bounded: when full, those not met again are forgotten, and all
+    if that is not enough.
     """
 
     def __init__(self, path: str):
@@ -74,20 +75,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.core: dict[str, bytes] = {}  # ids as 16-bit numbers
         # byte-level tokenizers spell bytes that are no printable character by those from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in plain]
         spelled = {b: chr(256 + i) for i, b in enumerate(rest)}
         self.letters = "".join(spelled.get(b, chr(b)) for b in range(256))
         self.tokenize = self.tokenizer.model.tokenize
+        # parts that a space precedes; others are told apart by a space of their own
         self.number: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
-        self.again = np.zeros(0, dtype=bool)  # pieces met in several calls
+        self.again = np.zeros(0, dtype=bool)  # parts met in several calls
 
     def _forget(self) -> None:
-        keep = self.again if self.again.sum() < MOST_PIECES // 2 else np.zeros(len(self.again), dtype=bool)
+        keep = self.again if self.again.sum() < MOST_PARTS * 3 // 4 else np.zeros(len(self.again), dtype=bool)
         sizes = np.diff(self.start)
         self.ids = self.ids[np.repeat(keep, sizes)]
         self.start = np.concatenate(([0], np.cumsum(sizes[keep])))
@@ -99,40 +100,74 @@ class Encoder:
         spelled = text if text.isascii() else charmap_decode(text.encode(), "strict", self.letters)[0]
         return array("H", [t.id for t in self.tokenize(space + spelled)]).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        core, space, ids, whole = self.core, self.letters[32], [], {}
-        for i, piece in enumerate(pieces):
-            word = piece.rstrip(_MARKS)
-            if not word.isalpha():
-                whole[i] = piece[1:] if piece[0] == " " else " " + piece
-                ids.append(b"")
+    def _learn(self, parts: list[str]) -> None:
+        space, ids, whole = self.letters[32], [], {}
+        for i, part in enumerate(parts):
+            if part.isalpha():
+                ids.append(self._by_model(part, space))
                 continue
-            found = core.get(word)
-            if found is None:
-                found = core[word] = self._by_model(word, space)
-            if len(word) < len(piece):
-                marks = piece[len(word) :]
-                more = core.get(marks)
-                if more is None:
-                    more = core[marks] = self._by_model(marks, "")
-                found += more
-            ids.append(found)
+            own = part[1:] if part[0] == " " else " " + part
+            if own.isalpha() or not own.strip(_MARKS):
+                ids.append(self._by_model(own, ""))
+            else:
+                whole[i] = own
+                ids.append(b"")
         encoded = self.tokenizer.encode_batch_fast(list(whole.values()), add_special_tokens=False) if whole else []
         for i, found in zip(whole, encoded, strict=True):
             ids[i] = array("H", found.ids).tobytes()
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
-        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces)), strict=True))
+        self.number.update(zip(parts, range(len(self.number), len(self.number) + len(parts)), strict=True))
         self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype=np.uint16)))
         self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(sizes)))
-        self.again = np.concatenate((self.again, np.zeros(len(pieces), dtype=bool)))
-        if len(core) > MOST_PARTS:
-            self.core = {}
+        self.again = np.concatenate((self.again, np.zeros(len(parts), dtype=bool)))
+
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        """The parts' numbers; new ones are learned."""
+        known = np.fromiter(map(self.number.get, parts, repeat(-1)), dtype=np.int64, count=len(parts))
+        self.again[known[known >= 0]] = True
+        fresh = np.flatnonzero(known < 0).tolist()
+        if fresh:
+            self._learn(list(dict.fromkeys(parts[i] for i in fresh)))
+            known[fresh] = [self.number[parts[i]] for i in fresh]
+        return known
+
+    def _spelled(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in a row and how many each piece has."""
+        coded = pc.utf8_rtrim(pieces, characters=_MARKS).dictionary_encode()
+        # by way of numpy, as a list made from the array itself takes a step in Python for each word
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        letters = np.fromiter(map(str.isalpha, words), dtype=bool, count=len(words))
+        marks = pc.binary_length(pieces).to_numpy(zero_copy_only=False)
+        marks = marks - pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)[which]
+        # letters with one mark at most; all others are cut one by one
+        plain = letters[which] & (marks < 2)
+        marked = np.flatnonzero(plain & (marks == 1))
+        others = np.flatnonzero(~plain)
+        cuts = [_parts(p) for p in pieces.take(pa.array(others)).to_pylist()]
+        ends = pc.binary_join_element_wise(" ", pc.utf8_slice_codeunits(pieces.take(pa.array(marked)), -1), "")
+        ends = ends.dictionary_encode()
+        used = np.zeros(len(words), dtype=bool)
+        used[which[plain]] = True
+        word = np.zeros(len(words), dtype=np.int64)
+        word[used] = self._numbers(list(compress(words, used.tolist())))
+        end = self._numbers(ends.dictionary.to_pylist())[ends.indices.to_numpy(zero_copy_only=False)]
+        count = 1 + (plain & (marks == 1)).astype(np.int64)
+        count[others] = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
+        upto = np.cumsum(count)
+        first = upto - count
+        part = np.full(int(upto[-1]) if len(upto) else 0, -1, dtype=np.int64)
+        part[first[plain]] = word[which[plain]]
+        part[first[marked] + 1] = end
+        part[part < 0] = self._numbers([p for cut in cuts for p in cut])
+        ids, sizes = _gathered(self.ids, self.start, part)
+        return ids, np.diff(np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], upto))])
 
     def __call__(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and how many each text has."""
-        if len(self.number) > MOST_PIECES:
+        if len(self.number) > MOST_PARTS:
             self._forget()
-        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not len(texts):
             return np.empty(0, dtype=np.uint16), np.empty(0, dtype=np.int64)
         cut = pc.split_pattern(texts, " ")
@@ -141,51 +176,86 @@ class Encoder:
         # a text's first piece, which no space precedes, is told apart by a space of its own
         marked = pc.binary_join_element_wise("", flat.take(pa.array(bounds[:-1])), " ")
         coded = pa.concat_arrays([flat, marked]).dictionary_encode()
-        # by way of numpy, as a list made from the array itself takes a step in Python for each piece
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        pieces = coded.dictionary
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         which[bounds[:-1]] = which[len(flat) :]
         which = which[: len(flat)]
-        # letters and digits only: the cheap way to see that a piece is not odd
-        odd = ~pc.utf8_is_alnum(coded.dictionary).to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(odd).tolist():
-            odd[i] = _is_odd(pieces[i])
+        odd = _odd(pieces)
         if odd.any():
-            which, bounds = self._with_care(texts, pieces, which, bounds, odd)
+            pieces, which, bounds = _with_care(texts, pieces, which, bounds, odd)
         used = np.zeros(len(pieces), dtype=bool)
         used[which] = True
-        get = self.number.get
-        known = np.fromiter(map(get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
-        self.again[known[known >= 0]] = True
-        fresh = np.flatnonzero(used & (known < 0))
-        known[fresh] = len(self.number) + np.arange(len(fresh))
-        self._learn([pieces[i] for i in fresh.tolist()])
-        which = known[which]
-        sizes = self.start[which + 1] - self.start[which]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total, dtype=np.int64) + np.repeat(self.start[which] - (ends - sizes), sizes)
-        upto = np.concatenate(([0], ends))[bounds]
-        return self.ids[at], np.diff(upto)
-
-    def _with_care(
-        self, texts: pa.Array, pieces: list[str], which: np.ndarray, bounds: np.ndarray, odd: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Texts that hold an odd piece are cut once more, with care; `pieces` gets theirs."""
-        place = {p: i for i, p in enumerate(pieces)}
-        careful = np.logical_or.reduceat(odd[which], bounds[:-1])
-        parts = []
-        for i, again in enumerate(careful.tolist()):
-            if again:
-                own = _careful(texts[i].as_py())
-                for p in own:
-                    if place.setdefault(p, len(pieces)) == len(pieces):
-                        pieces.append(p)
-                parts.append(np.fromiter(map(place.__getitem__, own), dtype=np.int64, count=len(own)))
-            else:
-                parts.append(which[bounds[i] : bounds[i + 1]])
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+        place = np.cumsum(used) - 1
+        ids, sizes = self._spelled(pieces.filter(pa.array(used)))
+        ids, sizes = _gathered(ids, np.concatenate(([0], np.cumsum(sizes))), place[which])
+        return ids, np.diff(np.concatenate(([0], np.cumsum(sizes)))[bounds])
+
+
+def _gathered(ids: np.ndarray, start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slices of `ids`, which begin at `start`, one after another, and the size of each."""
+    sizes = start[which + 1] - start[which]
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return ids[np.arange(total, dtype=np.int64) + np.repeat(start[which] - (ends - sizes), sizes)], sizes
+
+
+def _odd(pieces: pa.Array) -> np.ndarray:
+    """Whether a piece is empty, or white space other than its mark begins or ends it."""
+    # printable ASCII at both ends, letters or digits only: the cheap ways to see that it is not
+    ends = np.asarray(pc.binary_length(pieces)).astype(np.int64)
+    held = ends > 0
+    begins = np.frombuffer(pieces.buffers()[1], dtype=np.int32)[pieces.offset : pieces.offset + len(pieces)]
+    data = np.frombuffer(pieces.buffers()[2] or b"", dtype=np.uint8)
+    ends, begins = begins[held] + ends[held] - 1, begins[held]
+    sure = np.zeros(len(pieces), dtype=bool)
+    sure[held] = (data[begins] > 32) & (data[begins] < 127) & (data[ends] > 32) & (data[ends] < 127)
+    sure |= pc.utf8_is_alnum(pieces).to_numpy(zero_copy_only=False)
+    odd = np.zeros(len(pieces), dtype=bool)
+    rest = np.flatnonzero(~sure)
+    odd[rest] = [_is_odd(p) for p in pieces.take(pa.array(rest)).to_pylist()]
+    return odd
+
+
+def _with_care(
+    texts: pa.Array, pieces: pa.Array, which: np.ndarray, bounds: np.ndarray, odd: np.ndarray
+) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Texts that hold an odd piece are cut once more, with care; `pieces` with theirs."""
+    place: dict[str, int] = {}
+    careful = np.logical_or.reduceat(odd[which], bounds[:-1])
+    parts = []
+    for i, again in enumerate(careful.tolist()):
+        if again:
+            own = _careful(texts[i].as_py())
+            parts.append(np.array([place.setdefault(p, len(pieces) + len(place)) for p in own], dtype=np.int64))
+        else:
+            parts.append(which[bounds[i] : bounds[i + 1]])
+    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+    pieces = pa.concat_arrays([pieces, pa.array(list(place), pieces.type)])
+    return pieces, np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _parts(piece: str) -> list[str]:
+    """A piece cut around single line ends and before the marks that end a run of letters.
+
+    A tokenizer takes a line end between two characters that are no white space by itself,
+    and letters apart from marks. Parts that no space precedes begin with one.
+    """
+    space, lines = (" ", piece[1:].split("\n")) if piece[0] == " " else ("", piece.split("\n"))
+    if len(lines) > 1 and any(not line or line[0].isspace() or line[-1].isspace() for line in lines):
+        return [piece]
+    out = []
+    for i, line in enumerate(lines):
+        if i:
+            out.append(" \n")
+            space = " "
+        word = line.rstrip(_MARKS)
+        if word.isalpha():
+            out.append(space + word)
+            if len(word) < len(line):
+                out.append(" " + line[len(word) :])
+        else:
+            out.append(space + line)
+    return out
 
 
 def encoder_of(path: str) -> Encoder:
@@ -240,18 +310,14 @@ def grammar(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         likely = np.flatnonzero(counts >= max(LEAST_COUNT, int(counts.max()) // ROUND_SHARE))
         likely = likely[np.argsort(-counts[likely], kind="stable")[: END - FIRST_RULE - made]]
         best = np.sort(ranked[first[likely]])
-        # where they occur: only symbols that begin and end one of them are looked up
-        begins, ends = np.zeros(65536, dtype=bool), np.zeros(65536, dtype=bool)
-        begins[best >> np.uint32(16)] = True
-        ends[best & np.uint32(0xFFFF)] = True
-        hopeful = np.flatnonzero(begins[left[free]] & ends[right[free]])
-        place = np.minimum(np.searchsorted(best, pair[hopeful]), len(best) - 1)
-        hit = best[place] == pair[hopeful]
-        at, rule = free[hopeful[hit]], place[hit]
+        place = _places(best, pair)
+        hit = np.flatnonzero(best[place] == pair)
+        at, rule = free[hit], place[hit]
         # of pairs that overlap, every other one is replaced, from the left
-        order = np.arange(len(at))
-        run = order - np.maximum.accumulate(np.where(np.concatenate(([True], np.diff(at) != 1)), order, 0))
-        at, rule = at[run % 2 == 0], rule[run % 2 == 0]
+        begins = np.flatnonzero(np.concatenate(([True], np.diff(at) != 1)))
+        sizes = np.diff(np.append(begins, len(at)))
+        taken = (np.arange(len(at), dtype=np.int32) - np.repeat(begins.astype(np.int32), sizes)) & 1 == 0
+        at, rule = at[taken], rule[taken]
         symbols[at] = (FIRST_RULE + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
@@ -262,6 +328,27 @@ def grammar(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return symbols.astype(np.uint16), table.astype(np.uint16)
 
 
+def _places(best: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """For each pair its place in `best`, which are distinct and ascending, or any place if it
+    is not there. Looked up by a hash; pairs that share a slot with one of `best` are searched."""
+    slot = np.zeros(1 << _SLOT_BITS, dtype=np.uint16)
+    numbers = np.arange(len(best), dtype=np.uint16)
+    own = _slots(best)
+    slot[own] = numbers
+    shared = np.zeros(1 << _SLOT_BITS, dtype=bool)
+    shared[own[slot[own] != numbers]] = True
+    at = _slots(pair)
+    place = slot[at]
+    if shared.any():
+        again = np.flatnonzero(shared[at])
+        place[again] = np.minimum(np.searchsorted(best, pair[again]), len(best) - 1)
+    return place
+
+
+def _slots(pair: np.ndarray) -> np.ndarray:
+    return (pair * np.uint32(2_654_435_761)) >> np.uint32(32 - _SLOT_BITS)
+
+
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:
     """Tokens per symbol, for all 65,536 symbols."""
     lengths = np.ones(65536, dtype=np.uint32)

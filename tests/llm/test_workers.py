@@ -3,6 +3,7 @@
 import sys
 import types
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -61,6 +62,44 @@ def test_words_beyond_ascii_are_spelled_as_the_tokenizer_does():
     assert ids.tolist() == [i for e in expected for i in e] and sizes.tolist() == [len(e) for e in expected]
 
 
+def test_line_ends_and_marks_do_not_make_new_words():
+    encoder = token_files.Encoder(tokenizer_path())
+    encoder(["x first second third. y."])
+    seen, model, batch = [], encoder.tokenize, encoder.tokenizer.encode_batch_fast
+    encoder.tokenize = lambda t: (seen.append(t), model(t))[1]
+    encoder.tokenizer = types.SimpleNamespace(encode_batch_fast=lambda t, **k: (seen.extend(t), batch(t, **k))[1])
+    texts = ["first.\nsecond third.\nthird first.", "third.\nthird", "third\n\nthird", "second first\n"]
+    ids, sizes = encoder(texts)
+    # a word that no space precedes has ids of its own; only what the tokenizer cuts goes to it whole
+    assert sorted(seen) == sorted(["\n", "first", "second", "third", "third\n\nthird", " first\n"])
+    expected = [token_files.Encoder(tokenizer_path()).tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for e in expected for i in e] and sizes.tolist() == [len(e) for e in expected]
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(token_files, "MOST_PARTS", 40)
+    encoder = token_files.Encoder(tokenizer_path())
+    for i in range(30):
+        texts = [f"in every word{'abcdefghij'[i % 10]}", " ".join("xyz"[j % 3] * (i + j + 1) for j in range(9)) + f".\n{i}"]
+        ids, _ = encoder(texts)
+        expected = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for e in expected for i in e]
+        assert len(encoder.number) < 40 + 20 and "every" in encoder.number
+
+
+def test_pairs_are_found_by_their_hash():
+    draw = np.random.default_rng(5)
+    pairs = np.unique(draw.integers(0, 1 << 32, 60_000, dtype=np.uint32))
+    slots = token_files._slots(pairs)
+    first = np.unique(slots, return_index=True)[1]
+    # pairs of one slot: some looked for, some not
+    best, other = np.sort(pairs[draw.permutation(len(pairs))[:15_000]]), pairs
+    assert len(first) < len(pairs)
+    place = token_files._places(best, other)
+    expected = np.isin(other, best)
+    assert ((best[place] == other) == expected).all()
+
+
 def test_the_model_is_taken_from_the_tokenizer_once(monkeypatch):
     encoder = token_files.Encoder(tokenizer_path())
     expected = encoder.tokenizer.encode("some plain words", add_special_tokens=False).ids
