@@ -46,7 +46,7 @@ END = 65535
 FIRST_RULE = 50_257
 # text of one task, of one call of the encoder, and tokens of a shard
 RANGE_BYTES = 32 << 20
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 SHARD_TOKENS = 1_000_000
 # parts of text after which an encoder forgets those it met only once
 MOST_PARTS = 300_000
@@ -75,6 +75,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        give_back()  # the file's text and what was read of it
         # byte-level tokenizers spell bytes that are no printable character by those from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in plain]
@@ -300,9 +301,9 @@ def grammar(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     made = 0
     while made < END - FIRST_RULE and len(symbols) >= 2 * LEAST_COUNT:
         left, right = symbols[:-1], symbols[1:]
-        free = np.flatnonzero((left != END) & (right != END))
-        pair = (left[free] << np.uint32(16)) | right[free]
-        ranked = np.sort(pair)
+        pair = (left << np.uint32(16)) | right
+        ranked = pair[(left != END) & (right != END)]
+        ranked.sort()
         first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))[: len(ranked)]
         counts = np.diff(np.append(first, len(ranked)))
         if not len(counts) or counts.max() < LEAST_COUNT:
@@ -310,9 +311,11 @@ def grammar(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         likely = np.flatnonzero(counts >= max(LEAST_COUNT, int(counts.max()) // ROUND_SHARE))
         likely = likely[np.argsort(-counts[likely], kind="stable")[: END - FIRST_RULE - made]]
         best = np.sort(ranked[first[likely]])
+        del ranked, first
         place = _places(best, pair)
-        hit = np.flatnonzero(best[place] == pair)
-        at, rule = free[hit], place[hit]
+        at = np.flatnonzero(best[place] == pair)
+        rule = place[at]
+        del pair, place
         # of pairs that overlap, every other one is replaced, from the left
         begins = np.flatnonzero(np.concatenate(([True], np.diff(at) != 1)))
         sizes = np.diff(np.append(begins, len(at)))
@@ -379,7 +382,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
 def write_shard(ids: list[int | None], counts: np.ndarray, tokens: np.ndarray) -> bytes:
     """A shard of documents with these ids and numbers of tokens, ends not among `tokens`."""
     ends = np.cumsum(counts)
-    symbols, rules = grammar(np.insert(tokens.astype(np.uint32), ends, END))
+    symbols, rules = grammar(np.insert(tokens.astype(np.uint16), ends, END))
     borders = np.flatnonzero(symbols == END) + 1
     per_doc = np.diff(np.concatenate(([0], borders))).astype(np.uint32)
     known = np.array([0 if i is None else i for i in ids], dtype=np.int64)
@@ -505,6 +508,7 @@ def write_tokens(
                     start = end
                     if held >= shard_tokens:
                         yield shard()
+                        give_back()
         if ids:
             yield shard()
         give_back()

@@ -1,6 +1,7 @@
 """What Python workers hold between and within tasks."""
 
 import sys
+import tracemalloc
 import types
 
 import numpy as np
@@ -118,3 +119,14 @@ def test_texts_go_to_the_encoder_in_small_batches(spark, frame, folder, monkeypa
     token_files.write_tokens(frame("doc_id bigint, text string", (1, "a b")), folder, tokenizer_path())
     assert [int(x.rstrip("b")) <= token_files.SLICE_BYTES for x in seen] == [True]
     assert spark.conf.get(key, None) == before
+
+
+def test_a_shard_takes_little_memory_to_write():
+    tokens = np.random.default_rng(7).integers(0, 2000, 400_000).astype(np.uint16)
+    tracemalloc.start()
+    try:
+        token_files.write_shard([1, 2], np.array([150_000, 250_000]), tokens)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 39 * len(tokens)  # bytes a token
