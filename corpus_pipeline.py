@@ -19,6 +19,8 @@ from marketlens.session import stored
 TOXIC_FROM = 0.7
 # ids of documents left out, 8 bytes each; beyond this the join shuffles
 BROADCAST_IDS = 1_000_000
+# text of one call of the encoder: the executors still hold what the stages before took
+SLICE_BYTES = 1 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +70,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, and per document what is read back: doc_id, start, n_tokens, ids_crc32."""
-    return token_files.token_digests(docs, tokenizer_path())
+    return token_files.token_digests(docs, tokenizer_path(), SLICE_BYTES)
 
 
 STAGES = [

@@ -46,7 +46,7 @@ END = 65535
 FIRST_RULE = 50_257
 # text of one task, of one call of the encoder, and tokens of a shard
 RANGE_BYTES = 32 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 3 << 20
 SHARD_TOKENS = 1_000_000
 # parts of text after which an encoder forgets those it met only once
 MOST_PARTS = 300_000
@@ -472,7 +472,7 @@ def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-    range_bytes: int = RANGE_BYTES, shard_tokens: int = SHARD_TOKENS,
+    range_bytes: int = RANGE_BYTES, shard_tokens: int = SHARD_TOKENS, slice_bytes: int = SLICE_BYTES,
 ) -> None:
     """Writes the shards of `docs` to `path`, in ascending order of ids (null last, equal
     ids by text). `tokenizer` is a file of the tokenizers library with ids below 50,257."""
@@ -491,7 +491,7 @@ def write_tokens(
 
         for batch in batches:
             encoder = encoder_of(tokenizer)
-            for a, b in _slices(batch.column("text"), SLICE_BYTES):
+            for a, b in _slices(batch.column("text"), slice_bytes):
                 part = batch.slice(a, b - a)
                 found, sizes = encoder(part.column("text"))
                 known, ends = part.column("id").to_pylist(), np.cumsum(sizes)
@@ -517,7 +517,7 @@ def write_tokens(
         encode, "range long, shard int, documents long, tokens long, data binary"
     )
     # a batch is a slice, with room for the row that fills it
-    with arrow_batches(docs.sparkSession, SLICE_BYTES * 15 // 16):
+    with arrow_batches(docs.sparkSession, slice_bytes * 15 // 16):
         shards.write.parquet(path)
 
 
@@ -560,10 +560,10 @@ def read_tokens(spark: SparkSession, path: str, with_tokens: bool = True) -> Dat
     return joined.select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", "tokens")
 
 
-def token_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+def token_digests(docs: DataFrame, tokenizer: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Per row of `docs(doc_id, text)`, read back from its shards: doc_id, start, n_tokens,
     ids_crc32. Null and empty texts hold the end id only; repeated rows are stored each; an
     empty table gives no rows; other columns are not used."""
     path = scratch_path(docs.sparkSession, "tokens")
-    write_tokens(docs, path, tokenizer)
+    write_tokens(docs, path, tokenizer, slice_bytes=slice_bytes)
     return read_tokens(docs.sparkSession, path, with_tokens=False).drop("tokens")
